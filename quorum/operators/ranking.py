@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
                     keep: Sequence[str]) -> DataFrame:
     """Per ``group`` the row with the least (``order``, ``keep``) in ascending order."""
-    fields = list(order) + [c for c in keep if c not in order]
+    group = list(group)
+    fields = []
+    for c in list(order) + list(keep):
+        if c not in group and c not in fields:
+            fields.append(c)
     packed = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
     out = df.groupBy(*group).agg(F.min(packed).alias("_first"))
-    return out.select(*group, *[F.col(f"_first.f{i}").alias(c) for i, c in enumerate(fields)
-                                if c in keep or c in order])
+    return out.select(*group, *[F.col(f"_first.f{i}").alias(c) for i, c in enumerate(fields)])

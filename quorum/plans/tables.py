@@ -21,3 +21,14 @@ class ParquetSources:
 
     def get(self, name: str) -> DataFrame:
         return read_source(self.spark, name, f"{self.root}/{name}")
+
+
+class FrameSources:
+    """Sources given as DataFrames (tests, notebooks); checked against the catalog."""
+
+    def __init__(self, frames: dict[str, DataFrame]):
+        from quorum.sources.catalog import conform
+        self.frames = {name: conform(df, name, fill=True) for name, df in frames.items()}
+
+    def get(self, name: str) -> DataFrame:
+        return self.frames[name]

@@ -117,11 +117,15 @@ def event_base(events: DataFrame) -> DataFrame:
 class Fixture:
     """Driver tables under ``sf_dir`` and every source derived from them (all lazy)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 tables: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.tables = dict(tables or {})
 
     def table(self, name: str) -> DataFrame:
+        if name in self.tables:
+            return self.tables[name]
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ---- event-derived base ----------------------------------------------------------------

@@ -314,11 +314,12 @@ def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.read.schema(source(name).schema).parquet(path)
 
 
-def conform(df: DataFrame, name: str, strict: bool = False) -> DataFrame:
+def conform(df: DataFrame, name: str, strict: bool = False, fill: bool = False) -> DataFrame:
     """Check ``df`` against the declared schema and cast to the declared types.
 
     Columns the declaration lacks are an error; declared columns ``df`` lacks are allowed
-    unless ``strict`` (adapters only build what the jobs read).
+    unless ``strict`` (adapters only build what the jobs read), and added as typed NULLs
+    when ``fill``.
     """
     declared = {f.name: f.dataType for f in source(name).schema.fields}
     extra = [c for c in df.columns if c not in declared]
@@ -328,4 +329,7 @@ def conform(df: DataFrame, name: str, strict: bool = False) -> DataFrame:
         missing = [c for c in declared if c not in df.columns]
         if missing:
             raise ValueError(f"{name}: missing columns {missing}")
-    return df.select([F.col(f"`{c}`").cast(declared[c]).alias(c) for c in df.columns])
+    cols = [F.col(f"`{c}`").cast(declared[c]).alias(c) for c in df.columns]
+    if fill:
+        cols += [F.lit(None).cast(t).alias(c) for c, t in declared.items() if c not in df.columns]
+    return df.select(cols)

@@ -52,9 +52,14 @@ def stream_recompute(stream: DataFrame, touched_keys: Callable[[DataFrame], Data
 
 def tumbling_counts(df: DataFrame, ts: str, width: str, keys: Sequence[str] = (),
                     watermark: str | None = None) -> DataFrame:
-    """Rows per event-time tumbling window (and keys); streaming needs ``watermark``."""
+    """Rows per event-time tumbling window (and keys); streaming needs ``watermark``.
+
+    Watermarks are defined on zone-aware timestamps, so a wall-clock (ntz) column is read
+    as UTC-session time for the watermark and the window bounds are returned as ntz."""
     if watermark:
+        if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+            df = df.withColumn(ts, F.col(ts).cast("timestamp"))
         df = df.withWatermark(ts, watermark)
     out = df.groupBy(F.window(ts, width).alias("w"), *keys).agg(F.count(F.lit(1)).alias("events"))
-    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      *keys, "events")
+    return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "events")

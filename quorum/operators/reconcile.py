@@ -1,8 +1,23 @@
 """Reconciling several observers of one fact.
 
 Sources report the same (slot, epoch, network) fact, each possibly with several roots.
-They are first rolled up per source (one shuffle each, map-side partial aggregation),
-then chained by full outer joins on the coalesced keys, and finally re-grouped.
+Each source is first rolled up per (key, root) (one shuffle each, map-side partial
+aggregation).  The source system then chains full outer joins on the key, which pairs
+every root of one source with every root of the others inside a slot, and regroups.
+Both results it computes that way are obtained here *without pairing rows*:
+
+* ``crossed_sightings`` -- the regrouped result of (e FULL JOIN g) FULL JOIN c: groups
+  are the start times of the first source present for the key; the other sources, being
+  crossed with every row of that source, contribute whole-key aggregates.
+* ``precedence_rows`` -- COALESCE(first source, second, ...) over the joined rows: the
+  highest-precedence source present for a key supplies every joined row of that key.
+
+Each is one union of the rollups, one shuffle by the key, one window over the key's few
+rollup rows, and a final aggregate that reuses that partitioning.  (Both assume what the
+declared schemas guarantee: root, start and count are never NULL in a rollup row, except
+roots that a key translation failed to find.)
+
+``outer_chain`` is the plain chained full outer join, for inputs that are unique per key.
 """
 
 from __future__ import annotations
@@ -10,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorum.functions.sets import without
@@ -34,11 +49,64 @@ def source_rollup(df: DataFrame, prefix: str, root_col: str, count: str | None =
 
 
 def outer_chain(frames: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
-    """f1 FULL JOIN f2 USING (on) FULL JOIN f3 USING (on) ...; keys come out coalesced,
-    rows with several roots per key are crossed (every combination is kept)."""
+    """f1 FULL JOIN f2 USING (on) FULL JOIN f3 USING (on) ...; keys come out coalesced.
+    Use on inputs that are unique per key (otherwise rows of a key are paired)."""
     return reduce(lambda a, b: a.join(b, list(on), "full"), frames)
 
 
+def _tagged(frames: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    parts = []
+    for i, (p, df) in enumerate(frames):
+        cnt = F.col(f"{p}_cnt") if f"{p}_cnt" in df.columns else F.lit(None).cast("bigint")
+        parts.append(df.select(*keys, F.lit(i).alias("_src"), F.col(f"{p}_start").alias("_start"),
+                               F.col(f"{p}_root").alias("_root"), cnt.alias("_cnt")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def crossed_sightings(e: DataFrame, g: DataFrame, c: DataFrame, keys: Sequence[str],
+                      start_alias: str = "slot_started_at") -> DataFrame:
+    """Rollups e, g (with counts) and c (canonical) -> per (keys, start): canonical root
+    (max), e roots, g roots (sets, NULL-free, canonical not removed), e / g max counts
+    (0 when unseen) -- equal to regrouping their chained full outer join."""
+    keys = list(keys)
+    u = _tagged([("e", e), ("g", g), ("c", c)], keys)
+    w = Window.partitionBy(*keys)
+    src = F.col("_src")
+    u = (u.withColumn("_lead", F.min(src).over(w))
+          .withColumn("_g_all", F.collect_set(F.when(src == 1, F.col("_root"))).over(w))
+          .withColumn("_g_cnt_all", F.max(F.when(src == 1, F.col("_cnt"))).over(w))
+          .withColumn("_c_all", F.max(F.when(src == 2, F.col("_root"))).over(w)))
+    lead = u.filter(src == F.col("_lead"))
+    out = lead.groupBy(*keys, F.col("_start").alias(start_alias)).agg(
+        F.first("_lead").alias("_lead"), F.collect_set("_root").alias("_roots"),
+        F.max("_cnt").alias("_cnt"), F.max("_root").alias("_max_root"),
+        F.first("_g_all").alias("_g_all"), F.first("_g_cnt_all").alias("_g_cnt_all"),
+        F.first("_c_all").alias("_c_all"))
+    ld = F.col("_lead")
+    empty = F.array().cast("array<string>")
+    return out.select(
+        *keys, start_alias,
+        F.when(ld == 2, F.col("_max_root")).otherwise(F.col("_c_all")).alias("canonical"),
+        F.when(ld == 0, F.col("_roots")).otherwise(empty).alias("e_roots"),
+        F.when(ld == 0, F.col("_g_all")).when(ld == 1, F.col("_roots")).otherwise(empty)
+         .alias("g_roots"),
+        F.when(ld == 0, F.col("_cnt")).otherwise(F.lit(0)).cast("bigint").alias("e_cnt"),
+        F.when(ld == 0, F.coalesce(F.col("_g_cnt_all"), F.lit(0)))
+         .when(ld == 1, F.col("_cnt")).otherwise(F.lit(0)).cast("bigint").alias("g_cnt"))
+
+
+def precedence_rows(frames: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    """Rollups in precedence order -> (keys, start, root, cnt) rows of the first source
+    present for each key: equal to COALESCE(first, second, ...) over their chained full
+    outer join rows."""
+    keys = list(keys)
+    u = _tagged(frames, keys)
+    u = u.withColumn("_best", F.min("_src").over(Window.partitionBy(*keys)))
+    return u.filter(F.col("_src") == F.col("_best")).select(
+        *keys, F.col("_start").alias("start"), F.col("_root").alias("root"),
+        F.col("_cnt").alias("cnt"))
+
+
 def first_non_null(prefixes: Sequence[str], suffix: str) -> Column:
     """COALESCE(p1_suffix, p2_suffix, ...): first source in precedence order wins."""
     return F.coalesce(*[F.col(f"{p}_{suffix}") for p in prefixes])

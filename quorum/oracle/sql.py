@@ -416,4 +416,20 @@ FROM base GROUP BY ALL
 Q["incremental_replay"] = _m4(drop_updated=True)
 Q["stream_participation"] = _m4(drop_updated=True)
 
+Q["outer_chain"] = _prefix("event_block", "gossip_block_final", "canonical_block_final") + """
+, e AS (SELECT slot, epoch, meta_network_name AS network, count(*) AS event_stream_seen
+        FROM event_block GROUP BY ALL),
+g AS (SELECT slot, epoch, meta_network_name AS network, count(*) AS gossip_seen
+      FROM gossip_block_final GROUP BY ALL),
+c AS (SELECT slot, epoch, meta_network_name AS network, count(DISTINCT block_root) AS canonical_roots
+      FROM canonical_block_final GROUP BY ALL)
+SELECT coalesce(eg.slot, c.slot) AS slot, coalesce(eg.epoch, c.epoch) AS epoch,
+       coalesce(eg.network, c.network) AS network, eg.event_stream_seen, eg.gossip_seen,
+       c.canonical_roots
+FROM (SELECT coalesce(e.slot, g.slot) AS slot, coalesce(e.epoch, g.epoch) AS epoch,
+             coalesce(e.network, g.network) AS network, e.event_stream_seen, g.gossip_seen
+      FROM e FULL JOIN g ON e.slot = g.slot AND e.epoch = g.epoch AND e.network = g.network) eg
+FULL JOIN c ON eg.slot = c.slot AND eg.epoch = c.epoch AND eg.network = c.network
+"""
+
 ORACLE_SQL = dict(Q)

@@ -21,7 +21,7 @@ from quorum.operators.membership import explode_members, missing_members
 from quorum.operators.nearest import nearest_join
 from quorum.operators.participation import participation
 from quorum.operators.ranking import first_per_group
-from quorum.operators.reconcile import (first_non_null, other_roots, outer_chain,
+from quorum.operators.reconcile import (crossed_sightings, other_roots, precedence_rows,
                                         source_rollup)
 from quorum.operators.rollup import distinct_rows, rollup, union_all, union_distinct
 from quorum.operators.unanimity import CLIENTS, unanimity
@@ -61,6 +61,9 @@ def _stamp(run_ts) -> F.Column:
 
 
 # ---- M1 ---------------------------------------------------------------------------------
+KEY = ["slot", "epoch", "network"]
+
+
 def blocks(src: Sources, window: RunWindow, run_ts, grace: str = "1 DAY") -> DataFrame:
     """Three-source block reconciliation per (slot, epoch, network)."""
     e = source_rollup(_scan(src, "beacon_api_eth_v1_events_block", window, grace),
@@ -69,22 +72,15 @@ def blocks(src: Sources, window: RunWindow, run_ts, grace: str = "1 DAY") -> Dat
                       "g", "block", count=True)
     c = source_rollup(_scan(src, "canonical_beacon_block", window, grace, final=True),
                       "c", "block_root")
-    combined = outer_chain([e, g, c], ["slot", "epoch", "network"])
-    combined = combined.withColumn("slot_started_at", first_non_null(["e", "g", "c"], "start"))
-    out = combined.groupBy("slot", "slot_started_at", "epoch", "network").agg(
-        F.max("c_root").alias("canonical_beacon_block_root_hash"),
-        F.collect_set("e_root").alias("_e"),
-        F.collect_set("g_root").alias("_g"),
-        F.coalesce(F.max("e_cnt"), F.lit(0)).cast("bigint").alias("total_seen_beacon_api_event_stream"),
-        F.coalesce(F.max("g_cnt"), F.lit(0)).cast("bigint").alias("total_seen_gossipsub"))
+    out = crossed_sightings(e, g, c, KEY)
     return out.select(
         _stamp(run_ts), "slot", "slot_started_at", "epoch", "network",
-        "canonical_beacon_block_root_hash",
-        other_roots("_e", "canonical_beacon_block_root_hash")
+        F.col("canonical").alias("canonical_beacon_block_root_hash"),
+        other_roots("e_roots", "canonical")
         .alias("non_canonical_beacon_api_event_stream_block_root_hashes"),
-        other_roots("_g", "canonical_beacon_block_root_hash")
-        .alias("non_canonical_gossipsub_block_root_hashes"),
-        "total_seen_beacon_api_event_stream", "total_seen_gossipsub")
+        other_roots("g_roots", "canonical").alias("non_canonical_gossipsub_block_root_hashes"),
+        F.col("e_cnt").alias("total_seen_beacon_api_event_stream"),
+        F.col("g_cnt").alias("total_seen_gossipsub"))
 
 
 # ---- M2 ---------------------------------------------------------------------------------
@@ -109,16 +105,11 @@ def block_blobs(src: Sources, window: RunWindow, run_ts, grace: str = "1 DAY") -
                        "g", "state_root", max_index="blob_index")
     gs = gs.withColumnRenamed("g_root", "state_root")
     g = gs.join(root_map, ["slot", "state_root", "network"], "left").drop("state_root")
-    combined = outer_chain([e, g, c], ["slot", "epoch", "network"])
-    order = ["c", "e", "g"]
-    combined = combined.select(
-        "slot", "epoch", "network",
-        first_non_null(order, "start").alias("slot_started_at"),
-        first_non_null(order, "root").alias("beacon_block_root_hash"),
-        first_non_null(order, "cnt").alias("blob_count"),
-    ).filter(F.col("beacon_block_root_hash").isNotNull())
-    out = combined.groupBy("slot", "slot_started_at", "epoch", "network", "beacon_block_root_hash") \
-                  .agg(F.max("blob_count").cast("bigint").alias("blob_count"))
+    rows = precedence_rows([("c", c), ("e", e), ("g", g)], KEY) \
+        .filter(F.col("root").isNotNull())
+    out = rows.groupBy("slot", F.col("start").alias("slot_started_at"), "epoch", "network",
+                       F.col("root").alias("beacon_block_root_hash")) \
+              .agg(F.max("cnt").cast("bigint").alias("blob_count"))
     return out.select(_stamp(run_ts), "slot", "slot_started_at", "epoch", "network",
                       "beacon_block_root_hash", "blob_count")
 

@@ -25,7 +25,7 @@ from quorum.functions.timefns import ntz
 from quorum.operators.membership import explode_members
 from quorum.operators.nearest import nearest_join
 from quorum.operators.partial import merge_partial_sums
-from quorum.operators.reconcile import other_roots
+from quorum.operators.reconcile import other_roots, outer_chain as outer_chain_op
 from quorum.operators.unanimity import top_variant as top_variant_op
 from quorum.operators.versioned import append, latest_by_key as latest_op, read_current
 from quorum.plans import models as M
@@ -212,6 +212,23 @@ def other_roots_q(spark, sf_dir):
     return out.select(*keys, "canonical", set_string(other_roots("roots", "canonical")).alias("other_roots"))
 
 
+def outer_chain_q(spark, sf_dir):
+    """Per (slot, epoch, network): sightings per source, chained by full outer joins on
+    the coalesced key (inputs unique per key, so no row is paired twice)."""
+    fx = _fx(spark, sf_dir)
+    keys = ["slot", "epoch", "network"]
+
+    def per_key(df, alias, agg):
+        return df.groupBy("slot", "epoch", F.col("meta_network_name").alias("network")).agg(agg.alias(alias))
+
+    e = per_key(fx.event_block, "event_stream_seen", F.count(F.lit(1)))
+    g = per_key(latest_op(fx.gossip_block, ("unique_key",), ("updated_date_time",)),
+                "gossip_seen", F.count(F.lit(1)))
+    c = per_key(latest_op(fx.canonical_block, ("slot", "block_root", "meta_network_name"),
+                          ("updated_date_time",)), "canonical_roots", F.countDistinct("block_root"))
+    return outer_chain_op([e, g, c], keys)
+
+
 def merge_partial_sums_q(spark, sf_dir):
     return merge_partial_sums(_fx(spark, sf_dir).slot_partials,
                               ["slot", "slot_start_date_time", "meta_client_name", "meta_network_name"],
@@ -292,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "top_variant": top_variant,
     "explode_members": explode_members_q,
     "other_roots": other_roots_q,
+    "outer_chain": outer_chain_q,
     "merge_partial_sums": merge_partial_sums_q,
     "surrogate_key": surrogate_key_q,
     "slot_tumbling": slot_tumbling,

@@ -17,6 +17,11 @@ The obvious plan -- join on the keys, then take the argmin of the distance -- em
    ranges, bounded by the position span / ``range_width``, not by the row count.
 3. An equi-join on (keys, range) attaches the summary; the nearer of the candidates wins.
 
+Left rows that repeat a (keys, position) are collapsed before step 1 and the answers are
+joined back on (keys, position): a hot left position then only weighs on an equi-join,
+whose skewed partitions AQE splits.  Callers whose left side is already distinct per
+(keys, position) pass ``left_unique=True`` and skip that round trip.
+
 Right rows should be unique per (keys, position) (the callers read latest versions by
 exactly that key); if not, equal positions are broken by the value columns so that the
 result stays deterministic.
@@ -36,11 +41,21 @@ def _pairs(on) -> list[tuple[str, str]]:
 
 def nearest_join(left: DataFrame, right: DataFrame, on: Sequence, left_pos: str, right_pos: str,
                  values: Sequence[str], range_width: int = 64,
-                 distance_col: str | None = "distance", matched_pos_col: str | None = None) -> DataFrame:
+                 distance_col: str | None = "distance", matched_pos_col: str | None = None,
+                 left_unique: bool = False) -> DataFrame:
     """Left rows + the ``values`` of the nearest right row (+ |distance|, matched position)."""
     if range_width < 1:
         raise ValueError("range_width must be >= 1")
     pairs = _pairs(on)
+    if not left_unique:
+        lkeys = [lk for lk, _ in pairs] + [left_pos]
+        if len(set(lkeys)) != len(lkeys):
+            raise ValueError("left key and position columns must be distinct")
+        probes = left.select(*[F.col(f"`{c}`") for c in lkeys]).distinct()
+        answers = nearest_join(probes, right, on, left_pos, right_pos, values, range_width,
+                               distance_col, matched_pos_col, left_unique=True)
+        extra = [c for c in answers.columns if c not in lkeys]
+        return left.join(answers, lkeys, "left").select(*left.columns, *extra)
     keys = [f"_k{i}" for i in range(len(pairs))]
     values = list(values)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,18 @@ def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     packed = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
     out = df.groupBy(*group).agg(F.min(packed).alias("_first"))
     return out.select(*group, *[F.col(f"_first.f{i}").alias(c) for i, c in enumerate(fields)])
+
+
+def first_per_group_ranked(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                           keep: Sequence[str]) -> DataFrame:
+    """The same result written as ROW_NUMBER() OVER (PARTITION BY group ORDER BY order,
+    keep) = 1.  Catalyst plans it with a partial WindowGroupLimit before the shuffle; it
+    sorts where ``first_per_group`` hashes, so prefer that one for wide groups."""
+    group = list(group)
+    fields = []
+    for c in list(order) + list(keep):
+        if c not in group and c not in fields:
+            fields.append(c)
+    w = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in fields])
+    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+              .select(*group, *fields))

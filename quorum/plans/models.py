@@ -160,7 +160,7 @@ def _label_by_nearest_class(src: Sources, members: DataFrame, run_ts,
         members, classes,
         on=[("validator_index", "proposer_index"), ("meta_network_name", "meta_network_name")],
         left_pos="slot", right_pos="slot", values=["best_guess_single"],
-        range_width=range_width, distance_col=None)
+        range_width=range_width, distance_col=None, left_unique=True)
     guess = F.coalesce(F.when(F.col("best_guess_single") == "", F.lit("unknown"))
                        .otherwise(F.col("best_guess_single")), F.lit("unknown"))
     counted = (labelled.withColumn("guess", guess)

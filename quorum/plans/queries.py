@@ -124,7 +124,7 @@ def _nearest(spark, sf_dir, range_width):
     return nearest_join(_members(fx), classes,
                         on=[("validator_index", "proposer_index"), "meta_network_name"],
                         left_pos="slot", right_pos="slot", values=["best_guess_single"],
-                        range_width=range_width, distance_col="distance")
+                        range_width=range_width, distance_col="distance", left_unique=True)
 
 
 def nearest_join_q(spark, sf_dir):

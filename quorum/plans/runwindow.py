@@ -23,7 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.functions.timefns import ntz, shift
+from quorum.functions.timefns import format_ts, ntz, parse_ts_or_null, shift
 from quorum.sources.scan import RunWindow
 
 META_DDL = "model string, updated_date_time timestamp_ntz, last_run_date_time timestamp_ntz"
@@ -36,7 +36,7 @@ def _seconds(c):
 def resolve_windows(models: DataFrame, meta: DataFrame, now, interval: str,
                     read_cap: str | None = None) -> DataFrame:
     """Per model: start_time, end_time (read window) and next_last_run (to commit)."""
-    now_c = _seconds(ntz(now))
+    now_c = _seconds(parse_ts_or_null(now))
     last = meta.groupBy("model").agg(F.max("last_run_date_time").alias("last_run"))
     w = models.select("model").distinct().join(last, "model", "left")
     never = F.col("last_run").isNull()
@@ -49,9 +49,15 @@ def resolve_windows(models: DataFrame, meta: DataFrame, now, interval: str,
         F.when(never, now_c).otherwise(commit).alias("next_last_run"))
 
 
+def window_text(windows: DataFrame) -> DataFrame:
+    """The resolved windows as display text (the form the run log prints)."""
+    return windows.select("model", *[format_ts(c).alias(c) for c in
+                                     ("start_time", "end_time", "next_last_run")])
+
+
 def commit_rows(windows: DataFrame, now) -> DataFrame:
     """The metadata rows a successful run appends."""
-    return windows.select("model", _seconds(ntz(now)).alias("updated_date_time"),
+    return windows.select("model", _seconds(parse_ts_or_null(now)).alias("updated_date_time"),
                           F.col("next_last_run").alias("last_run_date_time"))
 
 

@@ -197,3 +197,15 @@ def test_surrogate_key_has_no_concatenation_collision(spark):
     df = frame(spark, "slot long, v long", [(1, 23), (12, 3)])
     rows = df.select(surrogate_key("slot", "v").alias("k"), naive_concat_key("slot", "v").alias("n")).collect()
     assert rows[0].n == rows[1].n and rows[0].k != rows[1].k
+
+
+def test_first_per_group_aggregate_equals_row_number(spark):
+    from quorum.operators.ranking import first_per_group, first_per_group_ranked
+    from quorum.sources.adapters import Fixture
+    from tests.conftest import SMALL
+    a = Fixture(spark, SMALL).attestation.filter(F.col("attesting_validator_index").isNotNull())
+    args = (["slot_start_date_time", "attesting_validator_index"], ["propagation_slot_start_diff"],
+            ["meta_network_name", "meta_client_geo_country", "slot"])
+    x = sorted(tuple(r) for r in first_per_group(a, *args).collect())
+    y = sorted(tuple(r) for r in first_per_group_ranked(a, *args).collect())
+    assert x == y and len(x) > 100

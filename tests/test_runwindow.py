@@ -48,3 +48,12 @@ def test_commit_rows(spark):
                                             "2024-01-05 00:00:00.7").collect()}
     assert rows["a"].last_run_date_time == D(2024, 1, 2)
     assert rows["b"].last_run_date_time == D(2024, 1, 5)   # never ran: now, whole seconds
+
+
+def test_window_text_and_unparsable_now(spark):
+    from quorum.plans.runwindow import window_text
+    models = spark.createDataFrame([("a",)], "model string")
+    w = window_text(resolve_windows(models, empty_meta(spark), "2024-01-05 10:00:00", "1 HOUR")).first()
+    assert (w.start_time, w.end_time) == ("2024-01-05 09:00:00", "2024-01-05 10:00:00")
+    bad = resolve_windows(models, empty_meta(spark), "not a time", "1 HOUR").first()
+    assert bad.start_time is None and bad.end_time is None

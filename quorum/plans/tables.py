@@ -7,6 +7,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 
 from quorum.sources.catalog import read_source
+from quorum.sources.scan import spread_if_unsplit
 
 
 class Sources(Protocol):
@@ -20,7 +21,7 @@ class ParquetSources:
         self.spark, self.root = spark, root.rstrip("/")
 
     def get(self, name: str) -> DataFrame:
-        return read_source(self.spark, name, f"{self.root}/{name}")
+        return spread_if_unsplit(read_source(self.spark, name, f"{self.root}/{name}"))
 
 
 class FrameSources:

@@ -52,6 +52,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorum.sources.catalog import conform
+from quorum.sources.scan import spread_if_unsplit
 
 EPOCH0 = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 SLOT_MICROS = 21_600_000_000
@@ -114,6 +115,10 @@ def event_base(events: DataFrame) -> DataFrame:
     )
 
 
+# inferred schemas of driver tables by path: later reads skip the footer-inference job
+_SCHEMAS: dict[str, object] = {}
+
+
 class Fixture:
     """Driver tables under ``sf_dir`` and every source derived from them (all lazy)."""
 
@@ -123,10 +128,17 @@ class Fixture:
         self.sf_dir = sf_dir.rstrip("/")
         self.tables = dict(tables or {})
 
+    # fact tables: spread when their file cannot be split (dimensions stay broadcastable)
+    FACTS = ("events", "orders", "lineitem")
+
     def table(self, name: str) -> DataFrame:
         if name in self.tables:
             return self.tables[name]
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        schema = _SCHEMAS.get(path)
+        df = (self.spark.read.schema(schema) if schema is not None else self.spark.read).parquet(path)
+        _SCHEMAS.setdefault(path, df.schema)
+        return spread_if_unsplit(df) if name in self.FACTS else df
 
     # ---- event-derived base ----------------------------------------------------------------
     @cached_property
@@ -145,13 +157,15 @@ class Fixture:
 
     @cached_property
     def attestation(self) -> DataFrame:
-        geo = (self.table("customer")
-               .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-               .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-               .select(F.col("c_custkey").alias("user_id"),
-                       F.col("n_name").alias("meta_client_geo_country"),
-                       F.col("r_name").alias("meta_client_geo_continent_code")))
-        b = self.base.join(geo, "user_id", "left")
+        b = (self.base
+             .join(self.table("customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey"),
+                   "user_id", "left")
+             .join(self.table("nation").select("n_nationkey", "n_regionkey",
+                                               F.col("n_name").alias("meta_client_geo_country")),
+                   F.col("c_nationkey") == F.col("n_nationkey"), "left")
+             .join(self.table("region").select("r_regionkey",
+                                               F.col("r_name").alias("meta_client_geo_continent_code")),
+                   F.col("n_regionkey") == F.col("r_regionkey"), "left"))
         df = b.select(
             F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
             F.expr(f"timestampdiff(MICROSECOND, slot_start_date_time, ts) div 1000")
@@ -284,31 +298,50 @@ class Fixture:
         return conform(df, "beacon_api_eth_v2_beacon_block")
 
     # ---- transactions ---------------------------------------------------------------------
-    def _order_tx_columns(self, o: str = "") -> list[Column]:
-        return [
-            root_of(F.concat(F.lit("tx"), F.col("o_orderkey").cast("string"))).alias("hash"),
-            address_of("f", F.col("o_custkey")).alias("from"),
+    @cached_property
+    def _orders_tx(self) -> DataFrame:
+        """Orders with their transaction attributes, derived once per order (before any
+        join with line items, so each digest is computed once per order)."""
+        o = self.table("orders")
+        return o.select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+            "o_orderpriority",
+            root_of(F.concat(F.lit("tx"), F.col("o_orderkey").cast("string"))).alias("tx_hash"),
+            address_of("f", F.col("o_custkey")).alias("tx_from"),
             F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
-             .otherwise(address_of("t", F.col("o_orderkey"))).alias("to"),
-            F.col("o_orderkey").cast("decimal(20,0)").alias("nonce"),
-            F.round(F.col("o_totalprice")).cast("decimal(38,0)").alias("gas_price"),
-            (F.lit(21000) + F.length("o_orderpriority") * 1000).cast("decimal(20,0)").alias("gas"),
-            F.round(F.col("o_totalprice") * 100).cast("decimal(38,0)").alias("value"),
-            F.substring("o_orderpriority", 1, 1).cast("smallint").alias("type"),
-        ]
+             .otherwise(address_of("t", F.col("o_orderkey"))).alias("tx_to"),
+            F.col("o_orderkey").cast("decimal(20,0)").alias("tx_nonce"),
+            F.round(F.col("o_totalprice")).cast("decimal(38,0)").alias("tx_gas_price"),
+            (F.lit(21000) + F.length("o_orderpriority") * 1000).cast("decimal(20,0)").alias("tx_gas"),
+            F.round(F.col("o_totalprice") * 100).cast("decimal(38,0)").alias("tx_value"),
+            F.substring("o_orderpriority", 1, 1).cast("smallint").alias("tx_type"),
+            F.concat(F.lit("0x"), F.substring(F.md5(F.col("o_orderpriority")), 1, 8)).alias("tx_4bytes"),
+        )
+
+    def _order_tx_columns(self) -> list[Column]:
+        return [F.col("tx_hash").alias("hash"), F.col("tx_from").alias("from"),
+                F.col("tx_to").alias("to"), F.col("tx_nonce").alias("nonce"),
+                F.col("tx_gas_price").alias("gas_price"), F.col("tx_gas").alias("gas"),
+                F.col("tx_value").alias("value"), F.col("tx_type").alias("type")]
 
     @cached_property
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").join(self.table("orders"),
+        return self.table("lineitem").join(self._orders_tx,
                                            F.col("l_orderkey") == F.col("o_orderkey"))
 
     @cached_property
     def mempool_tx(self) -> DataFrame:
-        geo = (self.table("supplier")
-               .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-               .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-               .select("s_suppkey", F.col("r_name").alias("meta_client_geo_continent_code")))
-        df = (self._lines.join(geo, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        # dimensions chained off the fact side: each join is sized on its own table, so
+        # Spark's broadcast threshold decides per dimension (no product-of-sizes estimate)
+        lines = (self._lines
+                 .join(self.table("supplier").select("s_suppkey", "s_nationkey"),
+                       F.col("l_suppkey") == F.col("s_suppkey"), "left")
+                 .join(self.table("nation").select("n_nationkey", "n_regionkey"),
+                       F.col("s_nationkey") == F.col("n_nationkey"), "left")
+                 .join(self.table("region").select("r_regionkey",
+                                                   F.col("r_name").alias("meta_client_geo_continent_code")),
+                       F.col("n_regionkey") == F.col("r_regionkey"), "left"))
+        df = (lines
               .select(F.expr("timestampadd(MINUTE, l_linenumber, l_shipdate)").alias("event_date_time"),
                       *self._order_tx_columns(),
                       (F.length("o_orderpriority") * 10).cast("bigint").alias("size"),
@@ -339,8 +372,7 @@ class Fixture:
             order[3].alias("nonce"), order[5].alias("gas"), order[4].alias("gasprice"),
             order[6].alias("value"), order[2].alias("toaddress"), order[1].alias("fromaddress"),
             F.col("o_custkey").alias("datasize"),
-            F.when(F.col("o_orderstatus") != "F",
-                   F.concat(F.lit("0x"), F.substring(F.md5(F.col("o_orderpriority")), 1, 8))).alias("data4bytes"),
+            F.when(F.col("o_orderstatus") != "F", F.col("tx_4bytes")).alias("data4bytes"),
             F.when(F.col("l_suppkey") % 10 == 0, "goerli").otherwise("main").alias("network"),
             order[7].alias("type"),
             F.round(F.col("l_tax") * 100).cast("decimal(38,0)").alias("maxpriorityfeepergas"),
@@ -366,7 +398,7 @@ class Fixture:
             F.when(F.col("o_orderstatus") == "F", F.round(F.col("o_totalprice") * 2)
                    .cast("decimal(38,0)")).alias("gas_fee_cap"),
             (F.length("o_orderpriority") * 100).cast("bigint").alias("data_size"),
-            F.concat(F.lit("0x"), F.substring(F.md5(F.col("o_orderpriority")), 1, 8)).alias("data_4bytes"),
+            F.col("tx_4bytes").alias("data_4bytes"),
             F.split(F.col("o_orderpriority"), "-").alias("sources"),
             F.when(F.col("o_orderstatus") != "O", F.col("o_orderkey").cast("decimal(20,0)"))
              .alias("included_at_block_height"),
@@ -379,7 +411,7 @@ class Fixture:
 
     @cached_property
     def canonical_tx(self) -> DataFrame:
-        o = self.table("orders").filter(F.col("o_orderstatus") == "F")
+        o = self._orders_tx.filter(F.col("o_orderstatus") == "F")
         slot = F.expr(f"timestampdiff(SECOND, {EPOCH0}, o_orderdate) div {TX_SLOT_SECONDS}")
         o = o.withColumn("slot", slot).withColumn("epoch", F.expr("slot div 32"))
         copies = []

@@ -55,3 +55,32 @@ def windowed(df: DataFrame, source_name: str, window: RunWindow | None,
         return df
     col = time_col or source(source_name).time_col
     return df.filter(in_window(F.col(col), window, grace))
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (file sizes for scans), or None if unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    except Exception:  # noqa: BLE001 - estimate is advisory
+        return None
+
+
+def spread_if_unsplit(df: DataFrame, parallelism: int | None = None,
+                      min_bytes: int = 8 << 20) -> DataFrame:
+    """Spread an input that the scan cannot split across the cluster's cores.
+
+    Parquet splits at row-group boundaries, so a file written as one row group is read
+    by one task, and everything fused into that scan stage (projections, digests,
+    broadcast joins, partial aggregation) runs single-threaded.  When the scan yields fewer
+    splits than ``parallelism`` (default: the session's default parallelism) and is large
+    enough to be worth a shuffle (``min_bytes`` by Catalyst's estimate), one round-robin
+    repartition fans the rows out.  A normally laid-out large table already has more splits
+    than cores and is returned unchanged: no extra shuffle at scale.
+    """
+    target = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = estimated_bytes(df)
+    if size is not None and size < min_bytes:
+        return df
+    return df.repartition(target)

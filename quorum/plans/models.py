@@ -186,15 +186,16 @@ def offline_attesting_validators(src: Sources, window: RunWindow, run_ts,
                                  range_width: int = 64) -> DataFrame:
     """Expected members never seen in their slot, counted by nearest class."""
     keys = ["slot", "slot_start_date_time", "meta_network_name"]
+    on = ["slot", "validator_index", "meta_network_name"]
     committees = _scan(src, COMMITTEE, window, grace) \
         .filter(F.col("meta_network_name") == network)
     # sentries repeat committee rows: dedupe the lists before exploding them
     expected = explode_members(committees.select(*keys, "validators").distinct(), keys,
                                "validators", "validator_index", distinct=True)
-    seen = distinct_rows(_scan(src, ATT, window, grace)
-                         .filter(F.col("meta_network_name") == network),
-                         [*keys, F.col("attesting_validator_index").alias("validator_index")])
-    missing = missing_members(expected, seen, ["slot", "validator_index", "meta_network_name"])
+    seen = (_scan(src, ATT, window, grace).filter(F.col("meta_network_name") == network)
+            .select("slot", F.col("attesting_validator_index").alias("validator_index"),
+                    "meta_network_name").distinct())
+    missing = missing_members(expected, seen, on)
     return _label_by_nearest_class(src, missing, run_ts, range_width)
 
 

@@ -31,7 +31,8 @@ def main() -> None:
     from quorum.plans.queries import QUERIES
     from quorum.session import build_session
 
-    spark = build_session(f"local[{cpus}]", app="quorum-bench", shuffle_partitions=cpus * 4,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 4)))
+    spark = build_session(f"local[{cpus}]", app="quorum-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g"),
                                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m"})
     times: dict[str, float] = {}

@@ -20,6 +20,20 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from bench import HEADLINE  # noqa: E402
 
 
+def _lines(path: str):
+    """Event-log lines of a plain or zstd-compressed (rolling) event-log file."""
+    if path.endswith(".zstd"):
+        import io
+
+        import zstandard
+        with open(path, "rb") as fh:
+            reader = zstandard.ZstdDecompressor().stream_reader(fh, read_across_frames=True)
+            yield from io.TextIOWrapper(reader, encoding="utf-8")
+    else:
+        with open(path, encoding="utf-8") as fh:
+            yield from fh
+
+
 def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.1"
@@ -40,21 +54,24 @@ def main():
         rows[name] = {"rows": n, "sec_incl_count": round(time.perf_counter() - t0, 2)}
     spark.stop()
     stage_group, written, peak = {}, {}, {}
-    for path in glob.glob(os.path.join(log_dir, "*")):
-        with open(path) as fh:
-            for line in fh:
-                ev = json.loads(line)
-                kind = ev.get("Event")
-                if kind == "SparkListenerJobStart":
-                    g = (ev.get("Properties") or {}).get("spark.jobGroup.id")
-                    for sid in ev.get("Stage IDs", []):
-                        stage_group[sid] = g
-                elif kind == "SparkListenerTaskEnd":
-                    g = stage_group.get(ev.get("Stage ID"))
-                    m = ev.get("Task Metrics") or {}
-                    sw = (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
-                    written[g] = written.get(g, 0) + sw
-                    peak[g] = max(peak.get(g, 0), m.get("Peak Execution Memory", 0))
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith(("appstatus", ".")):
+            continue
+        for line in _lines(path):
+            if not line.strip():
+                continue
+            ev = json.loads(line)
+            kind = ev.get("Event")
+            if kind == "SparkListenerJobStart":
+                g = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                for sid in ev.get("Stage IDs", []):
+                    stage_group[sid] = g
+            elif kind == "SparkListenerTaskEnd":
+                g = stage_group.get(ev.get("Stage ID"))
+                m = ev.get("Task Metrics") or {}
+                sw = (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                written[g] = written.get(g, 0) + sw
+                peak[g] = max(peak.get(g, 0), m.get("Peak Execution Memory", 0))
     for name in names:
         rows[name]["shuffle_mb"] = round(written.get(name, 0) / 2**20, 2)
         rows[name]["peak_task_exec_mem_mb"] = round(peak.get(name, 0) / 2**20, 2)

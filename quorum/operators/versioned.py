@@ -8,9 +8,9 @@ version with the greatest version columns.  Three pieces:
   so the plan is a hash aggregate with map-side partial aggregation: a hot key costs one
   partial row per map task, never a whole group in one task.
 * ``append`` -- the sink: rows hashed by key into files (layout only), sorted by the
-  storage key inside each file (row-group min/max skipping), appended as a new ``run_id``
-  partition so a re-run never touches older files and a failed run leaves nothing
-  visible that ``read_current`` would not also supersede.
+  storage key inside each file (row-group min/max skipping), written as the run's own
+  ``run_id=<id>`` folder: other runs' files are never touched, a retried run replaces its
+  own partial output, and whatever a failed run left is superseded on read.
 * ``read_current`` / ``compact`` -- read with latest-version semantics; compaction writes
   the current rows as a new table version (readers switch paths; nothing is rewritten in
   place, so a lost executor mid-compaction cannot corrupt the live table).
@@ -53,11 +53,13 @@ def append(df: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str]
            run_id: str | None = None, files: int | None = None) -> str:
     """Append ``df`` as one new run partition of the table at ``path``; returns the run id."""
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    out = df.withColumn("run_id", F.lit(run_id))
-    out = out.repartition(files, *key) if files else out.repartition(*key)
+    out = df.repartition(files, *key) if files else df.repartition(*key)
     if order_by:
         out = out.sortWithinPartitions(*order_by)
-    out.write.mode("append").partitionBy("run_id").parquet(path)
+    # each run owns its folder: a retried run replaces its own partial output, concurrent
+    # writers never share a committer's working folder, and an empty run still leaves a
+    # schema-bearing file so the table stays readable
+    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
     return run_id
 
 
@@ -83,3 +85,17 @@ def compact(spark: SparkSession, path: str, target: str, key: Sequence[str],
     current = read_current(spark, path, key, version)
     append(current, target, key, order_by, run_id="compacted")
     return target
+
+
+def compact_bucketed(spark: SparkSession, path: str, table: str, key: Sequence[str],
+                     buckets: int, version: Sequence[str] = ("updated_at",),
+                     order_by: Sequence[str] = ()) -> str:
+    """Write the current rows of ``path`` as a catalog table bucketed (and sorted) by the
+    key.  Later latest-version reads and joins on the key need no shuffle: the scan
+    already delivers rows hash-partitioned by it."""
+    current = read_current(spark, path, key, version)
+    w = current.write.mode("overwrite").format("parquet").bucketBy(buckets, *key)
+    if order_by:
+        w = w.sortBy(*order_by)
+    w.saveAsTable(table)
+    return table

@@ -224,10 +224,24 @@ def attestation_nearest_client(src: Sources, window: RunWindow, run_ts,
 
 
 # ---- M8 - M12 ---------------------------------------------------------------------------
+def _touched_in_full(src: Sources, name: str, window: RunWindow | None, pred) -> DataFrame:
+    """Q10 ``merge=True``: every row (any time) of the hashes the window touched, so a
+    rollup is never split by a window edge.  One semi join on the hash."""
+    base = src.get(name).filter(pred)
+    if window is None:
+        return base
+    touched = _scan(src, name, window, None).filter(pred).select("hash").distinct()
+    return base.join(touched, "hash", "left_semi")
+
+
 def transaction_xatu_sentries(src: Sources, window: RunWindow, run_ts,
-                              network: str = "mainnet") -> DataFrame:
-    df = _scan(src, "mempool_transaction", window, None) \
-        .filter(F.col("meta_network_name") == network)
+                              network: str = "mainnet", merge: bool = False) -> DataFrame:
+    """Sighting rollup per transaction.  The source system cuts rollups at window edges
+    (a hash seen in two windows gets two partial rows, the newer replacing the older);
+    ``merge=True`` recomputes touched hashes from the whole table instead."""
+    pred = F.col("meta_network_name") == network
+    df = (_touched_in_full(src, "mempool_transaction", window, pred) if merge
+          else _scan(src, "mempool_transaction", window, None).filter(pred))
     keys = ["hash", F.col("meta_network_name").alias("network"), "from", "to", "nonce",
             "gas_price", "gas", "value", "type", "size", "call_data_size"]
     # exact distinct count of observers as the size of their set: the observer domain is
@@ -244,9 +258,11 @@ def transaction_xatu_sentries(src: Sources, window: RunWindow, run_ts,
 
 
 def transaction_block_native(src: Sources, window: RunWindow, run_ts,
-                             network: str = "main") -> DataFrame:
-    df = _scan(src, "block_native_mempool_transaction", window, None) \
-        .filter(F.col("network") == network)
+                             network: str = "main", merge: bool = False) -> DataFrame:
+    """Lifecycle rollup per transaction; ``merge`` as for the sighting rollup."""
+    pred = F.col("network") == network
+    df = (_touched_in_full(src, "block_native_mempool_transaction", window, pred) if merge
+          else _scan(src, "block_native_mempool_transaction", window, None).filter(pred))
     keys = ["hash", "nonce", "gas", F.col("gasprice").alias("gas_price"), "value",
             F.col("toaddress").alias("to"), F.col("fromaddress").alias("from"),
             F.col("datasize").alias("call_data_size"),

@@ -31,11 +31,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_meta(spark: SparkSession, meta_path: str) -> DataFrame:
+    """All commit rows under ``meta_path`` (one folder per model and run)."""
     if _exists(spark, meta_path):
-        return spark.read.schema(META_DDL).parquet(meta_path)
+        return (spark.read.schema(META_DDL).option("recursiveFileLookup", "true")
+                .parquet(meta_path))
     return empty_meta(spark)
 
 
+def _run_id(now) -> str:
+    return str(now).replace(" ", "T").replace(":", "")
+
+
+def write_commit(windows: DataFrame, now, meta_path: str, model: str) -> None:
+    """Append a commit as its own folder: concurrent runs of different models never share
+    an output committer's working folder."""
+    commit_rows(windows, now).coalesce(1).write.mode("overwrite") \
+        .parquet(os.path.join(meta_path, model, _run_id(now)))
+
+
 def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_path: str,
               meta_path: str, now, interval: str | None = None,
               read_cap: str | None = None, **options) -> tuple[RunWindow, dt.datetime]:
@@ -48,9 +61,8 @@ def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_p
     row = windows.first()
     window = RunWindow(row["start_time"], row["end_time"])
     out = m.build(sources, window, now, **options)
-    append(out, table_path, key=m.shard, order_by=m.key,
-           run_id=str(now).replace(" ", "T").replace(":", ""))
-    commit_rows(windows, now).write.mode("append").parquet(meta_path)
+    append(out, table_path, key=m.shard, order_by=m.key, run_id=_run_id(now))
+    write_commit(windows, now, meta_path, m.name)
     return window, row["next_last_run"]
 
 
@@ -63,3 +75,33 @@ def replay(spark: SparkSession, model: Model | str, sources: Sources, root: str,
     for now in nows:
         run_model(spark, m, sources, table_path, meta_path, now, interval, read_cap, **options)
     return read_current(spark, table_path, key=m.key, version=("updated_at",))
+
+
+def run_models(spark: SparkSession, models, sources: Sources, root: str, now,
+               threads: int = 4, read_cap: str | None = None) -> dict:
+    """Run several independent models concurrently (the source system runs 4 at a time).
+
+    Each model's actions are submitted from its own driver thread into its own scheduler
+    pool (``spark.scheduler.pool``), so with ``spark.scheduler.mode=FAIR`` a long model
+    cannot starve the others; Spark interleaves their stages on the same executors.
+    Returns {model: (window, committed)}; a failing model does not stop the others and
+    is reported as its exception.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = [m if isinstance(m, str) else m.name for m in models]
+    meta_path = os.path.join(root, "model_metadata")
+
+    def one(name: str):
+        sc = spark.sparkContext
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return run_model(spark, name, sources, os.path.join(root, name), meta_path, now,
+                             read_cap=read_cap)
+        except Exception as e:  # noqa: BLE001 - reported per model
+            return e
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return dict(zip(names, pool.map(one, names)))

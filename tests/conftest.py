@@ -12,7 +12,9 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from quorum.session import build_session
-    s = build_session("local[4]", app="quorum-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="quorum-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="quorum-wh-"),
+                             "spark.scheduler.mode": "FAIR"})
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="quorum-test-ckpt-")
         s.conf.set("spark.checkpoint.dir", d)

@@ -432,4 +432,64 @@ FROM (SELECT coalesce(e.slot, g.slot) AS slot, coalesce(e.epoch, g.epoch) AS epo
 FULL JOIN c ON eg.slot = c.slot AND eg.epoch = c.epoch AND eg.network = c.network
 """
 
+def _checks(source: str, cte: str, cols: list[tuple[str, str, str]]) -> str:
+    parts = []
+    for col, rule, bad in cols:
+        parts.append(f"SELECT '{col}' AS \"column\", '{rule}' AS rule, count(*) AS checked, "
+                     f"CAST(count(*) FILTER (WHERE {bad}) AS BIGINT) AS violations, "
+                     f"'{source}' AS source FROM {cte}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _hex(col: str, digits: int) -> str:
+    return f"{col} IS NOT NULL AND NOT regexp_full_match({col}, '0x[0-9a-f]{{{digits}}}')"
+
+
+def _neg(col: str) -> str:
+    return f"{col} IS NOT NULL AND {col} < 0"
+
+
+Q["source_checks"] = _prefix("mempool", "block_native", "dumpster") + "\n" + "\nUNION ALL\n".join([
+    _checks("mempool_transaction", "mempool", [
+        ("hash", "hash_hex_64", _hex("hash", 64)),
+        ("from", "address_hex_40", _hex('"from"', 40)),
+        ("to", "address_hex_40", _hex('"to"', 40)),
+        ("gas_price", "uint128_range", _neg("gas_price")),
+        ("value", "uint128_range", _neg("value"))]),
+    _checks("block_native_mempool_transaction", "block_native", [
+        ("hash", "hash_hex_64", _hex("hash", 64)),
+        ("gasprice", "uint128_range", _neg("gasprice")),
+        ("value", "uint128_range", _neg("value")),
+        ("toaddress", "address_hex_40", _hex("toaddress", 40)),
+        ("fromaddress", "address_hex_40", _hex("fromaddress", 40)),
+        ("data4bytes", "selector_hex_8", _hex("data4bytes", 8)),
+        ("maxpriorityfeepergas", "uint128_range", _neg("maxpriorityfeepergas")),
+        ("maxfeepergas", "uint128_range", _neg("maxfeepergas")),
+        ("basefeepergas", "uint128_range", _neg("basefeepergas"))]),
+    _checks("mempool_dumpster_transaction", "dumpster", [
+        ("hash", "hash_hex_64", _hex("hash", 64)),
+        ("from", "address_hex_40", _hex('"from"', 40)),
+        ("to", "address_hex_40", _hex('"to"', 40)),
+        ("value", "uint128_range", _neg("value")),
+        ("gas_price", "uint128_range", _neg("gas_price")),
+        ("gas_tip_cap", "uint128_range", _neg("gas_tip_cap")),
+        ("gas_fee_cap", "uint128_range", _neg("gas_fee_cap")),
+        ("data_4bytes", "selector_hex_8", _hex("data_4bytes", 8))]),
+])
+
+Q["tx_sightings_merged"] = with_ctes(f"""
+SELECT hash, {RUN_TS} AS updated_at, meta_network_name AS network, "from", "to", nonce,
+       gas_price, gas, value, type, size, call_data_size,
+       count(DISTINCT meta_client_name) AS total_seen_by_sentries,
+       {set_str("meta_client_geo_continent_code")} AS seen_continents,
+       min(event_date_time) AS first_seen_at
+FROM mempool
+WHERE meta_network_name = 'mainnet'
+  AND hash IN (SELECT hash FROM mempool WHERE meta_network_name = 'mainnet'
+               AND event_date_time BETWEEN TIMESTAMP '1997-01-01 00:00:00'
+                                       AND TIMESTAMP '1997-12-31 23:59:59')
+GROUP BY hash, meta_network_name, "from", "to", nonce, gas_price, gas, value, type, size,
+         call_data_size
+""", "mempool")
+
 ORACLE_SQL = dict(Q)

@@ -212,6 +212,24 @@ def other_roots_q(spark, sf_dir):
     return out.select(*keys, "canonical", set_string(other_roots("roots", "canonical")).alias("other_roots"))
 
 
+def source_checks(spark, sf_dir):
+    """Format rules of the transaction sources (hex widths, 128-bit range), counted."""
+    from quorum.sources.checks import violations
+    fx = _fx(spark, sf_dir)
+    parts = [violations(fx.get(n), n).withColumn("source", F.lit(n)) for n in
+             ("mempool_transaction", "block_native_mempool_transaction",
+              "mempool_dumpster_transaction")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def tx_sightings_merged(spark, sf_dir):
+    """M8 for the run window of 1997 with ``merge=True``: every hash seen in the window,
+    rolled up over all of its sightings (not cut at the window edges)."""
+    window = RunWindow.of("1997-01-01 00:00:00", "1997-12-31 23:59:59")
+    return _render_sets(M.transaction_xatu_sentries(_fx(spark, sf_dir), window, RUN_TS, merge=True),
+                        "seen_continents")
+
+
 def outer_chain_q(spark, sf_dir):
     """Per (slot, epoch, network): sightings per source, chained by full outer joins on
     the coalesced key (inputs unique per key, so no row is paired twice)."""
@@ -310,6 +328,8 @@ QUERIES: dict[str, Query] = {
     "explode_members": explode_members_q,
     "other_roots": other_roots_q,
     "outer_chain": outer_chain_q,
+    "source_checks": source_checks,
+    "tx_sightings_merged": tx_sightings_merged,
     "merge_partial_sums": merge_partial_sums_q,
     "surrogate_key": surrogate_key_q,
     "slot_tumbling": slot_tumbling,

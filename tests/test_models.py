@@ -209,3 +209,14 @@ def test_first_per_group_aggregate_equals_row_number(spark):
     x = sorted(tuple(r) for r in first_per_group(a, *args).collect())
     y = sorted(tuple(r) for r in first_per_group_ranked(a, *args).collect())
     assert x == y and len(x) > 100
+
+
+def test_zero_expected_members_gives_null_rate(spark):
+    att = frame(spark, "slot long, slot_start_date_time timestamp_ntz, attesting_validator_index long, "
+                       "meta_network_name string", [(1, T0, 1, "m")])
+    com = frame(spark, "slot long, slot_start_date_time timestamp_ntz, committee_index string, "
+                       "validators array<long>, meta_network_name string", [(1, T0, "0", [], "m")])
+    src = FrameSources({"beacon_api_eth_v1_events_attestation": att,
+                        "beacon_api_eth_v1_beacon_committee": com})
+    r = M.network_participation(src, ALL, RUN).first()
+    assert (r.attesting_validators, r.total_validators, r.participation_rate) == (1, 0, None)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,19 +24,16 @@ from quorum.plans.tables import Sources
 from quorum.sources.scan import RunWindow
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def read_meta(spark: SparkSession, meta_path: str) -> DataFrame:
-    """All commit rows under ``meta_path`` (one folder per model and run)."""
-    if _exists(spark, meta_path):
+    """All commit rows under ``meta_path`` (one folder per model and run); empty when the
+    table does not exist yet."""
+    try:
         return (spark.read.schema(META_DDL).option("recursiveFileLookup", "true")
                 .parquet(meta_path))
-    return empty_meta(spark)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return empty_meta(spark)
+        raise
 
 
 def _run_id(now) -> str:
@@ -92,16 +90,21 @@ def run_models(spark: SparkSession, models, sources: Sources, root: str, now,
     names = [m if isinstance(m, str) else m.name for m in models]
     meta_path = os.path.join(root, "model_metadata")
 
+    def use_pool(name):
+        try:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            pass
+
     def one(name: str):
-        sc = spark.sparkContext
-        sc.setLocalProperty("spark.scheduler.pool", name)
+        use_pool(name)
         try:
             return run_model(spark, name, sources, os.path.join(root, name), meta_path, now,
                              read_cap=read_cap)
         except Exception as e:  # noqa: BLE001 - reported per model
             return e
         finally:
-            sc.setLocalProperty("spark.scheduler.pool", None)
+            use_pool(None)
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         return dict(zip(names, pool.map(one, names)))

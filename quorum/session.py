@@ -48,17 +48,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when nothing is configured (local tests) a private temporary folder is created and
     registered, so later calls in the same session agree on it.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
+        if current and sc is not None:
             sc.setCheckpointDir(current)
     if not current:
         current = tempfile.mkdtemp(prefix="quorum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
     return current
 
 

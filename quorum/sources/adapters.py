@@ -202,10 +202,13 @@ class Fixture:
         full = slots.join(members, keys)
         cols = ["slot", "slot_start_date_time", "epoch", "epoch_start_date_time",
                 "committee_index", "meta_network_name"]
-        s1 = full.select(*cols, "validators", F.lit("sentry-1").alias("meta_client_name"))
-        s2 = full.select(*cols, F.expr("slice(validators, 2, size(validators) - 1)").alias("validators"),
-                         F.lit("sentry-2").alias("meta_client_name"))
-        return conform(s1.unionByName(s2), "beacon_api_eth_v1_beacon_committee")
+        # both sentries' rows from one pass over the join
+        reports = F.array(
+            F.struct(F.lit("sentry-1").alias("meta_client_name"), F.col("validators").alias("v")),
+            F.struct(F.lit("sentry-2").alias("meta_client_name"),
+                     F.expr("slice(validators, 2, size(validators) - 1)").alias("v")))
+        df = full.select(*cols, F.inline(reports)).withColumnRenamed("v", "validators")
+        return conform(df, "beacon_api_eth_v1_beacon_committee")
 
     @cached_property
     def classification(self) -> DataFrame:

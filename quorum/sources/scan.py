@@ -77,8 +77,12 @@ def spread_if_unsplit(df: DataFrame, parallelism: int | None = None,
     repartition fans the rows out.  A normally laid-out large table already has more splits
     than cores and is returned unchanged: no extra shuffle at scale.
     """
-    target = parallelism or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = parallelism or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    if splits >= target:
         return df
     size = estimated_bytes(df)
     if size is not None and size < min_bytes:

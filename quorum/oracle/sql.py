@@ -492,4 +492,6 @@ GROUP BY hash, meta_network_name, "from", "to", nonce, gas_price, gas, value, ty
          call_data_size
 """, "mempool")
 
+Q["stream_first_reporter"] = Q["first_reporter"].replace(f",\n       {RUN_TS} AS updated_at", "")
+
 ORACLE_SQL = dict(Q)

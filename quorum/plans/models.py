@@ -200,13 +200,16 @@ def offline_attesting_validators(src: Sources, window: RunWindow, run_ts,
 
 
 # ---- M7 ---------------------------------------------------------------------------------
-def attestation_nearest_client(src: Sources, window: RunWindow, run_ts,
+def attestation_nearest_client(src: Sources, window: RunWindow | None, run_ts,
                                grace: str = "5 MINUTE", client: str = "teku",
-                               by_network: bool = False) -> DataFrame:
-    """Per (slot start, member) the report with the least propagation delay."""
-    df = _scan(src, ATT, window, grace).filter(
-        F.col("attesting_validator_index").isNotNull()
-        & (F.col("meta_consensus_implementation") == client))
+                               by_network: bool = False, restrict=None) -> DataFrame:
+    """Per (slot start, member) the report with the least propagation delay.
+    ``restrict`` (optional) narrows the reports, e.g. to the keys a stream batch touched."""
+    df = _scan(src, ATT, window, grace)
+    if restrict is not None:
+        df = restrict(df)
+    df = df.filter(F.col("attesting_validator_index").isNotNull()
+                   & (F.col("meta_consensus_implementation") == client))
     group = ["slot_start_date_time", "attesting_validator_index"]
     if by_network:
         group.append("meta_network_name")

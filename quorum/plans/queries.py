@@ -279,30 +279,47 @@ def incremental_replay(spark, sf_dir):
     return out.drop("updated_at")
 
 
-def stream_participation(spark, sf_dir):
-    """M4 driven by a Structured Streaming file source over the events table: each
-    micro-batch recomputes the (slot, network) keys it touched from the base tables."""
+def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label):
+    """Drive a job by a Structured Streaming file source over the events table: each
+    micro-batch recomputes the keys it touched from the base tables, appends the result to
+    a replacing table, and the current rows of that table are returned."""
     fx = _fx(spark, sf_dir)
-    root = scratch_path(spark, "stream_participation")
+    root = scratch_path(spark, label)
     sink, ckpt = os.path.join(root, "out"), os.path.join(root, "checkpoint")
     events = fx.table("events")
     stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
               .parquet(f"{fx.sf_dir}/events*.parquet"))
-    keys = ["slot", "slot_start_date_time", "meta_network_name"]
-    model = M.MODELS["network_participation"]
+    model = M.MODELS[model_name]
 
     def touched(batch):
         return event_base(batch).select(*keys)
 
     def build(restrict, batch_id):
-        return M.network_participation(fx, None, RUN_TS, restrict=restrict) \
-                .withColumn("updated_at", ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id)))
+        return build_restricted(fx, restrict) \
+            .withColumn("updated_at", ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id)))
 
     q = stream_recompute(stream, touched, keys, build, sink, model.shard, ckpt, model.key)
     q.awaitTermination()
     return read_current(spark, sink, key=model.key, version=("updated_at",)).drop("updated_at")
 
 
+def stream_participation(spark, sf_dir):
+    """M4 driven by Structured Streaming; touched keys = (slot, slot start, network)."""
+    return _stream_model(
+        spark, sf_dir, "network_participation",
+        ["slot", "slot_start_date_time", "meta_network_name"],
+        lambda fx, r: M.network_participation(fx, None, RUN_TS, restrict=r),
+        "stream_participation")
+
+
+def stream_first_reporter(spark, sf_dir):
+    """M7 driven by Structured Streaming; touched keys = slot starts (the rank partition)."""
+    return _stream_model(
+        spark, sf_dir, "attestation_nearest_client", ["slot_start_date_time"],
+        lambda fx, r: M.attestation_nearest_client(fx, None, RUN_TS, restrict=r),
+        "stream_first_reporter")
+
+
 QUERIES: dict[str, Query] = {
     "participation_rate": participation_rate,
     "divergence": divergence,
@@ -335,4 +352,5 @@ QUERIES: dict[str, Query] = {
     "slot_tumbling": slot_tumbling,
     "incremental_replay": incremental_replay,
     "stream_participation": stream_participation,
+    "stream_first_reporter": stream_first_reporter,
 }

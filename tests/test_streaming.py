@@ -52,7 +52,9 @@ def test_late_rows_in_a_later_batch(spark):
 
 def test_sliced_replay_equals_one_shot(spark):
     fx = Fixture(spark, SMALL)
-    for name in ("attestation_nearest_client", "attestation_divergence"):
+    for name in ("blocks", "block_blobs", "attestation_divergence", "network_participation",
+                 "attesting_validators", "offline_attesting_validators",
+                 "attestation_nearest_client"):
         root = scratch_path(spark, f"t-replay-{name}")
         # the third run commits only up to Jan 30 (one interval); the fourth catches up
         nows = ["2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-03 00:00:00",

@@ -23,7 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.functions.timefns import format_ts, ntz, parse_ts_or_null, shift
+from quorum.functions.timefns import format_ts, parse_ts_or_null, shift
 from quorum.sources.scan import RunWindow
 
 META_DDL = "model string, updated_date_time timestamp_ntz, last_run_date_time timestamp_ntz"

@@ -87,14 +87,11 @@ def nearest_join(left: DataFrame, right: DataFrame, on: Sequence, left_pos: str,
                           .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
               .filter(F.col("_side") == 1))
 
-    # 2. per (keys, range) summary -> nearest entries in earlier / later ranges
-    occupied = r.groupBy(*keys, "_rng").agg(F.max("_entry").alias("_hi"),
-                                            F.min("_entry").alias("_lo"))
-    wanted = l.select(*keys, "_rng").distinct().withColumn("_need", F.lit(True))
-    summary = (occupied.unionByName(wanted, allowMissingColumns=True)
-               .groupBy(*keys, "_rng")
-               .agg(F.max("_hi").alias("_hi"), F.min("_lo").alias("_lo"),
-                    F.max("_need").alias("_need")))
+    # 2. per (keys, range) summary -> nearest entries in earlier / later ranges; one partial
+    #    aggregation over the tagged union (left rows carry no entry, only the need)
+    summary = (both.groupBy(*keys, "_rng")
+               .agg(F.max("_entry").alias("_hi"), F.min("_entry").alias("_lo"),
+                    F.max(F.col("_side") == 1).alias("_need")))
     ws = Window.partitionBy(*keys).orderBy("_rng")
     summary = (summary
                .withColumn("_prev", F.last("_hi", ignorenulls=True)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ORDERABLE_EXCLUDED = ("map",)
+DAY = "day"  # partition column of day-partitioned replacing tables
 
 
 def _orderable(df: DataFrame, col: str) -> bool:
@@ -50,8 +51,12 @@ def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) ->
 
 
 def append(df: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str] = (),
-           run_id: str | None = None, files: int | None = None) -> str:
-    """Append ``df`` as one new run partition of the table at ``path``; returns the run id."""
+           run_id: str | None = None, files: int | None = None,
+           day_col: str | None = None) -> str:
+    """Write ``df`` as one new run of the table at ``path``; returns the run id.
+
+    With ``day_col`` (a timestamp column of the replacing key) rows are also partitioned
+    by ``day = to_date(day_col)``, so readers restricted to some days prune the others."""
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     out = df.repartition(files, *key) if files else df.repartition(*key)
     if order_by:
@@ -59,31 +64,53 @@ def append(df: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str]
     # each run owns its folder: a retried run replaces its own partial output, concurrent
     # writers never share a committer's working folder, and an empty run still leaves a
     # schema-bearing file so the table stays readable
-    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+    writer = out.withColumn(DAY, F.to_date(day_col)).write.partitionBy(DAY) if day_col else out.write
+    writer.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
     return run_id
 
 
-def read_current(spark: SparkSession, path: str, key: Sequence[str],
-                 version: Sequence[str] = ("updated_at",)) -> DataFrame:
-    """Read a replacing table: latest version per key (the run partition column is dropped)."""
+def _versions(spark: SparkSession, path: str, days=None) -> DataFrame:
     df = spark.read.parquet(path)
-    if "run_id" in df.columns:
-        df = df.drop("run_id")
-    return latest_by_key(df, key, version)
+    if days is not None:
+        if DAY not in df.columns:
+            raise ValueError(f"{path} is not partitioned by day")
+        df = df.filter(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
+    return df.drop("run_id")
+
+
+def read_current(spark: SparkSession, path: str, key: Sequence[str],
+                 version: Sequence[str] = ("updated_at",), days=None) -> DataFrame:
+    """Read a replacing table: latest version per key.  ``days`` (optional) restricts a
+    day-partitioned table before the dedupe -- partition pruning, exact because every
+    version of a key lies in its day."""
+    df = _versions(spark, path, days)
+    return latest_by_key(df.drop(DAY), key, version)
 
 
 def current_rows(table: DataFrame, key: Sequence[str],
                  version: Sequence[str] = ("updated_at",)) -> DataFrame:
     """``read_current`` for a table that is already a DataFrame (e.g. a union of runs)."""
-    return latest_by_key(table.drop("run_id") if "run_id" in table.columns else table,
-                         key, version)
+    return latest_by_key(table.drop("run_id", DAY), key, version)
 
 
 def compact(spark: SparkSession, path: str, target: str, key: Sequence[str],
-            version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = ()) -> str:
-    """Write the current rows of ``path`` as a fresh table at ``target`` (idempotent)."""
-    current = read_current(spark, path, key, version)
-    append(current, target, key, order_by, run_id="compacted")
+            version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = (),
+            days=None) -> str:
+    """Write the current rows of ``path`` as a fresh table at ``target`` (idempotent).
+
+    For a day-partitioned table, ``days`` limits the work to the days touched since the
+    last compaction: only those day partitions of ``target`` are rewritten (dynamic
+    partition overwrite), the others are left as they are."""
+    df = _versions(spark, path, days)
+    if DAY not in df.columns:
+        append(latest_by_key(df, key, version), target, key, order_by, run_id="compacted")
+        return target
+    current = latest_by_key(df, key, version)      # the day travels along with its key
+    out = current.repartition(DAY, *key)
+    if order_by:
+        out = out.sortWithinPartitions(*order_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY).parquet(f"{target.rstrip('/')}/run_id=compacted"))
     return target
 
 

@@ -343,23 +343,24 @@ class Model:
     grace: str | None
     key: tuple[str, ...]          # replacing key (output ORDER BY)
     shard: tuple[str, ...]        # file layout hash key
+    day_col: str | None = None    # key column that fixes the day partition (if any)
 
 
 MODELS: dict[str, Model] = {m.name: m for m in [
     Model("blocks", blocks, "1 MONTH", "1 DAY", ("slot_started_at", "network"),
-          ("slot_started_at", "network")),
+          ("slot_started_at", "network"), "slot_started_at"),
     Model("block_blobs", block_blobs, "1 MONTH", "1 DAY", ("beacon_block_root_hash", "network"),
           ("beacon_block_root_hash", "network")),
     Model("attestation_divergence", attestation_divergence, "1 DAY", "1 HOUR",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",)),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
     Model("network_participation", network_participation, "1 DAY", "1 HOUR",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",)),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
     Model("attesting_validators", attesting_validators, "4 HOUR", "5 MINUTE",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",)),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
     Model("offline_attesting_validators", offline_attesting_validators, "1 HOUR", "5 MINUTE",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",)),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
     Model("attestation_nearest_client", attestation_nearest_client, "1 HOUR", "5 MINUTE",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",)),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
     Model("transaction_xatu_sentries", transaction_xatu_sentries, "1 DAY", None,
           ("hash", "network"), ("hash",)),
     Model("transaction_block_native", transaction_block_native, "1 DAY", None,

@@ -151,7 +151,7 @@ def compact_replacing(spark, sf_dir):
             (RunWindow.of("2024-01-15 00:00:00", "2024-02-01 00:00:00"), "2024-02-02 00:00:00")]
     for window, run_ts in runs:
         append(model.build(fx, window, run_ts), path, key=model.shard, order_by=model.key,
-               run_id=run_ts.replace(" ", "T").replace(":", ""))
+               run_id=run_ts.replace(" ", "T").replace(":", ""), day_col=model.day_col)
     return read_current(spark, path, key=model.key, version=("updated_at",))
 
 
@@ -298,7 +298,8 @@ def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label):
         return build_restricted(fx, restrict) \
             .withColumn("updated_at", ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id)))
 
-    q = stream_recompute(stream, touched, keys, build, sink, model.shard, ckpt, model.key)
+    q = stream_recompute(stream, touched, keys, build, sink, model.shard, ckpt, model.key,
+                         day_col=model.day_col)
     q.awaitTermination()
     return read_current(spark, sink, key=model.key, version=("updated_at",)).drop("updated_at")
 

@@ -59,7 +59,7 @@ def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_p
     row = windows.first()
     window = RunWindow(row["start_time"], row["end_time"])
     out = m.build(sources, window, now, **options)
-    append(out, table_path, key=m.shard, order_by=m.key, run_id=_run_id(now))
+    append(out, table_path, key=m.shard, order_by=m.key, run_id=_run_id(now), day_col=m.day_col)
     write_commit(windows, now, meta_path, m.name)
     return window, row["next_last_run"]
 

@@ -37,13 +37,15 @@ def recompute_touched(touched: DataFrame, keys: Sequence[str],
 
 def stream_recompute(stream: DataFrame, touched_keys: Callable[[DataFrame], DataFrame],
                      keys: Sequence[str], build, sink: str, sink_key: Sequence[str],
-                     checkpoint: str, order_by: Sequence[str] = (), available_now: bool = True):
+                     checkpoint: str, order_by: Sequence[str] = (), available_now: bool = True,
+                     day_col: str | None = None):
     """Drive ``build`` over the keys each micro-batch touches; append to ``sink``."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         touched = touched_keys(batch)
         out = recompute_touched(touched, keys, lambda restrict: build(restrict, batch_id))
-        append(out, sink, key=sink_key, order_by=order_by, run_id=f"batch-{batch_id:08d}")
+        append(out, sink, key=sink_key, order_by=order_by, run_id=f"batch-{batch_id:08d}",
+               day_col=day_col)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer

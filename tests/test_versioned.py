@@ -42,3 +42,29 @@ def test_append_read_current_and_compact(spark):
     again = scratch_path(spark, "t-compact2")
     compact(spark, target, again, ["k"])         # idempotent
     assert {r.k: r.x for r in read_current(spark, again, ["k"]).collect()} == cur
+
+
+def test_day_partitions_prune_and_compact_only_touched_days(spark):
+    import os
+    path = scratch_path(spark, "t-days")
+    d1, d2 = dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)
+    t1, t2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
+    ddl = "slot_started_at timestamp_ntz, k long, x long, updated_at timestamp_ntz"
+    append(spark.createDataFrame([(d1, 1, 10, t1), (d2, 2, 20, t1)], ddl), path,
+           key=["k"], order_by=["slot_started_at", "k"], run_id="r1", day_col="slot_started_at")
+    append(spark.createDataFrame([(d2, 2, 21, t2)], ddl), path,
+           key=["k"], order_by=["slot_started_at", "k"], run_id="r2", day_col="slot_started_at")
+    key = ["slot_started_at", "k"]
+    assert {r.k: r.x for r in read_current(spark, path, key).collect()} == {1: 10, 2: 21}
+    only_d2 = read_current(spark, path, key, days=["2024-01-02"])
+    assert [(r.k, r.x) for r in only_d2.collect()] == [(2, 21)]
+    assert "day" not in only_d2.columns
+    plan = only_d2._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    target = scratch_path(spark, "t-days-compact")
+    compact(spark, path, target, key)                       # full compaction
+    day1 = os.path.join(target, "run_id=compacted", "day=2024-01-01")
+    before = sorted(os.listdir(day1))
+    compact(spark, path, target, key, days=["2024-01-02"])  # touched day only
+    assert sorted(os.listdir(day1)) == before               # day 1 files untouched
+    assert {r.k: r.x for r in read_current(spark, target, key).collect()} == {1: 10, 2: 21}

@@ -34,7 +34,8 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 4)))
     spark = build_session(f"local[{cpus}]", app="quorum-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g"),
-                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m"})
+                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+                                 **json.loads(os.environ.get("BENCH_CONF", "{}"))})
     times: dict[str, float] = {}
     for name in only or HEADLINE:
         q = QUERIES[name]

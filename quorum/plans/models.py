@@ -28,7 +28,7 @@ from quorum.operators.unanimity import CLIENTS, unanimity
 from quorum.operators.versioned import latest_by_key
 from quorum.plans.tables import Sources
 from quorum.sources.catalog import source
-from quorum.sources.scan import RunWindow, in_window, in_window_whole_seconds
+from quorum.sources.scan import RunWindow, day_prune, in_window, in_window_whole_seconds
 
 ATT = "beacon_api_eth_v1_events_attestation"
 COMMITTEE = "beacon_api_eth_v1_beacon_committee"
@@ -49,6 +49,9 @@ def _scan(src: Sources, name: str, window: RunWindow | None, grace: str | None,
     column -- versions of one key never straddle a window edge."""
     df = src.get(name)
     if window is not None:
+        pruned = day_prune(df, window, grace)
+        if pruned is not None:
+            df = df.filter(pruned)
         df = df.filter(in_window(F.col(source(name).time_col), window, grace))
     if final:
         s = source(name)
@@ -291,8 +294,11 @@ def transaction_block_native(src: Sources, window: RunWindow, run_ts,
 
 def transaction_mempool_dumpster(src: Sources, window: RunWindow, run_ts,
                                  chain_id: int = 1) -> DataFrame:
-    df = src.get("mempool_dumpster_transaction").filter(
-        in_window_whole_seconds(F.col("timestamp"), window) & (F.col("chain_id") == chain_id))
+    df = src.get("mempool_dumpster_transaction")
+    pruned = day_prune(df, window, whole_seconds=True)
+    if pruned is not None:
+        df = df.filter(pruned)
+    df = df.filter(in_window_whole_seconds(F.col("timestamp"), window) & (F.col("chain_id") == chain_id))
     cols = ["hash", "from", "to", "value", "nonce", "gas", "gas_price", "gas_tip_cap",
             "gas_fee_cap", "data_size", "data_4bytes", "sources", "included_at_block_height",
             truncate_to_second("included_block_timestamp").alias("included_block_timestamp"),

@@ -42,6 +42,21 @@ def in_window(ts: Column, window: RunWindow, grace: str | None = None) -> Column
     return (ts >= shift(ntz(window.start), grace, -1)) & (ts <= ntz(window.end))
 
 
+DAY = "day"  # partition column of day-partitioned datasets (date of the time column)
+
+
+def day_prune(df: DataFrame, window: RunWindow, grace: str | None = None,
+              whole_seconds: bool = False) -> Column | None:
+    """For a dataset partitioned by ``day`` (the date of its time column), the partition
+    predicate implied by the run window -- lets the reader skip whole day folders."""
+    if DAY not in df.columns:
+        return None
+    lo = F.to_date(shift(ntz(window.start), grace, -1))
+    hi = F.to_date(ntz(window.end) + F.expr("INTERVAL 1 SECOND")) if whole_seconds \
+        else F.to_date(ntz(window.end))
+    return F.col(DAY).between(lo, hi)
+
+
 def in_window_whole_seconds(ts: Column, window: RunWindow) -> Column:
     """trunc_to_second(ts) BETWEEN start AND end, written without a function around the
     column so that it stays pushable: ts >= start AND ts < end + 1 second."""
@@ -54,6 +69,8 @@ def windowed(df: DataFrame, source_name: str, window: RunWindow | None,
     if window is None:
         return df
     col = time_col or source(source_name).time_col
+    pruned = day_prune(df, window, grace)
+    df = df.filter(pruned) if pruned is not None else df
     return df.filter(in_window(F.col(col), window, grace))
 
 

@@ -81,3 +81,18 @@ def test_bucketed_compaction_reads_without_shuffle(spark):
     assert "Exchange" not in plan, plan
     assert cur.count() == 50
     assert cur.filter(F.col("updated_at") == t2).count() == 50
+
+
+def test_day_partitioned_sources_are_pruned(spark):
+    from quorum.plans.tables import write_source
+    fx = Fixture(spark, SMALL)
+    root = scratch_path(spark, "t-day-sources")
+    for name in ("beacon_api_eth_v1_events_attestation", "beacon_api_eth_v1_beacon_committee"):
+        write_source(fx.get(name), root, name)
+    src = ParquetSources(spark, root)
+    assert "day" in src.get("beacon_api_eth_v1_events_attestation").columns
+    w = RunWindow.of("2024-01-10 00:00:00", "2024-01-12 00:00:00")
+    got = M.network_participation(src, w, "2024-02-01 00:00:00")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan, plan
+    assert rows(got) == rows(M.network_participation(fx, w, "2024-02-01 00:00:00"))

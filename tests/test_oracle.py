@@ -23,3 +23,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "participation_rate" in df.columns
+
+
+@pytest.mark.parametrize("name", ["window_scan", "run_window", "run_commit", "slot_tumbling",
+                                  "tx_distinct_external", "participation_rate",
+                                  "reconcile_blocks"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    from quorum.oracle.compare import compare
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        ok, msg = compare(E.queries()[name](spark, SMALL), duck, E.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert ok, msg

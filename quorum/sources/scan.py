@@ -77,13 +77,13 @@ def windowed(df: DataFrame, source_name: str, window: RunWindow | None,
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (file sizes for scans), or None if unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate is advisory
         return None
 
 
 def spread_if_unsplit(df: DataFrame, parallelism: int | None = None,
-                      min_bytes: int = 8 << 20) -> DataFrame:
+                      min_bytes: int = 1 << 20) -> DataFrame:
     """Spread an input that the scan cannot split across the cluster's cores.
 
     Parquet splits at row-group boundaries, so a file written as one row group is read

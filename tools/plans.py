@@ -32,7 +32,37 @@ def summary(df) -> str:
     return s
 
 
+def counts(df) -> Counter:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    c = Counter()
+    for line in plan.splitlines():
+        name = re.sub(r"^[\s:+\-*()0-9]*", "", line).split(" ")[0].split("(")[0]
+        if name in NODES:
+            c[name] += 1
+    return c
+
+
+def markdown(spark, sf_dir, names) -> str:
+    from quorum.plans.queries import QUERIES
+    cols = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "Window",
+            "HashAggregate", "ObjectHashAggregate", "SortAggregate", "Generate", "Union"]
+    out = ["| query | " + " | ".join(cols) + " |", "|---|" + "---|" * len(cols)]
+    for name in names:
+        c = counts(QUERIES[name](spark, sf_dir))
+        out.append(f"| {name} | " + " | ".join(str(c.get(k, 0)) for k in cols) + " |")
+    return "\n".join(out)
+
+
 def main():
+    if "--markdown" in sys.argv:
+        from quorum.plans.queries import QUERIES
+        from quorum.session import build_session
+        spark = build_session("local[8]")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        skip = {"compact_replacing", "incremental_replay", "stream_participation",
+                "stream_first_reporter"}
+        print(markdown(spark, "/root/testdata/sf0.01", [q for q in QUERIES if q not in skip]))
+        return
     args = [a for a in sys.argv[1:] if a != "--full"]
     sf_dir = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)]

@@ -96,3 +96,19 @@ def test_day_partitioned_sources_are_pruned(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan, plan
     assert rows(got) == rows(M.network_participation(fx, w, "2024-02-01 00:00:00"))
+
+
+def test_cli_runs_and_resumes(spark, capsys):
+    from quorum.cli import main
+    from quorum.plans.tables import write_source
+    fx = Fixture(spark, SMALL)
+    root = scratch_path(spark, "t-cli")
+    for name in ("beacon_api_eth_v1_events_attestation", "beacon_api_eth_v1_beacon_committee"):
+        write_source(fx.get(name), os.path.join(root, "sources"), name)
+    args = ["run", "--sources", os.path.join(root, "sources"), "--out", os.path.join(root, "out"),
+            "--models", "network_participation"]
+    assert main(args + ["--now", "2024-01-30 12:00:00"]) == 0
+    assert main(args + ["--now", "2024-01-30 18:00:00"]) == 0
+    out = capsys.readouterr().out
+    assert "read [2024-01-29 12:00:00, 2024-01-30 12:00:00]" in out
+    assert "read [2024-01-30 12:00:00, 2024-01-30 18:00:00]" in out

@@ -20,13 +20,8 @@ NODES = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
 
 def summary(df) -> str:
     plan = df._jdf.queryExecution().executedPlan().toString()
-    counts = Counter()
-    for line in plan.splitlines():
-        name = re.sub(r"^[\s:+\-*()0-9]*", "", line).split(" ")[0].split("(")[0]
-        if name in NODES:
-            counts[name] += 1
     scans = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\].*?PushedFilters: \[([^\]]*)\]", plan)
-    s = ", ".join(f"{k}={v}" for k, v in sorted(counts.items()))
+    s = ", ".join(f"{k}={v}" for k, v in sorted(counts(df).items()))
     for cols, pushed in scans:
         s += f"\n    scan cols={len(cols.split(','))} pushed=[{pushed[:120]}]"
     return s

@@ -494,4 +494,12 @@ GROUP BY hash, meta_network_name, "from", "to", nonce, gas_price, gas, value, ty
 
 Q["stream_first_reporter"] = Q["first_reporter"].replace(f",\n       {RUN_TS} AS updated_at", "")
 
+Q["tx_lifecycle_merged"] = Q["tx_lifecycle"].replace(
+    "FROM block_native WHERE network = 'main'",
+    "FROM block_native WHERE network = 'main'\n"
+    "  AND hash IN (SELECT hash FROM block_native WHERE network = 'main'\n"
+    "               AND detecttime BETWEEN TIMESTAMP '1997-01-01 00:00:00'\n"
+    "                                  AND TIMESTAMP '1997-12-31 23:59:59')")
+assert Q["tx_lifecycle_merged"] != Q["tx_lifecycle"]
+
 ORACLE_SQL = dict(Q)

@@ -230,6 +230,14 @@ def tx_sightings_merged(spark, sf_dir):
                         "seen_continents")
 
 
+def tx_lifecycle_merged(spark, sf_dir):
+    """M9 for the run window of 1997 with ``merge=True`` (whole lifecycles of touched hashes)."""
+    window = RunWindow.of("1997-01-01 00:00:00", "1997-12-31 23:59:59")
+    return _render_sets(M.transaction_block_native(_fx(spark, sf_dir), window, RUN_TS, merge=True),
+                        "statuses", "base_fee_per_gas", "failure_reasons", "drop_reasons",
+                        "rejection_reasons", "seen_regions")
+
+
 def outer_chain_q(spark, sf_dir):
     """Per (slot, epoch, network): sightings per source, chained by full outer joins on
     the coalesced key (inputs unique per key, so no row is paired twice)."""
@@ -348,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "outer_chain": outer_chain_q,
     "source_checks": source_checks,
     "tx_sightings_merged": tx_sightings_merged,
+    "tx_lifecycle_merged": tx_lifecycle_merged,
     "merge_partial_sums": merge_partial_sums_q,
     "surrogate_key": surrogate_key_q,
     "slot_tumbling": slot_tumbling,

@@ -44,9 +44,10 @@ def build_session(master: str = "local[*]", app: str = "quorum",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, sinks of replays and streaming checkpoints.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file system).
-    Only when nothing is configured (local tests) a private temporary folder is created and
-    registered, so later calls in the same session agree on it.
+    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file system), and
+    a session without that setting is an error: a private folder would leave each executor's
+    part of a table on its own disk.  Only a local master, where driver and executors are
+    one process, gets a temporary folder, registered so that later calls agree on it.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +59,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current and sc is not None:
             sc.setCheckpointDir(current)
     if not current:
+        master = spark.conf.get("spark.master", "") or ""
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share (master is {master or 'unknown'})")
         current = tempfile.mkdtemp(prefix="quorum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
         if sc is not None:

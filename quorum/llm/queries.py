@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
+from quorum.llm.suffix_runs import remove_repeats
 
 
 def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +22,13 @@ def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("id", "doc_id")
 
 
+def op4_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of each document without 50-byte strings of earlier documents."""
+    return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False) \
+        .select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
+    "op4_suffix_runs": op4_suffix_runs,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
+from quorum.llm import toxicity_grammar
 from quorum.llm.suffix_runs import remove_repeats
 
 
@@ -28,7 +29,17 @@ def op4_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document by the clause grammar; fold 0 of 5 is held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity_grammar.fit(docs, read(spark, sf_dir, "labels"), toxicity_grammar.held_out("doc", 5, 0))
+    return toxicity_grammar.score(docs, model).select(
+        F.col("id").alias("doc_id"), toxicity_grammar.held_out("id", 5, 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
     "op4_suffix_runs": op4_suffix_runs,
+    "op5_toxicity_grammar": op5_toxicity_grammar,
 }

@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quorum.llm import piece_stream, toxicity_grammar
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
-from quorum.llm import toxicity_grammar
 from quorum.llm.suffix_runs import remove_repeats
 
 
@@ -38,8 +38,15 @@ def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document and whether decoding them gives its text back."""
+    return piece_stream.encode(read(spark, sf_dir, "documents"), piece_stream.load()) \
+        .select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,
+    "op7_piece_stream": op7_piece_stream,
 }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import piece_stream, toxicity_grammar
+from quorum.llm import decontaminate, piece_stream, toxicity_grammar
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.suffix_runs import remove_repeats
@@ -44,9 +44,19 @@ def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that occur in each document, within their edit budgets."""
+    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), (F.size("matches") > 0).alias("contaminated"),
+        F.array_sort(F.array_distinct("matches.item_id")).alias("items"),
+        F.array_min("matches.edits").alias("least_edits"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,
     "op7_piece_stream": op7_piece_stream,
+    "op9_decontaminate": op9_decontaminate,
 }

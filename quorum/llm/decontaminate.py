@@ -107,16 +107,16 @@ class Items:
         return (grams_ * _MUL) >> np.uint64(64 - _TABLE_BITS)
 
     def _dense(self, hits: np.ndarray) -> np.ndarray:
-        keep = np.zeros(len(hits) + 1, dtype=np.int32)
+        keep = np.zeros(len(hits) + 1, dtype=np.int64)
         for need, span in self.density:
             if len(hits) >= need:
                 first = np.flatnonzero(hits[need - 1:] - hits[:len(hits) - need + 1] <= span)
-                np.add.at(keep, first, 1)
-                np.add.at(keep, first + need, -1)
+                if len(first):
+                    keep += np.bincount(first, minlength=len(keep)) - np.bincount(first + need, minlength=len(keep))
         return hits[np.cumsum(keep[:-1]) > 0]
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item id, start, end, edits) of the best occurrence in each band that holds one."""
+        """(item id, start, end, edits): the best occurrence in each run of bands that hold one."""
         if not text or not self.ids:
             return []
         codes, chars = folded(text)
@@ -148,28 +148,37 @@ class Items:
         keys, n = np.unique(np.concatenate([key, key - 1]), return_counts=True)
         item = keys // (2 * stride - low)
         band = keys % (2 * stride - low) + low
-        for i, b in zip(item[n >= self.need[item]], band[n >= self.need[item]], strict=True):
-            found = self._align(chars, int(i), int(b))
+        full = n >= self.need[item]
+        item, band = item[full], band[full]
+        if not len(item):
+            return out
+        cuts = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (band[1:] > band[:-1] + 1), [True]]))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            found = self._align(chars, int(item[a]), int(band[a]), int(band[b - 1]))
             if found is not None:
-                out.append((self.ids[i], *found))
+                out.append((self.ids[item[a]], *found))
         return sorted(set(out), key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
 
-    def _align(self, text: np.ndarray, i: int, band: int) -> tuple[int, int, int] | None:
-        """Best occurrence of item ``i`` on the diagonals of a band, if within its budget.
+    def _align(self, text: np.ndarray, i: int, first: int, last: int) -> tuple[int, int, int] | None:
+        """Best occurrence of item ``i`` on the diagonals of some bands, if within its budget.
 
         Columns are text positions relative to the lowest diagonal.  A cell is
         ``edits * 2**32 + start``, so one minimum carries both.
         """
         item, k = self.chars[i], int(self.edits[i])
         step = 2 * k + 1
-        low, high = band * step - k, band * step + 2 * step - 1 + k
+        low, high = first * step - k, (last + 2) * step - 1 + k
+        a, b = max(0, low), min(len(text), high + len(item))
+        part, same = text[a:b], item.astype(text.dtype)
+        if text.itemsize >= item.itemsize or item.max() < 256:
+            at = part.tobytes().find(same.tobytes())
+            if at >= 0 and at % text.itemsize == 0:
+                return a + at // text.itemsize, a + at // text.itemsize + len(item), 0
         width = high - low + 1
         columns = np.arange(width, dtype=np.int64)
         inf = np.int64(1) << 60
         padded = np.full(len(item) + width, -1, dtype=np.int64)
-        a, b = max(0, low), min(len(text), low + len(padded))
-        if b > a:
-            padded[a - low:b - low] = text[a:b]
+        padded[a - low:b - low] = part
         start = low + columns
         row = np.where((start >= 0) & (start <= len(text)), start, inf)
         for r, c in enumerate(item.astype(np.int64).tolist()):
@@ -207,7 +216,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``(id, text, matches, *carry)`` per row of ``docs``: where benchmark items occur in it.
 
     ``benchmark`` holds (item_id, text).  ``matches`` lists (item_id, start, end, edits) in
-    character positions, the best occurrence of each band, empty for clean rows.
+    character positions, the best occurrence of each run of bands, empty for clean rows.
 
     Defined cases: null, empty or blank items match nothing, nor does a null or empty text;
     items below ``SHORT`` characters must occur without edits; repeated items are reported

@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from quorum.llm.common import batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MEMO = 400_000
+MEMO = 1_000_000
 MEMO_CHARS = 32
+PAIRS = 500_000
 BATCH_ROWS = 512
 SPACE = "▁"
 # Piece kinds and model kinds of the model file format.
@@ -99,7 +100,14 @@ class Model:
         unknown_surface = trainer.get(44, " ⁇ ".encode())
         self.surface = [p.replace(SPACE, " ").encode() if kind == _NORMAL else unknown_surface if kind == _UNKNOWN
                         else bytes([int(p[3:5], 16)]) if kind == _BYTE else b"" for p, _, kind in pieces]
-        self.fits = lru_cache(maxsize=1 << 19)(self._fits)
+        # Pieces by their characters; the empty key holds a piece's id.
+        self.trie: dict = {}
+        for piece, id_ in self.ids.items():
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = id_
+        self.known: dict[int, bool] = {}
 
     def normalized(self, text: str) -> str:
         if self.squeeze:
@@ -123,8 +131,16 @@ class Model:
             parts[where:where + 2] = [parts[where] + parts[where + 1]]
         return parts
 
-    def _fits(self, before: str, piece: str) -> bool:
-        return self.merged(before + piece) == ([before, piece] if before else [piece])
+    def single(self, char: str) -> bool:
+        return "" in self.trie.get(char, ())
+
+    def fits(self, before: int, piece: int) -> bool:
+        """Whether a piece may follow another (-1: a character without a piece, or none)."""
+        if len(self.known) >= PAIRS:
+            self.known.clear()
+        pair = ([self.pieces[before]] if before >= 0 else []) + [self.pieces[piece]]
+        found = self.known[(before + 1) * len(self.pieces) + piece] = self.merged("".join(pair)) == pair
+        return found
 
     @staticmethod
     @lru_cache(maxsize=4)
@@ -136,65 +152,80 @@ class Stream:
     """Feeds characters to the search and gives ids as soon as they are certain.
 
     Position i of ``text`` (what follows the last commit) has the start of its last piece in
-    ``back`` and its score in ``best``.  Only the last ``longest`` positions can be extended.
+    ``back``, that piece in ``last`` and the path's score in ``best``; None: no path yet.
+    Positions below ``done`` have been extended by every piece that starts there.
     """
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.text = ""
-        self.before: str | None = None      # the piece that the last commit ended with
-        self.back, self.best = [0], [0.0]
-        self.most = 0                       # longest text held between two commits
+        self.most = 0           # longest text held between two commits
+        self._reset(-1)
+
+    def _reset(self, before: int) -> None:
+        self.text, self.done = "", 0
+        self.back: list[int | None] = [0]
+        self.last, self.best = [before], [0.0]
 
     def feed(self, text: str) -> list[int]:
         out: list[int] = []
-        for start in range(0, len(text), self.model.longest):
-            self._extend(text[start:start + self.model.longest])
+        longest = self.model.longest
+        if len(self.text) + len(text) <= 2 * longest:
+            self._take(text)
+            return out
+        for start in range(0, len(text), longest):
+            self._take(text[start:start + longest])
+            self._extend(len(self.text) - longest + 1)
             out += self._commit()
         return out
 
     def close(self) -> list[int]:
-        out = path_ids(self.model, self.text, self.back, len(self.text))
-        self.text, self.before, self.back, self.best = "", None, [0], [0.0]
+        self._extend(len(self.text))
+        out = self._path(len(self.text))
+        self._reset(-1)
         return out
 
-    def _extend(self, more: str) -> None:
-        start = len(self.text) + 1
+    def _take(self, more: str) -> None:
         self.text += more
         self.most = max(self.most, len(self.text))
-        step = self._fitting if self.model.kind == _BPE else self._best
-        for end in range(start, len(self.text) + 1):
-            found, score = step(end)
-            self.back.append(found)
-            self.best.append(score)
-
-    def _fitting(self, end: int) -> tuple[int, float]:
-        """BPE: the one last piece that fits the path to its start; else a lone character."""
-        text, ids, fits = self.text, self.model.ids, self.model.fits
-        for start in range(max(0, end - self.model.longest), end):
-            piece = text[start:end]
-            if piece in ids:
-                before = text[self.back[start]:start] if start else self.before
-                if fits(before if before in ids else "", piece):
-                    return start, 0.0
-        return end - 1, 0.0
-
-    def _best(self, end: int) -> tuple[int, float]:
-        """Unigram: the last piece of the best path, the longer one of equals."""
-        text, ids, scores, best = self.text, self.model.ids, self.model.scores, self.best
-        found, top = end - 1, None
-        for start in range(max(0, end - self.model.longest), end):
-            id_ = ids.get(text[start:end])
-            if id_ is not None and (top is None or best[start] + scores[id_] > top):
-                found, top = start, best[start] + scores[id_]
-        if text[end - 1] not in ids and (top is None or best[end - 1] + self.model.least > top):
-            found, top = end - 1, best[end - 1] + self.model.least
-        return found, top
+        self.back += [None] * len(more)
+        self.last += [-1] * len(more)
+        self.best += [0.0] * len(more)
+
+    def _extend(self, stop: int) -> None:
+        model, text, back, last, best = self.model, self.text, self.back, self.last, self.best
+        trie, known, size, end_of_text = model.trie, model.known, len(model.pieces), len(text)
+        bpe, scores = model.kind == _BPE, model.scores
+        for start in range(self.done, stop):
+            if back[start] is None:
+                continue
+            if not model.single(text[start]) and (
+                    back[start + 1] is None or not bpe and best[start] + model.least > best[start + 1]):
+                back[start + 1], last[start + 1], best[start + 1] = start, -1, best[start] + model.least
+            node, end, before = trie, start, (last[start] + 1) * size
+            while end < end_of_text:
+                node = node.get(text[end])
+                if node is None:
+                    break
+                end += 1
+                id_ = node.get("")
+                if id_ is None:
+                    continue
+                if bpe:
+                    # Only one last piece fits, so the first that does is it.
+                    if back[end] is None:
+                        fits = known.get(before + id_)
+                        if fits is None:
+                            fits = model.fits(last[start], id_)
+                        if fits:
+                            back[end], last[end] = start, id_
+                elif back[end] is None or best[start] + scores[id_] > best[end]:
+                    back[end], last[end], best[end] = start, id_, best[start] + scores[id_]
+        self.done = max(self.done, stop)
 
     def _commit(self) -> list[int]:
         """Ids up to the last boundary that the paths to all open positions share."""
-        last = len(self.text)
-        open_ = set(range(max(0, last - self.model.longest + 1), last + 1))
+        open_ = {i for i in range(self.done, min(self.done + self.model.longest, len(self.text) + 1))
+                 if self.back[i] is not None}
         while len(open_) > 1:
             furthest = max(open_)
             open_.remove(furthest)
@@ -202,42 +233,54 @@ class Stream:
         at = open_.pop()
         if not at:
             return []
-        out = path_ids(self.model, self.text, self.back, at)
-        self.before = self.text[self.back[at]:at]
-        base = self.best[at]
-        self.text = self.text[at:]
-        # Positions whose last piece starts before the boundary are no longer extended.
-        self.back = [0, *(b - at for b in self.back[at + 1:])]
+        out, base = self._path(at), self.best[at]
+        self.text, self.done = self.text[at:], self.done - at
+        self.last = self.last[at:]
         self.best = [b - base for b in self.best[at:]]
+        # Positions whose last piece starts before the boundary are no longer extended.
+        self.back = [0, *(None if b is None else b - at for b in self.back[at + 1:])]
         return out
 
-
-def path_ids(model: Model, text: str, back: list, end: int) -> list[int]:
-    """Ids along the path that ends at ``end``; characters without a piece become bytes."""
-    out: list[int] = []
-    unknown = False
-    while end > 0:
-        start = back[end]
-        id_ = model.ids.get(text[start:end])
-        if id_ is not None:
-            out.append(id_)
-        elif model.bytes:
-            out += [model.bytes[b] for b in reversed(text[start:end].encode())]
-        elif not unknown:
-            out.append(model.unknown)
-        unknown = id_ is None
-        end = start
-    return out[::-1]
+    def _path(self, end: int) -> list[int]:
+        """Ids along the path to ``end``; characters without a piece become bytes."""
+        out: list[int] = []
+        unknown = False
+        while end > 0:
+            id_, start = self.last[end], self.back[end]
+            if id_ >= 0:
+                out.append(id_)
+            elif self.model.bytes:
+                out += [self.model.bytes[b] for b in reversed(self.text[start:end].encode())]
+            elif not unknown:
+                out.append(self.model.unknown)
+            unknown = id_ < 0
+            end = start
+        return out[::-1]
 
 
 class Encoder:
+    """Encodes texts; remembers the ids of frequent short stretches, half of them at a time
+    since the last change of halves."""
+
     def __init__(self, model: Model) -> None:
         self.model = model
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _search(self, stretch: str) -> bytes:
         stream = Stream(self.model)
-        return np.array(stream.feed(stretch) + stream.close(), dtype=np.int32).tobytes()
+        ids = stream.feed(stretch) + stream.close()
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def _remembered(self, stretch: str) -> bytes:
+        found = self.older.get(stretch)
+        if found is None:
+            found = self._search(stretch)
+        if len(stretch) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO // 2:
+                self.older, self.memo = self.memo, {}
+            self.memo[stretch] = found
+        return found
 
     def encode(self, text: str | None) -> bytes:
         """The text's ids as little-endian 32-bit integers."""
@@ -246,17 +289,7 @@ class Encoder:
             return b""
         if not self.model.stretches:
             return self._search(text)
-        memo, out = self.memo, []
-        for stretch in _STRETCH.findall(text):
-            found = memo.get(stretch)
-            if found is None:
-                found = self._search(stretch)
-                if len(stretch) <= MEMO_CHARS:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[stretch] = found
-            out.append(found)
-        return b"".join(out)
+        return b"".join([self.memo.get(x) or self._remembered(x) for x in _STRETCH.findall(text)])
 
     @staticmethod
     @lru_cache(maxsize=4)

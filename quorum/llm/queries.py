@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import decontaminate, piece_stream, toxicity_grammar
+from quorum.llm import decontaminate, license_scan, piece_stream, toxicity_grammar
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.suffix_runs import remove_repeats
@@ -53,10 +53,19 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_min("matches.edits").alias("least_edits"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses whose notices each document holds."""
+    return license_scan.scan(read(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.transform("matches", lambda m: m["license"]).alias("licenses"),
+        F.transform("matches", lambda m: m["containment"]).alias("containments"),
+        F.transform("matches", lambda m: m["start"]).alias("first_words"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,
     "op7_piece_stream": op7_piece_stream,
     "op9_decontaminate": op9_decontaminate,
+    "op10_license_scan": op10_license_scan,
 }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import decontaminate, license_scan, piece_stream, toxicity_grammar
+from quorum.llm import decontaminate, license_scan, piece_stream, quality_features, toxicity_grammar
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.suffix_runs import remove_repeats
@@ -44,6 +44,15 @@ def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
+def op8_quality_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document by random Fourier features; fold 1 of 3 is held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality_features.fit(docs, read(spark, sf_dir, "labels"), toxicity_grammar.held_out("doc", 3, 1))
+    return quality_features.score(docs, model).select(
+        F.col("id").alias("doc_id"), toxicity_grammar.held_out("id", 3, 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that occur in each document, within their edit budgets."""
     found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -66,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,
     "op7_piece_stream": op7_piece_stream,
+    "op8_quality_features": op8_quality_features,
     "op9_decontaminate": op9_decontaminate,
     "op10_license_scan": op10_license_scan,
 }

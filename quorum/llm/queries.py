@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import decontaminate, license_scan, piece_stream, quality_features, toxicity_grammar
+from quorum.llm import decontaminate, html_consensus, license_scan, piece_stream, quality_features, toxicity_grammar
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.suffix_runs import remove_repeats
@@ -23,6 +23,12 @@ def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("id", "doc_id")
 
 
+def op3_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page along its host's winning container paths."""
+    return html_consensus.extract(read(spark, sf_dir, "pages")) \
+        .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of each document without 50-byte strings of earlier documents."""
     return remove_repeats(read(spark, sf_dir, "documents"), keep_text=False) \
@@ -72,6 +78,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
+    "op3_html_consensus": op3_html_consensus,
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,
     "op7_piece_stream": op7_piece_stream,

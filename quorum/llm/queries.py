@@ -15,6 +15,7 @@ from quorum.llm import decontaminate, html_consensus, license_scan, piece_stream
 from quorum.llm.common import read
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.suffix_runs import remove_repeats
+from quorum.llm.warc_zip import archived_pages
 
 
 def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumnRenamed("id", "doc_id")
 
 
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's record after writing ZIP-packaged archives and reading them by ranges."""
+    return archived_pages(spark, read(spark, sf_dir, "pages"))
+
+
 def op3_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of each page along its host's winning container paths."""
     return html_consensus.extract(read(spark, sf_dir, "pages")) \
@@ -78,6 +84,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
+    "op2_warc_zip": op2_warc_zip,
     "op3_html_consensus": op3_html_consensus,
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,

@@ -2,4 +2,18 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+_WARC = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p
+), f AS (
+  SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest
+)
+SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN f.first IS NOT NULL AND d.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first IS NOT NULL AND d.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM d LEFT JOIN f ON d.digest = f.digest
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc_zip": _WARC}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quorum.llm import decontaminate, html_consensus, license_scan, piece_stream, quality_features, toxicity_grammar
 from quorum.llm.common import read
+from quorum.llm.embedding_graph import near_vectors
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.suffix_runs import remove_repeats
 from quorum.llm.warc_zip import archived_pages
@@ -50,6 +51,11 @@ def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors at cosine 0.9 by searches of pruned graphs."""
+    return near_vectors(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op7_piece_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document and whether decoding them gives its text back."""
     return piece_stream.encode(read(spark, sf_dir, "documents"), piece_stream.load()) \
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_consensus": op3_html_consensus,
     "op4_suffix_runs": op4_suffix_runs,
     "op5_toxicity_grammar": op5_toxicity_grammar,
+    "op6_embedding_graph": op6_embedding_graph,
     "op7_piece_stream": op7_piece_stream,
     "op8_quality_features": op8_quality_features,
     "op9_decontaminate": op9_decontaminate,

@@ -32,8 +32,12 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
-    spark = (SparkSession.builder.appName("quorum")
-             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+
+    from quorum.session import DEFAULT_CONF
+    builder = SparkSession.builder.appName("quorum")
+    for k, v in DEFAULT_CONF.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     now = args.now or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     results = run_models(spark, args.models.split(","), ParquetSources(spark, args.sources),
                          args.out, now, threads=args.threads, read_cap=args.read_cap)

@@ -24,8 +24,15 @@ def _as_str(c) -> Column:
 
 
 def surrogate_key(*parts) -> Column:
-    """bigint key = first 15 hex digits of md5(part1|part2|...) (NULL parts are skipped)."""
-    joined = F.concat_ws(SEPARATOR, *[_as_str(p) for p in parts])
+    """bigint key = first 15 hex digits of md5(part1|part2|...).
+
+    A NULL part is the marker ``\\N`` and a separator or backslash inside a part is escaped,
+    so no two different rows of parts are joined to one text."""
+    def escaped(p) -> Column:
+        text = F.replace(F.replace(_as_str(p), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
+        return F.coalesce(text, F.lit("\\N"))
+
+    joined = F.concat_ws(SEPARATOR, *[escaped(p) for p in parts])
     return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
 
 

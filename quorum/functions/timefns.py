@@ -41,17 +41,18 @@ def shift(ts: Column, spec: str | None, sign: int = 1) -> Column:
 
 
 def truncate_to_second(c) -> Column:
+    """Without the fraction of a second; no step passes through the session's time zone."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.date_trunc("second", c).cast("timestamp_ntz")
+    return c - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), c) % 1)
 
 
 def format_ts(c) -> Column:
     """Display form 'YYYY-MM-DD HH:MM:SS' (timestamps stay typed everywhere else)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return F.substring(truncate_to_second(c).cast("string"), 1, 19)
 
 
 def parse_ts_or_null(value) -> Column:
     """Best-effort parse of a timestamp text to timestamp_ntz; NULL when unparsable."""
     c = value if isinstance(value, Column) else F.lit(str(value))
-    return F.try_to_timestamp(c).cast("timestamp_ntz")
+    return c.try_cast("timestamp_ntz")

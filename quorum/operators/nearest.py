@@ -60,38 +60,48 @@ def nearest_join(left: DataFrame, right: DataFrame, on: Sequence, left_pos: str,
     values = list(values)
 
     lcols = left.columns
-    l = left.select(*[F.col(f"`{c}`") for c in lcols],
-                    *[F.col(f"`{lk}`").alias(k) for (lk, _), k in zip(pairs, keys)],
-                    F.col(f"`{left_pos}`").cast("bigint").alias("_pos"))
-    l = l.withColumn("_rng", F.floor(F.col("_pos") / F.lit(range_width)).cast("bigint"))
-
-    not_null = F.col(f"`{right_pos}`").isNotNull()
+    # Every row travels as (keys, range, left row or NULL, right entry or NULL).  Both uses
+    # below read all four, so Spark runs the two sides and their exchange once.
+    # A left row with a NULL key or position matches nothing: it travels under NULL keys,
+    # spread over ranges of its own.
+    usable = F.col(f"`{left_pos}`").isNotNull()
+    for lk, _ in pairs:
+        usable = usable & F.col(f"`{lk}`").isNotNull()
+    at = F.col(f"`{left_pos}`").cast("bigint")
+    row = F.struct(at.alias("p"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(lcols)])
+    l = left.select(*[F.when(usable, F.col(f"`{lk}`")).alias(k) for (lk, _), k in zip(pairs, keys)],
+                    F.when(usable, F.floor(at / F.lit(range_width)).cast("bigint"))
+                     .otherwise(F.pmod(F.xxhash64(row), F.lit(1024))).alias("_rng"),
+                    row.alias("_left"))
+    matchable = F.col(f"`{right_pos}`").isNotNull()
     for _, rk in pairs:
-        not_null = not_null & F.col(f"`{rk}`").isNotNull()
-    r = right.filter(not_null).select(
+        matchable = matchable & F.col(f"`{rk}`").isNotNull()
+    at = F.col(f"`{right_pos}`").cast("bigint")
+    r = right.filter(matchable).select(
         *[F.col(f"`{rk}`").alias(k) for (_, rk), k in zip(pairs, keys)],
-        F.col(f"`{right_pos}`").cast("bigint").alias("_pos"),
-        F.struct(F.col(f"`{right_pos}`").cast("bigint").alias("p"),
-                 *[F.col(f"`{v}`").alias(f"x{i}") for i, v in enumerate(values)]).alias("_entry"))
-    r = r.withColumn("_rng", F.floor(F.col("_pos") / F.lit(range_width)).cast("bigint"))
+        F.floor(at / F.lit(range_width)).cast("bigint").alias("_rng"),
+        F.struct(at.alias("p"), *[F.col(f"`{v}`").alias(f"x{i}") for i, v in enumerate(values)]).alias("_entry"))
+    both = (l.withColumn("_entry", F.lit(None).cast(r.schema["_entry"].dataType))
+            .unionByName(r, allowMissingColumns=True)
+            .filter(F.col("_rng").isNotNull())
+            .repartition(*keys, "_rng"))
+    pos = F.coalesce(F.col("_left.p"), F.col("_entry.p"))
+    is_left = F.col("_left").isNotNull()
 
     # 1. inside each (keys, range): running last-before / first-after over one sort
-    side = F.lit(1)
-    both = (r.withColumn("_side", F.lit(0))
-            .unionByName(l.withColumn("_side", side), allowMissingColumns=True))
-    w = Window.partitionBy(*keys, "_rng").orderBy("_pos", "_side", "_entry")
+    w = Window.partitionBy(*keys, "_rng").orderBy(pos, is_left, "_entry")
     within = (both
               .withColumn("_before", F.last("_entry", ignorenulls=True)
                           .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
               .withColumn("_after", F.first("_entry", ignorenulls=True)
                           .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-              .filter(F.col("_side") == 1))
+              .filter(is_left).select(*keys, "_rng", "_left", "_before", "_after"))
 
-    # 2. per (keys, range) summary -> nearest entries in earlier / later ranges; one partial
-    #    aggregation over the tagged union (left rows carry no entry, only the need)
+    # 2. per (keys, range) summary -> nearest entries in earlier / later ranges, from the
+    #    same exchange
     summary = (both.groupBy(*keys, "_rng")
                .agg(F.max("_entry").alias("_hi"), F.min("_entry").alias("_lo"),
-                    F.max(F.col("_side") == 1).alias("_need")))
+                    F.max(is_left).alias("_need")))
     ws = Window.partitionBy(*keys).orderBy("_rng")
     summary = (summary
                .withColumn("_prev", F.last("_hi", ignorenulls=True)
@@ -99,19 +109,22 @@ def nearest_join(left: DataFrame, right: DataFrame, on: Sequence, left_pos: str,
                .withColumn("_next", F.first("_lo", ignorenulls=True)
                            .over(ws.rowsBetween(1, Window.unboundedFollowing)))
                .filter(F.col("_need"))
-               .select(*keys, "_rng", "_prev", "_next"))
+               .select(*[F.col(k).alias(f"{k}s") for k in keys], F.col("_rng").alias("_rngs"), "_prev", "_next"))
 
-    # 3. attach and choose
-    joined = within.join(summary, keys + ["_rng"], "left")
+    # 3. attach (NULL keys meet themselves, so no filter sets the two uses apart) and choose
+    same = F.col("_rng") == F.col("_rngs")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}s"))
+    joined = within.join(summary, same, "left").withColumn("_pos", F.col("_left.p"))
     before = F.coalesce(F.col("_before"), F.col("_prev"))
     after = F.coalesce(F.col("_after"), F.col("_next"))
     d_before = F.col("_pos") - before["p"]
     d_after = after["p"] - F.col("_pos")
     best = F.when(after.isNull() | (before.isNotNull() & (d_before <= d_after)), before).otherwise(after)
-    out = joined.withColumn("_best", best)
+    out = joined.select("_left", "_pos", best.alias("_best"))
     extra = [F.col("_best")[f"x{i}"].alias(v) for i, v in enumerate(values)]
     if distance_col:
         extra.append(F.abs(F.col("_best.p") - F.col("_pos")).alias(distance_col))
     if matched_pos_col:
         extra.append(F.col("_best.p").alias(matched_pos_col))
-    return out.select(*[F.col(f"`{c}`") for c in lcols], *extra)
+    return out.select(*[F.col(f"_left.c{i}").alias(c) for i, c in enumerate(lcols)], *extra)

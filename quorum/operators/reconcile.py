@@ -107,11 +107,6 @@ def precedence_rows(frames: Sequence[tuple[str, DataFrame]], keys: Sequence[str]
         F.col("_cnt").alias("cnt"))
 
 
-def first_non_null(prefixes: Sequence[str], suffix: str) -> Column:
-    """COALESCE(p1_suffix, p2_suffix, ...): first source in precedence order wins."""
-    return F.coalesce(*[F.col(f"{p}_{suffix}") for p in prefixes])
-
-
 def other_roots(arr_col: str, canonical_col: str) -> Column:
     """Sorted distinct roots of a set, minus NULLs and minus the canonical root."""
     return F.array_sort(without(F.col(arr_col), F.col(canonical_col)))

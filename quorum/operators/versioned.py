@@ -4,28 +4,36 @@ A *replacing* table keeps every appended version of a row; readers see, per key,
 version with the greatest version columns.  Three pieces:
 
 * ``latest_by_key`` -- one row per key, greatest version.  Written as a grouped ``max``
-  over a struct (version first, then the remaining columns as a deterministic tie-break),
-  so the plan is a hash aggregate with map-side partial aggregation: a hot key costs one
-  partial row per map task, never a whole group in one task.
-* ``append`` -- the sink: rows hashed by key into files (layout only), sorted by the
-  storage key inside each file (row-group min/max skipping), written as the run's own
-  ``run_id=<id>`` folder: other runs' files are never touched, a retried run replaces its
-  own partial output, and whatever a failed run left is superseded on read.
-* ``read_current`` / ``compact`` -- read with latest-version semantics; compaction writes
-  the current rows as a new table version (readers switch paths; nothing is rewritten in
-  place, so a lost executor mid-compaction cannot corrupt the live table).
+  over a struct (version first, then the remaining columns as a deterministic tie-break).
+  Spark plans it as a sort aggregate with a map-side partial: a hot key costs one partial
+  row per map task, never a whole group in one task.
+* ``append`` -- the sink: rows hashed by (day and) key into files, sorted inside each file
+  by (day and) the storage key (row-group min/max skipping), written as the run's own
+  ``run_id=<id>`` folder: other runs' files are never touched, and a retried run replaces
+  its own partial output.  The table's schema is kept beside the runs, so a table whose
+  runs are all empty is readable.
+* ``read_current`` -- read with latest-version semantics; the version is the version columns
+  and, among equals, the run.  ``compact`` folds all finished runs into a base: it writes
+  their current rows as one new run and then names that run and what it replaces in a marker
+  of its own.  Readers take the newest marker's base and the runs it does not replace, so
+  their cost follows the current rows and the newer runs; nothing is rewritten in place,
+  and a compaction that dies leaves no marker and changes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 _ORDERABLE_EXCLUDED = ("map",)
 DAY = "day"  # partition column of day-partitioned replacing tables
+BASE = "base-"  # prefix of the runs that compaction writes
 
 
 def _orderable(df: DataFrame, col: str) -> bool:
@@ -57,25 +65,81 @@ def append(df: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str]
 
     With ``day_col`` (a timestamp column of the replacing key) rows are also partitioned
     by ``day = to_date(day_col)``, so readers restricted to some days prune the others."""
-    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    out = df.repartition(files, *key) if files else df.repartition(*key)
-    if order_by:
-        out = out.sortWithinPartitions(*order_by)
-    # each run owns its folder: a retried run replaces its own partial output, concurrent
-    # writers never share a committer's working folder, and an empty run still leaves a
-    # schema-bearing file so the table stays readable
-    writer = out.withColumn(DAY, F.to_date(day_col)).write.partitionBy(DAY) if day_col else out.write
-    writer.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+    run_id = run_id or "run-" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    out = df.withColumn(DAY, F.to_date(day_col)) if day_col else df
+    _write_run(out, path, key, order_by, run_id, files)
     return run_id
 
 
+def _write_run(out: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str], run_id: str,
+               files: int | None = None) -> None:
+    lead = [DAY] if DAY in out.columns else []
+    rows = out.repartition(files, *lead, *key) if files else out.repartition(*lead, *key)
+    if order_by:
+        # the partitioned writer needs rows by day: leading with it keeps this sort
+        rows = rows.sortWithinPartitions(*lead, *order_by)
+    root = path.rstrip("/")
+    spark = out.sparkSession
+    spark.createDataFrame([(out.schema.json(),)], "schema string").coalesce(1) \
+        .write.mode("ignore").text(f"{root}/_schema")
+    # each run owns its folder: concurrent writers never share a committer's working folder
+    writer = rows.write.partitionBy(DAY) if lead else rows.write
+    writer.mode("overwrite").parquet(f"{root}/run_id={run_id}")
+
+
+def _schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema kept beside the runs; None for a table that ``append`` did not write."""
+    try:
+        row = spark.read.text(f"{path.rstrip('/')}/_schema").first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return StructType.fromJson(json.loads(row[0])) if row else None
+
+
+def _markers(spark: SparkSession, path: str) -> tuple[str | None, list[str]]:
+    """(base run, runs it replaces) of the newest compaction."""
+    try:
+        rows = spark.read.schema("base string, replaced array<string>") \
+            .parquet(f"{path.rstrip('/')}/_compactions").orderBy(F.desc("base")).limit(1).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None, []
+        raise
+    return (rows[0]["base"], rows[0]["replaced"]) if rows else (None, [])
+
+
 def _versions(spark: SparkSession, path: str, days=None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """Every stored version that counts, with its ``run_id`` (runs compacted away left out)."""
+    schema = _schema(spark, path)
+    reader = spark.read
+    if schema is not None:
+        fields = [f for f in schema.fields if f.name != DAY]
+        parts = [StructField("run_id", StringType())] + [f for f in schema.fields if f.name == DAY]
+        reader = reader.schema(StructType(fields + parts))
+    df = reader.parquet(path)
+    if "run_id" in df.columns:
+        df = df.withColumn("run_id", F.col("run_id").cast("string"))
+        base, replaced = _markers(spark, path)
+        if base:
+            df = df.filter(~F.col("run_id").isin(replaced))
+        # a base that no marker names is left over from a compaction that died
+        df = df.filter(~F.col("run_id").startswith(BASE) | (F.col("run_id") == F.lit(base or "")))
     if days is not None:
         if DAY not in df.columns:
             raise ValueError(f"{path} is not partitioned by day")
         df = df.filter(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
-    return df.drop("run_id")
+    return df
+
+
+def _current(df: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """Latest version per key of ``_versions``; of equal versions the newer run's row (a
+    base is older than every run that it does not replace)."""
+    if "run_id" not in df.columns:
+        return latest_by_key(df, key, version)
+    run = F.when(F.col("run_id").startswith(BASE), F.lit("")).otherwise(F.col("run_id"))
+    return latest_by_key(df.withColumn("run_id", run), key, [*version, "run_id"]).drop("run_id")
 
 
 def read_current(spark: SparkSession, path: str, key: Sequence[str],
@@ -83,8 +147,7 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str],
     """Read a replacing table: latest version per key.  ``days`` (optional) restricts a
     day-partitioned table before the dedupe -- partition pruning, exact because every
     version of a key lies in its day."""
-    df = _versions(spark, path, days)
-    return latest_by_key(df.drop(DAY), key, version)
+    return _current(_versions(spark, path, days).drop(DAY), key, version)
 
 
 def current_rows(table: DataFrame, key: Sequence[str],
@@ -93,25 +156,26 @@ def current_rows(table: DataFrame, key: Sequence[str],
     return latest_by_key(table.drop("run_id", DAY), key, version)
 
 
-def compact(spark: SparkSession, path: str, target: str, key: Sequence[str],
-            version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = (),
-            days=None) -> str:
-    """Write the current rows of ``path`` as a fresh table at ``target`` (idempotent).
-
-    For a day-partitioned table, ``days`` limits the work to the days touched since the
-    last compaction: only those day partitions of ``target`` are rewritten (dynamic
-    partition overwrite), the others are left as they are."""
-    df = _versions(spark, path, days)
-    if DAY not in df.columns:
-        append(latest_by_key(df, key, version), target, key, order_by, run_id="compacted")
-        return target
-    current = latest_by_key(df, key, version)      # the day travels along with its key
-    out = current.repartition(DAY, *key)
-    if order_by:
-        out = out.sortWithinPartitions(*order_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY).parquet(f"{target.rstrip('/')}/run_id=compacted"))
-    return target
+def compact(spark: SparkSession, path: str, key: Sequence[str],
+            version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = ()) -> str | None:
+    """Fold the runs of ``path`` into a base run; returns its id (None: nothing to fold).
+
+    The runs to fold are listed first; runs that finish meanwhile stay as they are and are
+    read beside the base.  Old folders are left for a retention job: readers skip them."""
+    df = _versions(spark, path)
+    if "run_id" not in df.columns:
+        raise ValueError(f"{path} was not written by append")
+    runs = sorted(r["run_id"] for r in df.select("run_id").distinct().collect())
+    if not runs:
+        return None
+    _, replaced = _markers(spark, path)
+    base = BASE + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    rows = _current(df.filter(F.col("run_id").isin(runs)), key, version)
+    _write_run(rows, path, key, order_by, base)
+    gone = sorted({*replaced, *runs})
+    spark.createDataFrame([(base, gone)], "base string, replaced array<string>").coalesce(1) \
+        .write.mode("append").parquet(f"{path.rstrip('/')}/_compactions")
+    return base
 
 
 def compact_bucketed(spark: SparkSession, path: str, table: str, key: Sequence[str],

@@ -21,7 +21,10 @@ def address(prefix: str, k: str) -> str:
 
 def key(*parts: str) -> str:
     """Portable surrogate key: first 15 hex digits of md5 over '|'-joined parts."""
-    joined = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    def escaped(p: str) -> str:
+        return f"coalesce(replace(replace(CAST({p} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')"
+
+    joined = ", ".join(escaped(p) for p in parts)
     return f"CAST('0x' || substr(md5(concat_ws('|', {joined})), 1, 15) AS BIGINT)"
 
 
@@ -103,8 +106,9 @@ _cte("cls_raw", ("base",), """
 SELECT ts AS updated_date_time, slot, slot_start_date_time,
        CASE WHEN event_type = 'signup' THEN '' ELSE upper(meta_consensus_implementation) END
          AS best_guess_single,
-       user_id AS proposer_index, meta_network_name
-FROM base WHERE event_id % 5 = 0
+       CASE WHEN event_id % 5 = 0 THEN user_id ELSE -user_id - 1 END AS proposer_index,
+       meta_network_name
+FROM base
 """)
 
 _cte("cls", ("cls_raw",), """
@@ -116,14 +120,14 @@ QUALIFY row_number() OVER (PARTITION BY slot, proposer_index, meta_network_name
 _cte("event_block", ("base",), f"""
 SELECT ts AS event_date_time, slot, slot_start_date_time, epoch,
        {root("CAST(slot AS VARCHAR) || '/' || variant")} AS block, meta_network_name
-FROM base WHERE event_type IN ('click', 'view') AND slot % 6 <> 0
+FROM base WHERE (CASE WHEN slot % 6 = 0 THEN FALSE WHEN slot % 6 = 3 THEN TRUE ELSE event_type IN ('click', 'view') END)
 """)
 
 _cte("gossip_block", ("base",), f"""
-SELECT event_id AS unique_key, ts AS updated_date_time, slot, slot_start_date_time, epoch,
-       {root("CAST(slot AS VARCHAR) || '/' || CASE WHEN event_id % 13 = 0 THEN 'C' ELSE 'A' END")}
+SELECT event_id AS unique_key, ts + to_days(v.d) AS updated_date_time, slot, slot_start_date_time, epoch,
+       {root("CAST(slot AS VARCHAR) || '/' || CASE WHEN v.d = 0 THEN 'D' WHEN event_id % 13 = 0 THEN 'C' ELSE 'A' END")}
          AS block, meta_network_name
-FROM base WHERE event_type IN ('error', 'purchase') AND slot % 5 <> 0
+FROM base, (VALUES (0), (1)) v(d) WHERE NOT (CASE WHEN slot % 6 = 0 THEN FALSE WHEN slot % 6 = 3 THEN TRUE ELSE event_type IN ('click', 'view') END)
 """)
 
 _cte("gossip_block_final", ("gossip_block",), """
@@ -136,9 +140,9 @@ SELECT s.slot_start_date_time + to_days(v.d) AS updated_date_time, s.slot,
        s.slot_start_date_time, s.epoch, {root("CAST(s.slot AS VARCHAR) || '/A'")} AS block_root,
        v.version AS block_version,
        {state_root(root("CAST(s.slot AS VARCHAR) || '/A'"))} AS state_root, s.meta_network_name
-FROM (SELECT DISTINCT slot, slot_start_date_time, epoch, meta_network_name FROM base
-      WHERE slot % 7 <> 0) s,
+FROM (SELECT DISTINCT slot, slot_start_date_time, epoch, meta_network_name FROM base) s,
      (VALUES (1, 'deneb'), (2, 'electra')) v(d, version)
+WHERE s.slot % 7 <> 0
 """)
 
 _cte("canonical_block_final", ("canonical_block",), """
@@ -147,33 +151,43 @@ QUALIFY row_number() OVER (PARTITION BY slot, block_root, meta_network_name
                            ORDER BY updated_date_time DESC) = 1
 """)
 
-_cte("purchases", ("base",), "SELECT * FROM base WHERE event_type = 'purchase'")
+_cte("purchases", ("base",), "SELECT *, slot % 6 AS part FROM base WHERE event_type = 'purchase'")
+
+
+def _blob_versions(where: str) -> str:
+    """Two versions of each row; the older one has another blob index."""
+    return f"""
+  SELECT p.*, v.latest, ts + to_days(CASE WHEN v.latest THEN 1 ELSE 0 END) AS updated_date_time,
+         CASE WHEN v.latest THEN event_id % 6 ELSE 9 END AS idx
+  FROM purchases p, (VALUES (FALSE), (TRUE)) v(latest) WHERE {where}
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts + to_days(CASE WHEN v.latest THEN 1 ELSE 0 END) DESC) = 1"""
+
 
 _cte("event_blob", ("purchases",), f"""
 SELECT slot, slot_start_date_time, epoch,
        {root("CAST(slot AS VARCHAR) || '/' || variant")} AS block_root,
        CAST(event_id % 6 AS DECIMAL(20, 0)) AS blob_index, meta_network_name
-FROM purchases WHERE slot % 6 <> 0 AND event_id % 2 = 0
+FROM purchases WHERE part IN (0, 1, 4)
 """)
 
 _cte("canonical_blob_final", ("purchases",), f"""
 SELECT slot, slot_start_date_time, epoch, {root("CAST(slot AS VARCHAR) || '/A'")} AS block_root,
-       CAST(event_id % 6 AS DECIMAL(20, 0)) AS blob_index, meta_network_name
-FROM purchases WHERE slot % 7 <> 0
+       CAST(idx AS DECIMAL(20, 0)) AS blob_index, meta_network_name
+FROM ({_blob_versions("part IN (1, 2, 5)")})
 """)
 
 _cte("gossip_blob_final", ("purchases",), f"""
 SELECT slot, slot_start_date_time, epoch,
        {state_root(root("CAST(slot AS VARCHAR) || '/' || variant"))} AS state_root,
-       event_id % 6 AS blob_index, meta_network_name
-FROM purchases WHERE event_id % 3 <> 0
+       idx AS blob_index, meta_network_name
+FROM ({_blob_versions("part IN (2, 3, 4, 5)")})
 """)
 
-_cte("api_block", ("purchases",), f"""
+_cte("api_block", ("base",), f"""
 SELECT slot, {root("CAST(slot AS VARCHAR) || '/' || variant")} AS block_root,
        {state_root(root("CAST(slot AS VARCHAR) || '/' || variant"))} AS state_root,
        meta_network_name
-FROM purchases WHERE slot % 9 <> 0
+FROM base WHERE event_type <> 'purchase' OR slot % 6 <> 3
 """)
 
 # ---- transactions --------------------------------------------------------------------------
@@ -263,7 +277,7 @@ SELECT o_orderdate + to_days(d) AS updated_date_time, slot,
        o_custkey AS position, {_ORDER_TX},
        CAST(length(o_orderpriority) * 10 AS BIGINT) AS size, o_custkey AS call_data_size,
        CASE WHEN o_orderpriority = '5-LOW' THEN 'sepolia' ELSE 'mainnet' END AS meta_network_name
-FROM (SELECT *, epoch_us(o_orderdate) // 12000000 AS slot FROM orders WHERE o_orderstatus = 'F'),
+FROM (SELECT *, epoch_us(o_orderdate) // 12000000 AS slot FROM orders),
      (VALUES (0), (1)) v(d)
 """)
 

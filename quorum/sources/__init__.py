@@ -1,5 +1,5 @@
-from quorum.sources.catalog import SOURCES, Source, conform, read_source, source
-from quorum.sources.scan import RunWindow, in_window, in_window_whole_seconds, windowed
+from quorum.sources.catalog import SOURCES, Source, conform, source
+from quorum.sources.scan import RunWindow, in_window, in_window_whole_seconds
 
-__all__ = ["SOURCES", "Source", "conform", "read_source", "source", "RunWindow", "in_window",
-           "in_window_whole_seconds", "windowed"]
+__all__ = ["SOURCES", "Source", "conform", "source", "RunWindow", "in_window",
+           "in_window_whole_seconds"]

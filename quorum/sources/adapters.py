@@ -52,7 +52,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorum.sources.catalog import conform
-from quorum.sources.scan import spread_if_unsplit
 
 EPOCH0 = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 SLOT_MICROS = 21_600_000_000
@@ -96,14 +95,17 @@ def _client(event_type: Column) -> Column:
     return expr
 
 
+def slot_start(slot: str) -> Column:
+    return F.expr(f"timestampadd(SECOND, {slot} * {SLOT_MICROS // 1_000_000}, {EPOCH0})")
+
+
 def event_base(events: DataFrame) -> DataFrame:
     """Slot, epoch, network, client and root variant of every event row."""
     ev = events.withColumn(
         "slot", F.expr(f"timestampdiff(MICROSECOND, {EPOCH0}, ts) div {SLOT_MICROS}"))
     return ev.select(
         "event_id", "ts", "user_id", "event_type", "value", "slot",
-        F.expr(f"timestampadd(SECOND, slot * {SLOT_MICROS // 1_000_000}, {EPOCH0})")
-         .alias("slot_start_date_time"),
+        slot_start("slot").alias("slot_start_date_time"),
         F.expr(f"slot div {SLOTS_PER_EPOCH}").alias("epoch"),
         F.expr(f"timestampadd(SECOND, (slot div {SLOTS_PER_EPOCH}) * "
                f"{SLOTS_PER_EPOCH * SLOT_MICROS // 1_000_000}, {EPOCH0})")
@@ -119,6 +121,15 @@ def event_base(events: DataFrame) -> DataFrame:
 _SCHEMAS: dict[str, object] = {}
 
 
+def _two_versions(df: DataFrame) -> DataFrame:
+    """Two versions of every row of a replacing source: a first one with other values
+    (``latest`` false), superseded a day later."""
+    versions = F.array(F.struct(F.col("ts").alias("updated_date_time"), F.lit(False).alias("latest")),
+                       F.struct((F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("updated_date_time"),
+                                F.lit(True).alias("latest")))
+    return df.select("*", F.inline(versions))
+
+
 class Fixture:
     """Driver tables under ``sf_dir`` and every source derived from them (all lazy)."""
 
@@ -128,9 +139,6 @@ class Fixture:
         self.sf_dir = sf_dir.rstrip("/")
         self.tables = dict(tables or {})
 
-    # fact tables: spread when their file cannot be split (dimensions stay broadcastable)
-    FACTS = ("events", "orders", "lineitem")
-
     def table(self, name: str) -> DataFrame:
         if name in self.tables:
             return self.tables[name]
@@ -138,7 +146,7 @@ class Fixture:
         schema = _SCHEMAS.get(path)
         df = (self.spark.read.schema(schema) if schema is not None else self.spark.read).parquet(path)
         _SCHEMAS.setdefault(path, df.schema)
-        return spread_if_unsplit(df) if name in self.FACTS else df
+        return df
 
     # ---- event-derived base ----------------------------------------------------------------
     @cached_property
@@ -212,19 +220,31 @@ class Fixture:
 
     @cached_property
     def classification(self) -> DataFrame:
-        df = self.base.filter(F.col("event_id") % 5 == 0).select(
+        # every event classifies a block, one in five its own user's, the others a proposer
+        # that no attesting member is (negative indexes), so nearest proposals stay sparse
+        df = self.base.select(
             F.col("ts").alias("updated_date_time"), F.col("ts").alias("event_date_time"),
             "slot", "slot_start_date_time", "epoch", "epoch_start_date_time",
             F.when(F.col("event_type") == "signup", F.lit(""))
              .otherwise(F.upper("meta_consensus_implementation")).alias("best_guess_single"),
-            F.col("user_id").alias("proposer_index"), "meta_network_name",
+            F.when(F.col("event_id") % 5 == 0, F.col("user_id")).otherwise(-F.col("user_id") - 1)
+             .alias("proposer_index"), "meta_network_name",
         )
         return conform(df, "beacon_block_classification")
 
     # ---- blocks ---------------------------------------------------------------------------
+    def _block_events(self, observer: str) -> DataFrame:
+        """The events that an observer of blocks reports.  Every event is some observer's:
+        clicks and views are the event stream's and the others gossip's, except that one
+        slot in six is seen by gossip alone and another by the event stream alone; and slots
+        that are no multiple of seven are canonical, the others' events stay sightings."""
+        stream = F.col("event_type").isin("click", "view")
+        stream = F.when(F.col("slot") % 6 == 0, False).when(F.col("slot") % 6 == 3, True).otherwise(stream)
+        return self.base.filter(stream if observer == "event_stream" else ~stream)
+
     @cached_property
     def event_block(self) -> DataFrame:
-        df = (self.base.filter(F.col("event_type").isin("click", "view") & (F.col("slot") % 6 != 0))
+        df = (self._block_events("event_stream")
               .select(F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
                       "epoch", "epoch_start_date_time",
                       root_of(_block_key(F.col("variant"))).alias("block"),
@@ -234,18 +254,20 @@ class Fixture:
     @cached_property
     def gossip_block(self) -> DataFrame:
         variant = F.when(F.col("event_id") % 13 == 0, "C").otherwise("A")
-        df = (self.base.filter(F.col("event_type").isin("error", "purchase") & (F.col("slot") % 5 != 0))
-              .select(F.col("event_id").alias("unique_key"), F.col("ts").alias("updated_date_time"),
+        df = (_two_versions(self._block_events("gossip"))
+              .select(F.col("event_id").alias("unique_key"), "updated_date_time",
                       F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
                       "epoch", "epoch_start_date_time",
-                      root_of(_block_key(variant)).alias("block"), "meta_network_name"))
+                      F.when(F.col("latest"), root_of(_block_key(variant))).otherwise(root_of(_block_key(F.lit("D"))))
+                       .alias("block"), "meta_network_name"))
         return conform(df, "libp2p_gossipsub_beacon_block")
 
     @cached_property
     def canonical_block(self) -> DataFrame:
-        slots = (self.base.filter(F.col("slot") % 7 != 0)
+        # a slot that is a multiple of seven has no canonical block: it is a missed slot
+        slots = (self.base
                  .select("slot", "slot_start_date_time", "epoch", "epoch_start_date_time",
-                         "meta_network_name").distinct())
+                         "meta_network_name").distinct().filter(F.col("slot") % 7 != 0))
         root = root_of(_block_key(F.lit("A")))
         versions = []
         for days, version in ((1, "deneb"), (2, "electra")):
@@ -258,13 +280,22 @@ class Fixture:
         return conform(versions[0].unionByName(versions[1]), "canonical_beacon_block")
 
     # ---- blobs ----------------------------------------------------------------------------
-    @cached_property
-    def _purchases(self) -> DataFrame:
-        return self.base.filter(F.col("event_type") == "purchase")
+    def _blob_events(self, observer: str) -> DataFrame:
+        """The events that an observer of blobs reports.  Purchases are dealt by slot so that
+        each precedence case occurs; every event of another kind is a block of the API, so
+        all events are read and none is without an observer."""
+        purchase, rest = F.col("event_type") == "purchase", F.col("slot") % 6
+        chosen = {
+            "event_stream": purchase & rest.isin(0, 1, 4),
+            "canonical": purchase & rest.isin(1, 2, 5),
+            "gossip": purchase & rest.isin(2, 3, 4, 5),
+            "api": ~purchase | ~rest.isin(3),
+        }[observer]
+        return self.base.filter(chosen)
 
     @cached_property
     def event_blob(self) -> DataFrame:
-        df = (self._purchases.filter((F.col("slot") % 6 != 0) & (F.col("event_id") % 2 == 0))
+        df = (self._blob_events("event_stream")
               .select(F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
                       "epoch", "epoch_start_date_time",
                       root_of(_block_key(F.col("variant"))).alias("block_root"),
@@ -273,28 +304,30 @@ class Fixture:
 
     @cached_property
     def canonical_blob(self) -> DataFrame:
-        df = (self._purchases.filter(F.col("slot") % 7 != 0)
-              .select(F.col("event_id").alias("unique_key"), F.col("ts").alias("updated_date_time"),
+        df = (_two_versions(self._blob_events("canonical"))
+              .select(F.col("event_id").alias("unique_key"), "updated_date_time",
                       F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
                       "epoch", "epoch_start_date_time",
                       root_of(_block_key(F.lit("A"))).alias("block_root"),
-                      (F.col("event_id") % 6).alias("blob_index"), "meta_network_name"))
+                      F.when(F.col("latest"), F.col("event_id") % 6).otherwise(F.lit(9)).alias("blob_index"),
+                      "meta_network_name"))
         return conform(df, "canonical_beacon_blob_sidecar")
 
     @cached_property
     def gossip_blob(self) -> DataFrame:
-        df = (self._purchases.filter(F.col("event_id") % 3 != 0)
-              .select(F.col("event_id").alias("unique_key"), F.col("ts").alias("updated_date_time"),
+        df = (_two_versions(self._blob_events("gossip"))
+              .select(F.col("event_id").alias("unique_key"), "updated_date_time",
                       F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
                       "epoch", "epoch_start_date_time",
                       state_root_of(root_of(_block_key(F.col("variant")))).alias("state_root"),
-                      (F.col("event_id") % 6).alias("blob_index"), "meta_network_name"))
+                      F.when(F.col("latest"), F.col("event_id") % 6).otherwise(F.lit(9)).alias("blob_index"),
+                      "meta_network_name"))
         return conform(df, "libp2p_gossipsub_blob_sidecar")
 
     @cached_property
     def api_block(self) -> DataFrame:
         root = root_of(_block_key(F.col("variant")))
-        df = (self._purchases.filter(F.col("slot") % 9 != 0)
+        df = (self._blob_events("api")
               .select(F.col("ts").alias("event_date_time"), "slot", "slot_start_date_time",
                       "epoch", "epoch_start_date_time", root.alias("block_root"),
                       state_root_of(root).alias("state_root"), "meta_network_name"))
@@ -414,7 +447,7 @@ class Fixture:
 
     @cached_property
     def canonical_tx(self) -> DataFrame:
-        o = self._orders_tx.filter(F.col("o_orderstatus") == "F")
+        o = self._orders_tx
         slot = F.expr(f"timestampdiff(SECOND, {EPOCH0}, o_orderdate) div {TX_SLOT_SECONDS}")
         o = o.withColumn("slot", slot).withColumn("epoch", F.expr("slot div 32"))
         copies = []

@@ -99,7 +99,7 @@ SOURCES: dict[str, Source] = {s.name: s for s in [
        "blob_hashes array<string>, blob_sidecars_size bigint, blob_sidecars_empty_size bigint, "
        + META_P2P + ", meta_execution_fork_id_hash string, meta_execution_fork_id_next string, "
        "meta_labels map<string,string>",
-       time_col="event_date_time", read_by=("transaction_xatu_sentries", "transaction_hashes")),
+       time_col="event_date_time", read_by=("transaction_sightings", "transaction_hashes")),
     _S("beacon_api_eth_v2_beacon_block",
        "event_date_time timestamp_ntz, " + SLOT_COLS + ", block_root string, "
        "block_version string, block_total_bytes bigint, block_total_bytes_compressed bigint, "
@@ -309,11 +309,6 @@ def source(name: str) -> Source:
         raise KeyError(f"unknown source {name!r}; known: {sorted(SOURCES)}") from None
 
 
-def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Scan a source's Parquet files with its declared schema (no inference)."""
-    return spark.read.schema(source(name).schema).parquet(path)
-
-
 def conform(df: DataFrame, name: str, strict: bool = False, fill: bool = False) -> DataFrame:
     """Check ``df`` against the declared schema and cast to the declared types.
 

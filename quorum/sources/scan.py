@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.functions.timefns import ntz, shift
-from quorum.sources.catalog import source
 
 
 @dataclass(frozen=True)
@@ -61,47 +60,3 @@ def in_window_whole_seconds(ts: Column, window: RunWindow) -> Column:
     """trunc_to_second(ts) BETWEEN start AND end, written without a function around the
     column so that it stays pushable: ts >= start AND ts < end + 1 second."""
     return (ts >= ntz(window.start)) & (ts < ntz(window.end) + F.expr("INTERVAL 1 SECOND"))
-
-
-def windowed(df: DataFrame, source_name: str, window: RunWindow | None,
-             grace: str | None = None, time_col: str | None = None) -> DataFrame:
-    """Filter a source to a run window on its declared (or the given) time column."""
-    if window is None:
-        return df
-    col = time_col or source(source_name).time_col
-    pruned = day_prune(df, window, grace)
-    df = df.filter(pruned) if pruned is not None else df
-    return df.filter(in_window(F.col(col), window, grace))
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for scans), or None if unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate is advisory
-        return None
-
-
-def spread_if_unsplit(df: DataFrame, parallelism: int | None = None,
-                      min_bytes: int = 1 << 20) -> DataFrame:
-    """Spread an input that the scan cannot split across the cluster's cores.
-
-    Parquet splits at row-group boundaries, so a file written as one row group is read
-    by one task, and everything fused into that scan stage (projections, digests,
-    broadcast joins, partial aggregation) runs single-threaded.  When the scan yields fewer
-    splits than ``parallelism`` (default: the session's default parallelism) and is large
-    enough to be worth a shuffle (``min_bytes`` by Catalyst's estimate), one round-robin
-    repartition fans the rows out.  A normally laid-out large table already has more splits
-    than cores and is returned unchanged: no extra shuffle at scale.
-    """
-    try:
-        target = parallelism or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    if splits >= target:
-        return df
-    size = estimated_bytes(df)
-    if size is not None and size < min_bytes:
-        return df
-    return df.repartition(target)

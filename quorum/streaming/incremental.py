@@ -2,9 +2,10 @@
 
 The jobs' aggregates (exact distinct counts, unions of joins, nearest joins) are not
 incremental-friendly streaming operators, so streams drive *recomputation*: every
-micro-batch names the keys it touched (e.g. (slot, network)), and ``foreachBatch``
-recomputes exactly those keys from the full base tables, then appends the result to the
-replacing output table.  Late rows are therefore never dropped (a late row touches its
+micro-batch names the keys it touched (e.g. (slot, network)) and the span of time they
+cover, and ``foreachBatch`` recomputes exactly those keys from the base tables within that
+span (so day-partitioned bases are pruned), then appends the result to the replacing output
+table.  Late rows are therefore never dropped (a late row touches its
 key again and the newer result supersedes the older one on read), and the stream's
 checkpoint plus the idempotent replacing sink give effectively-once output: a batch that
 is replayed after a failure rewrites the same keys with a newer version.
@@ -15,12 +16,14 @@ with a watermark); the same function is used for batch DataFrames.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorum.operators.versioned import append
+from quorum.sources.scan import RunWindow
 
 
 def recompute_touched(touched: DataFrame, keys: Sequence[str],
@@ -35,15 +38,33 @@ def recompute_touched(touched: DataFrame, keys: Sequence[str],
     return build(restrict)
 
 
+def touched_span(touched: DataFrame, start: str, length: dt.timedelta) -> RunWindow | None:
+    """The window that covers the touched keys' rows: from the least start to the greatest
+    plus ``length`` (one aggregate row); None if nothing was touched."""
+    low, high = touched.agg(F.min(start), F.max(start)).first()
+    return None if low is None else RunWindow(low, high + length)
+
+
 def stream_recompute(stream: DataFrame, touched_keys: Callable[[DataFrame], DataFrame],
                      keys: Sequence[str], build, sink: str, sink_key: Sequence[str],
                      checkpoint: str, order_by: Sequence[str] = (), available_now: bool = True,
-                     day_col: str | None = None):
-    """Drive ``build`` over the keys each micro-batch touches; append to ``sink``."""
+                     day_col: str | None = None, start_col: str = "slot_start_date_time",
+                     length: dt.timedelta = dt.timedelta(days=1),
+                     store: Callable[[DataFrame, int], None] | None = None):
+    """Drive ``build(restrict, window, batch_id)`` over the keys each micro-batch touches;
+    append to ``sink``.
+
+    ``start_col`` is the touched keys' time column and ``length`` how far rows of one key
+    reach beyond it.  ``store`` (optional) adds the batch to the base tables first."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        touched = touched_keys(batch)
-        out = recompute_touched(touched, keys, lambda restrict: build(restrict, batch_id))
+        if store is not None:
+            store(batch, batch_id)
+        touched = touched_keys(batch).distinct()
+        window = touched_span(touched, start_col, length)
+        if window is None:
+            return
+        out = recompute_touched(touched, keys, lambda restrict: build(restrict, window, batch_id))
         append(out, sink, key=sink_key, order_by=order_by, run_id=f"batch-{batch_id:08d}",
                day_col=day_col)
 
@@ -56,12 +77,19 @@ def tumbling_counts(df: DataFrame, ts: str, width: str, keys: Sequence[str] = ()
                     watermark: str | None = None) -> DataFrame:
     """Rows per event-time tumbling window (and keys); streaming needs ``watermark``.
 
-    Watermarks are defined on zone-aware timestamps, so a wall-clock (ntz) column is read
-    as UTC-session time for the watermark and the window bounds are returned as ntz."""
+    Watermarks are defined on instants only, so there a wall-clock (ntz) column is read as
+    UTC by its count of microseconds; no bound passes through the session's zone."""
+    instants = bool(watermark) and df.schema[ts].dataType.typeName() == "timestamp_ntz"
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    if instants:
+        df = df.withColumn(ts, F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {epoch}, `{ts}`)")))
     if watermark:
-        if df.schema[ts].dataType.typeName() == "timestamp_ntz":
-            df = df.withColumn(ts, F.col(ts).cast("timestamp"))
         df = df.withWatermark(ts, watermark)
     out = df.groupBy(F.window(ts, width).alias("w"), *keys).agg(F.count(F.lit(1)).alias("events"))
-    return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "events")
+
+    def bound(name: str):
+        c = F.expr(f"timestampadd(MICROSECOND, unix_micros(w.{name}), {epoch})") if instants \
+            else F.col(f"w.{name}").cast("timestamp_ntz")
+        return c.alias(f"window_{name}")
+
+    return out.select(bound("start"), bound("end"), *keys, "events")

@@ -5,17 +5,19 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from quorum.plans.queries import QUERIES
 from tests.conftest import SMALL
 
+# Registered from the core library; the ones that write and read tables run jobs when built.
 SIDE_EFFECTS = {"compact_replacing", "incremental_replay", "stream_participation",
-                "stream_first_reporter"}
+                "stream_first_reporter", "catch_up_replay", "compacted_read", "sorted_append"}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
 def test_no_cartesian_or_nested_loop_join(spark, name):
     plan = plan_of(E.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
@@ -40,3 +42,24 @@ def test_window_bounds_are_pushed_to_the_scan(spark):
     plan = plan_of(E.queries()["window_scan"](spark, SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", plan), plan
     assert re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(ts,", plan), plan
+
+
+@pytest.mark.parametrize("name,scans", [("nearest_join", 2), ("members_by_nearest_class", 2), ("missing_members_by_class", 4)])
+def test_nearest_join_runs_its_left_side_once(spark, name, scans):
+    """Scans of the events table: one per source (the committee source reads it twice)."""
+    df = E.queries()[name](spark, SMALL)
+    df.collect()
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan, plan
+    assert len(re.findall(r"FileScan parquet \[event_id", plan)) == scans, plan
+
+
+@pytest.mark.parametrize("name", ["tx_sightings", "divergence", "tx_hash_universe"])
+def test_plan_does_not_switch_on_size(spark, name):
+    """No input is dealt anew because of its size: the exchanges by key are the same."""
+    def exchanges(sf):
+        plan = plan_of(E.queries()[name](spark, sf))
+        assert "RoundRobin" not in plan
+        return len(re.findall(r"Exchange hashpartitioning\([^)]*\), ENSURE_REQUIREMENTS", plan))
+
+    assert exchanges("/root/testdata/sf0.01") == exchanges("/root/testdata/sf0.1")

@@ -60,8 +60,8 @@ def test_merge_recomputes_touched_hashes(spark):
                                 (D(2024, 1, 1, 11), "k", "s1", "EU", "mainnet")], ddl)
     src = FrameSources({"mempool_transaction": df})
     w2 = RunWindow.of("2024-01-02 00:00:00", "2024-01-03 00:00:00")
-    cut = {r.hash: r for r in M.transaction_xatu_sentries(src, w2, "2024-01-03 00:00:00").collect()}
-    merged = {r.hash: r for r in M.transaction_xatu_sentries(src, w2, "2024-01-03 00:00:00",
+    cut = {r.hash: r for r in M.transaction_sightings(src, w2, "2024-01-03 00:00:00").collect()}
+    merged = {r.hash: r for r in M.transaction_sightings(src, w2, "2024-01-03 00:00:00",
                                                              merge=True).collect()}
     assert set(cut) == set(merged) == {"h"}                  # k was not touched by window 2
     assert (cut["h"].total_seen_by_sentries, cut["h"].first_seen_at) == (1, D(2024, 1, 2, 10))

@@ -21,9 +21,10 @@ def rows(df, drop=("updated_at",)):
 
 
 def test_late_rows_in_a_later_batch(spark):
+    """The base holds what has arrived so far: skipping either batch would show."""
     events = spark.read.parquet(f"{SMALL}/events.parquet")
     root = scratch_path(spark, "t-stream")
-    src_dir = os.path.join(root, "events")
+    src_dir, base = os.path.join(root, "events"), os.path.join(root, "base")
     # file 1: most rows; file 2 (arrives later): every 10th event, including early slots
     late = F.col("event_id") % 10 == 0
     events.filter(~late).coalesce(1).write.parquet(os.path.join(src_dir, "part=1"))
@@ -33,20 +34,54 @@ def test_late_rows_in_a_later_batch(spark):
     model = M.MODELS["network_participation"]
     stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
               .parquet(os.path.join(src_dir, "part=*")))
-    batches = []
+    batches, plans = [], []
 
-    def build(restrict, batch_id):
+    def store(batch, batch_id):
+        batch.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(os.path.join(base, f"batch={batch_id}"))
+
+    def build(restrict, window, batch_id):
         batches.append(batch_id)
-        return M.network_participation(full, None, RUN, restrict=restrict) \
+        so_far = spark.read.schema(events.schema.add("day", "date")).parquet(base)
+        so_far = so_far.filter(F.col("day").between(F.lit(window.start).cast("date"), F.lit(window.end).cast("date")))
+        plans.append(so_far._jdf.queryExecution().executedPlan().toString())
+        fx = Fixture(spark, SMALL, {"events": so_far.drop("day", "batch")})
+        return M.network_participation(fx, None, RUN, restrict=restrict) \
                 .withColumn("updated_at", F.lit(f"2024-02-01 00:00:0{batch_id}").cast("timestamp_ntz"))
 
+    def touched(batch):
+        # every slot of the epochs touched: a late row changes its epoch's committees
+        b = event_base(batch).select("epoch", "meta_network_name").distinct()
+        return b.join(event_base(full.table("events")).select("epoch", *keys).distinct(), ["epoch", "meta_network_name"]).select(*keys)
+
     sink = os.path.join(root, "out")
-    q = stream_recompute(stream, lambda b: event_base(b).select(*keys), keys, build, sink,
-                         model.shard, os.path.join(root, "ckpt"), model.key)
+    q = stream_recompute(stream, touched, keys, build, sink, model.shard, os.path.join(root, "ckpt"), model.key, store=store)
     q.awaitTermination()
     assert len(batches) == 2
-    got = read_current(spark, sink, model.key, ("updated_at",))
-    want = M.network_participation(full, RunWindow.backfill(), RUN)
+    assert all("PartitionFilters: [isnotnull(day" in p for p in plans)
+    want = rows(M.network_participation(full, RunWindow.backfill(), RUN))
+    assert rows(read_current(spark, sink, model.key, ("updated_at",))) == want
+    first = spark.read.parquet(os.path.join(sink, "run_id=batch-00000000")).drop("updated_at")
+    assert rows(first) != want
+
+
+def test_catch_up_at_one_wall_clock(spark):
+    fx = Fixture(spark, SMALL)
+    root = scratch_path(spark, "t-catch-up")
+    nows = ["2024-01-10 00:00:00"] + ["2024-01-20 00:00:00"] * 12
+    got = replay(spark, "network_participation", fx, root, nows, interval="1 DAY")
+    want = M.network_participation(fx, RunWindow.of("2024-01-09 00:00:00", "2024-01-20 00:00:00"), RUN)
+    assert rows(got) == rows(want)
+    # one run per window, none overwritten; the calls that found nothing left wrote nothing
+    runs = spark.read.parquet(os.path.join(root, "network_participation")).select("run_id").distinct().count()
+    assert runs == 11
+
+
+def test_read_cap_loses_nothing(spark):
+    fx = Fixture(spark, SMALL)
+    root = scratch_path(spark, "t-cap")
+    nows = ["2024-01-10 00:00:00"] + ["2024-01-11 00:00:00"] * 5
+    got = replay(spark, "network_participation", fx, root, nows, interval="1 DAY", read_cap="6 HOUR")
+    want = M.network_participation(fx, RunWindow.of("2024-01-09 00:00:00", "2024-01-11 00:00:00"), RUN)
     assert rows(got) == rows(want)
 
 

@@ -1,6 +1,7 @@
 """Latest-version reads, the append sink, compaction."""
 
 import datetime as dt
+import re
 
 from quorum.operators.versioned import append, compact, latest_by_key, read_current
 from quorum.session import scratch_path
@@ -36,16 +37,75 @@ def test_append_read_current_and_compact(spark):
     assert raw.count() == 4                      # both versions stored
     cur = {r.k: r.x for r in read_current(spark, path, ["k"]).collect()}
     assert cur == {1: 10, 2: 21, 3: 30}
-    target = scratch_path(spark, "t-compact")
-    compact(spark, path, target, ["k"])
-    assert spark.read.parquet(target).count() == 3
-    again = scratch_path(spark, "t-compact2")
-    compact(spark, target, again, ["k"])         # idempotent
-    assert {r.k: r.x for r in read_current(spark, again, ["k"]).collect()} == cur
+    base = compact(spark, path, ["k"])
+    assert spark.read.parquet(f"{path}/run_id={base}").count() == 3
+    assert {r.k: r.x for r in read_current(spark, path, ["k"]).collect()} == cur
+    # a newer run is read beside the base; a second compaction folds both
+    t3 = dt.datetime(2024, 1, 3)
+    append(spark.createDataFrame([(1, 11, t3)], "k long, x long, updated_at timestamp_ntz"), path, key=["k"], run_id="r3")
+    cur[1] = 11
+    assert {r.k: r.x for r in read_current(spark, path, ["k"]).collect()} == cur
+    assert compact(spark, path, ["k"]) != base
+    assert {r.k: r.x for r in read_current(spark, path, ["k"]).collect()} == cur
+    # a base without a marker (a compaction that died) is not read
+    append(spark.createDataFrame([(9, 9, t3)], "k long, x long, updated_at timestamp_ntz"), path, key=["k"], run_id="base-0")
+    assert {r.k: r.x for r in read_current(spark, path, ["k"]).collect()} == cur
+
+
+def test_of_equal_versions_the_newer_run_wins(spark):
+    path = scratch_path(spark, "t-equal")
+    t = dt.datetime(2024, 1, 1)
+    for run, x in (("run-1", 50), ("run-2", 7)):
+        append(spark.createDataFrame([(1, x, t)], "k long, x long, updated_at timestamp_ntz"), path, key=["k"], run_id=run)
+    assert read_current(spark, path, ["k"]).first().x == 7
+    compact(spark, path, ["k"])
+    append(spark.createDataFrame([(1, 3, t)], "k long, x long, updated_at timestamp_ntz"), path, key=["k"], run_id="run-0")
+    assert read_current(spark, path, ["k"]).first().x == 3
+
+
+def test_empty_first_run_is_readable(spark):
+    ddl = "k long, at timestamp_ntz, updated_at timestamp_ntz"
+    for day_col in (None, "at"):
+        path = scratch_path(spark, "t-empty")
+        append(spark.createDataFrame([], ddl), path, key=["k"], order_by=["k"], run_id="run-1", day_col=day_col)
+        got = read_current(spark, path, ["k"])
+        assert got.columns == ["k", "at", "updated_at"] and got.collect() == []
+        assert compact(spark, path, ["k"]) is None
+        row = (1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+        append(spark.createDataFrame([row], ddl), path, key=["k"], order_by=["k"], run_id="run-2", day_col=day_col)
+        assert [tuple(r) for r in read_current(spark, path, ["k"]).collect()] == [row]
+
+
+def test_day_files_are_sorted_and_a_big_day_is_several_files(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from quorum.plans.tables import write_source
+    from quorum.sources.adapters import Fixture
+    from tests.conftest import SMALL
+
+    fx = Fixture(spark, SMALL)
+    path = scratch_path(spark, "t-sorted")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as if the day were large
+    append(fx.table("events"), path, key=["user_id"], order_by=["ts", "event_id"], run_id="run-1", day_col="ts")
+    files = glob.glob(f"{path}/run_id=run-1/day=2024-01-10/*.parquet")
+    assert len(files) > 1
+    for f in files:
+        t = pq.read_table(f, columns=["ts", "event_id"]).to_pandas()
+        assert (t.sort_values(["ts", "event_id"]).index == t.index).all()
+    root = scratch_path(spark, "t-sorted-source")
+    one_day = fx.attestation.filter("to_date(event_date_time) = date'2024-01-10'")
+    write_source(one_day, root, "beacon_api_eth_v1_events_attestation")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = glob.glob(f"{root}/*/day=*/*.parquet")
+    assert len(files) > 1
+    for f in files:
+        t = pq.read_table(f, columns=["slot_start_date_time"]).to_pandas().slot_start_date_time
+        assert t.is_monotonic_increasing
 
 
 def test_day_partitions_prune_and_compact_only_touched_days(spark):
-    import os
     path = scratch_path(spark, "t-days")
     d1, d2 = dt.datetime(2024, 1, 1, 6), dt.datetime(2024, 1, 2, 6)
     t1, t2 = dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 2)
@@ -60,11 +120,9 @@ def test_day_partitions_prune_and_compact_only_touched_days(spark):
     assert [(r.k, r.x) for r in only_d2.collect()] == [(2, 21)]
     assert "day" not in only_d2.columns
     plan = only_d2._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
-    target = scratch_path(spark, "t-days-compact")
-    compact(spark, path, target, key)                       # full compaction
-    day1 = os.path.join(target, "run_id=compacted", "day=2024-01-01")
-    before = sorted(os.listdir(day1))
-    compact(spark, path, target, key, days=["2024-01-02"])  # touched day only
-    assert sorted(os.listdir(day1)) == before               # day 1 files untouched
-    assert {r.k: r.x for r in read_current(spark, target, key).collect()} == {1: 10, 2: 21}
+    assert re.search(r"PartitionFilters: \[[^]]*isnotnull\(day", plan)
+    compact(spark, path, key)
+    assert {r.k: r.x for r in read_current(spark, path, key).collect()} == {1: 10, 2: 21}
+    plan = read_current(spark, path, key, days=["2024-01-02"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*isnotnull\(day", plan)
+    assert [(r.k, r.x) for r in read_current(spark, path, key, days=["2024-01-02"]).collect()] == [(2, 21)]

@@ -16,4 +16,88 @@ SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.digest AS payload_dige
 FROM d LEFT JOIN f ON d.digest = f.digest
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_warc_zip": _WARC}
+# The closure of links: every node with everything it reaches (UNION ends at the closure).
+_REACH = """
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT node, node AS reached FROM nodes
+  UNION
+  SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.reached
+),
+component AS (SELECT node, min(reached) AS component_id FROM reach GROUP BY node)
+"""
+
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+         ELSE [array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)] END) AS sh
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), nodes AS (SELECT DISTINCT doc_id AS node FROM documents), {_REACH}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN component c ON c.node = d.doc_id
+"""
+
+_REPEATS = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, pos, substr(h, 2 * pos + 1, 100) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS pos FROM d WHERE len(h) >= 100)
+), firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w
+), hits AS (
+  SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before
+  FROM windows JOIN firsts USING (w) WHERE first < doc_id
+), runs AS (
+  SELECT doc_id, min(pos) AS s, max(pos) + 50 AS e
+  FROM (SELECT doc_id, pos, sum(CASE WHEN before IS NULL OR pos > before + 50 THEN 1 ELSE 0 END)
+               OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM hits)
+  GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS b FROM runs
+  UNION ALL SELECT doc_id, max(e), 1000000000000 FROM runs GROUP BY doc_id
+), kept AS (
+  SELECT g.doc_id, string_agg(substr(d.h, 2 * a + 1, 2 * (least(b, len(d.h) // 2) - a)), '' ORDER BY a) AS k
+  FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id
+), removed AS (
+  SELECT doc_id, sum(e - s) AS n, count(*) AS spans FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(r.spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.k, d.h))) AS kept_sha256
+FROM d LEFT JOIN removed r ON r.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+_VECTORS = f"""
+WITH RECURSIVE v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.9
+), nodes AS (SELECT DISTINCT vec_id AS node FROM embeddings), {_REACH},
+counts AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT t.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, t.vec_id = c.component_id AS kept
+FROM embeddings t JOIN component c ON c.node = t.vec_id LEFT JOIN counts n ON n.a = t.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_forest": _NEAR_DUPLICATES,
+    "op2_warc_zip": _WARC,
+    "op4_suffix_runs": _REPEATS,
+    "op6_embedding_graph": _VECTORS,
+}

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -314,7 +314,9 @@ def conform(df: DataFrame, name: str, strict: bool = False, fill: bool = False)
 
     Columns the declaration lacks are an error; declared columns ``df`` lacks are allowed
     unless ``strict`` (adapters only build what the jobs read), and added as typed NULLs
-    when ``fill``.
+    when ``fill``.  A number beyond its declared decimal (a 128-bit integer can have 39
+    digits, Spark's decimals hold 38) becomes NULL instead of ending the job; ``violations``
+    on the frame as it came counts such rows.
     """
     declared = {f.name: f.dataType for f in source(name).schema.fields}
     extra = [c for c in df.columns if c not in declared]
@@ -324,7 +326,11 @@ def conform(df: DataFrame, name: str, strict: bool = False, fill: bool = False)
         missing = [c for c in declared if c not in df.columns]
         if missing:
             raise ValueError(f"{name}: missing columns {missing}")
-    cols = [F.col(f"`{c}`").cast(declared[c]).alias(c) for c in df.columns]
+    def typed(c: str):
+        decimal = declared[c].typeName().startswith("decimal")
+        return (F.col(f"`{c}`").try_cast(declared[c]) if decimal else F.col(f"`{c}`").cast(declared[c])).alias(c)
+
+    cols = [typed(c) for c in df.columns]
     if fill:
         cols += [F.lit(None).cast(t).alias(c) for c, t in declared.items() if c not in df.columns]
     return df.select(cols)

@@ -52,7 +52,9 @@ def rules(df: DataFrame, name: str) -> list[tuple[str, str, Column]]:
             pattern = f"^0x[0-9a-f]{{{HEX_DIGITS[r]}}}$"
             out.append((col, f"{r}_hex_{HEX_DIGITS[r]}", c.isNotNull() & ~c.rlike(pattern)))
         if t == "decimal(38,0)":
-            out.append((col, "uint128_range", c.isNotNull() & (c < 0)))
+            # on the frame as it came: what ``conform`` turns to NULL, and negatives
+            number = c.try_cast("decimal(38,0)")
+            out.append((col, "uint128_range", c.isNotNull() & (number.isNull() | (number < 0))))
     return out
 
 

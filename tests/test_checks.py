@@ -18,3 +18,13 @@ def test_violations_are_counted(spark):
     assert got[("fromaddress", "address_hex_40")] == (3, 1)
     assert got[("data4bytes", "selector_hex_8")] == (3, 1)
     assert got[("value", "uint128_range")] == (3, 1)
+
+
+def test_numbers_beyond_128_bits_are_counted_not_fatal(spark):
+    from quorum.sources.catalog import conform
+    df = spark.createDataFrame([("0x" + "a" * 64, str(2 ** 128 - 1)), ("0x" + "b" * 64, "-1"), ("0x" + "c" * 64, "7"),
+                                ("0x" + "d" * 64, None)], "hash string, value string")
+    found = {(r.column, r.rule): r.violations for r in violations(df, "mempool_transaction").collect()}
+    assert found["value", "uint128_range"] == 2
+    assert [r.value for r in conform(df, "mempool_transaction").orderBy("hash").collect()][2:] == [7, None]
+    assert conform(df, "mempool_transaction").filter("value is null").count() == 2

@@ -8,7 +8,8 @@ logistic function of its clauses' labels.  A word outside a matched clause adds
 
 What is learned, from at most ``TRAIN_ROWS`` labelled rows (by hash order): the insult
 lexicon, whole words and stems whose association with the label passes a likelihood-ratio
-test corrected for the number of candidates, and the weight of each clause label, by ridge
+test corrected for the number of candidates (words that clean rows hold now and then are
+mild ones), and the weight of each clause label, by ridge
 regression towards the grammar's own prior weights.  Near copies among the training rows
 count once.
 """
@@ -30,6 +31,8 @@ from quorum.llm.shingles import _POWERS, MinHash, mix, shingle_set
 TRAIN_ROWS = 30_000
 LEXICON_TERMS = 5_000
 STEM_BYTES = (4, 5, 6, 7, 8)
+STEM_WORDS = 3
+PURITY = 50         # toxic rows per clean row of a stem, or of a word that is more than mild
 
 # Closed word classes of the grammar (English, German, French, Spanish).
 THREATS = ("kill", "hurt", "destroy", "beat", "shoot", "stab", "töten", "umbringen", "schlagen", "tuer", "frapper",
@@ -41,13 +44,14 @@ NEGATIONS = ("not", "no", "never", "nobody", "isn", "aren", "don", "won", "nicht
 REPORTS = ("said", "says", "wrote", "called", "quoted", "reported", "according", "sagte", "schrieb", "nannte", "dit",
            "écrit", "appelé", "selon", "dijo", "escribió", "llamó", "según")
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
+# Token classes; a mild insult is a learned word that clean rows hold now and then.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END, MILD = range(9)
 # Symbols between the transducers: reported and denied forms.
-REPORTED, DENIED = 8, 9
-KINDS = ("none", "denied", "reported", "insult", "insults", "threat")
+REPORTED, DENIED = 9, 10
+KINDS = ("none", "denied", "reported", "mild", "insult", "insults", "threat")
 LABELS = tuple(f"{kind}{who}" for kind in KINDS[1:] for who in ("", "_addressed"))
-# Prior weight of a clause of each label on the logistic scale.
-PRIOR = (0.0, 0.2, 0.3, 0.6, 2.0, 3.0, 3.0, 4.0, 2.0, 4.0)
+# Prior weights on the logistic scale, for each kind: a clause of it, and that it is addressed.
+PRIOR = (0.0, 0.2, 0.3, 0.3, 1.0, 0.5, 2.0, 1.0, 3.0, 1.0, 2.0, 2.0)
 
 _TOKEN = re.compile(rb"[a-z\x80-\xff]+|[.!?;:\n]|\"")
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
@@ -57,7 +61,7 @@ def reported_speech() -> dict:
     """States: plain, reported (to the end of the clause), quoted (to the next quote mark)."""
     arcs = {}
     for state in range(3):
-        for symbol in range(8):
+        for symbol in range(9):
             to, out = state, symbol
             if symbol == REPORT and state == 0:
                 to = 1
@@ -65,7 +69,7 @@ def reported_speech() -> dict:
                 to, out = (0 if state == 2 else 2), OTHER
             elif symbol == END and state == 1:
                 to = 0
-            if state and symbol in (INSULT, THREAT):
+            if state and symbol in (INSULT, THREAT, MILD):
                 out = REPORTED
             arcs[state, symbol] = to, out
     return arcs
@@ -75,25 +79,28 @@ def negation(reach: int = 3) -> dict:
     """States: tokens that a negation still reaches."""
     arcs = {}
     for state in range(reach + 1):
-        for symbol in range(9):
+        for symbol in range(10):
             to, out = max(0, state - 1), symbol
             if symbol == NEGATION:
                 to = reach
             elif symbol == END:
                 to = 0
-            if state and symbol in (INSULT, THREAT):
+            if state and symbol in (INSULT, THREAT, MILD):
                 out = DENIED
             arcs[state, symbol] = to, out
     return arcs
 
 
 def target() -> dict:
-    """States: 2 * kind + addressed; writes a clause label at the clause's end."""
-    rank = {DENIED: 1, REPORTED: 2, INSULT: 3, THREAT: 5}
+    """States: 2 * kind + addressed; writes a clause label at the clause's end.
+
+    Two mild insults make one, and an insult beside any other makes several."""
+    rank = {DENIED: 1, REPORTED: 2, MILD: 3, INSULT: 4, THREAT: 6}
+    joint = {(3, MILD): 4, (3, INSULT): 5, (4, MILD): 5, (4, INSULT): 5, (5, MILD): 5, (5, INSULT): 5}
     arcs = {}
     for kind in range(len(KINDS)):
         for addressed in range(2):
-            for symbol in range(10):
+            for symbol in range(11):
                 k, a, out = kind, addressed, -1
                 if symbol == END:
                     out = 2 * (kind - 1) + addressed if kind else -1
@@ -101,7 +108,7 @@ def target() -> dict:
                 elif symbol == TARGET:
                     a = 1
                 elif symbol in rank:
-                    k = 4 if symbol == INSULT and kind in (3, 4) else max(kind, rank[symbol])
+                    k = joint.get((kind, symbol), max(kind, rank[symbol]))
                 arcs[2 * kind + addressed, symbol] = 2 * k + a, out
     return arcs
 
@@ -183,10 +190,11 @@ class Lexicon:
 class Scorer:
     """Clause label counts of texts, and their scores under fitted weights."""
 
-    def __init__(self, words: set[bytes], stems: set[bytes]) -> None:
+    def __init__(self, words: set[bytes], stems: set[bytes], mild: frozenset[bytes] = frozenset()) -> None:
         threats = {w.encode() for w in THREATS}
         self.insults = Lexicon(words - threats, stems)
-        self.either = Lexicon(words | threats, stems)
+        self.mild = mild
+        self.either = Lexicon(words | mild | threats, stems)
         self.closed = {w.encode(): kind for kind, group in
                        ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in group}
 
@@ -198,7 +206,7 @@ class Scorer:
             elif token == b'"':
                 out.append(QUOTE)
             else:
-                out.append(self.closed.get(token) or (INSULT if self.insults.holds(token) else OTHER))
+                out.append(self.closed.get(token) or (INSULT if self.insults.holds(token) else MILD if token in self.mild else OTHER))
         return [*out, END]
 
     def counts(self, text: bytes | None) -> np.ndarray:
@@ -211,8 +219,15 @@ class Scorer:
                 found[label] += 1
         return found
 
-    def vectors(self, texts: list[bytes | None]) -> np.ndarray:
-        return np.log2(1 + np.array([self.counts(t) for t in texts]).reshape(len(texts), len(LABELS)))
+    def labels(self, texts: list[bytes | None]) -> np.ndarray:
+        return np.array([self.counts(t) for t in texts]).reshape(len(texts), len(LABELS))
+
+
+def design(counts: np.ndarray) -> np.ndarray:
+    """What the weights apply to: per kind the clauses of it, and those of them addressed."""
+    out = counts.astype(float)
+    out[:, 0::2] += out[:, 1::2]
+    return np.log2(1 + out)
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -291,6 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
     n1, n0 = total.get(1, 0), total.get(0, 0)
     words: set[bytes] = set()
     stems: set[bytes] = set()
+    mild: set[bytes] = set()
     if n1 and n0:
         terms = distinct.mapInArrow(_counted, "stem boolean, term binary, n1 long, n0 long") \
             .groupBy("stem", "term").agg(F.sum("n1").alias("a"), F.sum("n0").alias("b"))
@@ -300,21 +316,27 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
         ratio = 2 * (log(F.col("a"), seen * rate) + log(F.col("b"), seen * (1 - rate)))
         odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
         # Terms of a single row cannot pass; the others are the candidates of the test.
-        terms = terms.filter("a + b > 1").withColumns({"ratio": ratio, "odds": odds})
+        terms = cut(terms.filter("a + b > 1").withColumns({"ratio": ratio, "odds": odds}), "terms")
         # About one term in all would pass by chance.
         floor = 2 * np.log(terms.count() + 1)
-        chosen = terms.filter((F.col("ratio") > float(floor)) &
-                              (F.col("odds") > F.when(F.col("stem"), 4.0).otherwise(2.5))) \
+        # A stem must stand for several words that clean rows lack, and be as clean as a word.
+        prefix = F.explode(F.array(*(F.when(F.length("term") >= n, F.substring("term", 1, n)) for n in STEM_BYTES)))
+        variety = terms.filter("not stem and a > 0 and b = 0").select(prefix.alias("term")) \
+            .filter("term is not null").groupBy("term").agg(F.count("*").alias("words"))
+        chosen = terms.join(variety, "term", "left") \
+            .filter((F.col("ratio") > float(floor)) & (F.col("odds") > 3.5)) \
+            .withColumn("pure", PURITY * F.col("b") <= F.col("a")) \
+            .filter(~F.col("stem") | (F.col("words") >= STEM_WORDS) & F.col("pure")) \
             .orderBy(F.desc("ratio"), "term", "stem").limit(LEXICON_TERMS)
-        for r in chosen.select("stem", "term").collect():
-            (stems if r["stem"] else words).add(bytes(r["term"]))
+        for r in chosen.select("stem", "term", "pure").collect():
+            (stems if r["stem"] else words if r["pure"] else mild).add(bytes(r["term"]))
         stems = {s for s in stems if not any(s[:n] in stems for n in STEM_BYTES if n < len(s))}
-    scorer = Scorer(words, stems)
+    scorer = Scorer(words, stems, frozenset(mild))
 
     def vectors(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(scorer.vectors(binaries(batch.column(1)))), pa.list_(pa.float64())), batch.column(2)],
+                [pa.array(list(design(scorer.labels(binaries(batch.column(1))))), pa.list_(pa.float64())), batch.column(2)],
                 names=["x", "label"])
 
     found = distinct.mapInArrow(vectors, "x array<double>, label int").groupBy("x", "label").count().collect()
@@ -336,8 +358,8 @@ def score(docs: DataFrame, model: tuple[Scorer, np.ndarray], id_col: str = "doc_
 
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            counts = np.array([scorer.counts(t) for t in binaries(batch.column(1))]).reshape(-1, len(LABELS))
-            z = weights[0] + np.log2(1 + counts) @ weights[1:]
+            counts = scorer.labels(binaries(batch.column(1)))
+            z = weights[0] + design(counts) @ weights[1:]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))),
                  pa.array(list(counts.astype(np.int64)), pa.list_(pa.int64())), *batch.columns[2:]],

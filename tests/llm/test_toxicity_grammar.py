@@ -13,7 +13,7 @@ from tests.llm.helpers import docs, prose
 def test_composition_equals_running_the_transducers_in_turn():
     chain = [g.reported_speech(), g.negation(), g.target()]
     rng = random.Random(2)
-    inputs = list(itertools.product(range(8), repeat=3)) + [[rng.randrange(8) for _ in range(30)] for _ in range(300)]
+    inputs = list(itertools.product(range(9), repeat=3)) + [[rng.randrange(9) for _ in range(30)] for _ in range(300)]
     for symbols in inputs:
         want = list(symbols)
         for machine in chain:

@@ -57,3 +57,23 @@ def test_window_text_and_unparsable_now(spark):
     assert (w.start_time, w.end_time) == ("2024-01-05 09:00:00", "2024-01-05 10:00:00")
     bad = resolve_windows(models, empty_meta(spark), "not a time", "1 HOUR").first()
     assert bad.start_time is None and bad.end_time is None
+
+
+def test_no_step_passes_through_the_session_zone(spark):
+    """02:30 on the night the clocks go forward does not exist in that zone."""
+    from pyspark.sql import functions as F
+
+    from quorum.functions.timefns import format_ts, parse_ts_or_null, truncate_to_second
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:05.75' AS t")
+        r = df.select(truncate_to_second("t").alias("s"), format_ts("t").alias("f"),
+                      parse_ts_or_null(F.lit("2024-03-10 02:30:05")).alias("p")).first()
+        windows = resolve_windows(spark.createDataFrame([("m",)], "model string"), empty_meta(spark), "2024-03-10 02:30:00", "1 HOUR")
+        w = windows.first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    whole = dt.datetime(2024, 3, 10, 2, 30, 5)
+    assert (r.s, r.f, r.p) == (whole, "2024-03-10 02:30:05", whole)
+    assert (w.start_time, w.end_time) == (dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 2, 30))

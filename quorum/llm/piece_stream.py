@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from quorum.llm.common import batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MEMO = 1_000_000
+MEMO = 400_000
 MEMO_CHARS = 32
-PAIRS = 500_000
+PAIRS = 250_000
 BATCH_ROWS = 512
 SPACE = "▁"
 # Piece kinds and model kinds of the model file format.

@@ -265,7 +265,7 @@ def _families(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows, 1000):
+    for batch in batches(rows, 400):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(binaries(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             seen[int(label)].update(_terms(text or b""))

@@ -2,18 +2,17 @@
 
 Every distinct shingle set gets one signature of minima.  The forest's trees are sorted
 orders of the signatures, each starting at another minimum; rows that share the first
-``depths[0]`` minima of an order are neighbours with a long common prefix, a region.
-
-Depth adapts per region:
+``DEPTH`` minima of an order are neighbours with a common prefix, a region.  Every link of a
+region is found, whatever its size:
 
 * at most ``pair_region`` sets: every pair of the region is a candidate; candidates of all
   trees meet in one distinct, are thinned by their signatures and confirmed on full texts;
 * more, at most ``task_region`` sets: one task confirms the region exactly by an inverted
   list of its shingles and returns a spanning forest of its links, never its pairs;
-* still more: every set is paired with one leader of the region, which holds families of
-  copies together, and the region is cut at the next depth.  Whatever shares the whole
-  signature and is still too large is confirmed against its leader, and what that leaves
-  unlinked against every row of the region, as a query set.
+* still more: the sets are compared with one leader of the region, part by part.  Those
+  linked to it need no further comparison with each other; as the Jaccard distance is a
+  metric, only sets within twice the allowed distance of the leader can link to them.  What
+  is left to compare goes block against block, each pair of blocks in one task.
 
 Equal sets collapse to one row before any of this, by a partial aggregate, so a group of
 exact copies of any size costs one row.
@@ -26,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.llm.common import binaries, components, cut
@@ -34,7 +33,7 @@ from quorum.llm.shingles import MinHash, shared, shingle_set
 
 SIZE = 64
 TREES = 16
-DEPTHS = (3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 48, 64)
+DEPTH = 3
 PAIR_REGION = 32
 TASK_REGION = 4096
 TASK_SHINGLES = 4_000_000
@@ -65,10 +64,10 @@ def features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
         .mapInArrow(_features(k), "id long, n long, fp binary, sig array<int>")
 
 
-def _keyed(members: DataFrame, depth: int) -> DataFrame:
+def _keyed(members: DataFrame) -> DataFrame:
     step = SIZE // TREES
     order = f"concat(slice(sig, tree * {step} + 1, {SIZE}), slice(sig, 1, tree * {step}))"
-    return members.select("rep", "n", "tree", F.expr(f"xxhash64(tree, slice({order}, 1, {depth}))").alias("key"))
+    return members.select("rep", "n", "tree", F.expr(f"xxhash64(tree, slice({order}, 1, {DEPTH}))").alias("key"))
 
 
 def _region_links(k: int, percent: int):
@@ -101,6 +100,57 @@ def _region_links(k: int, percent: int):
     return run
 
 
+def _star(k: int, percent: int):
+    """``(key, rep, leader, role)``: 0 linked to the leader, 1 near enough to link to a row of
+    role 0, 2 neither.  With several texts of an id, role 0 needs all and role 1 any."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, lead = table.column("rep").to_numpy(), table.column("leads").to_numpy(zero_copy_only=False)
+        sets = [shingle_set(t, k) for t in binaries(table.column("text").combine_chunks())]
+        leaders = [s for s, yes in zip(sets, lead, strict=True) if yes]
+        near, margin = {}, {}
+        for rep, found in ((int(r), s) for r, s, yes in zip(ids, sets, lead, strict=True) if not yes):
+            for own in leaders:
+                common = shared(own, found)
+                union = len(own) + len(found) - common
+                near[rep] = near.get(rep, True) and 100 * common >= percent * union
+                margin[rep] = margin.get(rep, False) or 100 * common >= (2 * percent - 100) * union
+        role = [0 if near[r] else 1 if margin[r] else 2 for r in near]
+        one = lambda name: [table.column(name)[0].as_py()] * len(near)
+        return pa.table({"key": pa.array(one("key"), pa.int64()), "rep": pa.array(list(near), pa.int64()),
+                         "leader": pa.array(one("leader"), pa.int64()), "role": pa.array(role, pa.int32())})
+    return run
+
+
+def _block_links(k: int, percent: int):
+    """A spanning forest of the links between the sets of two blocks."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, asks = table.column("rep").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)
+        order = np.lexsort((ids, asks))
+        ids, n = ids[order], int((~asks).sum())
+        texts = binaries(table.column("text").combine_chunks())
+        sets = [shingle_set(texts[i], k) for i in order]
+        sizes = np.array([len(s) for s in sets])
+        if not n or n == len(sets):
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        shingles = np.concatenate(sets[:n])
+        owner = np.repeat(np.arange(n), sizes[:n])[np.argsort(shingles, kind="stable")]
+        shingles, first = np.unique(shingles, return_counts=True)
+        first = np.concatenate([[0], np.cumsum(first)])
+        label = np.arange(len(sets))
+        for i in range(n, len(sets)):
+            at = np.searchsorted(shingles, sets[i])
+            at = at[shingles[np.minimum(at, len(shingles) - 1)] == sets[i]]
+            if not len(at):
+                continue
+            common = np.bincount(np.concatenate([owner[first[s]:first[s + 1]] for s in at]), minlength=n)
+            linked = np.flatnonzero((common > 0) & (100 * common >= percent * (sizes[i] + sizes[:n] - common)))
+            if len(linked):
+                merged = np.unique(np.append(label[linked], label[i]))
+                label[np.isin(label, merged)] = merged[0]
+        return pa.table({"u": ids, "v": ids[label]}).filter(pa.array(ids != ids[label]))
+    return run
+
+
 def _confirm(k: int, percent: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -128,6 +178,56 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
         .select("u", "tu", "v", "tv").mapInArrow(_confirm(k, percent), "u long, v long")
 
 
+def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region: int,
+           task_shingles: int) -> tuple[list[DataFrame], DataFrame]:
+    """Links of regions beyond a task, ``rest``: (key, rep, n, members, shingles, leader).
+
+    Returns links, and the blocks ``(key, rep)`` that are still to be compared within.
+    """
+    def parts(sets: str, shingles: str) -> Column:
+        # Two blocks make a task.
+        return F.ceil(F.greatest(2 * F.col(sets) / task_region, 2 * F.col(shingles) / task_shingles)).cast("long")
+
+    part = F.pmod(F.xxhash64("rep"), F.col("parts"))
+    one = rest.groupBy("key", "rep").agg(F.sum("n").alias("n"), F.first("leader").alias("leader"),
+                                         F.first("members").alias("members"), F.first("shingles").alias("shingles")) \
+        .withColumn("parts", parts("members", "shingles"))
+    followers = one.filter("rep <> leader").select("key", part.alias("part"), "rep", "leader", F.lit(False).alias("leads"))
+    leaders = one.filter("rep = leader").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                                                "rep", "leader", F.lit(True).alias("leads"))
+    star = cut(followers.union(leaders).join(texts, "rep").groupBy("key", "part")
+               .applyInArrow(_star(k, percent), "key long, rep long, leader long, role int"), "star")
+    roles = one.join(star.select("key", "rep", "role"), ["key", "rep"], "left") \
+        .select("key", "rep", "n", F.coalesce("role", F.lit(0)).alias("role"))
+    counts = []
+    for name, which in (("owned", "role = 0"), ("near", "role = 1"), ("open", "role > 0")):
+        where = F.expr(which)
+        counts += [F.count(F.when(where, 1)).alias(f"{name}_sets"), F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(0)).alias(f"{name}_n")]
+    sized = roles.groupBy("key").agg(*counts)
+    for name in ("owned", "near", "open"):
+        sized = sized.withColumn(name, parts(f"{name}_sets", f"{name}_n"))
+    roles = cut(roles.join(sized.select("key", "owned", "near", "open"), "key"), "roles")
+
+    def number(name: str) -> Column:
+        return F.pmod(F.xxhash64("rep"), F.col(name))
+
+    def every(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(name) - 1))
+
+    open_ = roles.filter("role > 0").withColumn("part", number("open"))
+    across = open_.withColumn("other", every("open")).filter("part <> other") \
+        .select("key", F.lit(0).alias("kind"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                "rep", (F.col("part") > F.col("other")).alias("asks"))
+    near = roles.filter("role = 1").withColumn("i", number("near")).withColumn("j", every("owned")) \
+        .select("key", F.lit(1).alias("kind"), "i", "j", "rep", F.lit(True).alias("asks"))
+    owned = roles.filter("role = 0 and near > 0").withColumn("j", number("owned")).withColumn("i", every("near")) \
+        .select("key", F.lit(1).alias("kind"), "i", "j", "rep", F.lit(False).alias("asks"))
+    blocks = across.union(near).union(owned).join(texts, "rep").groupBy("key", "kind", "i", "j") \
+        .applyInArrow(_block_links(k, percent), "u long, v long")
+    return [star.filter("role = 0").select(F.col("leader").alias("u"), F.col("rep").alias("v")), blocks], \
+        open_.select(F.xxhash64("key", "part").alias("key"), "rep")
+
+
 def links(classes: DataFrame, texts: DataFrame, k: int, percent: int,
           pair_region: int = PAIR_REGION, task_region: int = TASK_REGION,
           task_shingles: int = TASK_SHINGLES) -> DataFrame:
@@ -135,43 +235,26 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int,
 
     ``classes``: (rep, n, sig); ``texts``: (rep, text), a text of each class.
     """
-    pairs, edges = [], []
+    edges = []
     members = classes.select("rep", "n", "sig", F.explode(F.expr(f"sequence(0, {TREES - 1})")).alias("tree"))
-    for depth in DEPTHS:
-        keyed = _keyed(members, depth)
-        sizes = keyed.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"),
-                                         F.min_by("rep", F.xxhash64("rep", "tree")).alias("leader")).filter("members > 1")
-        found = cut(keyed.join(sizes, "key"), f"regions-{depth}")
-        small = found.filter(F.col("members") <= pair_region).select("key", "rep")
-        pairs.append(small.select("key", F.col("rep").alias("u"))
-                     .join(small.select("key", F.col("rep").alias("v")), "key")
-                     .filter("u < v").select("u", "v").distinct())
-        fits = (F.col("members") <= task_region) & (F.col("shingles") <= task_shingles)
-        middle = found.filter((F.col("members") > pair_region) & fits).select("key", "rep")
-        if not middle.isEmpty():
-            edges.append(middle.join(texts, "rep").groupBy("key")
-                         .applyInArrow(_region_links(k, percent), "u long, v long"))
-        rest = found.filter((F.col("members") > pair_region) & ~fits)
-        if rest.isEmpty():
-            break
-        if depth == DEPTHS[-1]:
-            # Equal in every minimum: a star, then whatever it leaves against the region.
-            star = cut(_confirmed(rest.filter("rep <> leader").select(F.col("leader").alias("u"),
-                                                                      F.col("rep").alias("v")).distinct(),
-                                  texts, k, percent), "star")
-            edges.append(star)
-            missed = rest.filter("rep <> leader").join(
-                star.select(F.col("u").alias("leader"), F.col("v").alias("rep")), ["leader", "rep"], "left_anti")
-            pairs.append(missed.select("key", F.col("rep").alias("u"))
-                         .join(rest.select("key", F.col("rep").alias("v")), "key")
-                         .filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
-        else:
-            pairs.append(rest.filter("rep <> leader")
-                         .select(F.least("rep", "leader").alias("u"), F.greatest("rep", "leader").alias("v")))
-            members = rest.select("rep", "tree").distinct().join(classes, "rep")
-    candidates = pairs[0]
-    for more in pairs[1:]:
-        candidates = candidates.union(more)
+    keyed = _keyed(members)
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"),
+                                     F.min_by("rep", F.xxhash64("rep")).alias("leader")).filter("members > 1")
+    found = cut(keyed.join(sizes, "key"), "regions")
+    small = found.filter(F.col("members") <= pair_region).select("key", "rep")
+    candidates = small.select("key", F.col("rep").alias("u")) \
+        .join(small.select("key", F.col("rep").alias("v")), "key") \
+        .filter("u < v").select("u", "v")
+    fits = (F.col("members") <= task_region) & (F.col("shingles") <= task_shingles)
+    middle = found.filter((F.col("members") > pair_region) & fits).select("key", "rep")
+    rest = found.filter((F.col("members") > pair_region) & ~fits)
+    if not rest.isEmpty():
+        more, within = _large(rest, texts, k, percent, task_region, task_shingles)
+        edges += more
+        middle = middle.union(within)
+    if not middle.isEmpty():
+        edges.append(middle.join(texts, "rep").groupBy("key")
+                     .applyInArrow(_region_links(k, percent), "u long, v long"))
     # Thinned by set sizes and by one byte of each minimum, exact in what they rule out but
     # for the signature's own error.
     floor = int(SIZE * (percent / 100 - SLACK))

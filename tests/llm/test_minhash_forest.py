@@ -103,3 +103,16 @@ def test_components_of_chains_hubs_and_loops(spark):
     want = smallest_reachable(nodes, [p for p in pairs if p[0] != p[1]])
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+@pytest.mark.parametrize("regions", [{"pair_region": 4, "task_region": 8}, {"pair_region": 2, "task_region": 40},
+                                     {"pair_region": 2, "task_shingles": 2000}])
+def test_regions_beyond_a_task_are_exact(spark, regions):
+    """Families spread around the threshold, so that prefixes deeper than a region's part."""
+    rng = random.Random(8)
+    rows = corpus(seed=8, family=60)
+    for share in (0.02, 0.03, 0.04):
+        words = prose(rng, 120, 5000)
+        rows += [(len(rows) + i, " ".join(edited(rng, words, share))) for i in range(50)]
+    got = near_duplicates(docs(spark, rows), k=4, **regions).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 4)

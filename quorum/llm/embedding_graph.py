@@ -8,10 +8,12 @@
    covers (robust pruning), and edges go both ways; a row's lists of all its shards unite;
 4. every row searches its leaves: a greedy search from the shard's medoid and from the row
    itself, which goes on to the neighbours of everything within range.  Cosines are taken in
-   double precision, so a link found is a link; a pair that meets in several leaves counts
+   double precision, so a link found is a link; parts of one leaf are compared with each other
+   row by row; a pair that meets in several leaves counts
    in the first of them, and of a shard's links only a spanning forest leaves the task;
-5. an audit compares at most ``AUDIT`` rows with all rows by brute force.  Below the wanted
-   recall the search is repeated with a larger overlap.
+5. an audit compares at most ``AUDIT`` rows with links and as many of all rows with all rows
+   by brute force.  Below the wanted recall the search is repeated with a larger overlap, and
+   where none is enough every block of rows is compared with every other.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from quorum.llm.common import components, cut
@@ -34,10 +36,11 @@ DEGREE = 32
 CANDIDATES = 96
 ALPHA = 1.2
 BEAM = 48
-AUDIT = 256
+AUDIT = 1_024
 RECALL = 0.98
 OVERLAPS = (2, 4, 8)
 _BLOCK = 512
+_FOUND = "u long, v long, links long, rows long"
 
 
 def _valid(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,21 +198,35 @@ def search(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, own: np.
     return np.concatenate([*found_q, np.empty(0, dtype=np.int64)]), np.concatenate([*found_x, np.empty(0, dtype=np.int64)])
 
 
-def _searched(threshold: float):
+def compared(x: np.ndarray, queries: np.ndarray, threshold: float):
+    """All pairs (query, row) within range."""
+    found_q, found_x = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+    for at in range(0, len(queries), _BLOCK):
+        i, j = np.nonzero(queries[at:at + _BLOCK] @ x.T >= threshold)
+        found_q.append(i + at)
+        found_x.append(j)
+    return np.concatenate(found_q), np.concatenate(found_x)
+
+
+def _searched(threshold: float, exact: bool = False):
     def run(table: pa.Table) -> pa.Table:
         role = table["role"].to_numpy()
         ids, copies, leaf = table["rep"].to_numpy(), table["copies"].to_numpy(), table["leaf"][0].as_py()
         x = _units(table["unit"])
         member, asking = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
-        none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "links": pa.array([], pa.int64()),
+                         "rows": pa.array([], pa.int64())})
         if not len(member) or not len(asking):
             return none
-        place = {int(i): k for k, i in enumerate(ids[member])}
-        near = table["near"].combine_chunks()
-        lists = [np.array([place[i] for i in (v or ()) if i in place], dtype=np.int64)
-                 for v in near.take(pa.array(member)).to_pylist()]
-        own = np.array([place.get(int(i), -1) for i in ids[asking]])
-        i, j = search(x[member], lists, x[asking], own, threshold)
+        if exact or not (role == 3).any():
+            i, j = compared(x[member], x[asking], threshold)
+        else:
+            place = {int(i): k for k, i in enumerate(ids[member])}
+            near = table["near"].combine_chunks()
+            lists = [np.array([place[i] for i in (v or ()) if i in place], dtype=np.int64)
+                     for v in near.take(pa.array(member)).to_pylist()]
+            own = np.array([place.get(int(i), -1) for i in ids[asking]])
+            i, j = search(x[member], lists, x[asking], own, threshold)
         a, b = asking[i], member[j]
         other = ids[a] != ids[b]
         a, b = a[other], b[other]
@@ -224,6 +241,7 @@ def _searched(threshold: float):
         counted = first == leaf
         links = np.zeros(len(ids), dtype=np.int64)
         np.add.at(links, a[counted], copies[b[counted]])
+        met = np.bincount(a[counted], minlength=len(ids))
         # A spanning forest of the shard's links.
         label = np.arange(len(ids))
 
@@ -247,7 +265,8 @@ def _searched(threshold: float):
         some = np.flatnonzero(links)
         return pa.table({"u": pa.array([*u, *ids[some].tolist()], pa.int64()),
                          "v": pa.array([*v, *([None] * len(some))], pa.int64()),
-                         "links": pa.array([*([None] * len(u)), *links[some].tolist()], pa.int64())})
+                         "links": pa.array([*([None] * len(u)), *links[some].tolist()], pa.int64()),
+                         "rows": pa.array([*([None] * len(u)), *met[some].tolist()], pa.int64())})
     return run
 
 
@@ -266,31 +285,58 @@ def _links(classes: DataFrame, centers: np.ndarray, overlap: int, threshold: flo
         .applyInArrow(_built, "rep long, near array<long>")
     united = cut(graph.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
     rows = shards.join(united, "rep", "left")
-    # A leaf of several parts is searched block against block: (part indexed, part asking).
+    return _blocks(rows).applyInArrow(_searched(threshold), _FOUND)
+
+
+def _blocks(rows: DataFrame) -> GroupedData:
+    """A leaf of several parts is searched block against block: (part indexed, part asking)."""
     numbers = F.sequence(F.lit(0), F.col("parts") - 1)
     same = rows.select("*", F.col("part").alias("index"), F.col("part").alias("ask"), F.lit(3).alias("role"))
     index = rows.filter("parts > 1").select("*", F.col("part").alias("index"), F.explode(numbers).alias("ask"), F.lit(1).alias("role"))
     ask = rows.filter("parts > 1").select("*", F.explode(numbers).alias("index"), F.col("part").alias("ask"), F.lit(2).alias("role"))
-    return same.union(index.filter("index <> ask")).union(ask.filter("index <> ask")) \
-        .groupBy("leaf", "index", "ask").applyInArrow(_searched(threshold), "u long, v long, links long")
+    return same.union(index.filter("index <> ask")).union(ask.filter("index <> ask")).groupBy("leaf", "index", "ask")
+
+
+def _all_links(classes: DataFrame, threshold: float, shard_rows: int) -> DataFrame:
+    """The links of ``_links`` by comparing all rows, as one leaf."""
+    parts = max(1, -(-classes.count() // shard_rows))
+    rows = classes.select("rep", "copies", "unit", F.array(F.lit(0)).alias("leaves"), F.lit(0).alias("leaf"), F.lit(parts).alias("parts"),
+                          F.pmod(F.xxhash64("rep"), F.lit(parts).cast("long")).cast("int").alias("part"),
+                          F.lit(None).cast("array<long>").alias("near"))
+    return _blocks(rows).applyInArrow(_searched(threshold, exact=True), _FOUND)
 
 
 def audit(classes: DataFrame, found: DataFrame, threshold: float, limit: int = AUDIT) -> float:
-    """Share of the links of a bounded set of rows that were found, against brute force."""
-    asked = classes.orderBy(F.xxhash64("rep"), "rep").limit(limit).select("rep", "unit").collect()
+    """Recall of a bounded set of rows against brute force, the mean over rows with links.
+
+    ``found``: (rep, rows), how many rows each links to.  The lesser of two recalls: of rows
+    that were found to have links, which are there where links are rare, and of any rows.
+    Copies do not weigh.
+    """
+    some = classes.orderBy(F.xxhash64("rep"), "rep").limit(limit).select("rep", F.lit(0).alias("kind"))
+    linked = found.select("rep").orderBy(F.xxhash64("rep", F.lit(1)), "rep").limit(limit).select("rep", F.lit(1).alias("kind"))
+    asked = some.union(linked).groupBy("rep").agg(F.collect_set("kind").alias("kinds")) \
+        .join(classes.select("rep", "unit"), "rep").join(found, "rep", "left").select("rep", "kinds", "unit", "rows").collect()
     if not asked:
         return 1.0
     ids, q = np.array([r["rep"] for r in asked]), np.array([r["unit"] for r in asked])
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            s = q @ _units(batch.column(2)).T >= threshold
-            s &= ids[:, None] != batch.column(0).to_numpy()[None, :]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array((s * batch.column(1).to_numpy()).sum(axis=1))], names=["rep", "n"])
+            i, j = compared(_units(batch.column(1)), q, threshold)
+            n = np.bincount(i[ids[i] != batch.column(0).to_numpy()[j]], minlength=len(ids))
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(n[some])], names=["rep", "n"])
 
-    true = classes.select("rep", "copies", "unit").mapInArrow(run, "rep long, n long").groupBy("rep").agg(F.sum("n").alias("n"))
-    both = true.join(found, "rep", "left").agg(F.sum("n"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not both[0] else (both[1] or 0) / both[0]
+    true = {r["rep"]: r["n"] for r in classes.select("rep", "unit").mapInArrow(run, "rep long, n long")
+            .groupBy("rep").agg(F.sum("n").alias("n")).collect()}
+    shares = [[(r["rows"] or 0) / true[r["rep"]] for r in asked if kind in r["kinds"] and r["rep"] in true] for kind in (0, 1)]
+    return min((float(np.mean(x)) for x in shares if x), default=1.0)
+
+
+def _counts(found: DataFrame) -> DataFrame:
+    return found.filter("links is not null").groupBy(F.col("u").alias("rep")) \
+        .agg(F.sum("links").alias("links"), F.sum("rows").alias("rows"))
 
 
 def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9,
@@ -324,9 +370,14 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         for overlap in OVERLAPS:
             centers, _ = fit_centroids(sample, max(1, -(-n * overlap // leaf_rows)))
             found = cut(_links(own, centers, overlap, threshold, shard_rows), "links")
-            each = found.filter("links is not null").groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
-            if len(centers) <= overlap or audit(own, each, threshold) >= recall:
+            each = _counts(found)
+            if audit(own, each.select("rep", "rows"), threshold) >= recall:
+                break
+            if overlap == OVERLAPS[-1] or len(centers) <= overlap:
+                found = cut(_all_links(own, threshold, shard_rows), "links")
+                each = _counts(found)
                 break
+        each = each.select("rep", "links")
         edges = found.filter("v is not null").select("u", "v")
         counts, links = (each, edges) if counts is None else (counts.union(each), links.union(edges))
     if counts is None:

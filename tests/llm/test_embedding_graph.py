@@ -88,3 +88,27 @@ def test_graph_search_recall():
     assert len(q) >= 0.9 * want.sum()
     q, j = search(x, lists, x, np.arange(len(x)), 0.9)
     assert len(q) >= 0.99 * want.sum()
+
+
+def test_a_search_short_of_its_recall_is_not_returned(spark, monkeypatch):
+    """A search that finds nothing, and links so rare that few of any rows have one."""
+    from quorum.llm import embedding_graph as e
+    monkeypatch.setattr(e, "search", lambda x, lists, queries, own, threshold: (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)))
+    monkeypatch.setattr(e, "OVERLAPS", (2,))
+    rows = corpus(seed=4, n=200)
+    got = near_vectors(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA), leaf_rows=100, shard_rows=60).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+def test_audit_asks_rows_with_links_and_ignores_copies(spark):
+    from quorum.llm.embedding_graph import audit
+    x = np.eye(40)
+    x[1], x[3] = x[0], x[2]             # 0-1 found, 2-3 not; 0 and 1 stand for many copies
+    classes = spark.createDataFrame([(i, 1000 if i < 2 else 1, v.tolist()) for i, v in enumerate(x)], "rep long, copies long, unit array<double>")
+    found = spark.createDataFrame([(0, 1), (1, 1)], "rep long, rows long")
+    assert audit(classes, found, 0.9) == 0.5
+    none = spark.createDataFrame([(i, 1) for i in range(4)], "rep long, rows long")
+    assert audit(classes, none, 0.9) == 1.0
+    half = spark.createDataFrame([(i, 2) for i in range(20)], "rep long, rows long")
+    same = spark.createDataFrame([(i, 1, [1.0, 0.0]) for i in range(5)], "rep long, copies long, unit array<double>")
+    assert audit(same, half.filter("rep < 5"), 0.9, limit=1) == 0.5

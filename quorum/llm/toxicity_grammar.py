@@ -10,12 +10,13 @@ What is learned, from at most ``TRAIN_ROWS`` labelled rows (by hash order): the
 lexicon, whole words and stems whose association with the label passes a likelihood-ratio
 test corrected for the number of candidates (words that clean rows hold now and then are
 mild ones), and the weight of each clause label, by ridge
-regression towards the grammar's own prior weights.  Near copies among the training rows
-count once.
+regression towards the grammar's own prior weights.  Training rows of one label with equal
+sets of shingles count once; all others count.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.llm.common import batches, binaries, cut
-from quorum.llm.shingles import _POWERS, MinHash, mix, shingle_set
+from quorum.llm.shingles import _POWERS, mix, shingle_set
 
 TRAIN_ROWS = 30_000
 LEXICON_TERMS = 5_000
@@ -253,15 +254,9 @@ def _terms(text: bytes) -> set[tuple[bool, bytes]]:
 
 
 def _families(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    minhash = MinHash(3, seed=11)
     for batch in rows:
-        keys = []
-        for text in binaries(batch.column(1)):
-            found = shingle_set(text, 3)
-            keys.append([int(v) for v in minhash.of(found)] if len(found) else [0, 0, 0])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), *(pa.array([k[i] for k in keys], pa.int64()) for i in range(3))],
-            names=["doc", "text", "label", "f0", "f1", "f2"])
+        keys = [hashlib.blake2b(shingle_set(text, 3).tobytes(), digest_size=16).digest() for text in binaries(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], names=["doc", "text", "label", "family"])
 
 
 def _counted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +292,9 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
     lexicon is empty and the weights are the grammar's own.
     """
     rows = training_rows(docs, labels, "toxic", held_out, limit)
-    distinct = rows.mapInArrow(_families, "doc long, text string, label int, f0 long, f1 long, f2 long")
-    for key in ("f0", "f1", "f2"):
-        distinct = distinct.groupBy(key).agg(F.min(F.struct("doc", "text", "label", "f0", "f1", "f2")).alias("least")) \
-            .select("least.*")
+    # Rows of one label with equal sets of shingles count once.
+    distinct = rows.mapInArrow(_families, "doc long, text string, label int, family binary") \
+        .groupBy("family", "label").agg(F.min(F.struct("doc", "text", "label")).alias("least")).select("least.*")
     distinct = cut(distinct.select("doc", "text", "label"), "training")
     total = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
     n1, n0 = total.get(1, 0), total.get(0, 0)

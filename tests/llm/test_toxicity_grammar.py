@@ -77,3 +77,16 @@ def test_without_labels(spark):
     got = g.score(docs(spark, [(1, "I will kill you"), (2, "hello")]), model).collect()
     assert [r.score > 0.2 for r in sorted(got)] == [True, False]
     assert g.score(docs(spark, []), model).collect() == []
+
+
+def test_rows_that_share_a_passage_all_count(spark, monkeypatch):
+    """Only equal sets of shingles of one label collapse, not rows that share a passage."""
+    rng = random.Random(6)
+    passage = " ".join(prose(rng, 60, 5000))
+    rows = [(i, passage + " " + " ".join(prose(rng, 30, 5000))) for i in range(40)]
+    rows += [(100 + i, rows[0][1]) for i in range(5)] + [(200, rows[0][1])]
+    labels = [(i, i % 2) for i in range(40)] + [(100 + i, 0) for i in range(5)] + [(200, 1)]
+    kept = []
+    monkeypatch.setattr(g, "cut", lambda df, name: kept.append(df) or df)
+    g.fit(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(False))
+    assert sorted(r.doc for r in kept[0].collect()) == [*range(40), 200]

@@ -1,7 +1,8 @@
 """Main text of web pages by host consensus on container paths.
 
 1. each page is parsed once and its containers scored: text outside links counts for the
-   nearest container and half for the one around it, less what is linked; containers whose
+   nearest container and by halves for those around it, less what is linked; an article or
+   main that is mostly kept text has all the text below it; containers whose
    tag or class names a menu, notice, advert and the like score nothing;
 2. a page votes for its best containers' generalised paths (tags with their class names,
    digits and order taken out); Spark adds the votes per host with partial sums and keeps a
@@ -38,7 +39,7 @@ _RAW = frozenset("script style noscript template iframe svg math object textarea
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
                    "summary table tbody td tfoot th thead tr ul caption".split())
-_CONTAINER = frozenset("article body center div main section td blockquote".split())
+_CONTAINER = frozenset("article body center div main section".split())
 _DROPPED = frozenset("nav footer aside form button dialog menu audio video canvas map head".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Names of parts that are not the article, as whole words of a class, id or role.
@@ -182,16 +183,31 @@ def kept(node: Node, heading: bool) -> bool:
 def scores(page: str | None) -> dict[str, float]:
     """Scores of the generalised paths of a page's containers."""
     out: dict[str, float] = {}
-    for node, text, linked, heading in blocks(page or ""):
+    found = blocks(page or "")
+    # Unlinked text below each article or main, kept and in all.
+    below: dict[int, list[int]] = {}
+    for node, text, linked, heading in found:
+        for n in _ancestors(node):
+            if n.tag in ("article", "main"):
+                counts = below.setdefault(n.number, [0, 0])
+                counts[0] += (len(text) - linked) * kept(node, heading)
+                counts[1] += len(text) - linked
+    for node, text, linked, heading in found:
         if not kept(node, heading):
             continue
         weight = len(text) - 2 * linked
         containers = [n for n in _ancestors(node) if n.tag in _CONTAINER or not n.tag]
-        for share, container in zip((1.0, 0.5, 0.25), containers):
-            if container.tag == "article" or container.tag == "main":
-                out[container.path] = out.get(container.path, 0) + weight * 1.5 * share
+        # The outermost article or main that is mostly kept text, else the nearest one, has
+        # all the text below it.
+        around = [n for n in containers if n.tag in ("article", "main")]
+        whole = next((n for n in reversed(around) if 2 * below[n.number][0] >= below[n.number][1]), around[0] if around else None)
+        share = 1.0
+        for container in containers:
+            if container is whole:
+                out[container.path] = out.get(container.path, 0) + weight * 1.5
                 break
             out[container.path] = out.get(container.path, 0) + weight * share
+            share /= 2
     return {p: s for p, s in out.items() if s > 0}
 
 

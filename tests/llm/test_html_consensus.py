@@ -74,3 +74,19 @@ def test_given_pages(spark):
         parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>|<br>", " ", inner))
         want = [" ".join(html.unescape(p).split()) for p in parts]
         assert got[r.page_id] == "\n".join(w for w in want if w)
+
+
+LONG = "long text of the article, " * 30
+
+
+@pytest.mark.parametrize("markup,text", [
+    (f"<article><h1>Head</h1><p>intro</p><section><p>{LONG}</p></section></article>", f"Head\nintro\n{LONG.strip()}"),
+    (f"<main><h1>Head</h1><div class='x'><div class='body'><p>{LONG}</p></div></div><div class='end'><p>End</p></div></main>",
+     f"Head\n{LONG.strip()}\nEnd"),
+    (f"<article><p>intro</p><table><caption>Cap</caption><tr><th>h</th><td>{LONG}</td></tr></table><p>end</p></article>",
+     f"intro\nCap\nh\n{LONG.strip()}\nend"),
+    (f"<div class='post'><p>intro</p><blockquote><p>{LONG}</p></blockquote><p>end</p></div>", f"intro\n{LONG.strip()}\nend"),
+    (f"<main><h1>Head</h1><article><p>{LONG}</p></article></main>", f"Head\n{LONG.strip()}"),
+])
+def test_nested_containers_keep_the_whole_article(markup, text):
+    assert main_text(page(markup), [])[1] == text

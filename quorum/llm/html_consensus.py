@@ -3,7 +3,8 @@
 1. each page is parsed once and its containers scored: text outside links counts for the
    nearest container and by halves for those around it, less what is linked; an article or
    main that is mostly kept text has all the text below it; containers whose
-   tag or class names a menu, notice, advert and the like score nothing;
+   tag or class names a menu, notice, advert and the like score nothing (names that also
+   stand on an article's wrapper count only if most text stays without them);
 2. a page votes for its best containers' generalised paths (tags with their class names,
    digits and order taken out); Spark adds the votes per host with partial sums and keeps a
    host's paths with at least ``SHARE`` of its votes;
@@ -42,12 +43,19 @@ _BLOCK = frozenset("address article aside blockquote body center dd details dial
 _CONTAINER = frozenset("article body center div main section".split())
 _DROPPED = frozenset("nav footer aside form button dialog menu audio video canvas map head".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Names of parts that are not the article, as whole words of a class, id or role.
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification|alert|"
-    r"menu|nav\w*|breadcrumbs?|sidebar|side|widget|footer|masthead|header|toolbar|comments?|commentlist|replies|reply|"
-    r"disqus|respond|social|share|sharing|related|recommend\w*|newsletter|subscribe|signup|login|popup|modal|overlay|"
-    r"pagination|pager|search|skip|print|copyright|contentinfo|complementary|navigation|dialog)(?:$|[\s_-])", re.I)
+# Names of parts that are not the article: the first or last word of a class, id or role.
+_FIRM = re.compile(
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|menu|nav\w*|breadcrumbs?|footer|comments?|"
+    r"commentlist|replies|reply|disqus|respond|newsletter|subscribe|signup|login|popup|modal|overlay|pagination|pager|"
+    r"skip|copyright|contentinfo|complementary|navigation|dialog)", re.I)
+# Names that also stand on wrappers of articles.
+_SOFT = re.compile(
+    r"(?:banner|notices?|notification|alert|sidebar|side|widget|masthead|header|toolbar|social|share|sharing|related|"
+    r"recommend\w*|search|print)", re.I)
+_COMMENTS = re.compile(r"(?:comments?|commentlist|replies|reply|disqus|respond)", re.I)
+# Words that make a name say what the layout has or lacks.
+_STATE = frozenset("has no with without is not open closed fixed sticky enabled disabled".split())
+SOFT, FIRM, ALWAYS = 1, 2, 3
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
@@ -56,7 +64,7 @@ _KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 class Node:
     __slots__ = ("tag", "path", "noise", "hidden", "parent", "number")
 
-    def __init__(self, tag: str, path: str, noise: bool, hidden: bool, parent: Node | None, number: int) -> None:
+    def __init__(self, tag: str, path: str, noise: int, hidden: bool, parent: Node | None, number: int) -> None:
         self.tag, self.path, self.noise, self.hidden, self.parent, self.number = tag, path, noise, hidden, parent, number
 
 
@@ -75,11 +83,25 @@ def _names(attributes: str) -> tuple[str, str, bool]:
     return classes, " ".join(names), hidden
 
 
+def _noise(names: str) -> int:
+    """How surely names tell a part that is not the article."""
+    found = 0
+    for name in names.split():
+        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+        if not words or any(w.lower() in _STATE for w in words):
+            continue
+        for word in (words[0], words[-1]):
+            if _COMMENTS.fullmatch(word):
+                return ALWAYS
+            found = max(found, FIRM if _FIRM.fullmatch(word) else SOFT if _SOFT.fullmatch(word) else 0)
+    return found
+
+
 def blocks(page: str) -> list[tuple[Node, str, int, bool]]:
     """The page's text blocks in order: (innermost block element, text, linked chars, heading)."""
     out: list[tuple[Node, str, int, bool]] = []
     number = 0
-    root = Node("", "", False, False, None, 0)
+    root = Node("", "", 0, False, None, 0)
     stack = [root]
     parts: list[str] = []
     linked = [0]
@@ -154,12 +176,17 @@ def blocks(page: str) -> list[tuple[Node, str, int, bool]]:
         classes, names, hidden = _names(attributes) if attributes else ("", "", False)
         parent = stack[-1]
         number += 1
-        noise = parent.noise or tag in _DROPPED or bool(names and tag not in ("body", "html", "main", "article")
-                                                        and _NOISE.search(names))
-        if tag == "article" and names and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", names, re.I):
-            noise = True
-        if tag == "header":
-            noise = noise or not any(n.tag in ("article", "main") for n in stack)
+        noise = parent.noise
+        if tag in ("article", "main") and noise < ALWAYS and not any(n.tag in ("article", "main") for n in stack):
+            noise = 0               # a wrapper's name says nothing about the article in it
+        if tag in _DROPPED:
+            noise = ALWAYS
+        elif names and tag not in ("body", "html", "main", "article"):
+            noise = max(noise, _noise(names))
+        if tag == "article" and names and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", names, re.I) and _noise(names):
+            noise = ALWAYS
+        if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+            noise = ALWAYS
         stack.append(Node(tag, f"{parent.path}>{tag}{'.' + classes if classes else ''}" if tag in _BLOCK else parent.path,
                           noise, parent.hidden or hidden, parent, number))
         links += tag == "a"
@@ -173,27 +200,34 @@ def _ancestors(node: Node | None) -> Iterator[Node]:
         node = node.parent
 
 
-def kept(node: Node, heading: bool) -> bool:
-    """Whether a block belongs to an article: not noise, and of headers only the headings."""
-    if node.noise or node.hidden:
+def kept(node: Node, heading: bool, noise: int = 0) -> bool:
+    """Whether a block belongs to an article: at most that noise, and of headers only the headings."""
+    if node.noise > noise or node.hidden:
         return False
     return heading or not any(n.tag == "header" for n in _ancestors(node))
 
 
+def _limit(found: list[tuple[Node, str, int, bool]]) -> int:
+    """The noise that a page's blocks may have: ``SOFT`` where without it most text would go."""
+    rest, all_ = (sum(len(text) - linked for node, text, linked, heading in found if kept(node, heading, noise)) for noise in (0, SOFT))
+    return SOFT if 2 * rest < all_ else 0
+
+
 def scores(page: str | None) -> dict[str, float]:
     """Scores of the generalised paths of a page's containers."""
     out: dict[str, float] = {}
     found = blocks(page or "")
+    limit = _limit(found)
     # Unlinked text below each article or main, kept and in all.
     below: dict[int, list[int]] = {}
     for node, text, linked, heading in found:
         for n in _ancestors(node):
             if n.tag in ("article", "main"):
                 counts = below.setdefault(n.number, [0, 0])
-                counts[0] += (len(text) - linked) * kept(node, heading)
+                counts[0] += (len(text) - linked) * kept(node, heading, limit)
                 counts[1] += len(text) - linked
     for node, text, linked, heading in found:
-        if not kept(node, heading):
+        if not kept(node, heading, limit):
             continue
         weight = len(text) - 2 * linked
         containers = [n for n in _ancestors(node) if n.tag in _CONTAINER or not n.tag]
@@ -214,7 +248,8 @@ def scores(page: str | None) -> dict[str, float]:
 def main_text(page: str | None, winners: list[str]) -> tuple[str, str]:
     """(path, text) along the first winner that the page has, else its own best container."""
     found = blocks(page or "")
-    paths = {n.path for node, _, _, heading in found if kept(node, heading) for n in _ancestors(node)
+    limit = _limit(found)
+    paths = {n.path for node, _, _, heading in found if kept(node, heading, limit) for n in _ancestors(node)
              if n.tag in _CONTAINER or not n.tag}
     path = next((w for w in winners if w in paths), None)
     if path is None:
@@ -223,7 +258,7 @@ def main_text(page: str | None, winners: list[str]) -> tuple[str, str]:
             return "", ""
         path = max(own, key=lambda p: (own[p], p))
     texts = [text for node, text, _, heading in found
-             if kept(node, heading) and any(n.path == path and (n.tag in _CONTAINER or not n.tag) for n in _ancestors(node))]
+             if kept(node, heading, limit) and any(n.path == path and (n.tag in _CONTAINER or not n.tag) for n in _ancestors(node))]
     return path, "\n".join(texts)
 
 

@@ -90,3 +90,17 @@ LONG = "long text of the article, " * 30
 ])
 def test_nested_containers_keep_the_whole_article(markup, text):
     assert main_text(page(markup), [])[1] == text
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "entry no-comments", "post with-header", "search-result", "print", "nav-open"])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<main>{}</main>"])
+def test_a_wrapper_named_like_noise_keeps_its_article(name, inner):
+    markup = f"<div class='{name}'>" + inner.format(f"<p>{LONG}</p><p>more</p>") + "</div>"
+    assert main_text(page(markup), [])[1] == f"{LONG.strip()}\nmore"
+
+
+@pytest.mark.parametrize("name", ["site-footer", "sidebar", "post-comments", "comments-list", "related", "share", "main-menu", "ad"])
+def test_parts_named_as_noise_still_go(name):
+    part = f"<div class='{name}'><p>not the article</p></div>"
+    assert main_text(page(f"<article><p>{LONG}</p>{part}<p>end</p></article>"), [])[1] == f"{LONG.strip()}\nend"
+    assert main_text(page(f"<div class='x'><p>{LONG}</p>{part}</div>", part), [])[1] == LONG.strip()

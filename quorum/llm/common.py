@@ -17,9 +17,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     Later stages then start from files that every executor sees, so a lost executor costs
     its own tasks only.
     """
+    return cut_at(df, name)[0]
+
+
+def cut_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``cut`` with the table's path, for a caller that deletes it later."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``cut_at`` that nothing reads any more (a round's state whose
+    successor is written), through the file system that its path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def binaries(column: pa.Array) -> list[bytes | None]:

@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import decontaminate, html_consensus, license_scan, piece_stream, quality_features, toxicity_grammar
+from quorum.llm import byte_merges, decontaminate, html_consensus, license_scan, piece_stream, quality_features, toxicity_grammar
 from quorum.llm.common import read
 from quorum.llm.embedding_graph import near_vectors
+from quorum.llm.gnat_codes import compress
 from quorum.llm.minhash_forest import near_duplicates
+from quorum.llm.ns_clusters import cluster
 from quorum.llm.suffix_runs import remove_repeats
 from quorum.llm.warc_zip import archived_pages
 
@@ -88,6 +90,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("matches", lambda m: m["start"]).alias("first_words"))
 
 
+def op11_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten rounds of 8 centroids over the 64-component vectors, bounds instead of rescans."""
+    return cluster(read(spark, sf_dir, "embeddings")).drop("evaluations").withColumnRenamed("id", "vec_id")
+
+
+def op12_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four bytes per vector: its parts' nearest entries, found by GNAT searches."""
+    return compress(read(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_byte_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of each document, and the bytes that decoding them gives."""
+    vocabulary = byte_merges.load()
+    ids = byte_merges.encode(read(spark, sf_dir, "documents"), vocabulary)
+    digested = ids.select("id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"))
+    return byte_merges.decode(digested, vocabulary, carry=("n_tokens", "ids_sha256")).select(
+        F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": op1_minhash_forest,
     "op2_warc_zip": op2_warc_zip,
@@ -99,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_features": op8_quality_features,
     "op9_decontaminate": op9_decontaminate,
     "op10_license_scan": op10_license_scan,
+    "op11_ns_clusters": op11_ns_clusters,
+    "op12_gnat_codes": op12_gnat_codes,
+    "op13_byte_merges": op13_byte_merges,
 }

@@ -95,9 +95,95 @@ SELECT t.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, t.vec_id = c.compo
 FROM embeddings t JOIN component c ON c.node = t.vec_id LEFT JOIN counts n ON n.a = t.vec_id
 """
 
+# Integer vectors, one row per component; rows that hold a null or non-finite one are left out.
+_COMPONENTS = """
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL {where}
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0
+),
+component AS MATERIALIZED (SELECT rid, unnest(range(len(v))) AS i, unnest(v) AS x FROM kept)
+"""
+
+
+def _floor_mean(x: str) -> str:
+    total, n = f"CAST(sum({x}) AS BIGINT)", "count(*)"
+    return f"({total} - (({total} % {n}) + {n}) % {n}) // {n}"
+
+
+def _clusters(k: int = 8, rounds: int = 10, size: int = 64) -> str:
+    """Lloyd's rounds with every distance taken."""
+    steps = [_COMPONENTS.format(where=f"AND len(embedding) = {size}"), f"""
+center0 AS MATERIALIZED (
+  SELECT c, unnest(range({size})) AS i, unnest(v) AS x
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v FROM kept) WHERE c < {k}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT rid, c, d FROM (
+    SELECT rid, c, d, row_number() OVER (PARTITION BY rid ORDER BY d, c) AS nth FROM (
+      SELECT a.rid, b.c, CAST(sum((a.x - b.x) * (a.x - b.x)) AS BIGINT) AS d
+      FROM component a JOIN center{r} b ON a.i = b.i GROUP BY a.rid, b.c))
+  WHERE nth = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+center{r + 1} AS MATERIALIZED (
+  SELECT n.c, a.i, {_floor_mean("a.x")} AS x FROM component a JOIN near{r} n ON a.rid = n.rid GROUP BY n.c, a.i
+  UNION ALL SELECT c, i, x FROM center{r} WHERE c NOT IN (SELECT c FROM near{r})
+)""")
+    return "WITH " + ",".join(steps) + f""",
+per AS (SELECT c, CAST(sum(d) AS BIGINT) AS s FROM near{rounds} GROUP BY c),
+names AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS h FROM center{rounds} GROUP BY c)
+SELECT k.vec_id, CAST(n.c AS INTEGER) AS cluster, n.d AS distance, per.s AS cluster_inertia,
+       CAST((SELECT sum(s) FROM per) AS BIGINT) AS inertia, names.h AS centroid_sha256
+FROM kept k JOIN near{rounds} n ON n.rid = k.rid JOIN per ON per.c = n.c JOIN names ON names.c = n.c
+"""
+
+
+def _codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Product codes with every distance taken; all vectors have one length."""
+    steps = [_COMPONENTS.format(where=""), f"""
+piece AS MATERIALIZED (
+  SELECT c.rid, c.i // (len(k.v) // {parts}) AS p, c.i % (len(k.v) // {parts}) AS i, c.x
+  FROM component c JOIN kept k ON k.rid = c.rid
+),
+book0 AS MATERIALIZED (
+  SELECT p.p, o.e, p.i, p.x FROM piece p
+  JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept) o ON o.rid = p.rid WHERE o.e < {entries}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT rid, p, e, d FROM (
+    SELECT rid, p, e, d, row_number() OVER (PARTITION BY rid, p ORDER BY d, e) AS nth FROM (
+      SELECT a.rid, a.p, b.e, CAST(sum((a.x - b.x) * (a.x - b.x)) AS BIGINT) AS d
+      FROM piece a JOIN book{r} b ON a.p = b.p AND a.i = b.i GROUP BY a.rid, a.p, b.e))
+  WHERE nth = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+book{r + 1} AS MATERIALIZED (
+  SELECT a.p, n.e, a.i, {_floor_mean("a.x")} AS x FROM piece a JOIN near{r} n ON a.rid = n.rid AND a.p = n.p GROUP BY a.p, n.e, a.i
+  UNION ALL SELECT b.p, b.e, b.i, b.x FROM book{r} b ANTI JOIN near{r} n ON n.p = b.p AND n.e = b.e
+)""")
+    return "WITH " + ",".join(steps) + f""",
+coded AS (
+  SELECT rid, string_agg(format('{{:02x}}', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY rid
+)
+SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) FROM book{rounds}) AS codebooks_sha256
+FROM kept k JOIN coded c ON c.rid = k.rid
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_forest": _NEAR_DUPLICATES,
     "op2_warc_zip": _WARC,
     "op4_suffix_runs": _REPEATS,
     "op6_embedding_graph": _VECTORS,
+    "op11_ns_clusters": _clusters(),
+    "op12_gnat_codes": _codes(),
 }

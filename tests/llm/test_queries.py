@@ -19,6 +19,9 @@ COLUMNS = {
     "op8": ["doc_id", "held_out", "score", "predicted"],
     "op9": ["doc_id", "contaminated", "items", "least_edits"],
     "op10": ["doc_id", "licenses", "containments", "first_words"],
+    "op11": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op12": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 TABLE = {"page_id": "pages", "doc_id": "documents", "vec_id": "embeddings"}
 

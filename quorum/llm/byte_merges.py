@@ -9,9 +9,11 @@ rank.  A merge joins that pair and makes three point updates on live neighbours:
 the joined token, the pair after it, and the position that died.  A match of n bytes takes
 O(n log n), whatever it repeats.
 
-Matches are short as a rule and recur, so a task remembers the ids of up to ``MEMO`` of at most
-``MEMO_BYTES`` bytes; a full memo is emptied, which changes no result.  A task holds the
-vocabulary, the memo, one text with its ids, and 16 bytes per byte of the longest match.
+Matches are short as a rule and recur, so a task encodes the distinct ones of a block of text
+and remembers up to ``MEMO`` of at most ``MEMO_CHARS`` characters; a full memo is emptied, which
+changes no result, and ends with its task.  A task holds the vocabulary, the memo, a batch of
+texts with its ids (about ``BATCH_UNITS``, or one text), the matches of a block of a text, and
+about 24 bytes per byte of the longest match.
 
 Defined cases: a null text encodes like an empty one, to no ids; null ids, repeated rows, an
 empty table and further columns are fine; texts of any length are encoded whole, and a match of
@@ -34,8 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-MEMO = 200_000
-MEMO_BYTES = 48
+MEMO = 250_000
+MEMO_CHARS = 48
+BLOCK = 1_000_000           # characters whose matches are held at once
+SMALL = 4_096               # bytes of a match up to which plain lists serve
 BATCH_UNITS = 2_000_000
 BATCH_ROWS = 512
 NONE = 2 ** 31 - 1          # above every rank
@@ -56,57 +60,62 @@ class PairRanks:
     """Segment tree over positions; a leaf holds the rank of the pair that starts there."""
 
     def __init__(self, leaves: list[int]) -> None:
-        self.size = 1 << max(0, (len(leaves) - 1).bit_length())
-        self.tree = array("i", [NONE]) * (2 * self.size)
-        self.tree[self.size:self.size + len(leaves)] = array("i", leaves)
-        tree = self.tree
-        for node in range(self.size - 1, 0, -1):
+        size = self.size = 1 << max(0, (len(leaves) - 1).bit_length())
+        tree = [NONE] * size + leaves + [NONE] * (size - len(leaves))
+        if size > SMALL:                     # four bytes a node instead of references
+            tree = array("i", tree)
+        for node in range(size - 1, 0, -1):
             left, right = tree[2 * node], tree[2 * node + 1]
             tree[node] = left if left <= right else right
+        self.tree = tree
 
     def update(self, at: int, rank: int) -> None:
         tree = self.tree
         at += self.size
         tree[at] = rank
         while at > 1:
+            other = tree[at ^ 1]
             at >>= 1
-            left, right = tree[2 * at], tree[2 * at + 1]
-            least = left if left <= right else right
-            if tree[at] == least:
+            if other < rank:
+                rank = other
+            if tree[at] == rank:
                 break
-            tree[at] = least
+            tree[at] = rank
 
     def leftmost_least(self) -> int:
         """The position of the leftmost least rank; -1: no pair is left."""
-        tree, node = self.tree, 1
-        if tree[1] == NONE:
+        tree, size, node = self.tree, self.size, 1
+        least = tree[1]
+        if least == NONE:
             return -1
-        while node < self.size:
+        while node < size:
             node *= 2
-            if tree[node] > tree[node + 1]:
+            if tree[node] != least:
                 node += 1
-        return node - self.size
+        return node - size
 
 
 def merge(ranks: dict[bytes, int], piece: bytes) -> list[int]:
     """The ids of one match by the merge rule."""
-    n = len(piece)
-    # The live token at a position ends where the next one begins; before[] of the end is unused.
-    end = array("i", range(1, n + 1))
-    before = array("i", range(-1, n - 1))
-    pairs = PairRanks([ranks.get(piece[i:i + 2], NONE) for i in range(n - 1)] + [NONE])
-    while (at := pairs.leftmost_least()) >= 0:
+    n, rank_of = len(piece), ranks.get
+    # The live token at a position ends where the next one begins.
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    if n > SMALL:
+        end, before = array("i", end), array("i", before)
+    pairs = PairRanks([rank_of(piece[i:i + 2], NONE) for i in range(n - 1)] + [NONE])
+    update, leftmost_least = pairs.update, pairs.leftmost_least
+    while (at := leftmost_least()) >= 0:
         dead = end[at]
         stop = end[at] = end[dead]
-        pairs.update(dead, NONE)
+        update(dead, NONE)
         if stop < n:
             before[stop] = at
-            pairs.update(at, ranks.get(piece[at:end[stop]], NONE))
+            update(at, rank_of(piece[at:end[stop]], NONE))
         else:
-            pairs.update(at, NONE)
+            update(at, NONE)
         first = before[at]
         if first >= 0:
-            pairs.update(first, ranks.get(piece[first:stop], NONE))
+            update(first, rank_of(piece[first:stop], NONE))
     ids, at = [], 0
     while at < n:
         ids.append(ranks[piece[at:end[at]]])
@@ -115,36 +124,64 @@ def merge(ranks: dict[bytes, int], piece: bytes) -> list[int]:
 
 
 class Tokenizer:
-    """A vocabulary with its pattern; ids of frequent matches are remembered."""
+    """A vocabulary with its pattern; ids of matches are remembered as 32-bit integers."""
 
     def __init__(self, data: bytes, pattern: str = public_tokenizers.PATTERN) -> None:
         self.ranks = ranks_of(data)
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.matches = regex.compile(pattern).finditer
-        self.memo: dict[str, list[int]] = {}
+        self.pattern = regex.compile(pattern)
+        # No match of the public pattern goes from a character on to a white space after it, and
+        # the pattern looks at nothing before a match: there a text can be cut.
+        self.cut = regex.compile(r"(?<=\S)(?=\s)") if pattern == public_tokenizers.PATTERN else None
+        self.memo: dict[str, bytes] = {}
 
-    def _ids(self, match: str) -> list[int]:
+    def _ids(self, match: str) -> bytes:
         piece = match.encode("utf-8")
         whole = self.ranks.get(piece)
-        ids = [whole] if whole is not None else merge(self.ranks, piece)
-        if len(piece) <= MEMO_BYTES:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[match] = ids
-        return ids
-
-    def encode(self, text: str | None) -> array:
-        ids, memo = array("i"), self.memo
-        for found in self.matches(text or ""):
-            match = found.group()
-            ids.extend(memo.get(match) or self._ids(match))
-        return ids
+        return array("i", [whole] if whole is not None else merge(self.ranks, piece)).tobytes()
+
+    def _blocks(self, text: str) -> Iterator[str]:
+        start = 0
+        while self.cut is not None and len(text) - start > BLOCK:
+            found = self.cut.search(text, start + BLOCK)
+            if found is None:
+                break
+            yield text[start:found.start()]
+            start = found.start()
+        yield text[start:] if start else text
+
+    def encode(self, text: str | None) -> bytes:
+        """The text's ids as native 32-bit integers."""
+        out, memo = [], self.memo
+        for block in self._blocks(text or ""):
+            matches = self.pattern.findall(block)
+            new = set(matches).difference(memo)
+            if len(memo) + len(new) > MEMO:
+                memo.clear()
+                new = set(matches)
+            for match in new:
+                memo[match] = self._ids(match)
+            out.append(b"".join(map(memo.__getitem__, matches)))
+            for match in new:
+                if len(match) > MEMO_CHARS:
+                    del memo[match]
+        return b"".join(out)
+
+
+class Detokenizer:
+    """Bytes of ids."""
+
+    def __init__(self, data: bytes) -> None:
+        tokens = {rank: token for token, rank in ranks_of(data).items()}
+        self.tokens: list[bytes | None] = [tokens.get(i) for i in range(max(tokens) + 1)]
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        if ids and min(ids) < 0:
+            raise ValueError("an id below zero")
+        tokens = self.tokens
+        return b"".join([tokens[i] for i in ids])
 
 
 def _pieces(rows: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -171,12 +208,10 @@ def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(vocabulary)
         for batch in _pieces(rows, 1, BATCH_UNITS):
-            values, offsets = array("i"), [0]
-            for text in batch.column(1).to_pylist():
-                values.extend(tokenizer.encode(text))
-                offsets.append(len(values))
+            found = [tokenizer.encode(text) for text in batch.column(1).to_pylist()]
+            offsets = np.cumsum([0, *(len(ids) // 4 for ids in found)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(values, dtype=np.int32))),
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32))),
                  *batch.columns[2:]], names=["id", "ids", *batch.schema.names[2:]])
 
     return base.mapInArrow(run, "id long, ids array<int>" + _types(base, carry))
@@ -191,9 +226,12 @@ def decode(encoded: DataFrame, vocabulary: bytes, id_col: str = "id", ids_col: s
     base = encoded.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).cast("array<int>").alias("ids"), *(F.col(c) for c in carry))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = {rank: token for token, rank in ranks_of(vocabulary).items()}.__getitem__
+        decoder = Detokenizer(vocabulary)
         for batch in _pieces(rows, 1, BATCH_UNITS):
-            found = [None if ids is None else b"".join(map(tokens, ids)) for ids in batch.column(1).to_pylist()]
+            ids = batch.column(1)
+            values, ends = ids.flatten().to_pylist(), pc.list_value_length(ids).fill_null(0).to_numpy().cumsum().tolist()
+            found = [decoder.decode(values[a:b]) if known else None
+                     for a, b, known in zip([0, *ends[:-1]], ends, ids.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), *batch.columns[2:]],
                                              names=["id", "bytes", *batch.schema.names[2:]])
 

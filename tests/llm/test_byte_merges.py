@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -16,6 +17,10 @@ TEXTS = ["", " ", "  ", "\n\n\n a", "hello world", "I'm don't we'll", "<|endofte
          "日本語テキスト漢字" * 40, "🙂🙂 ok 🙂", "é" * 60, "​ x", "\x00\x01", "1234567890" * 50, "!?" * 200, "\t\tx = 3.14e-10\r\n"]
 
 
+def ids_of(tokenizer, text):
+    return np.frombuffer(tokenizer.encode(text), np.int32).tolist()
+
+
 def plain(piece: bytes) -> list[int]:
     """The merge rule over a list of parts."""
     parts = [piece[i:i + 1] for i in range(len(piece))]
@@ -36,14 +41,14 @@ def test_merge_equals_the_plain_rule():
 
 
 def test_equals_the_library_on_random_and_given_texts(spark):
-    tokenizer = bm.Tokenizer(DATA)
+    tokenizer, decoder = bm.Tokenizer(DATA), bm.Detokenizer(DATA)
     rng = random.Random(6)
     texts = TEXTS + ["".join(rng.choice("aeiou nrst\n  éßñ,.'漢🙂9") for _ in range(rng.randrange(500))) for _ in range(100)]
     texts += [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for text in texts:
-        ids = tokenizer.encode(text)
-        assert ids.tolist() == LIBRARY.encode_ordinary(text), text[:80]
-        assert tokenizer.decode(ids) == text.encode()
+        ids = ids_of(tokenizer, text)
+        assert ids == LIBRARY.encode_ordinary(text), text[:80]
+        assert decoder.decode(ids) == text.encode()
 
 
 def test_other_vocabulary():
@@ -51,12 +56,12 @@ def test_other_vocabulary():
     lib = tiktoken.Encoding("m", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bm.ranks_of(data), special_tokens={})
     tokenizer = bm.Tokenizer(data)
     for text in TEXTS:
-        assert tokenizer.encode(text).tolist() == lib.encode_ordinary(text)
+        assert ids_of(tokenizer, text) == lib.encode_ordinary(text)
 
 
 def test_segment_tree_keeps_the_leftmost_least():
     rng = random.Random(7)
-    for n in (1, 2, 3, 8, 37):
+    for n in (1, 2, 3, 5, 8, 9, 33, 37):
         leaves = [rng.randrange(5) for _ in range(n)]
         tree = bm.PairRanks(leaves)
         for _ in range(60):
@@ -69,10 +74,18 @@ def test_segment_tree_keeps_the_leftmost_least():
 def test_long_match_and_small_memo(monkeypatch):
     tokenizer = bm.Tokenizer(DATA)
     long = "x" * 60_000 + "qz" * 20_000
-    assert tokenizer.encode(long).tolist() == LIBRARY.encode_ordinary(long)
+    assert ids_of(tokenizer, long) == LIBRARY.encode_ordinary(long)
     monkeypatch.setattr(bm, "MEMO", 3)
     text = " ".join(f"word{i % 7} naïvety{i}" for i in range(200))
-    assert bm.Tokenizer(DATA).encode(text).tolist() == LIBRARY.encode_ordinary(text)
+    assert ids_of(bm.Tokenizer(DATA), text) == LIBRARY.encode_ordinary(text)
+
+
+def test_blocks_of_a_text_give_the_matches_of_the_whole(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(bm, "BLOCK", 7)
+    for _ in range(300):
+        text = "".join(rng.choice(" \n\t\u00a0ab1.'s漢") for _ in range(rng.randrange(80)))
+        assert ids_of(bm.Tokenizer(DATA), text) == LIBRARY.encode_ordinary(text), repr(text)
 
 
 def test_digests_nulls_repeats_and_clashing_columns(spark, monkeypatch):

@@ -4,13 +4,12 @@ A text is cut into the matches of the tokenizer's pattern; each match is encoded
 match that is a token as a whole is that token.  Otherwise every byte position starts as a token
 of its own, and the leaf of a live position holds the rank of the pair that its token forms with
 the next live one (none: a rank above all).  Inner nodes hold the least rank below them, so a
-walk from the root that prefers the left child on equal ranks ends at the leftmost pair of least
-rank.  A merge joins that pair and makes three point updates on live neighbours: the pair before
+walk from the root that goes left on equal ranks ends at the leftmost pair of least rank.  A merge joins that pair and makes three point updates on live neighbours: the pair before
 the joined token, the pair after it, and the position that died.  A match of n bytes takes
 O(n log n), whatever it repeats.
 
-Matches are short as a rule and recur, so a task encodes the distinct ones of a block of text
-and remembers up to ``MEMO`` of at most ``MEMO_CHARS`` characters; a full memo is emptied, which
+Matches are short as a rule and recur, so a task encodes the distinct ones of a block of texts,
+short ones with their trees side by side in arrays (one merge a round in each), and remembers up to ``MEMO`` of at most ``MEMO_CHARS`` characters; a full memo is emptied, which
 changes no result, and ends with its task.  A task holds the vocabulary, the memo, a batch of
 texts with its ids (about ``BATCH_UNITS``, or one text), the matches of a block of a text, and
 about 24 bytes per byte of the longest match.
@@ -24,8 +23,10 @@ vocabulary; among equal pairs the leftmost is merged first.
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -38,10 +39,13 @@ from pyspark.sql import functions as F
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MEMO = 250_000
 MEMO_CHARS = 48
-BLOCK = 1_000_000           # characters whose matches are held at once
+BLOCK = 2_000_000           # characters whose matches are held at once
 SMALL = 4_096               # bytes of a match up to which plain lists serve
-BATCH_UNITS = 2_000_000
-BATCH_ROWS = 512
+SIDE_BY_SIDE = 64           # bytes of a match up to which trees stand side by side
+TREES = 8_192               # of them at once,
+FEW = 24                    # and below so many one by one
+BATCH_UNITS = 4_000_000
+BATCH_ROWS = 2_000
 NONE = 2 ** 31 - 1          # above every rank
 
 
@@ -123,24 +127,122 @@ def merge(ranks: dict[bytes, int], piece: bytes) -> list[int]:
     return ids
 
 
-class Tokenizer:
-    """A vocabulary with its pattern; ids of matches are remembered as 32-bit integers."""
+class Pairs:
+    """Ranks of pairs of token ids, for arrays: a pair's rank is the id of the joint token."""
 
-    def __init__(self, data: bytes, pattern: str = public_tokenizers.PATTERN) -> None:
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.base = max(ranks.values()) + 1
+        found = [(ranks[token[:i]] * self.base + ranks[token[i:]], rank) for token, rank in ranks.items()
+                 for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+        keys, joint = np.array(sorted(found), dtype=np.int64).reshape(-1, 2).T
+        self.keys, self.joint = np.append(keys, np.iinfo(np.int64).max), np.append(joint, NONE).astype(np.int32)
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``NONE`` where the two form no token or one of them is below zero."""
+        key = np.where((a < 0) | (b < 0), -1, a.astype(np.int64) * self.base + b)
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.joint[at], NONE)
+
+
+def merge_many(pairs: Pairs, byte_ids: np.ndarray, pieces: list[bytes]) -> list[bytes]:
+    """The packed ids of matches of two bytes and more, by the rule of ``merge``.
+
+    Their segment trees stand side by side, all with the leaves of the longest; a round makes
+    one merge with its three point updates in every tree that still has a pair.
+    """
+    lengths = np.array([len(p) for p in pieces])
+    m, size = len(pieces), 1 << int(lengths.max() - 1).bit_length()
+    # Positions up to the size; the one after the last byte and one before the first hold no token.
+    token = np.full((m, size + 2), -1, dtype=np.int32)
+    token[:, :size][np.arange(size) < lengths[:, None]] = byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+    after = np.broadcast_to(np.arange(1, size + 3, dtype=np.int32), (m, size + 2)).copy()
+    before = after - 2
+    tree = np.full((m, 2 * size), NONE, dtype=np.int32)
+    tree[:, size:] = pairs.ranks(token[:, :size], token[:, 1:size + 1])
+    for level in range(size.bit_length() - 2, -1, -1):
+        first = 1 << level
+        tree[:, first:2 * first] = np.minimum(tree[:, 2 * first:4 * first:2], tree[:, 2 * first + 1:4 * first:2])
+    rows = np.flatnonzero(tree[:, 1] != NONE)
+    while len(rows):
+        least, node = tree[rows, 1], np.ones(len(rows), dtype=np.int64)
+        for _ in range(size.bit_length() - 1):
+            node *= 2
+            node += tree[rows, node] != least
+        at = node - size
+        dead = after[rows, at]
+        stop = after[rows, dead]
+        first = before[rows, at]
+        token[rows, at], token[rows, dead] = least, -1
+        after[rows, at], before[rows, stop] = stop, at
+        # -1 (nothing before) reads the last column, which holds no token; its update repeats one.
+        tree[rows, size + dead] = NONE
+        tree[rows, size + at] = pairs.ranks(least, token[rows, stop])
+        tree[rows, size + np.where(first < 0, dead, first)] = pairs.ranks(token[rows, first], least)
+        for changed in _paths(size, dead, at, np.where(first < 0, dead, first)):
+            tree[rows, changed] = np.minimum(tree[rows, 2 * changed], tree[rows, 2 * changed + 1])
+        rows = rows[tree[rows, 1] != NONE]
+    live = token[:, :size] >= 0
+    packed, ends = token[:, :size][live].tobytes(), (4 * live.sum(axis=1).cumsum()).tolist()
+    return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _paths(size: int, *leaves: np.ndarray) -> Iterator[np.ndarray]:
+    """The inner nodes above leaves, level by level."""
+    nodes = [(size + leaf) >> 1 for leaf in leaves]
+    while nodes[0][0] > 0:
+        yield from nodes
+        nodes = [n >> 1 for n in nodes]
+
+
+class Vocabulary:
+    """The tables of a rank file: bounded by the file, so a worker keeps the last one."""
+
+    def __init__(self, data: bytes) -> None:
         self.ranks = ranks_of(data)
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
+        self.pairs = Pairs(self.ranks)
+        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+
+    @staticmethod
+    @lru_cache(maxsize=1)
+    def of(data: bytes) -> Vocabulary:
+        return Vocabulary(data)
+
+
+class Tokenizer:
+    """A vocabulary with its pattern; ids of matches are remembered as 32-bit integers."""
+
+    def __init__(self, data: bytes, pattern: str = public_tokenizers.PATTERN) -> None:
+        vocabulary = Vocabulary.of(data)
+        self.ranks, self.pairs, self.byte_ids = vocabulary.ranks, vocabulary.pairs, vocabulary.byte_ids
         self.pattern = regex.compile(pattern)
         # No match of the public pattern goes from a character on to a white space after it, and
         # the pattern looks at nothing before a match: there a text can be cut.
         self.cut = regex.compile(r"(?<=\S)(?=\s)") if pattern == public_tokenizers.PATTERN else None
         self.memo: dict[str, bytes] = {}
 
-    def _ids(self, match: str) -> bytes:
-        piece = match.encode("utf-8")
-        whole = self.ranks.get(piece)
-        return array("i", [whole] if whole is not None else merge(self.ranks, piece)).tobytes()
+    def _learn(self, matches: set[str]) -> None:
+        """Put the ids of matches into the memo: whole tokens, else merged, short ones together."""
+        classes: dict[int, list[tuple[str, bytes]]] = {}
+        for match in matches:
+            piece = match.encode("utf-8")
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                self.memo[match] = whole.to_bytes(4, sys.byteorder)
+            elif len(piece) <= SIDE_BY_SIDE:
+                classes.setdefault((len(piece) - 1).bit_length(), []).append((match, piece))
+            else:
+                self.memo[match] = array("i", merge(self.ranks, piece)).tobytes()
+        for members in classes.values():
+            for start in range(0, len(members), TREES):
+                part = members[start:start + TREES]
+                if len(part) < FEW:
+                    found = [array("i", merge(self.ranks, piece)).tobytes() for _, piece in part]
+                else:
+                    found = merge_many(self.pairs, self.byte_ids, [piece for _, piece in part])
+                self.memo.update(zip((match for match, _ in part), found, strict=True))
 
     def _blocks(self, text: str) -> Iterator[str]:
         start = 0
@@ -152,22 +254,34 @@ class Tokenizer:
             start = found.start()
         yield text[start:] if start else text
 
-    def encode(self, text: str | None) -> bytes:
-        """The text's ids as native 32-bit integers."""
-        out, memo = [], self.memo
-        for block in self._blocks(text or ""):
-            matches = self.pattern.findall(block)
-            new = set(matches).difference(memo)
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = set(matches)
-            for match in new:
-                memo[match] = self._ids(match)
-            out.append(b"".join(map(memo.__getitem__, matches)))
-            for match in new:
-                if len(match) > MEMO_CHARS:
-                    del memo[match]
-        return b"".join(out)
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Per text its ids as native 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for block in self._blocks(text or ""):
+                held.append((i, self.pattern.findall(block)))
+                size += len(block)
+                if size >= BLOCK:
+                    self._emit(held, out)
+                    held, size = [], 0
+        self._emit(held, out)
+        return [b"".join(parts) for parts in out]
+
+    def _emit(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        memo = self.memo
+        matches = set().union(*(m for _, m in held))
+        new = matches.difference(memo)
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = matches
+        self._learn(new)
+        for i, found in held:
+            out[i].append(b"".join(map(memo.__getitem__, found)))
+        for match in new:
+            if len(match) > MEMO_CHARS:
+                del memo[match]
 
 
 class Detokenizer:
@@ -208,7 +322,7 @@ def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(vocabulary)
         for batch in _pieces(rows, 1, BATCH_UNITS):
-            found = [tokenizer.encode(text) for text in batch.column(1).to_pylist()]
+            found = tokenizer.encode(batch.column(1).to_pylist())
             offsets = np.cumsum([0, *(len(ids) // 4 for ids in found)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32))),

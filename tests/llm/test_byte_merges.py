@@ -18,7 +18,7 @@ TEXTS = ["", " ", "  ", "\n\n\n a", "hello world", "I'm don't we'll", "<|endofte
 
 
 def ids_of(tokenizer, text):
-    return np.frombuffer(tokenizer.encode(text), np.int32).tolist()
+    return np.frombuffer(tokenizer.encode([text])[0], np.int32).tolist()
 
 
 def plain(piece: bytes) -> list[int]:
@@ -40,13 +40,23 @@ def test_merge_equals_the_plain_rule():
         assert bm.merge(RANKS, piece) == plain(piece)
 
 
+def test_side_by_side_equals_one_by_one():
+    rng = random.Random(11)
+    vocabulary = bm.Vocabulary(DATA)
+    for longest in (2, 3, 4, 9, 33, 64):
+        pieces = [bytes(rng.choice(b"abest in\xc3\xa9\xf0th") for _ in range(rng.randrange(2, longest + 1))) for _ in range(300)]
+        pieces += [b"a" * longest, b"\x00" * longest]
+        got = bm.merge_many(vocabulary.pairs, vocabulary.byte_ids, pieces)
+        assert [np.frombuffer(g, np.int32).tolist() for g in got] == [plain(p) for p in pieces]
+
+
 def test_equals_the_library_on_random_and_given_texts(spark):
     tokenizer, decoder = bm.Tokenizer(DATA), bm.Detokenizer(DATA)
     rng = random.Random(6)
     texts = TEXTS + ["".join(rng.choice("aeiou nrst\n  éßñ,.'漢🙂9") for _ in range(rng.randrange(500))) for _ in range(100)]
     texts += [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
-    for text in texts:
-        ids = ids_of(tokenizer, text)
+    for text, packed in zip(texts, tokenizer.encode(texts), strict=True):
+        ids = np.frombuffer(packed, np.int32).tolist()
         assert ids == LIBRARY.encode_ordinary(text), text[:80]
         assert decoder.decode(ids) == text.encode()
 
@@ -76,6 +86,7 @@ def test_long_match_and_small_memo(monkeypatch):
     long = "x" * 60_000 + "qz" * 20_000
     assert ids_of(tokenizer, long) == LIBRARY.encode_ordinary(long)
     monkeypatch.setattr(bm, "MEMO", 3)
+    monkeypatch.setattr(bm, "FEW", 0)
     text = " ".join(f"word{i % 7} naïvety{i}" for i in range(200))
     assert ids_of(bm.Tokenizer(DATA), text) == LIBRARY.encode_ordinary(text)
 

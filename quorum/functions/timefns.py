@@ -33,6 +33,20 @@ def interval(spec: str) -> Column:
     return F.expr(f"INTERVAL {n} {unit}")
 
 
+_LONGEST = {"SECOND": dt.timedelta(seconds=1), "MINUTE": dt.timedelta(minutes=1), "HOUR": dt.timedelta(hours=1),
+            "DAY": dt.timedelta(days=1), "WEEK": dt.timedelta(days=7), "MONTH": dt.timedelta(days=31), "YEAR": dt.timedelta(days=366)}
+
+
+def longest(spec: str | None) -> dt.timedelta:
+    """The most time that an interval text can stand for (a month: 31 days)."""
+    if not spec:
+        return dt.timedelta(0)
+    m = _INTERVAL.match(spec)
+    if not m:
+        raise ValueError(f"unsupported interval: {spec!r}")
+    return int(m.group(1)) * _LONGEST[m.group(2).upper()]
+
+
 def shift(ts: Column, spec: str | None, sign: int = 1) -> Column:
     """ts +/- interval; month arithmetic clamps to the month end (Jan 31 + 1 month = Feb 29)."""
     if not spec:

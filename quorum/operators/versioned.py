@@ -10,30 +10,45 @@ version with the greatest version columns.  Three pieces:
 * ``append`` -- the sink: rows hashed by (day and) key into files, sorted inside each file
   by (day and) the storage key (row-group min/max skipping), written as the run's own
   ``run_id=<id>`` folder: other runs' files are never touched, and a retried run replaces
-  its own partial output.  The table's schema is kept beside the runs, so a table whose
-  runs are all empty is readable.
+  its own partial output.  A one-row record under ``_runs`` follows the data and names the
+  run, its schema and its days; only recorded runs are read.  So a half-written run is
+  invisible, a table whose runs are all empty is readable, and the schema may grow: a read
+  has the columns of all live runs, NULL where a run lacked one (a column of two types is an
+  error).
+* ``replace_scope`` -- the sink of a job that recomputes whole groups (a window, the keys a
+  stream batch touched): keys that the table holds in the recomputed scope and the result no
+  longer yields are *withdrawn* by a marker row (``_deleted``) of the same run.  Rows whose
+  replacing key changes with late data thus leave no stale twin behind.
 * ``read_current`` -- read with latest-version semantics; the version is the version columns
-  and, among equals, the run.  ``compact`` folds all finished runs into a base: it writes
-  their current rows as one new run and then names that run and what it replaces in a marker
-  of its own.  Readers take the newest marker's base and the runs it does not replace, so
-  their cost follows the current rows and the newer runs; nothing is rewritten in place,
-  and a compaction that dies leaves no marker and changes nothing.
+  and, among equals, the run; keys whose latest row is a marker are gone.
+* ``compact`` folds the runs of every day that has more than its base into a new base for
+  these days (a table without days: into one base), and records what it replaces per day.
+  Other days are not touched.  Readers list the live (run, day) folders only, nothing is
+  rewritten in place, and a compaction that dies leaves no record and changes nothing.
+  ``retire`` deletes what compactions replaced.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
+
+from quorum.session import delete_path
 
 _ORDERABLE_EXCLUDED = ("map",)
 DAY = "day"  # partition column of day-partitioned replacing tables
 BASE = "base-"  # prefix of the runs that compaction writes
+DELETED = "_deleted"  # marks a row that withdraws its key
+RUNS = "_runs"
+_RECORD = "run_id string, schema string, days array<date>, folded array<date>, replaced array<string>"
+WHOLE = "whole"  # stands for the days of a table that has none
 
 
 def _orderable(df: DataFrame, col: str) -> bool:
@@ -60,86 +75,157 @@ def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) ->
 
 def append(df: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str] = (),
            run_id: str | None = None, files: int | None = None,
-           day_col: str | None = None) -> str:
+           day_col: str | None = None, bloom: Sequence[str] = ()) -> str:
     """Write ``df`` as one new run of the table at ``path``; returns the run id.
 
     With ``day_col`` (a timestamp column of the replacing key) rows are also partitioned
-    by ``day = to_date(day_col)``, so readers restricted to some days prune the others."""
-    run_id = run_id or "run-" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    by ``day = to_date(day_col)``, so readers restricted to some days prune the others.
+    ``bloom`` names columns whose Parquet files get Bloom filters."""
+    run_id = run_id or "run-" + _now()
     out = df.withColumn(DAY, F.to_date(day_col)) if day_col else df
-    _write_run(out, path, key, order_by, run_id, files)
+    days = _write_run(out, path, key, order_by, run_id, files, bloom)
+    _record(df.sparkSession, path, Run(run_id, out.schema, days))
     return run_id
 
 
+def replace_scope(out: DataFrame, path: str, key: Sequence[str], scope: Callable[[DataFrame], DataFrame],
+                  stamp: Column, version: str = "updated_at", shard: Sequence[str] = (),
+                  order_by: Sequence[str] = (), run_id: str | None = None, day_col: str | None = None,
+                  days: Callable[[dt.date | None], bool] | None = None) -> str:
+    """Append ``out`` as all that the table holds in a scope; returns the run id.
+
+    ``scope`` keeps the current rows that ``out`` was recomputed for.  Their keys that
+    ``out`` does not yield are withdrawn with the version ``stamp``, in the same run, so the
+    change is visible as a whole or not at all.  ``days`` (optional) tells which days of a
+    day-partitioned table the scope can touch.  One shuffle by the key meets the two sides;
+    nothing is computed twice."""
+    spark, run_id = out.sparkSession, run_id or "run-" + _now()
+    before = _versions(spark, path, keep_day=days, without=run_id)
+    rows = out
+    if before is not None:
+        gone = scope(_current(before, key, (version,)))
+        columns = [*key, *([day_col] if day_col and day_col not in key else [])]
+        gone = gone.select(*columns, stamp.cast(out.schema[version].dataType).alias(version), F.lit(True).alias(DELETED), F.lit(False).alias("_live"))
+        both = out.withColumns({DELETED: F.lit(False), "_live": F.lit(True)}).unionByName(gone, allowMissingColumns=True)
+        rows = latest_by_key(both, key, ("_live",)).drop("_live")
+    return append(rows, path, shard or key, order_by, run_id, day_col=day_col)
+
+
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+
+
+@dataclass(frozen=True)
+class Run:
+    """A recorded run.  ``days``: those it holds rows of (None: no days).  A base also has
+    the days it was made for (``folded``, None: no days) and the runs it replaces there."""
+    run_id: str
+    schema: StructType
+    days: list[dt.date | None] | None
+    folded: list[dt.date | None] | None = None
+    replaced: list[str] | None = None
+
+
 def _write_run(out: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str], run_id: str,
-               files: int | None = None) -> None:
+               files: int | None = None, bloom: Sequence[str] = ()) -> list[dt.date | None] | None:
     lead = [DAY] if DAY in out.columns else []
     rows = out.repartition(files, *lead, *key) if files else out.repartition(*lead, *key)
     if order_by:
         # the partitioned writer needs rows by day: leading with it keeps this sort
         rows = rows.sortWithinPartitions(*lead, *order_by)
-    root = path.rstrip("/")
-    spark = out.sparkSession
-    spark.createDataFrame([(out.schema.json(),)], "schema string").coalesce(1) \
-        .write.mode("ignore").text(f"{root}/_schema")
     # each run owns its folder: concurrent writers never share a committer's working folder
+    folder = f"{path.rstrip('/')}/run_id={run_id}"
     writer = rows.write.partitionBy(DAY) if lead else rows.write
-    writer.mode("overwrite").parquet(f"{root}/run_id={run_id}")
+    for c in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.mode("overwrite").parquet(folder)
+    if not lead:
+        return None
+    stored = out.sparkSession.read.schema(out.schema).parquet(folder).select(DAY).distinct().collect()
+    return [r[0] for r in stored]
+
 
+def _record(spark: SparkSession, path: str, run: Run) -> None:
+    row = (run.run_id, run.schema.json(), run.days, run.folded, run.replaced)
+    spark.createDataFrame([row], _RECORD).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUNS}/{run.run_id}")
 
-def _schema(spark: SparkSession, path: str) -> StructType | None:
-    """The schema kept beside the runs; None for a table that ``append`` did not write."""
+
+def runs(spark: SparkSession, path: str) -> list[Run] | None:
+    """The recorded runs, oldest id first (one small row per run since the last ``retire``);
+    None for a table that ``append`` did not write."""
     try:
-        row = spark.read.text(f"{path.rstrip('/')}/_schema").first()
+        rows = spark.read.schema(_RECORD).option("recursiveFileLookup", "true").parquet(f"{path.rstrip('/')}/{RUNS}").collect()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    return StructType.fromJson(json.loads(row[0])) if row else None
+    found = [Run(r[0], StructType.fromJson(json.loads(r[1])), r[2], r[3], r[4]) for r in rows]
+    # a base that nobody recorded as such is left over from a compaction that died
+    return sorted((r for r in found if not r.run_id.startswith(BASE) or r.replaced is not None), key=lambda r: r.run_id)
 
 
-def _markers(spark: SparkSession, path: str) -> tuple[str | None, list[str]]:
-    """(base run, runs it replaces) of the newest compaction."""
-    try:
-        rows = spark.read.schema("base string, replaced array<string>") \
-            .parquet(f"{path.rstrip('/')}/_compactions").orderBy(F.desc("base")).limit(1).collect()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None, []
-        raise
-    return (rows[0]["base"], rows[0]["replaced"]) if rows else (None, [])
-
-
-def _versions(spark: SparkSession, path: str, days=None) -> DataFrame:
-    """Every stored version that counts, with its ``run_id`` (runs compacted away left out)."""
-    schema = _schema(spark, path)
-    reader = spark.read
-    if schema is not None:
-        fields = [f for f in schema.fields if f.name != DAY]
-        parts = [StructField("run_id", StringType())] + [f for f in schema.fields if f.name == DAY]
-        reader = reader.schema(StructType(fields + parts))
-    df = reader.parquet(path)
-    if "run_id" in df.columns:
-        df = df.withColumn("run_id", F.col("run_id").cast("string"))
-        base, replaced = _markers(spark, path)
-        if base:
-            df = df.filter(~F.col("run_id").isin(replaced))
-        # a base that no marker names is left over from a compaction that died
-        df = df.filter(~F.col("run_id").startswith(BASE) | (F.col("run_id") == F.lit(base or "")))
-    if days is not None:
-        if DAY not in df.columns:
-            raise ValueError(f"{path} is not partitioned by day")
-        df = df.filter(F.col(DAY).isin([F.lit(d).cast("date") for d in days]))
-    return df
+def _parts(run: Run) -> list[tuple[str, object]]:
+    return [(run.run_id, d) for d in (run.days if run.days is not None else [WHOLE])]
+
+
+def live(recorded: Iterable[Run]) -> list[tuple[str, object]]:
+    """The (run, day) folders that count: those that no base replaces."""
+    recorded = list(recorded)
+    dead = {(r, d) for run in recorded if run.replaced is not None
+            for d in (run.folded if run.folded is not None else [WHOLE]) for r in run.replaced}
+    return [p for run in recorded for p in _parts(run) if p not in dead]
+
+
+def _folder(path: str, part: tuple[str, object]) -> str:
+    run_id, day = part
+    folder = f"{path.rstrip('/')}/run_id={run_id}"
+    return folder if day == WHOLE else f"{folder}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+
+
+def merged_schema(recorded: Iterable[Run]) -> StructType:
+    """The columns of all runs, in the order they came; one column of two types is an error."""
+    fields: dict[str, StructField] = {}
+    for run in recorded:
+        for f in run.schema.fields:
+            known = fields.setdefault(f.name, StructField(f.name, f.dataType, True))
+            if known.dataType.simpleString() != f.dataType.simpleString():
+                raise ValueError(f"column {f.name} is {known.dataType.simpleString()} in earlier runs and "
+                                 f"{f.dataType.simpleString()} in {run.run_id}")
+    return StructType(list(fields.values()))
+
+
+def _read_parts(spark: SparkSession, path: str, recorded: list[Run], parts: Sequence[tuple[str, object]]) -> DataFrame:
+    """The rows of some folders with ``run_id`` (and ``day``) columns."""
+    schema = merged_schema(recorded)
+    days = [StructField(DAY, DateType())] if DAY in schema.names else []
+    schema = StructType([f for f in schema.fields if f.name != DAY] + [StructField("run_id", StringType())] + days)
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*(_folder(path, p) for p in parts))
+
+
+def _versions(spark: SparkSession, path: str, keep_day: Callable[[dt.date | None], bool] | None = None,
+              without: str | None = None) -> DataFrame | None:
+    """Every stored version that counts, with its ``run_id``; only live folders are listed.
+    None for a table that ``append`` did not write (or wrote nothing but run ``without``)."""
+    recorded = [r for r in runs(spark, path) or [] if r.run_id != without]
+    if not recorded:
+        return None
+    parts = [p for p in live(recorded) if keep_day is None or p[1] == WHOLE or keep_day(p[1])]
+    return _read_parts(spark, path, recorded, parts)
 
 
 def _current(df: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
     """Latest version per key of ``_versions``; of equal versions the newer run's row (a
-    base is older than every run that it does not replace)."""
-    if "run_id" not in df.columns:
-        return latest_by_key(df, key, version)
-    run = F.when(F.col("run_id").startswith(BASE), F.lit("")).otherwise(F.col("run_id"))
-    return latest_by_key(df.withColumn("run_id", run), key, [*version, "run_id"]).drop("run_id")
+    base is older than every run that it does not replace).  Withdrawn keys are left out."""
+    if "run_id" in df.columns:
+        run = F.when(F.col("run_id").startswith(BASE), F.lit("")).otherwise(F.col("run_id"))
+        df = latest_by_key(df.withColumn("run_id", run), key, [*version, "run_id"]).drop("run_id")
+    else:
+        df = latest_by_key(df, key, version)
+    if DELETED in df.columns:
+        df = df.filter(~F.coalesce(F.col(DELETED), F.lit(False))).drop(DELETED)
+    return df
 
 
 def read_current(spark: SparkSession, path: str, key: Sequence[str],
@@ -147,7 +233,15 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str],
     """Read a replacing table: latest version per key.  ``days`` (optional) restricts a
     day-partitioned table before the dedupe -- partition pruning, exact because every
     version of a key lies in its day."""
-    return _current(_versions(spark, path, days).drop(DAY), key, version)
+    wanted = None if days is None else {d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days}
+    df = _versions(spark, path, keep_day=None if wanted is None else wanted.__contains__)
+    if df is None:
+        df = spark.read.parquet(path)
+    if wanted is not None:
+        if DAY not in df.columns:
+            raise ValueError(f"{path} is not partitioned by day")
+        df = df.filter(F.col(DAY).isin([F.lit(d).cast("date") for d in sorted(wanted)]))
+    return _current(df.drop(DAY), key, version)
 
 
 def current_rows(table: DataFrame, key: Sequence[str],
@@ -157,27 +251,59 @@ def current_rows(table: DataFrame, key: Sequence[str],
 
 
 def compact(spark: SparkSession, path: str, key: Sequence[str],
-            version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = ()) -> str | None:
+            version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = (),
+            fold: Callable[[DataFrame], DataFrame] | None = None, bloom: Sequence[str] = ()) -> str | None:
     """Fold the runs of ``path`` into a base run; returns its id (None: nothing to fold).
 
-    The runs to fold are listed first; runs that finish meanwhile stay as they are and are
-    read beside the base.  Old folders are left for a retention job: readers skip them."""
-    df = _versions(spark, path)
-    if "run_id" not in df.columns:
+    Of a day-partitioned table only the days that hold more than a base are read and
+    written.  The runs to fold are listed first; runs that finish meanwhile stay as they are
+    and are read beside the base.  ``fold`` makes the base's rows of the stored ones (latest
+    versions unless given; a table of partial states merges them)."""
+    recorded = runs(spark, path)
+    if recorded is None:
         raise ValueError(f"{path} was not written by append")
-    runs = sorted(r["run_id"] for r in df.select("run_id").distinct().collect())
-    if not runs:
+    by_day: dict[object, list[str]] = {}
+    for run_id, day in live(recorded):
+        by_day.setdefault(day, []).append(run_id)
+    days = [d for d, ids in by_day.items() if len(ids) > 1 or not ids[0].startswith(BASE)]
+    parts = [(r, d) for d in days for r in by_day[d]]
+    if not parts:
+        return None
+    stored = _read_parts(spark, path, recorded, parts)
+    if stored.isEmpty():
         return None
-    _, replaced = _markers(spark, path)
-    base = BASE + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    rows = _current(df.filter(F.col("run_id").isin(runs)), key, version)
-    _write_run(rows, path, key, order_by, base)
-    gone = sorted({*replaced, *runs})
-    spark.createDataFrame([(base, gone)], "base string, replaced array<string>").coalesce(1) \
-        .write.mode("append").parquet(f"{path.rstrip('/')}/_compactions")
+    base = BASE + _now()
+    rows = fold(stored.drop("run_id")) if fold else _current(stored, key, version)
+    kept = _write_run(rows, path, key, order_by, base, bloom=bloom)
+    _record(spark, path, Run(base, rows.schema, kept, None if days == [WHOLE] else days,
+                             sorted({r for r, _ in parts})))
     return base
 
 
+def retire(spark: SparkSession, path: str, before: dt.datetime | None = None) -> int:
+    """Delete the folders that bases replaced; returns their number.
+
+    ``before`` (UTC, optional) spares what bases made later replaced, for readers that
+    planned on the older folders.  A record goes before its data, and a base's record stays as
+    long as one of a run that it replaces, so a job that dies leaves a table that reads the
+    same."""
+    recorded = runs(spark, path) or []
+    settled = [r for r in recorded if r.replaced is None or before is None
+               or r.run_id < BASE + before.strftime("%Y%m%dT%H%M%S%f")]
+    alive = set(live(settled))
+    kept = {r.run_id for r in recorded}
+    count = 0
+    for run in sorted(settled, key=lambda r: (r.replaced is not None, r.run_id)):
+        dead = [p for p in _parts(run) if p not in alive]
+        if dead and len(dead) == len(_parts(run)) and not kept.intersection(run.replaced or ()):
+            delete_path(spark, f"{path.rstrip('/')}/{RUNS}/{run.run_id}")
+            kept.remove(run.run_id)
+        for part in dead:
+            delete_path(spark, _folder(path, part))
+        count += len(dead)
+    return count
+
+
 def compact_bucketed(spark: SparkSession, path: str, table: str, key: Sequence[str],
                      buckets: int, version: Sequence[str] = ("updated_at",),
                      order_by: Sequence[str] = ()) -> str:

@@ -506,6 +506,9 @@ GROUP BY hash, meta_network_name, "from", "to", nonce, gas_price, gas, value, ty
 
 Q["stream_first_reporter"] = Q["first_reporter"].replace(f",\n       {RUN_TS} AS updated_at", "")
 
+Q["stream_first_reporter_state"] = Q["late_first_reporter"] = Q["stream_first_reporter"]
+Q["stream_hash_universe"] = Q["tx_hash_universe"]
+
 Q["tx_lifecycle_merged"] = Q["tx_lifecycle"].replace(
     "FROM block_native WHERE network = 'main'",
     "FROM block_native WHERE network = 'main'\n"

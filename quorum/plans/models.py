@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.functions.keys import surrogate_key
@@ -23,7 +23,7 @@ from quorum.operators.participation import participation
 from quorum.operators.ranking import first_per_group
 from quorum.operators.reconcile import (crossed_sightings, other_roots, precedence_rows,
                                         source_rollup)
-from quorum.operators.rollup import distinct_rows, rollup, union_all, union_distinct
+from quorum.operators.rollup import distinct_rows, rollup, union_all
 from quorum.operators.unanimity import CLIENTS, unanimity
 from quorum.operators.versioned import latest_by_key
 from quorum.plans.tables import Sources
@@ -59,7 +59,7 @@ def _scan(src: Sources, name: str, window: RunWindow | None, grace: str | None,
     return df
 
 
-def _stamp(run_ts) -> F.Column:
+def _stamp(run_ts) -> Column:
     return ntz(run_ts).alias("updated_at")
 
 
@@ -210,14 +210,23 @@ def attestation_nearest_client(src: Sources, window: RunWindow | None, run_ts,
     df = _scan(src, ATT, window, grace)
     if restrict is not None:
         df = restrict(df)
-    df = df.filter(F.col("attesting_validator_index").isNotNull()
-                   & (F.col("meta_consensus_implementation") == client))
-    group = ["slot_start_date_time", "attesting_validator_index"]
-    if by_network:
-        group.append("meta_network_name")
-    keep = ["meta_network_name", "meta_client_geo_country", "meta_client_geo_continent_code",
-            "slot"]
-    first = first_per_group(df, group, ["propagation_slot_start_diff"], keep)
+    group = (*FIRST_GROUP, "meta_network_name") if by_network else FIRST_GROUP
+    return nearest_client_rows(first_per_group(nearest_client_reports(df, client), group, FIRST_ORDER, FIRST_KEEP), run_ts)
+
+
+FIRST_GROUP = ("slot_start_date_time", "attesting_validator_index")
+FIRST_ORDER = ("propagation_slot_start_diff",)
+FIRST_KEEP = ("meta_network_name", "meta_client_geo_country", "meta_client_geo_continent_code", "slot")
+
+
+def nearest_client_reports(df: DataFrame, client: str = "teku") -> DataFrame:
+    """The reports that M7 ranks."""
+    return df.filter(F.col("attesting_validator_index").isNotNull()
+                     & (F.col("meta_consensus_implementation") == client))
+
+
+def nearest_client_rows(first: DataFrame, run_ts) -> DataFrame:
+    """M7's columns of the first reports."""
     return first.select(
         "slot", F.col("slot_start_date_time").alias("slot_started_at"),
         F.col("meta_network_name").alias("network"),
@@ -247,20 +256,27 @@ def transaction_sightings(src: Sources, window: RunWindow, run_ts,
     pred = F.col("meta_network_name") == network
     df = (_touched_in_full(src, "mempool_transaction", window, pred) if merge
           else _scan(src, "mempool_transaction", window, None).filter(pred))
-    keys = ["hash", F.col("meta_network_name").alias("network"), "from", "to", "nonce",
-            "gas_price", "gas", "value", "type", "size", "call_data_size"]
-    # First per observer and continent: a hash aggregate of plain minima whose shuffle spreads
-    # a hot transaction over its observers.  Then per transaction over these few rows; the
-    # observers are counted by Spark's distinct count, so their number need not be bounded.
-    seen = rollup(df, [*keys, "meta_client_name", "meta_client_geo_continent_code"],
-                  [F.min("event_date_time").alias("first_seen_at")])
-    names = [c for c in seen.columns if c not in ("meta_client_name", "meta_client_geo_continent_code", "first_seen_at")]
-    out = rollup(seen, names, [
+    return SIGHTINGS.finish(SIGHTINGS.partial(df), run_ts)
+
+
+_TX = ("from", "to", "nonce", "gas_price", "gas", "value", "type", "size", "call_data_size")
+
+
+def _sighting_partials(df: DataFrame) -> DataFrame:
+    """First per observer and continent: a hash aggregate of plain minima whose shuffle spreads
+    a hot transaction over its observers."""
+    return rollup(df, ["hash", F.col("meta_network_name").alias("network"), *_TX, "meta_client_name",
+                       "meta_client_geo_continent_code"], [F.min("event_date_time").alias("first_seen_at")])
+
+
+def _sightings(partials: DataFrame, run_ts) -> DataFrame:
+    """Then per transaction over these few rows; the observers are counted by Spark's distinct
+    count, so their number need not be bounded."""
+    out = rollup(partials, ["hash", "network", *_TX], [
         F.count_distinct("meta_client_name").alias("total_seen_by_sentries"),
         distinct_set("meta_client_geo_continent_code").alias("seen_continents"),
         F.min("first_seen_at").alias("first_seen_at")])
-    return out.select("hash", _stamp(run_ts), "network", "from", "to", "nonce", "gas_price",
-                      "gas", "value", "type", "size", "call_data_size",
+    return out.select("hash", _stamp(run_ts), "network", *_TX,
                       "total_seen_by_sentries", "seen_continents", "first_seen_at")
 
 
@@ -270,29 +286,60 @@ def transaction_block_native(src: Sources, window: RunWindow, run_ts,
     pred = F.col("network") == network
     df = (_touched_in_full(src, "block_native_mempool_transaction", window, pred) if merge
           else _scan(src, "block_native_mempool_transaction", window, None).filter(pred))
-    keys = ["hash", "nonce", "gas", F.col("gasprice").alias("gas_price"), "value",
-            F.col("toaddress").alias("to"), F.col("fromaddress").alias("from"),
-            F.col("datasize").alias("call_data_size"),
-            F.col("data4bytes").alias("call_data_4_bytes"), "type"]
-    out = rollup(df, keys, [
-        distinct_set("status").alias("statuses"),
-        F.min("replace").alias("replace"),
-        F.min("reorg").alias("reorg"),
-        F.min("blockspending").alias("blocks_pending"),
-        F.min("maxpriorityfeepergas").alias("max_priority_fee_per_gas"),
-        F.min("maxfeepergas").alias("max_fee_per_gas"),
-        distinct_set("basefeepergas").alias("base_fee_per_gas"),
-        F.min("gasused").alias("gas_used"),
-        distinct_set("failurereason").alias("failure_reasons"),
-        distinct_set("dropreason").alias("drop_reasons"),
-        distinct_set("rejectionreason").alias("rejection_reasons"),
-        distinct_set("region").alias("seen_regions"),
-        F.min("detecttime").alias("first_detected_at"),
-        F.min("timepending").alias("first_time_pending_at")])
+    return LIFECYCLES.finish(LIFECYCLES.partial(df), run_ts)
+
+
+_LIFE = ("hash", "nonce", "gas", "gas_price", "value", "to", "from", "call_data_size", "call_data_4_bytes", "type")
+# Output columns of M9: sets and minima with their source columns, in the table's order.
+_LIFE_SETS = {"statuses": "status", "base_fee_per_gas": "basefeepergas", "failure_reasons": "failurereason",
+              "drop_reasons": "dropreason", "rejection_reasons": "rejectionreason", "seen_regions": "region"}
+_LIFE_MINIMA = {"replace": "replace", "reorg": "reorg", "blocks_pending": "blockspending",
+                "max_priority_fee_per_gas": "maxpriorityfeepergas", "max_fee_per_gas": "maxfeepergas",
+                "gas_used": "gasused", "first_detected_at": "detecttime", "first_time_pending_at": "timepending"}
+_LIFE_ORDER = ("statuses", "replace", "reorg", "blocks_pending", "max_priority_fee_per_gas", "max_fee_per_gas",
+               "base_fee_per_gas", "gas_used", "failure_reasons", "drop_reasons", "rejection_reasons", "seen_regions",
+               "first_detected_at", "first_time_pending_at")
+
+
+def _lifecycle_partials(df: DataFrame) -> DataFrame:
+    """One row per transaction and combination of what is collected into sets: a hash aggregate
+    of plain minima with a map-side partial."""
+    return rollup(df, ["hash", "nonce", "gas", F.col("gasprice").alias("gas_price"), "value",
+                       F.col("toaddress").alias("to"), F.col("fromaddress").alias("from"),
+                       F.col("datasize").alias("call_data_size"), F.col("data4bytes").alias("call_data_4_bytes"),
+                       "type", *_LIFE_SETS.values()],
+                  [F.min(c).alias(name) for name, c in _LIFE_MINIMA.items()])
+
+
+def _lifecycles(partials: DataFrame, run_ts) -> DataFrame:
+    aggs = {name: distinct_set(c) for name, c in _LIFE_SETS.items()} | {name: F.min(name) for name in _LIFE_MINIMA}
+    out = rollup(partials, list(_LIFE), [aggs[name].alias(name) for name in _LIFE_ORDER])
     return out.select("hash", _stamp(run_ts), *[c for c in out.columns if c != "hash"],
                       F.lit("mainnet").alias("network"))
 
 
+@dataclass(frozen=True)
+class Mergeable:
+    """A rollup with stored partial groups (see ``operators.states``)."""
+    source: str
+    predicate: Callable[[], Column]
+    partial: Callable[[DataFrame], DataFrame]
+    finish: Callable[..., DataFrame]
+    key: tuple[str, ...]
+    minima: tuple[str, ...]
+    on: tuple[str, ...] = ("hash",)
+
+    def of_window(self, src: Sources, window: RunWindow) -> DataFrame:
+        return self.partial(_scan(src, self.source, window, None).filter(self.predicate()))
+
+
+SIGHTINGS = Mergeable("mempool_transaction", lambda: F.col("meta_network_name") == "mainnet", _sighting_partials,
+                      _sightings, ("hash", "network", *_TX, "meta_client_name", "meta_client_geo_continent_code"),
+                      ("first_seen_at",))
+LIFECYCLES = Mergeable("block_native_mempool_transaction", lambda: F.col("network") == "main", _lifecycle_partials,
+                       _lifecycles, (*_LIFE, *_LIFE_SETS.values()), tuple(_LIFE_MINIMA))
+
+
 def transaction_mempool_dumpster(src: Sources, window: RunWindow, run_ts,
                                  chain_id: int = 1) -> DataFrame:
     df = src.get("mempool_dumpster_transaction")
@@ -325,9 +372,9 @@ def transaction_canonical(src: Sources, window: RunWindow, run_ts,
     return out.select("hash", _stamp(run_ts), *[c for c in out.columns if c != "hash"])
 
 
-def transaction_hashes(src: Sources, window: RunWindow, run_ts) -> DataFrame:
-    """Union of the hashes every transaction source saw in the window (own time column
-    and own network predicate per source), distinct."""
+def hash_rows(src: Sources, window: RunWindow | None) -> DataFrame:
+    """The hashes every transaction source saw in the window (own time column and own network
+    predicate per source), with repeats."""
     parts = [
         _scan(src, "mempool_transaction", window, None)
         .filter(F.col("meta_network_name") == "mainnet"),
@@ -338,7 +385,12 @@ def transaction_hashes(src: Sources, window: RunWindow, run_ts) -> DataFrame:
         _scan(src, "canonical_beacon_block_execution_transaction", window, None)
         .filter(F.col("meta_network_name") == "mainnet"),
     ]
-    out = union_distinct(parts, ["hash"])
+    return union_all([p.select("hash") for p in parts])
+
+
+def transaction_hashes(src: Sources, window: RunWindow, run_ts) -> DataFrame:
+    """Union of the sources' hashes, distinct (one shuffle on the hash)."""
+    out = hash_rows(src, window).distinct()
     return out.select(_stamp(run_ts), F.lit("mainnet").alias("network"), "hash")
 
 
@@ -351,27 +403,29 @@ class Model:
     key: tuple[str, ...]          # replacing key (output ORDER BY)
     shard: tuple[str, ...]        # file layout hash key
     day_col: str | None = None    # key column that fixes the day partition (if any)
+    merges: Mergeable | None = None  # partial groups that runs may keep
+    recomputes: str | None = None  # time column: a run yields every row of its window (and grace)
 
 
 MODELS: dict[str, Model] = {m.name: m for m in [
     Model("blocks", blocks, "1 MONTH", "1 DAY", ("slot_started_at", "network"),
-          ("slot_started_at", "network"), "slot_started_at"),
+          ("slot_started_at", "network"), "slot_started_at", recomputes="slot_started_at"),
     Model("block_blobs", block_blobs, "1 MONTH", "1 DAY", ("beacon_block_root_hash", "network"),
-          ("beacon_block_root_hash", "network")),
+          ("beacon_block_root_hash", "network"), recomputes="slot_started_at"),
     Model("attestation_divergence", attestation_divergence, "1 DAY", "1 HOUR",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at", recomputes="slot_started_at"),
     Model("network_participation", network_participation, "1 DAY", "1 HOUR",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at", recomputes="slot_started_at"),
     Model("attesting_validators", attesting_validators, "4 HOUR", "5 MINUTE",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at", recomputes="slot_started_at"),
     Model("offline_attesting_validators", offline_attesting_validators, "1 HOUR", "5 MINUTE",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at", recomputes="slot_started_at"),
     Model("attestation_nearest_client", attestation_nearest_client, "1 HOUR", "5 MINUTE",
-          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at"),
+          ("slot_started_at", "unique_key", "network"), ("unique_key",), "slot_started_at", recomputes="slot_started_at"),
     Model("transaction_sightings", transaction_sightings, "1 DAY", None,
-          ("hash", "network"), ("hash",)),
+          ("hash", "network"), ("hash",), merges=SIGHTINGS),
     Model("transaction_block_native", transaction_block_native, "1 DAY", None,
-          ("hash", "network"), ("hash",)),
+          ("hash", "network"), ("hash",), merges=LIFECYCLES),
     Model("transaction_mempool_dumpster", transaction_mempool_dumpster, "1 DAY", None,
           ("hash", "network"), ("hash",)),
     Model("transaction_canonical", transaction_canonical, "1 DAY", None,

@@ -16,8 +16,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from quorum.functions.keys import naive_concat_key, surrogate_key
 from quorum.functions.sets import set_string
@@ -26,15 +27,17 @@ from quorum.operators.membership import explode_members
 from quorum.operators.nearest import nearest_join
 from quorum.operators.partial import merge_partial_sums
 from quorum.operators.reconcile import other_roots, outer_chain as outer_chain_op
+from quorum.operators.states import append_states, compact_states
 from quorum.operators.unanimity import top_variant as top_variant_op
 from quorum.operators.versioned import append, compact, latest_by_key as latest_op, read_current
 from quorum.plans import models as M
-from quorum.plans.runner import replay
+from quorum.plans.runner import merged_run, replay, run_model
 from quorum.plans.runwindow import commit_rows, resolve_windows
 from quorum.session import scratch_path
 from quorum.sources.adapters import SLOTS_PER_EPOCH, Fixture, event_base, slot_start
+from quorum.sources.catalog import source
 from quorum.sources.scan import RunWindow, in_window
-from quorum.streaming.incremental import stream_recompute, tumbling_counts
+from quorum.streaming.incremental import distinct_stream, first_per_group_stream, stream_recompute, tumbling_counts
 
 RUN_TS = "2024-02-01 00:00:00"
 BACKFILL = RunWindow.backfill()
@@ -222,20 +225,30 @@ def source_checks(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def tx_sightings_merged(spark, sf_dir):
-    """M8 for the run window of 1997 with ``merge=True``: every hash seen in the window,
-    rolled up over all of its sightings (not cut at the window edges)."""
+def _merged(spark, sf_dir, name, *sets):
+    """The run of 1997 over stored partial groups: earlier and later windows have left theirs
+    (and were compacted), the run adds its own and finishes every hash it touched over all of
+    its partials.  Only the run's window of the source is read."""
+    fx = _fx(spark, sf_dir)
+    path = scratch_path(spark, f"{name}-states")
+    kept = M.MODELS[name].merges
+    spans = [("1970-01-01 00:00:00", "1996-12-31 23:59:59.999999"), ("1997-12-31 23:59:59.000001", "9999-12-30 00:00:00")]
+    for i, (start, end) in enumerate(spans):
+        append_states(kept.of_window(fx, RunWindow.of(start, end)), path, kept.on, f"run-{i}")
+    compact_states(spark, path, kept.key, kept.minima, kept.on)
     window = RunWindow.of("1997-01-01 00:00:00", "1997-12-31 23:59:59")
-    return _render_sets(M.transaction_sightings(_fx(spark, sf_dir), window, RUN_TS, merge=True),
-                        "seen_continents")
+    return _render_sets(merged_run(spark, name, fx, window, RUN_TS, path, "run-2"), *sets)
+
+
+def tx_sightings_merged(spark, sf_dir):
+    """M8 for the run window of 1997, not cut at the window edges."""
+    return _merged(spark, sf_dir, "transaction_sightings", "seen_continents")
 
 
 def tx_lifecycle_merged(spark, sf_dir):
-    """M9 for the run window of 1997 with ``merge=True`` (whole lifecycles of touched hashes)."""
-    window = RunWindow.of("1997-01-01 00:00:00", "1997-12-31 23:59:59")
-    return _render_sets(M.transaction_block_native(_fx(spark, sf_dir), window, RUN_TS, merge=True),
-                        "statuses", "base_fee_per_gas", "failure_reasons", "drop_reasons",
-                        "rejection_reasons", "seen_regions")
+    """M9 for the run window of 1997: whole lifecycles of touched hashes."""
+    return _merged(spark, sf_dir, "transaction_block_native", "statuses", "base_fee_per_gas",
+                   "failure_reasons", "drop_reasons", "rejection_reasons", "seen_regions")
 
 
 def outer_chain_q(spark, sf_dir):
@@ -335,19 +348,35 @@ def display_times(spark, sf_dir):
                      parse_ts_or_null(F.concat(F.col("event_type"), F.lit(" o'clock"))).alias("unparsable"))
 
 
+def _deliver(df: DataFrame, path: str, files: int) -> None:
+    """Add rows to a streamed folder as files, dealt by a hash of whole rows: whatever order
+    the files come in, every micro-batch but the first has late rows."""
+    df.repartition(files, F.xxhash64(*df.columns)).write.mode("append").parquet(path)
+
+
+def _streamed(spark: SparkSession, schema: StructType, path: str, files: int = 1) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _half(df: DataFrame, half: int) -> DataFrame:
+    return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(2)) == half)
+
+
+def _stamp(batch_id: int) -> Column:
+    return ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id))
+
+
 def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label, files=4):
-    """Drive a job by a Structured Streaming file source: the events arrive as ``files``
-    files, one per micro-batch, dealt by a hash of their id, so every batch but the first
-    brings late rows for slots of earlier ones.  The base table starts empty and grows by
-    each batch; the batch's touched keys are recomputed from it and appended to a replacing
-    table, whose current rows are returned."""
+    """Drive a job by a Structured Streaming file source of the events.  The base table
+    starts empty and grows by each batch; the batch's touched keys are recomputed from it and
+    replace their rows in a replacing table, whose current rows are returned."""
     fx = _fx(spark, sf_dir)
     root = scratch_path(spark, label)
     base, sink = os.path.join(root, "base"), os.path.join(root, "out")
-    events = fx.table("events")
     arriving = os.path.join(root, "arriving")
-    events.repartition(files, F.xxhash64("event_id")).write.parquet(arriving)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    _deliver(fx.table("events"), arriving, files)
+    stream = _streamed(spark, fx.table("events").schema, arriving)
+    stored = StructType([*stream.schema.fields, StructField("day", DateType())])
     model = M.MODELS[model_name]
 
     def store(batch, batch_id):
@@ -361,15 +390,13 @@ def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label, file
                                                                (F.col("epoch") + 1) * SLOTS_PER_EPOCH - 1)))
         return slots.withColumn("slot_start_date_time", slot_start("slot")).select(*keys)
 
-    def build(restrict, window, batch_id):
-        so_far = spark.read.schema(events.schema.add("day", "date")).parquet(base) \
-            .filter(F.col("day").between(F.to_date(ntz(window.start)), F.to_date(ntz(window.end)))) \
-            .select(*events.columns)
-        return build_restricted(Fixture(spark, fx.sf_dir, {"events": so_far}), restrict) \
-            .withColumn("updated_at", ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id)))
+    def build(restrict, days, batch_id):
+        so_far = spark.read.schema(stored).parquet(base).filter(F.col("day").isin(days)).select(*stream.columns)
+        return build_restricted(Fixture(spark, fx.sf_dir, {"events": so_far}), restrict)
 
-    q = stream_recompute(stream, touched, keys, build, sink, model.shard, os.path.join(root, "checkpoint"),
-                         model.key, day_col=model.day_col, store=store)
+    q = stream_recompute(stream, touched, keys, build, sink, model.key, os.path.join(root, "checkpoint"), _stamp,
+                         shard=model.shard, order_by=model.key, day_col=model.day_col, store=store,
+                         sink_names={"slot_start_date_time": "slot_started_at", "meta_network_name": "network"})
     q.awaitTermination()
     return read_current(spark, sink, key=model.key, version=("updated_at",)).drop("updated_at")
 
@@ -384,13 +411,83 @@ def stream_participation(spark, sf_dir):
 
 
 def stream_first_reporter(spark, sf_dir):
-    """M7 driven by Structured Streaming; touched keys = slot starts (the rank partition)."""
+    """M7 driven by Structured Streaming; touched keys = slot starts (the rank partition).
+    A late report of another network displaces a row with another replacing key, which is
+    withdrawn."""
     return _stream_model(
         spark, sf_dir, "attestation_nearest_client", ["slot_start_date_time"],
         lambda fx, r: M.attestation_nearest_client(fx, None, RUN_TS, restrict=r),
         "stream_first_reporter")
 
 
+def late_first_reporter(spark, sf_dir):
+    """M7 by two incremental runs over one window: the first sees three of four reports, the
+    second all.  Rows of the first whose replacing key no longer occurs are withdrawn."""
+    fx = _fx(spark, sf_dir)
+    root = scratch_path(spark, "late_first_reporter")
+    events = fx.table("events")
+    early = Fixture(spark, sf_dir, {"events": events.filter(F.xxhash64(*events.columns) % 4 != 0)})
+    model = M.MODELS["attestation_nearest_client"]
+    path, meta = os.path.join(root, model.name), os.path.join(root, "model_metadata")
+    run_model(spark, model, early, path, meta, "2024-02-05 00:00:00", interval="60 DAY")
+    run_model(spark, model, fx, path, meta, "2024-02-05 00:10:00", interval="60 DAY", grace="60 DAY")
+    return read_current(spark, path, key=model.key, version=("updated_at",)).drop("updated_at")
+
+
+def stream_first_reporter_state(spark, sf_dir):
+    """M7 as a stateful stream: the least report per (slot start, member) in Spark's state
+    store, update mode.  The stream ends after half of the rows and goes on from its
+    checkpoint with the other half."""
+    fx = _fx(spark, sf_dir)
+    root = scratch_path(spark, "stream_first_reporter_state")
+    arriving, sink = os.path.join(root, "arriving"), os.path.join(root, "out")
+    events, key = fx.table("events"), ("slot_started_at", "validator_index")
+
+    def finish(rows, batch_id):
+        return M.nearest_client_rows(rows, RUN_TS).withColumn("updated_at", _stamp(batch_id))
+
+    for half in (0, 1):
+        _deliver(_half(events, half), arriving, 2)
+        stream = Fixture(spark, sf_dir, {"events": _streamed(spark, events.schema, arriving)}).attestation
+        first_per_group_stream(M.nearest_client_reports(stream), M.FIRST_GROUP, M.FIRST_ORDER, M.FIRST_KEEP, sink, key,
+                               os.path.join(root, "checkpoint"), finish, event_time="slot_start_date_time",
+                               watermark="60 days", order_by=key, day_col="slot_started_at").awaitTermination()
+    return read_current(spark, sink, key=key, version=("updated_at",)).drop("updated_at")
+
+
+class _StreamSources:
+    """Sources as streams over folders of arriving files."""
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, StructType]):
+        self.spark, self.root, self.schemas = spark, root, schemas
+
+    def get(self, name: str) -> DataFrame:
+        return _streamed(self.spark, self.schemas[name], os.path.join(self.root, name), files=2)
+
+
+def stream_hash_universe(spark, sf_dir):
+    """M12 as a stateful stream over its four sources: hashes of the state's horizon are known,
+    the replacing table drops the others' repeats.  The stream ends after half of each
+    source's rows and goes on from its checkpoint with the other half."""
+    fx = _fx(spark, sf_dir)
+    root = scratch_path(spark, "stream_hash_universe")
+    sink = os.path.join(root, "out")
+    columns = {"mempool_transaction": "meta_network_name", "block_native_mempool_transaction": "network",
+               "mempool_dumpster_transaction": "chain_id", "canonical_beacon_block_execution_transaction": "meta_network_name"}
+    rows = {name: fx.get(name).select("hash", c, source(name).time_col) for name, c in columns.items()}
+    streams = _StreamSources(spark, root, {name: df.schema for name, df in rows.items()})
+
+    def finish(batch, batch_id):
+        return batch.select(_stamp(batch_id).alias("updated_at"), F.lit("mainnet").alias("network"), "hash")
+
+    for half in (0, 1):
+        for name, df in rows.items():
+            _deliver(_half(df, half), os.path.join(root, name), 2)
+        distinct_stream(M.hash_rows(streams, None), ["hash"], sink, os.path.join(root, "checkpoint"), finish,
+                        bloom=["hash"]).awaitTermination()
+    return read_current(spark, sink, key=["hash"], version=("updated_at",)).withColumn("updated_at", ntz(RUN_TS))
+
+
 QUERIES: dict[str, Query] = {
     "participation_rate": participation_rate,
     "divergence": divergence,
@@ -429,4 +526,7 @@ QUERIES: dict[str, Query] = {
     "display_times": display_times,
     "stream_participation": stream_participation,
     "stream_first_reporter": stream_first_reporter,
+    "stream_first_reporter_state": stream_first_reporter_state,
+    "stream_hash_universe": stream_hash_universe,
+    "late_first_reporter": late_first_reporter,
 }

@@ -21,11 +21,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.operators.versioned import append, read_current
+from quorum.functions.timefns import longest, ntz
+from quorum.operators.versioned import append, read_current, replace_scope
+from quorum.operators.states import append_states, read_states
 from quorum.plans.models import MODELS, Model
 from quorum.plans.runwindow import META_DDL, commit_rows, empty_meta, resolve_windows
 from quorum.plans.tables import Sources
-from quorum.sources.scan import RunWindow
+from quorum.sources.scan import RunWindow, in_window
 
 
 def read_meta(spark: SparkSession, meta_path: str) -> DataFrame:
@@ -61,10 +63,13 @@ def write_commit(spark: SparkSession, model: str, now, committed, meta_path: str
 
 def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_path: str,
               meta_path: str, now, interval: str | None = None,
-              read_cap: str | None = None, **options) -> tuple[RunWindow, dt.datetime]:
+              read_cap: str | None = None, state_path: str | None = None,
+              **options) -> tuple[RunWindow, dt.datetime]:
     """One incremental run of ``model`` at wall-clock ``now``; returns (window, committed).
 
-    The window is resolved once; what was read is what is committed."""
+    The window is resolved once; what was read is what is committed.  With ``state_path`` a
+    model of mergeable groups keeps their partials there: groups that the window touches are
+    finished from all stored partials, so no window edge cuts a rollup."""
     m = MODELS[model] if isinstance(model, str) else model
     interval = interval or m.interval
     meta = read_meta(spark, meta_path)
@@ -75,12 +80,35 @@ def run_model(spark: SparkSession, model: Model | str, sources: Sources, table_p
     if window.start >= window.end:      # everything up to now is committed
         return window, window.end
     name = run_id(now, window)
-    out = m.build(sources, window, now, **options)
-    append(out, table_path, key=m.shard, order_by=m.key, run_id=name, day_col=m.day_col)
+    if state_path is not None:
+        out = merged_run(spark, m, sources, window, now, state_path, name)
+    else:
+        out = m.build(sources, window, now, **options)
+    if m.recomputes:
+        # the run yields every row of its window: what it no longer yields is withdrawn
+        grace = options.get("grace", m.grace)
+        first, last = window.start - longest(grace), window.end
+        replace_scope(out, table_path, m.key, lambda rows: rows.filter(in_window(F.col(m.recomputes), window, grace)),
+                      ntz(now), shard=m.shard, order_by=m.key, run_id=name, day_col=m.day_col,
+                      days=lambda d: d is not None and first.date() <= d <= last.date())
+    else:
+        append(out, table_path, key=m.shard, order_by=m.key, run_id=name, day_col=m.day_col)
     write_commit(spark, m.name, now, window.end, meta_path, name)
     return window, window.end
 
 
+def merged_run(spark: SparkSession, model: Model | str, sources: Sources, window: RunWindow, now,
+               state_path: str, run_id: str) -> DataFrame:
+    """Store the window's partial groups as run ``run_id``; the finished rows of the groups
+    they belong to, over all runs.  Reads the window of the source and the state, no history."""
+    m = MODELS[model] if isinstance(model, str) else model
+    if m.merges is None:
+        raise ValueError(f"{m.name} keeps no mergeable state")
+    kept = m.merges
+    append_states(kept.of_window(sources, window), state_path, kept.on, run_id)
+    return kept.finish(read_states(spark, state_path, kept.key, kept.minima, kept.on, touched_by=run_id), now)
+
+
 def replay(spark: SparkSession, model: Model | str, sources: Sources, root: str, nows,
            interval: str | None = None, read_cap: str | None = None,
            **options) -> DataFrame:

@@ -50,6 +50,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quorum.sources.catalog import conform
 
@@ -145,7 +146,7 @@ class Fixture:
         path = f"{self.sf_dir}/{name}.parquet"
         schema = _SCHEMAS.get(path)
         df = (self.spark.read.schema(schema) if schema is not None else self.spark.read).parquet(path)
-        _SCHEMAS.setdefault(path, df.schema)
+        _SCHEMAS.setdefault(path, StructType(list(df.schema.fields)))  # a copy: callers may extend theirs
         return df
 
     # ---- event-derived base ----------------------------------------------------------------

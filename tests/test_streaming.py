@@ -1,16 +1,21 @@
 """Structured Streaming drive and sliced replays converge to the one-shot result."""
 
+import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
+from quorum.operators.ranking import first_per_group
 from quorum.operators.versioned import read_current
 from quorum.plans import models as M
 from quorum.plans.runner import replay
 from quorum.session import scratch_path
 from quorum.sources.adapters import Fixture, event_base
 from quorum.sources.scan import RunWindow
-from quorum.streaming.incremental import stream_recompute, tumbling_counts
+from quorum.streaming.incremental import (distinct_stream, first_per_group_stream, stream_recompute, touched_days,
+                                          tumbling_counts)
 from tests.conftest import SMALL
 
 RUN = "2024-02-01 00:00:00"
@@ -39,14 +44,16 @@ def test_late_rows_in_a_later_batch(spark):
     def store(batch, batch_id):
         batch.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(os.path.join(base, f"batch={batch_id}"))
 
-    def build(restrict, window, batch_id):
+    def build(restrict, days, batch_id):
         batches.append(batch_id)
-        so_far = spark.read.schema(events.schema.add("day", "date")).parquet(base)
-        so_far = so_far.filter(F.col("day").between(F.lit(window.start).cast("date"), F.lit(window.end).cast("date")))
+        so_far = spark.read.schema(StructType([*events.schema.fields, StructField("day", DateType())])).parquet(base)
+        so_far = so_far.filter(F.col("day").isin(days))
         plans.append(so_far._jdf.queryExecution().executedPlan().toString())
         fx = Fixture(spark, SMALL, {"events": so_far.drop("day", "batch")})
-        return M.network_participation(fx, None, RUN, restrict=restrict) \
-                .withColumn("updated_at", F.lit(f"2024-02-01 00:00:0{batch_id}").cast("timestamp_ntz"))
+        return M.network_participation(fx, None, RUN, restrict=restrict)
+
+    def stamp(batch_id):
+        return F.lit(f"2024-02-01 00:00:0{batch_id}").cast("timestamp_ntz")
 
     def touched(batch):
         # every slot of the epochs touched: a late row changes its epoch's committees
@@ -54,16 +61,122 @@ def test_late_rows_in_a_later_batch(spark):
         return b.join(event_base(full.table("events")).select("epoch", *keys).distinct(), ["epoch", "meta_network_name"]).select(*keys)
 
     sink = os.path.join(root, "out")
-    q = stream_recompute(stream, touched, keys, build, sink, model.shard, os.path.join(root, "ckpt"), model.key, store=store)
+    q = stream_recompute(stream, touched, keys, build, sink, model.key, os.path.join(root, "ckpt"), stamp, model.shard, model.key,
+                         store=store, sink_names={"slot_start_date_time": "slot_started_at", "meta_network_name": "network"})
     q.awaitTermination()
     assert len(batches) == 2
-    assert all("PartitionFilters: [isnotnull(day" in p for p in plans)
+    assert all("PartitionFilters: [day" in p for p in plans)
     want = rows(M.network_participation(full, RunWindow.backfill(), RUN))
     assert rows(read_current(spark, sink, model.key, ("updated_at",))) == want
-    first = spark.read.parquet(os.path.join(sink, "run_id=batch-00000000")).drop("updated_at")
+    first = spark.read.parquet(os.path.join(sink, "run_id=batch-00000000")).drop("updated_at", "_deleted")
     assert rows(first) != want
 
 
+REPORT = ("slot long, slot_start_date_time timestamp_ntz, attesting_validator_index long, meta_network_name string, "
+          "propagation_slot_start_diff long, meta_client_geo_country string, meta_client_geo_continent_code string, "
+          "meta_consensus_implementation string")
+
+
+def report(network, diff, member=7, day=5):
+    return (day, dt.datetime(2024, 1, day), member, network, diff, "c", "k", "teku")
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
+def test_a_flip_of_the_replacing_key_leaves_one_row(spark, order):
+    """The first reporter moves to another network, and with it the table's key."""
+    parts = [[report("mainnet", 50), report("mainnet", 5, 8)], [report("holesky", 20)], [report("mainnet", 10), report("holesky", 9, 8)]]
+    root = scratch_path(spark, "t-flip")
+    src, base, sink = (os.path.join(root, x) for x in ("src", "base", "out"))
+    model, keys = M.MODELS["attestation_nearest_client"], ["slot_start_date_time"]
+    schema = spark.createDataFrame([], REPORT).schema
+
+    def build(restrict, days, batch_id):
+        so_far = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(base)
+        first = first_per_group(M.nearest_client_reports(restrict(so_far)), M.FIRST_GROUP, M.FIRST_ORDER, M.FIRST_KEEP)
+        return M.nearest_client_rows(first, RUN)
+
+    seen = []
+    for i in order:
+        spark.createDataFrame(parts[i], REPORT).coalesce(1).write.mode("append").parquet(src)
+        stream_recompute(spark.readStream.schema(schema).parquet(src), lambda b: b, keys, build, sink, model.key,
+                         os.path.join(root, "ckpt"), lambda b: F.lit(f"2024-02-01 00:00:0{b}").cast("timestamp_ntz"),
+                         day_col=model.day_col, sink_names={"slot_start_date_time": "slot_started_at"},
+                         store=lambda b, n: b.write.mode("overwrite").parquet(f"{base}/batch={n}")).awaitTermination()
+        seen += parts[i]
+        want = {}
+        for r in sorted(seen, key=lambda r: (r[4], r[3])):
+            want.setdefault(r[2], r[3])
+        got = [(r.validator_index, r.network) for r in read_current(spark, sink, model.key).collect()]
+        assert sorted(got) == sorted(want.items())
+
+
+def test_a_late_row_reads_its_days_only(spark):
+    """Two rows 20 days apart touch their own days, not those between."""
+    ddl = "slot_start_date_time timestamp_ntz"
+    touched = spark.createDataFrame([(dt.datetime(2024, 1, 25, 6),), (dt.datetime(2024, 1, 5, 6),), (None,)], ddl)
+    days = touched_days(touched, "slot_start_date_time", dt.timedelta(hours=12))
+    assert days == [dt.date(2024, 1, 5), dt.date(2024, 1, 25)]
+    assert touched_days(touched, "slot_start_date_time", dt.timedelta(hours=18)) == days    # up to, not at, midnight
+    assert len(touched_days(touched, "slot_start_date_time", dt.timedelta(days=1))) == 4
+    base = scratch_path(spark, "t-days")
+    spark.read.parquet(f"{SMALL}/events.parquet").withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(base)
+    read = spark.read.parquet(base).filter(F.col("day").isin(days))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day" in plan
+    found = {r.f.split("day=")[1][:10] for r in read.select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    assert found == {str(d) for d in days}
+
+
+def test_stateful_first_reporter_goes_on_from_its_checkpoint(spark):
+    root = scratch_path(spark, "t-state")
+    src, sink, group = os.path.join(root, "src"), os.path.join(root, "out"), ("slot_started_at", "validator_index")
+    schema = spark.createDataFrame([], REPORT).schema
+
+    def finish(rows, batch_id):
+        return M.nearest_client_rows(rows, RUN).withColumn("updated_at", F.lit(f"2024-02-01 00:00:0{batch_id}").cast("timestamp_ntz"))
+
+    def go(*reports):
+        spark.createDataFrame(list(reports), REPORT).coalesce(1).write.mode("append").parquet(src)
+        first_per_group_stream(M.nearest_client_reports(spark.readStream.schema(schema).parquet(src)), M.FIRST_GROUP,
+                               M.FIRST_ORDER, M.FIRST_KEEP, sink, group, os.path.join(root, "ckpt"), finish,
+                               event_time="slot_start_date_time", watermark="10 days", order_by=group,
+                               day_col="slot_started_at").awaitTermination()
+        return sorted((r.slot, r.validator_index, r.network) for r in read_current(spark, sink, group).collect())
+
+    assert go(report("mainnet", 50), report("mainnet", 5, 8)) == [(5, 7, "mainnet"), (5, 8, "mainnet")]
+    # a new session of the query knows the state: a slower report changes nothing, a faster one does
+    assert go(report("holesky", 20), report("holesky", 6, 8)) == [(5, 7, "holesky"), (5, 8, "mainnet")]
+    assert go(report("mainnet", 1, 9, 28)) == [(5, 7, "holesky"), (5, 8, "mainnet"), (28, 9, "mainnet")]
+    # beyond the watermark (18 January by now) a row is not seen: the documented difference
+    assert go(report("mainnet", 1)) == [(5, 7, "holesky"), (5, 8, "mainnet"), (28, 9, "mainnet")]
+
+
+def test_distinct_stream_is_exact_beyond_its_horizon(spark):
+    root = scratch_path(spark, "t-distinct")
+    src, sink = os.path.join(root, "src"), os.path.join(root, "out")
+    runs = []
+
+    def finish(rows, batch_id):
+        runs.append(sorted(r.hash for r in rows.collect()))
+        return rows.withColumn("updated_at", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+
+    for part in (["a", "b", "a"], ["b", "c", None]):
+        spark.createDataFrame([(h,) for h in part], "hash string").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("hash string").parquet(src)
+        distinct_stream(stream.filter("hash is not null"), ["hash"], sink, os.path.join(root, "ckpt"), finish).awaitTermination()
+    assert [r for r in runs if r] == [["a", "b"], ["c"]]
+    assert sorted(r.hash for r in read_current(spark, sink, ["hash"]).collect()) == ["a", "b", "c"]
+
+
+def test_a_stream_query_leaves_the_cached_schemas_alone(spark):
+    from quorum.plans import queries as Q
+    from quorum.sources import adapters
+    adapters._SCHEMAS.clear()
+    Q.stream_participation(spark, SMALL)
+    assert "day" not in adapters._SCHEMAS[f"{SMALL}/events.parquet"].names
+    assert Q.participation_rate(spark, SMALL).count()
+
+
 def test_catch_up_at_one_wall_clock(spark):
     fx = Fixture(spark, SMALL)
     root = scratch_path(spark, "t-catch-up")

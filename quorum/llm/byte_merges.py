@@ -36,6 +36,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorum.llm.common import keeps, tidy
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MEMO = 250_000
 MEMO_CHARS = 48
@@ -211,6 +213,9 @@ class Vocabulary:
         return Vocabulary(data)
 
 
+keeps("byte_merges", Vocabulary.of.cache_clear)
+
+
 class Tokenizer:
     """A vocabulary with its pattern; ids of matches are remembered as 32-bit integers."""
 
@@ -328,7 +333,7 @@ def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col:
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32))),
                  *batch.columns[2:]], names=["id", "ids", *batch.schema.names[2:]])
 
-    return base.mapInArrow(run, "id long, ids array<int>" + _types(base, carry))
+    return base.mapInArrow(tidy("byte_merges", run), "id long, ids array<int>" + _types(base, carry))
 
 
 def decode(encoded: DataFrame, vocabulary: bytes, id_col: str = "id", ids_col: str = "ids",
@@ -349,7 +354,7 @@ def decode(encoded: DataFrame, vocabulary: bytes, id_col: str = "id", ids_col: s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), *batch.columns[2:]],
                                              names=["id", "bytes", *batch.schema.names[2:]])
 
-    return base.mapInArrow(run, "id long, bytes binary" + _types(base, carry))
+    return base.mapInArrow(tidy("byte_merges", run), "id long, bytes binary" + _types(base, carry))
 
 
 def _types(df: DataFrame, carry: tuple[str, ...]) -> str:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,69 @@ def binaries(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+# What a Python worker may keep from one task to the next, by operator.
+_KEPT: dict[str, Callable[[], None]] = {}
+_last: list[str] = [""]
+
+
+def keeps(operator: str, forget: Callable[[], None]) -> None:
+    """Register how to empty what tasks of ``operator`` leave for its next task."""
+    _KEPT[operator] = forget
+
+
+def tidy(operator: str, run: Callable) -> Callable:
+    """``run`` (of ``mapInArrow`` or ``applyInArrow``) as a task that bounds its worker.
+
+    Workers are reused: a task first empties what other operators have left (memos, tables),
+    and hands freed memory back to the system when it ends, so that the stages of one job do
+    not add up in an executor.
+    """
+    def enter() -> None:
+        if _last[0] != operator:
+            for other, forget in _KEPT.items():
+                if other != operator:
+                    forget()
+            _last[0] = operator
+
+    def rows(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter()
+        try:
+            yield from run(batches_)
+        finally:
+            _release()
+
+    def group(table: pa.Table) -> pa.Table:
+        enter()
+        try:
+            return run(table)
+        finally:
+            _release()
+
+    return group if isinstance(run, _Group) else rows
+
+
+class _Group:
+    """Marks a function of ``applyInArrow`` for ``tidy``."""
+
+    def __init__(self, run: Callable) -> None:
+        self.run = run
+
+    def __call__(self, table: pa.Table) -> pa.Table:
+        return self.run(table)
+
+
+def tidy_group(operator: str, run: Callable) -> Callable:
+    return tidy(operator, _Group(run))
+
+
+def _release() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # a system whose C library has no such call
+        pass
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

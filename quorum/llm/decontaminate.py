@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import batches
+from quorum.llm.common import batches, tidy
 
 Q = 8
 BUDGET = 12
@@ -235,5 +235,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for block in range(blocks):
         # Each block is of a bounded size by construction (blocks are dealt by hash).
         part = items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block)
-        out = out.mapInArrow(_pass([(r["item"], r["body"]) for r in part.collect()]), schema)
+        out = out.mapInArrow(tidy("decontaminate", _pass([(r["item"], r["body"]) for r in part.collect()])), schema)
     return out

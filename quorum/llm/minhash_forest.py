@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import binaries, components, cut
+from quorum.llm.common import binaries, components, cut, tidy, tidy_group
 from quorum.llm.shingles import MinHash, shared, shingle_set
 
 SIZE = 64
@@ -61,7 +61,7 @@ def _features(k: int):
 def features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """``(id, n, fp, sig)`` per row: set size, 128-bit digest of the set, its minima."""
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")) \
-        .mapInArrow(_features(k), "id long, n long, fp binary, sig array<int>")
+        .mapInArrow(tidy("minhash", _features(k)), "id long, n long, fp binary, sig array<int>")
 
 
 def _keyed(members: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     texts = texts.hint("merge")
     return pairs.join(texts.select(F.col("rep").alias("v"), F.col("text").alias("tv")), "v") \
         .join(texts.select(F.col("rep").alias("u"), F.col("text").alias("tu")), "u") \
-        .select("u", "tu", "v", "tv").mapInArrow(_confirm(k, percent), "u long, v long")
+        .select("u", "tu", "v", "tv").mapInArrow(tidy("minhash", _confirm(k, percent)), "u long, v long")
 
 
 def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region: int,
@@ -196,7 +196,7 @@ def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region:
     leaders = one.filter("rep = leader").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                                                 "rep", "leader", F.lit(True).alias("leads"))
     star = cut(followers.union(leaders).join(texts, "rep").groupBy("key", "part")
-               .applyInArrow(_star(k, percent), "key long, rep long, leader long, role int"), "star")
+               .applyInArrow(tidy_group("minhash", _star(k, percent)), "key long, rep long, leader long, role int"), "star")
     roles = one.join(star.select("key", "rep", "role"), ["key", "rep"], "left") \
         .select("key", "rep", "n", F.coalesce("role", F.lit(0)).alias("role"))
     counts = []
@@ -223,7 +223,7 @@ def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region:
     owned = roles.filter("role = 0 and near > 0").withColumn("j", number("owned")).withColumn("i", every("near")) \
         .select("key", F.lit(1).alias("kind"), "i", "j", "rep", F.lit(False).alias("asks"))
     blocks = across.union(near).union(owned).join(texts, "rep").groupBy("key", "kind", "i", "j") \
-        .applyInArrow(_block_links(k, percent), "u long, v long")
+        .applyInArrow(tidy_group("minhash", _block_links(k, percent)), "u long, v long")
     return [star.filter("role = 0").select(F.col("leader").alias("u"), F.col("rep").alias("v")), blocks], \
         open_.select(F.xxhash64("key", "part").alias("key"), "rep")
 
@@ -254,7 +254,7 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int,
         middle = middle.union(within)
     if not middle.isEmpty():
         edges.append(middle.join(texts, "rep").groupBy("key")
-                     .applyInArrow(_region_links(k, percent), "u long, v long"))
+                     .applyInArrow(tidy_group("minhash", _region_links(k, percent)), "u long, v long"))
     # Thinned by set sizes and by one byte of each minimum, exact in what they rule out but
     # for the signature's own error.
     floor = int(SIZE * (percent / 100 - SLACK))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import batches, binaries, cut
+from quorum.llm.common import batches, binaries, cut, tidy
 from quorum.llm.shingles import _POWERS, mix, shingle_set
 
 TRAIN_ROWS = 30_000
@@ -293,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
     """
     rows = training_rows(docs, labels, "toxic", held_out, limit)
     # Rows of one label with equal sets of shingles count once.
-    distinct = rows.mapInArrow(_families, "doc long, text string, label int, family binary") \
+    distinct = rows.mapInArrow(tidy("toxicity", _families), "doc long, text string, label int, family binary") \
         .groupBy("family", "label").agg(F.min(F.struct("doc", "text", "label")).alias("least")).select("least.*")
     distinct = cut(distinct.select("doc", "text", "label"), "training")
     total = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
@@ -302,7 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
     stems: set[bytes] = set()
     mild: set[bytes] = set()
     if n1 and n0:
-        terms = distinct.mapInArrow(_counted, "stem boolean, term binary, n1 long, n0 long") \
+        terms = distinct.mapInArrow(tidy("toxicity", _counted), "stem boolean, term binary, n1 long, n0 long") \
             .groupBy("stem", "term").agg(F.sum("n1").alias("a"), F.sum("n0").alias("b"))
         rate = n1 / (n1 + n0)
         log = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(F.lit(0.0))
@@ -333,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
                 [pa.array(list(design(scorer.labels(binaries(batch.column(1))))), pa.list_(pa.float64())), batch.column(2)],
                 names=["x", "label"])
 
-    found = distinct.mapInArrow(vectors, "x array<double>, label int").groupBy("x", "label").count().collect()
+    found = distinct.mapInArrow(tidy("toxicity", vectors), "x array<double>, label int").groupBy("x", "label").count().collect()
     x = np.array([r["x"] for r in found for _ in range(r["count"])]).reshape(-1, len(LABELS))
     y = np.array([r["label"] for r in found for _ in range(r["count"])], dtype=float)
     weights = fit_weights(x, y) if len(set(y)) == 2 else np.array([-3.0, *PRIOR])
@@ -363,7 +363,7 @@ def score(docs: DataFrame, model: tuple[Scorer, np.ndarray], id_col: str = "doc_
                        *(F.col(c) for c in carry))
     schema = "id long, score double, labels array<long>" + "".join(
         f", `{c}` {base.schema[c].dataType.simpleString()}" for c in carry)
-    return base.mapInArrow(scored, schema)
+    return base.mapInArrow(tidy("toxicity", scored), schema)
 
 
 def held_out(column: str, modulus: int, remainder: int) -> Column:

@@ -12,13 +12,15 @@ them pass one boundary, the ids before it are committed and forgotten.
 
 No piece spans a change from other characters to the space mark (a property checked on the
 model; without it a text is one stretch).  All paths meet there, so these stretches are
-searched one by one, and a bounded memo keeps the ids of frequent ones.
+searched one by one, each once per block of texts, and a bounded memo keeps their ids from block to
+block until the worker turns to another operator.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import batches
+from quorum.llm.common import batches, keeps, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MEMO = 400_000
 MEMO_CHARS = 32
 PAIRS = 250_000
 BATCH_ROWS = 512
+BLOCK = 1_000_000         # characters whose stretches are held at once, or one text
 SPACE = "▁"
 # Piece kinds and model kinds of the model file format.
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
@@ -100,13 +103,15 @@ class Model:
         unknown_surface = trainer.get(44, " ⁇ ".encode())
         self.surface = [p.replace(SPACE, " ").encode() if kind == _NORMAL else unknown_surface if kind == _UNKNOWN
                         else bytes([int(p[3:5], 16)]) if kind == _BYTE else b"" for p, _, kind in pieces]
-        # Pieces by their characters; the empty key holds a piece's id.
-        self.trie: dict = {}
+        # Pieces by their characters: a node is the id of the piece that ends there (None: no
+        # piece) and its children.
+        self.trie: list = [None, {}]
         for piece, id_ in self.ids.items():
             node = self.trie
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = id_
+                node = node[1].setdefault(c, [None, {}])
+            node[0] = id_
+        self.singles = {p for p in self.ids if len(p) == 1}
         self.known: dict[int, bool] = {}
 
     def normalized(self, text: str) -> str:
@@ -131,9 +136,6 @@ class Model:
             parts[where:where + 2] = [parts[where] + parts[where + 1]]
         return parts
 
-    def single(self, char: str) -> bool:
-        return "" in self.trie.get(char, ())
-
     def fits(self, before: int, piece: int) -> bool:
         """Whether a piece may follow another (-1: a character without a piece, or none)."""
         if len(self.known) >= PAIRS:
@@ -193,21 +195,21 @@ class Stream:
 
     def _extend(self, stop: int) -> None:
         model, text, back, last, best = self.model, self.text, self.back, self.last, self.best
-        trie, known, size, end_of_text = model.trie, model.known, len(model.pieces), len(text)
+        roots, singles, known, size, end_of_text = model.trie[1], model.singles, model.known, len(model.pieces), len(text)
         bpe, scores = model.kind == _BPE, model.scores
         for start in range(self.done, stop):
             if back[start] is None:
                 continue
-            if not model.single(text[start]) and (
+            if text[start] not in singles and (
                     back[start + 1] is None or not bpe and best[start] + model.least > best[start + 1]):
                 back[start + 1], last[start + 1], best[start + 1] = start, -1, best[start] + model.least
-            node, end, before = trie, start, (last[start] + 1) * size
+            below, end, before = roots, start, (last[start] + 1) * size
             while end < end_of_text:
-                node = node.get(text[end])
+                node = below.get(text[end])
                 if node is None:
                     break
                 end += 1
-                id_ = node.get("")
+                id_, below = node
                 if id_ is None:
                     continue
                 if bpe:
@@ -259,37 +261,45 @@ class Stream:
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of frequent short stretches, half of them at a time
-    since the last change of halves."""
+    """Encodes texts; remembers the ids of short stretches, and forgets all when too many."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
         self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.stream = Stream(model)
 
     def _search(self, stretch: str) -> bytes:
-        stream = Stream(self.model)
-        ids = stream.feed(stretch) + stream.close()
-        return struct.pack(f"<{len(ids)}i", *ids)
-
-    def _remembered(self, stretch: str) -> bytes:
-        found = self.older.get(stretch)
-        if found is None:
-            found = self._search(stretch)
-        if len(stretch) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO // 2:
-                self.older, self.memo = self.memo, {}
-            self.memo[stretch] = found
-        return found
+        ids = self.stream.feed(stretch) + self.stream.close()
+        return array("i", ids).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """The text's ids as little-endian 32-bit integers."""
-        text = self.model.normalized(text or "")
-        if not text:
-            return b""
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Per text its ids as native 32-bit integers; a stretch is searched once per call."""
+        normal = [self.model.normalized(t or "") for t in texts]
         if not self.model.stretches:
-            return self._search(text)
-        return b"".join([self.memo.get(x) or self._remembered(x) for x in _STRETCH.findall(text)])
+            return [self._search(t) if t else b"" for t in normal]
+        out, held, size = [], [], 0
+        for text in normal:
+            held.append(_STRETCH.findall(text))
+            size += len(text)
+            if size >= BLOCK:
+                out += self._joined(held)
+                held, size = [], 0
+        return out + self._joined(held)
+
+    def _joined(self, held: list[list[str]]) -> list[bytes]:
+        memo = self.memo
+        stretches = set().union(*held)
+        new = stretches.difference(memo)
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            new = stretches
+        for stretch in new:
+            memo[stretch] = self._search(stretch)
+        out = [b"".join(map(memo.__getitem__, found)) for found in held]
+        for stretch in new:
+            if len(stretch) > MEMO_CHARS:
+                del memo[stretch]
+        return out
 
     @staticmethod
     @lru_cache(maxsize=4)
@@ -301,6 +311,14 @@ class Encoder:
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+def _forget() -> None:
+    Encoder.of.cache_clear()
+    Model.of.cache_clear()
+
+
+keeps("pieces", _forget)
+
+
 def decode_ids(model: Model, ids: list[int]) -> str:
     """The text of ids: pieces with spaces for space marks, bytes joined as UTF-8."""
     surface = model.surface
@@ -332,7 +350,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
         encoder = Encoder.of(model)
         for batch in batches(rows, BATCH_ROWS):
             texts = batch.column(1).to_pylist()
-            found = [encoder.encode(t) for t in texts]
+            found = encoder.encode(texts)
             offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
             values = np.frombuffer(b"".join(found), dtype=np.int32)
             parts = values.tolist()
@@ -345,7 +363,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
 
     schema = "id long, ids array<int>, round_trip boolean" + "".join(
         f", `{c}` {base.schema[c].dataType.simpleString()}" for c in carry)
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(tidy("pieces", run), schema)
 
 
 def decode(encoded: DataFrame, model: bytes, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -357,4 +375,4 @@ def decode(encoded: DataFrame, model: bytes, id_col: str = "id", ids_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     return encoded.select(F.col(id_col).cast("long").alias("id"), F.col(ids_col).cast("array<int>").alias("ids")) \
-        .mapInArrow(run, "id long, text string")
+        .mapInArrow(tidy("pieces", run), "id long, text string")

@@ -54,7 +54,7 @@ def test_equals_the_library(data, spark):
     size = 3000 if data is DATA else 120
     texts = [t[:size] for t in texts] + [r.text[:size] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for text in texts:
-        want, got = lib(text), np.frombuffer(encoder.encode(text), dtype=np.int32).tolist()
+        want, got = lib(text), np.frombuffer(encoder.encode([text])[0], dtype=np.int32).tolist()
         if data is DATA:
             assert got == want, text
         else:  # the library's lattice breaks ties differently and sums in single precision
@@ -101,3 +101,23 @@ def test_defined_cases(spark):
 def test_unsupported_models_are_refused():
     with pytest.raises(ValueError):
         ps.Model(DATA.replace(b"tok_v0\x18\x02", b"tok_v0\x18\x03"))
+
+
+def test_small_memo_and_blocks_change_nothing(monkeypatch):
+    texts = [t for t in TEXTS if len(t) < 400] + ["a b c " * 50, None]
+    want = ps.Encoder(ps.Model(DATA)).encode(texts)
+    monkeypatch.setattr(ps, "MEMO", 3)
+    monkeypatch.setattr(ps, "BLOCK", 10)
+    monkeypatch.setattr(ps, "MEMO_CHARS", 4)
+    encoder = ps.Encoder(ps.Model(DATA))
+    assert encoder.encode(texts) == want == [e for t in texts for e in encoder.encode([t])]
+
+
+def test_a_worker_forgets_when_it_turns_to_another_operator():
+    from quorum.llm import common
+    ps.Encoder.of(DATA).encode(["a word"])
+    assert ps.Encoder.of.cache_info().currsize == 1
+    list(common.tidy("pieces", iter)([]))
+    assert ps.Encoder.of.cache_info().currsize == 1
+    list(common.tidy("other", iter)([]))
+    assert ps.Encoder.of.cache_info().currsize == 0 and ps.Model.of.cache_info().currsize == 0

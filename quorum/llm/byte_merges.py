@@ -10,7 +10,7 @@ O(n log n), whatever it repeats.
 
 Matches are short as a rule and recur, so a task encodes the distinct ones of a block of texts,
 short ones with their trees side by side in arrays (one merge a round in each), and remembers up to ``MEMO`` of at most ``MEMO_CHARS`` characters; a full memo is emptied, which
-changes no result, and ends with its task.  A task holds the vocabulary, the memo, a batch of
+changes no result; a worker keeps it until it turns to another operator.  A task holds the vocabulary, the memo, a batch of
 texts with its ids (about ``BATCH_UNITS``, or one text), the matches of a block of a text, and
 about 24 bytes per byte of the longest match.
 
@@ -213,9 +213,6 @@ class Vocabulary:
         return Vocabulary(data)
 
 
-keeps("byte_merges", Vocabulary.of.cache_clear)
-
-
 class Tokenizer:
     """A vocabulary with its pattern; ids of matches are remembered as 32-bit integers."""
 
@@ -289,6 +286,20 @@ class Tokenizer:
                 del memo[match]
 
 
+    @staticmethod
+    @lru_cache(maxsize=1)
+    def of(data: bytes) -> Tokenizer:
+        return Tokenizer(data)
+
+
+def _forget() -> None:
+    Tokenizer.of.cache_clear()
+    Vocabulary.of.cache_clear()
+
+
+keeps("byte_merges", _forget)
+
+
 class Detokenizer:
     """Bytes of ids."""
 
@@ -325,7 +336,7 @@ def encode(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col:
                        *(F.col(c) for c in carry))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(vocabulary)
+        tokenizer = Tokenizer.of(vocabulary)
         for batch in _pieces(rows, 1, BATCH_UNITS):
             found = tokenizer.encode(batch.column(1).to_pylist())
             offsets = np.cumsum([0, *(len(ids) // 4 for ids in found)])

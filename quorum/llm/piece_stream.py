@@ -261,11 +261,13 @@ class Stream:
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of short stretches, and forgets all when too many."""
+    """Encodes texts; remembers the ids of short stretches, half of them at a time those met
+    since the last change of halves, so that rare ones push no frequent one out."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.stream = Stream(model)
 
     def _search(self, stretch: str) -> bytes:
@@ -290,11 +292,12 @@ class Encoder:
         memo = self.memo
         stretches = set().union(*held)
         new = stretches.difference(memo)
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = stretches
+        if len(memo) + len(new) > MEMO // 2:
+            self.older, self.memo = memo, {s: memo[s] for s in stretches.difference(new)}
+            memo = self.memo
+        older = self.older
         for stretch in new:
-            memo[stretch] = self._search(stretch)
+            memo[stretch] = older.get(stretch) or self._search(stretch)
         out = [b"".join(map(memo.__getitem__, found)) for found in held]
         for stretch in new:
             if len(stretch) > MEMO_CHARS:

@@ -1,27 +1,38 @@
 """MinHash near-duplicates by an LSH forest.
 
 Every distinct shingle set gets one signature of minima.  The forest's trees are sorted
-orders of the signatures, each starting at another minimum; rows that share the first
-``DEPTH`` minima of an order are neighbours with a common prefix, a region.  Every link of a
-region is found, whatever its size:
+orders of the signatures, each taking the minima in another sequence.  An order is sorted by
+ranges over the cluster, each row is compared with the rows before and after it, and only rows
+whose longest common prefix with a neighbour reaches the level's depth go on; rows that share
+that prefix are a region.
+
+The depth adapts to the region.  ``LEVELS`` names depths and the number of orders that finds a
+pair at similarity 0.8 with a miss of at most 1e-5 there (a deeper prefix is shared more
+rarely, so it needs more orders):
 
 * at most ``pair_region`` sets: every pair of the region is a candidate; candidates of all
-  trees meet in one distinct, are thinned by their signatures and confirmed on full texts;
+  orders meet in one distinct, are thinned by their signatures and confirmed on full texts;
 * more, at most ``task_region`` sets: one task confirms the region exactly by an inverted
   list of its shingles and returns a spanning forest of its links, never its pairs;
 * still more: the sets are compared with one leader of the region, part by part.  Those
   linked to it need no further comparison with each other; as the Jaccard distance is a
-  metric, only sets within twice the allowed distance of the leader can link to them.  What
-  is left to compare goes block against block, each pair of blocks in one task.
+  metric, only sets within twice the allowed distance of the leader can link to them.  The
+  sets that are left to compare go on to the next level: its orders are sorted over them alone,
+  by a deeper prefix;
+* the same beyond the last level's depth: blocks of the region go against each other, each pair
+  of blocks in one task.  The work grows with the square of the sets that agree in that whole
+  prefix and are not linked to their leader, and with nothing else.
 
 Equal sets collapse to one row before any of this, by a partial aggregate, so a group of
-exact copies of any size costs one row.
+exact copies of any size costs one row.  A very long text is read whole, in blocks, by the task
+that holds it; ties between orders or leaders change no link, as links are confirmed exactly.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +40,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.llm.common import binaries, components, cut, tidy, tidy_group
-from quorum.llm.shingles import MinHash, shared, shingle_set
+from quorum.llm.shingles import MinHash, mix, shared, shingle_set
 
 SIZE = 64
-TREES = 16
-DEPTH = 3
+# (depth, orders): (1 - 0.8 ** depth) ** orders is at most 1e-5.
+LEVELS = ((3, 16), (5, 32), (8, 64))
 PAIR_REGION = 32
 TASK_REGION = 4096
 TASK_SHINGLES = 4_000_000
@@ -64,10 +75,82 @@ def features(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
         .mapInArrow(tidy("minhash", _features(k)), "id long, n long, fp binary, sig array<int>")
 
 
-def _keyed(members: DataFrame) -> DataFrame:
-    step = SIZE // TREES
-    order = f"concat(slice(sig, tree * {step} + 1, {SIZE}), slice(sig, 1, tree * {step}))"
-    return members.select("rep", "n", "tree", F.expr(f"xxhash64(tree, slice({order}, 1, {DEPTH}))").alias("key"))
+def sequences(depth: int, orders: int) -> np.ndarray:
+    """The first ``depth`` minima of each order: random permutations of all minima, each cut
+    into as many orders as it holds, so that orders overlap only where they must."""
+    rng = np.random.default_rng(depth)
+    per = SIZE // depth
+    cuts = [rng.permutation(SIZE)[:per * depth].reshape(per, depth) for _ in range(-(-orders // per))]
+    return np.concatenate(cuts)[:orders]
+
+
+def _ordered(depth: int, orders: int):
+    """``(tree, prefix, rep, n)``: a row per order, its prefix as bytes that sort like it."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken = sequences(depth, orders)
+        for batch in rows:
+            if not batch.num_rows:
+                continue
+            sigs = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, SIZE)
+            for tree, minima in enumerate(taken):
+                raw = np.ascontiguousarray(sigs[:, minima].view(np.uint32).astype(">u4"))
+                prefix = pa.Array.from_buffers(pa.binary(4 * depth), batch.num_rows, [None, pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, tree, dtype=np.int32)), prefix.cast(pa.binary()),
+                     batch.column(0), batch.column(1)], names=["tree", "prefix", "rep", "n"])
+    return run
+
+
+def _neighbours(depth: int):
+    """``(key, rep, n)`` of the rows of a sorted stretch whose longest common prefix with the
+    row before or after has the whole depth; a stretch's first and last row have a neighbour
+    that the task does not see, and stay."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: np.ndarray | None = None
+        held: tuple | None = None           # the last row so far: (values, rep, n, joined)
+
+        def out(values: np.ndarray, rep: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            key = values[:, 0].astype(np.uint64)
+            for i in range(1, values.shape[1]):
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + values[:, i].astype(np.uint64))
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep), pa.array(n)],
+                                              names=["key", "rep", "n"])
+
+        for batch in rows:
+            size = batch.num_rows
+            if not size:
+                continue
+            raw = b"".join(batch.column(1).to_pylist())
+            values = np.empty((size, depth + 1), dtype=np.uint32)
+            values[:, 0] = batch.column(0).to_numpy()
+            values[:, 1:] = np.frombuffer(raw, dtype=">u4").reshape(size, depth)
+            rep, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            # Length of the common prefix of neighbours, the order's number included.
+            before = np.full(size, depth + 1)
+            before[1:] = np.cumprod(values[1:] == values[:-1], axis=1).sum(axis=1)
+            if held is not None:
+                before[0] = np.cumprod(values[0] == last).sum()
+                if held[3] or before[0] > depth:
+                    yield out(*held[:3])
+            joined = before > depth
+            keep = joined[:-1] | joined[1:]
+            yield out(values[:-1][keep], rep[:-1][keep], n[:-1][keep])
+            last, held = values[-1], (values[-1:], rep[-1:], n[-1:], bool(joined[-1]))
+        if held is not None:
+            yield out(*held[:3])
+    return run
+
+
+def _regions(rows: DataFrame, depth: int, orders: int) -> DataFrame:
+    """``(key, rep, n, members, shingles, leader)`` of the regions of a level's orders."""
+    near = rows.select("rep", "n", "sig") \
+        .mapInArrow(tidy("minhash", _ordered(depth, orders)), "tree int, prefix binary, rep long, n long") \
+        .repartitionByRange("tree", "prefix").sortWithinPartitions("tree", "prefix") \
+        .mapInArrow(tidy("minhash", _neighbours(depth)), "key long, rep long, n long")
+    near = cut(near, "neighbours")
+    sizes = near.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"),
+                                    F.min_by("rep", F.xxhash64("rep")).alias("leader")).filter("members > 1")
+    return cut(near.join(sizes, "key"), "regions")
 
 
 def _region_links(k: int, percent: int):
@@ -178,20 +261,19 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
         .select("u", "tu", "v", "tv").mapInArrow(tidy("minhash", _confirm(k, percent)), "u long, v long")
 
 
-def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region: int,
-           task_shingles: int) -> tuple[list[DataFrame], DataFrame]:
-    """Links of regions beyond a task, ``rest``: (key, rep, n, members, shingles, leader).
+def _parts(sets: str, shingles: str, task_region: int, task_shingles: int) -> Column:
+    """Blocks of a region, of which two make a task."""
+    return F.ceil(F.greatest(2 * F.col(sets) / task_region, 2 * F.col(shingles) / task_shingles)).cast("long")
 
-    Returns links, and the blocks ``(key, rep)`` that are still to be compared within.
-    """
-    def parts(sets: str, shingles: str) -> Column:
-        # Two blocks make a task.
-        return F.ceil(F.greatest(2 * F.col(sets) / task_region, 2 * F.col(shingles) / task_shingles)).cast("long")
 
+def _led(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region: int,
+         task_shingles: int) -> tuple[DataFrame, DataFrame]:
+    """Regions beyond a task, ``rest`` (key, rep, n, members, shingles, leader), against one
+    leader each: the links to it, and ``(key, rep, n, role)`` of all their sets."""
     part = F.pmod(F.xxhash64("rep"), F.col("parts"))
     one = rest.groupBy("key", "rep").agg(F.sum("n").alias("n"), F.first("leader").alias("leader"),
                                          F.first("members").alias("members"), F.first("shingles").alias("shingles")) \
-        .withColumn("parts", parts("members", "shingles"))
+        .withColumn("parts", _parts("members", "shingles", task_region, task_shingles))
     followers = one.filter("rep <> leader").select("key", part.alias("part"), "rep", "leader", F.lit(False).alias("leads"))
     leaders = one.filter("rep = leader").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                                                 "rep", "leader", F.lit(True).alias("leads"))
@@ -199,13 +281,28 @@ def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region:
                .applyInArrow(tidy_group("minhash", _star(k, percent)), "key long, rep long, leader long, role int"), "star")
     roles = one.join(star.select("key", "rep", "role"), ["key", "rep"], "left") \
         .select("key", "rep", "n", F.coalesce("role", F.lit(0)).alias("role"))
+    return star.filter("role = 0").select(F.col("leader").alias("u"), F.col("rep").alias("v")), cut(roles, "led")
+
+
+def _to_compare(roles: DataFrame) -> DataFrame:
+    """``rep`` of the sets that their leaders leave to compare: those not linked to one, and
+    those linked to one that has sets near enough to link to them."""
+    near = roles.filter("role = 1").select("key").distinct()
+    return roles.filter("role > 0").select("rep") \
+        .union(roles.filter("role = 0").join(near, "key", "left_semi").select("rep")).distinct()
+
+
+def _blocks(roles: DataFrame, texts: DataFrame, k: int, percent: int, task_region: int,
+            task_shingles: int) -> tuple[DataFrame, DataFrame]:
+    """Links across the blocks of led regions, and the blocks ``(key, rep)`` that are still to
+    be compared within."""
     counts = []
     for name, which in (("owned", "role = 0"), ("near", "role = 1"), ("open", "role > 0")):
         where = F.expr(which)
         counts += [F.count(F.when(where, 1)).alias(f"{name}_sets"), F.coalesce(F.sum(F.when(where, F.col("n"))), F.lit(0)).alias(f"{name}_n")]
     sized = roles.groupBy("key").agg(*counts)
     for name in ("owned", "near", "open"):
-        sized = sized.withColumn(name, parts(f"{name}_sets", f"{name}_n"))
+        sized = sized.withColumn(name, _parts(f"{name}_sets", f"{name}_n", task_region, task_shingles))
     roles = cut(roles.join(sized.select("key", "owned", "near", "open"), "key"), "roles")
 
     def number(name: str) -> Column:
@@ -224,8 +321,7 @@ def _large(rest: DataFrame, texts: DataFrame, k: int, percent: int, task_region:
         .select("key", F.lit(1).alias("kind"), "i", "j", "rep", F.lit(False).alias("asks"))
     blocks = across.union(near).union(owned).join(texts, "rep").groupBy("key", "kind", "i", "j") \
         .applyInArrow(tidy_group("minhash", _block_links(k, percent)), "u long, v long")
-    return [star.filter("role = 0").select(F.col("leader").alias("u"), F.col("rep").alias("v")), blocks], \
-        open_.select(F.xxhash64("key", "part").alias("key"), "rep")
+    return blocks, open_.select(F.xxhash64("key", "part").alias("key"), "rep")
 
 
 def links(classes: DataFrame, texts: DataFrame, k: int, percent: int,
@@ -235,26 +331,33 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int,
 
     ``classes``: (rep, n, sig); ``texts``: (rep, text), a text of each class.
     """
-    edges = []
-    members = classes.select("rep", "n", "sig", F.explode(F.expr(f"sequence(0, {TREES - 1})")).alias("tree"))
-    keyed = _keyed(members)
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"),
-                                     F.min_by("rep", F.xxhash64("rep")).alias("leader")).filter("members > 1")
-    found = cut(keyed.join(sizes, "key"), "regions")
-    small = found.filter(F.col("members") <= pair_region).select("key", "rep")
-    candidates = small.select("key", F.col("rep").alias("u")) \
-        .join(small.select("key", F.col("rep").alias("v")), "key") \
-        .filter("u < v").select("u", "v")
-    fits = (F.col("members") <= task_region) & (F.col("shingles") <= task_shingles)
-    middle = found.filter((F.col("members") > pair_region) & fits).select("key", "rep")
-    rest = found.filter((F.col("members") > pair_region) & ~fits)
-    if not rest.isEmpty():
-        more, within = _large(rest, texts, k, percent, task_region, task_shingles)
-        edges += more
-        middle = middle.union(within)
-    if not middle.isEmpty():
-        edges.append(middle.join(texts, "rep").groupBy("key")
-                     .applyInArrow(tidy_group("minhash", _region_links(k, percent)), "u long, v long"))
+    edges, pairs = [], []
+    rows = classes
+    for level, (depth, orders) in enumerate(LEVELS):
+        found = _regions(rows, depth, orders)
+        small = found.filter(F.col("members") <= pair_region).select("key", "rep")
+        pairs.append(small.select("key", F.col("rep").alias("u"))
+                     .join(small.select("key", F.col("rep").alias("v")), "key").filter("u < v").select("u", "v"))
+        fits = (F.col("members") <= task_region) & (F.col("shingles") <= task_shingles)
+        middle = found.filter((F.col("members") > pair_region) & fits).select("key", "rep")
+        rest = found.filter((F.col("members") > pair_region) & ~fits)
+        deeper = not rest.isEmpty()
+        if deeper:
+            star, roles = _led(rest, texts, k, percent, task_region, task_shingles)
+            edges.append(star)
+            if level + 1 < len(LEVELS):
+                rows = cut(classes.join(_to_compare(roles), "rep", "left_semi"), "deeper")
+                deeper = not rows.isEmpty()
+            else:
+                across, within = _blocks(roles, texts, k, percent, task_region, task_shingles)
+                edges.append(across)
+                middle = middle.union(within)
+        if not middle.isEmpty():
+            edges.append(middle.join(texts, "rep").groupBy("key")
+                         .applyInArrow(tidy_group("minhash", _region_links(k, percent)), "u long, v long"))
+        if not deeper:
+            break
+    candidates = reduce(DataFrame.union, pairs)
     # Thinned by set sizes and by one byte of each minimum, exact in what they rule out but
     # for the signature's own error.
     floor = int(SIZE * (percent / 100 - SLACK))
@@ -266,10 +369,7 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int,
         .filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) \
         .filter(alike >= floor).select("u", "v").distinct()
     edges.append(_confirmed(cut(thinned, "pairs"), texts, k, percent))
-    out = edges[0]
-    for more in edges[1:]:
-        out = out.union(more)
-    return out
+    return reduce(DataFrame.union, edges)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,

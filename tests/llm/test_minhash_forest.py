@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from quorum.llm import minhash_forest
 from quorum.llm.common import components
 from quorum.llm.minhash_forest import near_duplicates
 from quorum.llm.shingles import shingle_set, word_hashes
@@ -116,3 +118,47 @@ def test_regions_beyond_a_task_are_exact(spark, regions):
         rows += [(len(rows) + i, " ".join(edited(rng, words, share))) for i in range(50)]
     got = near_duplicates(docs(spark, rows), k=4, **regions).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, 4)
+
+
+def test_depth_adapts_to_a_templated_source(spark, monkeypatch):
+    """A source of pages from one template: regions beyond a task are sorted by deeper prefixes,
+    over fewer sets, and the links are those of brute force."""
+    seen = []
+    regions = minhash_forest._regions
+
+    def counted(rows, depth, orders):
+        seen.append((depth, rows.count()))
+        return regions(rows, depth, orders)
+
+    monkeypatch.setattr(minhash_forest, "_regions", counted)
+    rng = random.Random(11)
+    template = prose(rng, 160, 5000)
+    rows = [(i, " ".join(prose(rng, 40))) for i in range(60)]
+    for _ in range(140):        # about the threshold on both sides
+        rows.append((len(rows), " ".join(edited(rng, template, rng.choice((0.005, 0.03, 0.05))))))
+    got = near_duplicates(docs(spark, rows), k=4, pair_region=3, task_region=12).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 4)
+    assert [depth for depth, _ in seen][:2] == [3, 5] and seen[1][1] < seen[0][1]
+
+
+def test_neighbours_across_batches():
+    """Rows with a neighbour of the whole depth stay, wherever the batches end; so do the ends."""
+    prefixes = [(1, 1), (1, 2), (1, 2), (3, 4), (5, 6), (5, 6), (5, 6), (7, 7), (8, 8), (9, 9)]
+    want = {0, 1, 2, 4, 5, 6, 9}
+    raw = [np.array(p, dtype=">u4").tobytes() for p in prefixes]
+    for size in (1, 2, 3, 4, 10):
+        batches = [pa.RecordBatch.from_arrays(
+            [pa.array([0] * len(raw[i:i + size]), pa.int32()), pa.array(raw[i:i + size], pa.binary()),
+             pa.array(range(i, i + len(raw[i:i + size])), pa.int64()), pa.array([1] * len(raw[i:i + size]), pa.int64())],
+            names=["tree", "prefix", "rep", "n"]) for i in range(0, len(raw), size)]
+        out = list(minhash_forest._neighbours(2)(iter(batches)))
+        keys = {r: k for b in out for r, k in zip(b.column(1).to_pylist(), b.column(0).to_pylist())}
+        assert sum(b.num_rows for b in out) == len(want) and set(keys) == want
+        assert keys[1] == keys[2] != keys[0] and keys[4] == keys[5] == keys[6]
+
+
+def test_levels_hold_their_miss():
+    for depth, orders in minhash_forest.LEVELS:
+        assert (1 - 0.8 ** depth) ** orders <= 1.1e-5
+        taken = minhash_forest.sequences(depth, orders)
+        assert taken.shape == (orders, depth) and all(len(set(row)) == depth for row in taken.tolist())

@@ -12,8 +12,10 @@ Both results it computes that way are obtained here *without pairing rows*:
 * ``precedence_rows`` -- COALESCE(first source, second, ...) over the joined rows: the
   highest-precedence source present for a key supplies every joined row of that key.
 
-Each is one union of the rollups, one shuffle by the key, one window over the key's few
-rollup rows, and a final aggregate that reuses that partitioning.  (Both assume what the
+Each is one union of the rollups and one shuffle by the key, whose partitioning the later
+steps reuse.  ``crossed_sightings`` collects a source's roots once per key and start and puts
+them into the result rows after the leading source is known, so no rollup row carries a set;
+``precedence_rows`` needs a window over the key's rows for one number.  (Both assume what the
 declared schemas guarantee: root, start and count are never NULL in a rollup row, except
 roots that a key translation failed to find.)
 
@@ -69,30 +71,27 @@ def crossed_sightings(e: DataFrame, g: DataFrame, c: DataFrame, keys: Sequence[s
     (max), e roots, g roots (sets, NULL-free, canonical not removed), e / g max counts
     (0 when unseen) -- equal to regrouping their chained full outer join."""
     keys = list(keys)
-    u = _tagged([("e", e), ("g", g), ("c", c)], keys)
-    w = Window.partitionBy(*keys)
-    src = F.col("_src")
-    u = (u.withColumn("_lead", F.min(src).over(w))
-          .withColumn("_g_all", F.collect_set(F.when(src == 1, F.col("_root"))).over(w))
-          .withColumn("_g_cnt_all", F.max(F.when(src == 1, F.col("_cnt"))).over(w))
-          .withColumn("_c_all", F.max(F.when(src == 2, F.col("_root"))).over(w)))
-    lead = u.filter(src == F.col("_lead"))
-    out = lead.groupBy(*keys, F.col("_start").alias(start_alias)).agg(
-        F.first("_lead").alias("_lead"), F.collect_set("_root").alias("_roots"),
-        F.max("_cnt").alias("_cnt"), F.max("_root").alias("_max_root"),
-        F.first("_g_all").alias("_g_all"), F.first("_g_cnt_all").alias("_g_cnt_all"),
-        F.first("_c_all").alias("_c_all"))
+    u = _tagged([("e", e), ("g", g), ("c", c)], keys).repartition(*keys)
+    starts = u.groupBy(*keys, "_src", "_start").agg(
+        F.collect_set("_root").alias("roots"), F.max("_cnt").alias("cnt"), F.max("_root").alias("top"))
+    one = starts.groupBy(*keys).agg(
+        F.min("_src").alias("_lead"), F.max(F.when(F.col("_src") == 1, F.col("cnt"))).alias("_g_cnt"),
+        F.max(F.when(F.col("_src") == 2, F.col("top"))).alias("_c_top"),
+        F.collect_list(F.struct("_src", F.col("_start").alias("start"), "roots", "cnt", "top")).alias("_parts"))
     ld = F.col("_lead")
     empty = F.array().cast("array<string>")
+    # A root has one row per key and source, so the sets of a source's starts are disjoint.
+    gossip = F.flatten(F.transform(F.filter("_parts", lambda p: p["_src"] == 1), lambda p: p["roots"]))
+    out = one.select(*keys, "_lead", "_g_cnt", "_c_top", F.when(ld == 0, gossip).otherwise(empty).alias("_g_roots"),
+                     F.explode(F.filter("_parts", lambda p: p["_src"] == ld)).alias("_part"))
     return out.select(
-        *keys, start_alias,
-        F.when(ld == 2, F.col("_max_root")).otherwise(F.col("_c_all")).alias("canonical"),
-        F.when(ld == 0, F.col("_roots")).otherwise(empty).alias("e_roots"),
-        F.when(ld == 0, F.col("_g_all")).when(ld == 1, F.col("_roots")).otherwise(empty)
-         .alias("g_roots"),
-        F.when(ld == 0, F.col("_cnt")).otherwise(F.lit(0)).cast("bigint").alias("e_cnt"),
-        F.when(ld == 0, F.coalesce(F.col("_g_cnt_all"), F.lit(0)))
-         .when(ld == 1, F.col("_cnt")).otherwise(F.lit(0)).cast("bigint").alias("g_cnt"))
+        *keys, F.col("_part.start").alias(start_alias),
+        F.when(ld == 2, F.col("_part.top")).otherwise(F.col("_c_top")).alias("canonical"),
+        F.when(ld == 0, F.col("_part.roots")).otherwise(empty).alias("e_roots"),
+        F.when(ld == 1, F.col("_part.roots")).otherwise(F.col("_g_roots")).alias("g_roots"),
+        F.when(ld == 0, F.col("_part.cnt")).otherwise(F.lit(0)).cast("bigint").alias("e_cnt"),
+        F.when(ld == 0, F.coalesce(F.col("_g_cnt"), F.lit(0)))
+         .when(ld == 1, F.col("_part.cnt")).otherwise(F.lit(0)).cast("bigint").alias("g_cnt"))
 
 
 def precedence_rows(frames: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:

@@ -220,3 +220,30 @@ def test_zero_expected_members_gives_null_rate(spark):
                         "beacon_api_eth_v1_beacon_committee": com})
     r = M.network_participation(src, ALL, RUN).first()
     assert (r.attesting_validators, r.total_validators, r.participation_rate) == (1, 0, None)
+
+
+def test_reconciliation_of_many_roots_and_starts(spark):
+    """Against the chained full outer join, regrouped: slots whose sources hold many roots,
+    several starts, or are absent."""
+    import random
+
+    from quorum.operators.reconcile import crossed_sightings
+    rng = random.Random(4)
+    schema = "slot int, {0}_root string, {0}_start int, {0}_cnt long"
+    rows = {p: [(s, f"r{i}", rng.randrange(2), rng.randrange(1, 9)) for s in range(30) if rng.random() < 0.6
+                for i in range(rng.choice((1, 2, 40)))] for p in "eg"}
+    rows["c"] = [(s, f"r{i}", rng.randrange(2), None) for s in range(30) if rng.random() < 0.6 for i in range(rng.choice((1, 2)))]
+    frames = [spark.createDataFrame(rows[p], schema.format(p)) for p in "egc"]
+    got = {(r.slot, r.slot_started_at): (r.canonical, set(r.e_roots), set(r.g_roots), r.e_cnt, r.g_cnt)
+           for r in crossed_sightings(*frames, ["slot"]).collect()}
+    want = {}
+    for slot in {s for p in "egc" for s, *_ in rows[p]}:
+        of = {p: [r[1:] for r in rows[p] if r[0] == slot] or [(None, None, None)] for p in "egc"}
+        for e in of["e"]:
+            for g in of["g"]:
+                for c in of["c"]:
+                    start = next(x[1] for x in (e, g, c) if x[0] is not None)
+                    want.setdefault((slot, start), []).append((c[0], e[0], g[0], e[2] or 0, g[2] or 0))
+    want = {k: (max((c for c, *_ in v if c), default=None), {e for _, e, *_ in v if e}, {g for _, _, g, *_ in v if g},
+                max(e for *_, e, _ in v), max(g for *_, g in v)) for k, v in want.items()}
+    assert got == want

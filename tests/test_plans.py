@@ -63,3 +63,9 @@ def test_plan_does_not_switch_on_size(spark, name):
         return len(re.findall(r"Exchange hashpartitioning\([^)]*\), ENSURE_REQUIREMENTS", plan))
 
     assert exchanges("/root/testdata/sf0.01") == exchanges("/root/testdata/sf0.1")
+
+
+def test_reconciliation_puts_no_set_on_rollup_rows(spark):
+    """M1 collects a source's roots once per key; no set stands under a window."""
+    plan = plan_of(E.queries()["reconcile_blocks"](spark, SMALL))
+    assert "Window" not in plan and "collect_set" in plan, plan

@@ -1,10 +1,12 @@
 """Main text of web pages by host consensus on container paths.
 
 1. each page is parsed once and its containers scored: text outside links counts for the
-   nearest container and by halves for those around it, less what is linked; an article or
-   main that is mostly kept text has all the text below it; containers whose
-   tag or class names a menu, notice, advert and the like score nothing (names that also
-   stand on an article's wrapper count only if most text stays without them);
+   nearest container and by halves for those around it (linked text only where a page has
+   no other); an article or main that is mostly kept text has all the text below it;
+   containers whose tag or class names a menu, notice, advert and the like score nothing
+   (parts with names that also stand on an article's wrapper count only where the page has
+   no paragraph outside them, whatever their sizes); a paragraph, heading or cell inside an
+   article goes only if its whole name is such a name, or it is mostly links;
 2. a page votes for its best containers' generalised paths (tags with their class names,
    digits and order taken out); Spark adds the votes per host with partial sums and keeps a
    host's paths with at least ``SHARE`` of its votes;
@@ -43,9 +45,12 @@ _BLOCK = frozenset("address article aside blockquote body center dd details dial
 _CONTAINER = frozenset("article body center div main section".split())
 _DROPPED = frozenset("nav footer aside form button dialog menu audio video canvas map head".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Blocks that hold text itself: inside an article their names mostly describe the text.
+_PROSE = _HEADING | frozenset("p blockquote pre figure figcaption li dd dt td th tr table tbody caption address".split())
 # Names of parts that are not the article: the first or last word of a class, id or role.
 _FIRM = re.compile(
     r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|menu|nav\w*|breadcrumbs?|footer|comments?|"
+    r"(?:top|main|sub|site|side|page|left|right|bottom|foot)(?:nav|menu|bar)|"
     r"commentlist|replies|reply|disqus|respond|newsletter|subscribe|signup|login|popup|modal|overlay|pagination|pager|"
     r"skip|copyright|contentinfo|complementary|navigation|dialog)", re.I)
 # Names that also stand on wrappers of articles.
@@ -62,10 +67,12 @@ _KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "hidden", "parent", "number")
+    __slots__ = ("tag", "path", "noise", "hidden", "parent", "number", "doubt")
 
-    def __init__(self, tag: str, path: str, noise: int, hidden: bool, parent: Node | None, number: int) -> None:
+    def __init__(self, tag: str, path: str, noise: int, hidden: bool, parent: Node | None, number: int,
+                 doubt: int = 0) -> None:
         self.tag, self.path, self.noise, self.hidden, self.parent, self.number = tag, path, noise, hidden, parent, number
+        self.doubt = doubt          # the noise that it has if its text is mostly links
 
 
 def _names(attributes: str) -> tuple[str, str, bool]:
@@ -83,17 +90,29 @@ def _names(attributes: str) -> tuple[str, str, bool]:
     return classes, " ".join(names), hidden
 
 
-def _noise(names: str) -> int:
-    """How surely names tell a part that is not the article."""
+def _words(name: str) -> list[str]:
+    """The words of a class, id or role: at hyphens, underscores and camel case."""
+    name = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name)
+    return [w.lower() for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+
+
+def _level(word: str) -> int:
+    return ALWAYS if _COMMENTS.fullmatch(word) else FIRM if _FIRM.fullmatch(word) else SOFT if _SOFT.fullmatch(word) else 0
+
+
+def _noise(names: str, whole: bool = False) -> int:
+    """How surely names tell a part that is not the article: by the first or last word of a
+    name, or by all of its words (``whole``)."""
     found = 0
     for name in names.split():
-        words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
-        if not words or any(w.lower() in _STATE for w in words):
+        words = _words(name)
+        if not words or any(w in _STATE for w in words):
             continue
-        for word in (words[0], words[-1]):
-            if _COMMENTS.fullmatch(word):
-                return ALWAYS
-            found = max(found, FIRM if _FIRM.fullmatch(word) else SOFT if _SOFT.fullmatch(word) else 0)
+        if whole:
+            levels = [_level(w) for w in words]
+            found = max(found, max(levels) if all(levels) else 0)
+        else:
+            found = max(found, _level(words[0]), _level(words[-1]))
     return found
 
 
@@ -112,6 +131,8 @@ def blocks(page: str) -> list[tuple[Node, str, int, bool]]:
             text = " ".join("".join(parts).split())
             if text:
                 node = next((n for n in reversed(stack) if n.tag in _BLOCK or not n.tag), root)
+                if node.doubt > node.noise and 2 * linked[0] > len(text):
+                    node = Node(node.tag, node.path, node.doubt, node.hidden, node.parent, node.number)
                 out.append((node, text, linked[0], any(n.tag in _HEADING for n in stack)))
             parts.clear()
         linked[0] = 0
@@ -176,19 +197,22 @@ def blocks(page: str) -> list[tuple[Node, str, int, bool]]:
         classes, names, hidden = _names(attributes) if attributes else ("", "", False)
         parent = stack[-1]
         number += 1
-        noise = parent.noise
-        if tag in ("article", "main") and noise < ALWAYS and not any(n.tag in ("article", "main") for n in stack):
+        noise, doubt = parent.noise, parent.doubt
+        inside = any(n.tag in ("article", "main") for n in stack)
+        if tag in ("article", "main") and noise < ALWAYS and not inside:
             noise = 0               # a wrapper's name says nothing about the article in it
         if tag in _DROPPED:
             noise = ALWAYS
         elif names and tag not in ("body", "html", "main", "article"):
-            noise = max(noise, _noise(names))
-        if tag == "article" and names and re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", names, re.I) and _noise(names):
+            prose = inside and tag in _PROSE
+            noise = max(noise, _noise(names, prose))
+            doubt = max(doubt, _noise(names)) if prose else doubt
+        if tag == "article" and any(_words(n) and _COMMENTS.fullmatch(_words(n)[0]) for n in names.split()):
             noise = ALWAYS
-        if tag == "header" and not any(n.tag in ("article", "main") for n in stack):
+        if tag == "header" and not inside:
             noise = ALWAYS
         stack.append(Node(tag, f"{parent.path}>{tag}{'.' + classes if classes else ''}" if tag in _BLOCK else parent.path,
-                          noise, parent.hidden or hidden, parent, number))
+                          noise, parent.hidden or hidden, parent, number, doubt))
         links += tag == "a"
     flush()
     return out
@@ -208,28 +232,30 @@ def kept(node: Node, heading: bool, noise: int = 0) -> bool:
 
 
 def _limit(found: list[tuple[Node, str, int, bool]]) -> int:
-    """The noise that a page's blocks may have: ``SOFT`` where without it most text would go."""
-    rest, all_ = (sum(len(text) - linked for node, text, linked, heading in found if kept(node, heading, noise)) for noise in (0, SOFT))
-    return SOFT if 2 * rest < all_ else 0
+    """The noise that a page's blocks may have: ``SOFT`` where no block but headings has less."""
+    return 0 if any(kept(node, heading) and not heading for node, _, _, heading in found) else SOFT
 
 
 def scores(page: str | None) -> dict[str, float]:
     """Scores of the generalised paths of a page's containers."""
-    out: dict[str, float] = {}
     found = blocks(page or "")
     limit = _limit(found)
-    # Unlinked text below each article or main, kept and in all.
+    own = [(node, max(0, len(text) - linked), len(text), kept(node, heading, limit)) for node, text, linked, heading in found]
+    # A page whose kept text is all linked is judged by that.
+    if not any(plain and good for _, plain, _, good in own):
+        own = [(node, size, size, good) for node, _, size, good in own]
+    # Text below each article or main, kept and in all.
     below: dict[int, list[int]] = {}
-    for node, text, linked, heading in found:
+    for node, weight, _, good in own:
         for n in _ancestors(node):
             if n.tag in ("article", "main"):
                 counts = below.setdefault(n.number, [0, 0])
-                counts[0] += (len(text) - linked) * kept(node, heading, limit)
-                counts[1] += len(text) - linked
-    for node, text, linked, heading in found:
-        if not kept(node, heading, limit):
+                counts[0] += weight * good
+                counts[1] += weight
+    out: dict[str, float] = {}
+    for node, weight, _, good in own:
+        if not good:
             continue
-        weight = len(text) - 2 * linked
         containers = [n for n in _ancestors(node) if n.tag in _CONTAINER or not n.tag]
         # The outermost article or main that is mostly kept text, else the nearest one, has
         # all the text below it.

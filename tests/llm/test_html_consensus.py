@@ -104,3 +104,68 @@ def test_parts_named_as_noise_still_go(name):
     part = f"<div class='{name}'><p>not the article</p></div>"
     assert main_text(page(f"<article><p>{LONG}</p>{part}<p>end</p></article>"), [])[1] == f"{LONG.strip()}\nend"
     assert main_text(page(f"<div class='x'><p>{LONG}</p>{part}</div>", part), [])[1] == LONG.strip()
+
+
+@pytest.mark.parametrize("side", ["sidebar", "notice", "sideBar", "related-posts", "banner", "search-box"])
+@pytest.mark.parametrize("size", [1, 20])
+def test_a_named_part_never_wins_over_unnamed_text(side, size):
+    part = f"<div class='{side}'><p>{'words beside the article ' * size}</p></div>"
+    for around in ("<div class='wrap'>{}</div>", "<article>{}</article>", "<section>{}</section>"):
+        assert main_text(page(around.format("<p>A short article.</p>"), part), [])[1] == "A short article."
+
+
+def test_linked_articles_keep_their_text():
+    links = "<p><a href='/x'>" + "a linked sentence " * 20 + "</a></p>"
+    plain = " ".join(("a linked sentence " * 20).split())
+    assert main_text(page(f"<article><p>Introduction.</p>{links}</article>"), [])[1] == "Introduction.\n" + plain
+    assert main_text(page(f"<article>{links}</article>"), [])[1] == plain
+    # A list of links without a name is no article as long as there is one.
+    assert main_text(page("<div class='x'><p>Article.</p></div>", f"<div class='y'>{links}</div>"), [])[1] == "Article."
+
+
+@pytest.mark.parametrize("name", ["commentSection", "topnav", "mainMenu", "userComments", "pageFooter", "subnav"])
+def test_camel_case_and_joined_names(name):
+    part = f"<div class='{name}'><p>{'not the article ' * 20}</p></div>"
+    assert main_text(page("<div class='x'><p>Article.</p></div>", part), [])[1] == "Article."
+
+
+@pytest.mark.parametrize("name", ["lead-menu", "side-effects", "print-media", "header-image", "notice-period"])
+def test_names_of_prose_inside_an_article(name):
+    kept = f"<article><p>One.</p><p class='{name}'>Two.</p><h2 class='{name}'>Three</h2></article>"
+    assert main_text(page(kept), [])[1] == "One.\nTwo.\nThree"
+    linked = f"<article><p>One.</p><p class='{name}'><a href='/'>elsewhere</a></p><p class='advert'>Buy.</p></article>"
+    assert main_text(page(linked), [])[1] == "One."
+
+
+LAYOUTS = {
+    "nested": "<div class='page'><div class='col'><div class='text'>{}</div></div></div>",
+    "section": "<section class='s'><section class='t'>{}</section></section>",
+    "table": "<table><tr><td><ul><li><a href='/1'>One</a></li></ul></td><td><div class='c'>{}</div></td></tr></table>",
+    "article": "<main><article>{}</article></main>",
+    "plain": "{}",
+}
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_layouts_against_a_plain_reading(spark, layout):
+    """Pages of one host and layout, long and short, with parts of many kinds around: the text
+    is what was put into the layout's hole."""
+    import random
+    rng = random.Random(layout)
+    rows, want = [], {}
+    for i in range(24):
+        inner = []
+        for _ in range(rng.choice((1, 2, 8))):
+            words = " ".join(rng.choice(("alpha", "beta", "gamma", "caf&eacute;", "<b>delta</b>", "x &lt; y"))
+                             for _ in range(rng.choice((3, 12, 60))))
+            inner.append((rng.choice(("p", "h2", "p", "blockquote")), words))
+        if all(tag == "h2" for tag, _ in inner):
+            inner.append(("p", "last words"))
+        want[i] = "\n".join(" ".join(w.replace("<b>", "").replace("</b>", "").replace("&eacute;", "é").replace("&lt;", "<").split())
+                            for _, w in inner)
+        parts = [f"<div class='{c}'>{'<p>other words on this page</p>' * rng.choice((1, 9))}</div>"
+                 for c in ("sidebar", "commentSection", "ad", "cookie-notice", "share") if rng.random() < 0.6]
+        body = LAYOUTS[layout].format("".join(f"<{t}>{w}</{t}>" for t, w in inner))
+        rows.append((i, f"https://{layout}.example.org/{i}", page(body, "".join(parts))))
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want

@@ -339,7 +339,7 @@ class Fixture:
     def _orders_tx(self) -> DataFrame:
         """Orders with their transaction attributes, derived once per order (before any
         join with line items, so each digest is computed once per order)."""
-        o = self.table("orders")
+        o = self.table("orders").repartition("o_orderkey")
         return o.select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
             "o_orderpriority",
@@ -363,8 +363,10 @@ class Fixture:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").join(self._orders_tx,
-                                           F.col("l_orderkey") == F.col("o_orderkey"))
+        # Both sides are dealt by the key that a join of large tables deals them by anyway, so
+        # attributes are derived in parallel whatever the files' row groups are.
+        return self.table("lineitem").repartition("l_orderkey") \
+            .join(self._orders_tx, F.col("l_orderkey") == F.col("o_orderkey"))
 
     @cached_property
     def mempool_tx(self) -> DataFrame:

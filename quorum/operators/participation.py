@@ -23,13 +23,14 @@ def seen_count(reports: DataFrame, keys: Sequence[str], member: str) -> DataFram
 
 
 def participation(reports: DataFrame, committees: DataFrame, keys: Sequence[str], member: str,
-                  committee: str, members: str) -> DataFrame:
+                  committee: str, members: str, strategy: str | None = None) -> DataFrame:
     """Inner join of seen and expected on ``keys``; rate = seen / expected as double
-    (NULL when nothing is expected, where the source system yields inf / nan)."""
+    (NULL when nothing is expected, where the source system yields inf / nan).
+    ``strategy`` is a join hint; "merge" keeps the partitioning of bucketed inputs."""
     keys = list(keys)
     seen = seen_count(reports, keys, member)
     total = expected_size(committees, keys, committee, members)
-    out = seen.join(total, keys, "inner")
+    out = seen.join(total.hint(strategy) if strategy else total, keys, "inner")
     rate = F.try_divide(F.col("attesting_validators").cast("double"),
                         F.col("total_validators").cast("double"))
     return out.withColumn("participation_rate", rate)

@@ -417,6 +417,7 @@ Q["incremental_replay"] = _m4(drop_updated=True)
 Q["stream_participation"] = _m4(drop_updated=True)
 Q["catch_up_replay"] = _m4(drop_updated=True)
 Q["compacted_read"] = _m4(drop_updated=True)
+Q["bucketed_participation"] = Q["participation_rate"]
 
 Q["sorted_append"] = """
 SELECT CAST(ts AS DATE) AS day, count(*) AS events, CAST(0 AS BIGINT) AS descents FROM events GROUP BY ALL

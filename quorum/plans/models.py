@@ -138,16 +138,17 @@ def attestation_divergence(src: Sources, window: RunWindow, run_ts, grace: str =
 
 # ---- M4 ---------------------------------------------------------------------------------
 def network_participation(src: Sources, window: RunWindow | None, run_ts,
-                          grace: str = "1 HOUR", restrict=None) -> DataFrame:
+                          grace: str = "1 HOUR", restrict=None, strategy: str | None = None) -> DataFrame:
     """Distinct members seen / members expected per (slot, network).  ``restrict``
-    (optional) narrows both inputs, e.g. to the keys a stream batch touched."""
+    (optional) narrows both inputs, e.g. to the keys a stream batch touched; ``strategy``
+    hints the join, see ``participation``."""
     keys = ["slot", "slot_start_date_time", "meta_network_name"]
     seen = _scan(src, ATT, window, grace)
     expected = _scan(src, COMMITTEE, window, grace)
     if restrict is not None:
         seen, expected = restrict(seen), restrict(expected)
     out = participation(seen, expected, keys, member="attesting_validator_index",
-                        committee="committee_index", members="validators")
+                        committee="committee_index", members="validators", strategy=strategy)
     return out.select(
         "slot", F.col("slot_start_date_time").alias("slot_started_at"),
         F.col("meta_network_name").alias("network"), "attesting_validators",

@@ -33,6 +33,7 @@ from quorum.operators.versioned import append, compact, latest_by_key as latest_
 from quorum.plans import models as M
 from quorum.plans.runner import merged_run, replay, run_model
 from quorum.plans.runwindow import commit_rows, resolve_windows
+from quorum.plans.tables import BucketedSources, write_bucketed
 from quorum.session import scratch_path
 from quorum.sources.adapters import SLOTS_PER_EPOCH, Fixture, event_base, slot_start
 from quorum.sources.catalog import source
@@ -325,6 +326,19 @@ def compacted_read(spark, sf_dir):
     return read_current(spark, path, key=model.key, version=("updated_at",)).drop("updated_at")
 
 
+def bucketed_participation(spark, sf_dir):
+    """M4 over sources that are stored bucketed by (slot, start, network): both aggregates and
+    the join read the buckets as they lie, without an exchange."""
+    fx = _fx(spark, sf_dir)
+    tables = {}
+    for name in (M.ATT, M.COMMITTEE):
+        path = scratch_path(spark, f"bucketed-{name}")
+        tables[name] = write_bucketed(fx.get(name), name, "b_" + os.path.basename(path).replace("-", "_"), path,
+                                      ["slot", "slot_start_date_time", "meta_network_name"],
+                                      int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return M.network_participation(BucketedSources(spark, tables), BACKFILL, RUN_TS, strategy="merge")
+
+
 def sorted_append(spark, sf_dir):
     """The events written by ``append`` and read back file by file: per stored file, rows and
     rows out of the storage order (none)."""
@@ -521,7 +535,7 @@ QUERIES: dict[str, Query] = {
     "slot_tumbling": slot_tumbling,
     "incremental_replay": incremental_replay,
     "catch_up_replay": catch_up_replay,
-    "compacted_read": compacted_read,
+    "compacted_read": compacted_read, "bucketed_participation": bucketed_participation,
     "sorted_append": sorted_append,
     "display_times": display_times,
     "stream_participation": stream_participation,

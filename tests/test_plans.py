@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 
 # Registered from the core library; the ones that write and read tables run jobs when built.
 SIDE_EFFECTS = {"compact_replacing", "incremental_replay", "stream_participation",
-                "stream_first_reporter", "catch_up_replay", "compacted_read", "sorted_append"}
+                "stream_first_reporter", "catch_up_replay", "compacted_read", "sorted_append", "bucketed_participation"}
 
 
 def plan_of(df):
@@ -69,3 +69,12 @@ def test_reconciliation_puts_no_set_on_rollup_rows(spark):
     """M1 collects a source's roots once per key; no set stands under a window."""
     plan = plan_of(E.queries()["reconcile_blocks"](spark, SMALL))
     assert "Window" not in plan and "collect_set" in plan, plan
+
+
+def test_bucketed_sources_need_no_exchange(spark):
+    """M4 reads its two bucketed sources as they lie: aggregates and join above the scans."""
+    df = E.queries()["bucketed_participation"](spark, SMALL)
+    want = QUERIES["participation_rate"](spark, SMALL)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+    plan = plan_of(df)
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and plan.count("Bucketed: true") >= 2, plan

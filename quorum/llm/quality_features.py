@@ -2,9 +2,10 @@
 
 A text becomes a vector of statistics of its bytes, words and lines.  Standardised, its
 random cosines approximate a Gaussian kernel; each partition sums the products of the ridge
-regression's normal equations and Spark adds the sums, so the driver solves one system of a
-fixed size.  A part of the training rows is kept from the ridge and calibrates its output by
-isotonic regression over a fixed grid of outputs.
+regression's normal equations by fold and Spark adds the sums, so the driver solves systems of
+a fixed size: one of all rows, whose weights score, and one of the rows outside each fold.  The
+latter give every training row an output that has not seen it, and isotonic regression of the
+labels on these outputs, over a fixed grid, calibrates the score.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ FEATURES = 192
 RIDGE = 1e-3
 WIDTH = 3.0         # of the Gaussian kernel over standardised statistics
 GRID = 512
+FOLDS = 5
 SEED = 20240229
 
 _KIND = np.full(256, 6, dtype=np.uint8)                 # 6: other control and symbol bytes
@@ -120,27 +122,53 @@ def _statistics(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc", "label", "x"])
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return np.array(batch.column(2).to_pylist(), dtype=float).reshape(batch.num_rows, N_STATS)
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fold, label, statistics) of a batch of training rows."""
+    x = np.array(batch.column("x").to_pylist(), dtype=float).reshape(batch.num_rows, N_STATS)
+    return batch.column("fold").to_numpy(), batch.column("label").to_numpy().astype(float), x
 
 
 def _normal_equations(fourier: Fourier):
+    """The partition's sums by fold: the upper triangle of X'X, and X'y as one more column."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = FEATURES + 1
-        total = np.zeros((d, d + 1))
+        total = np.zeros((FOLDS, d, d + 1))
         for batch in rows:
-            x = fourier(_matrix(batch))
-            y = np.array(batch.column(1).to_pylist(), dtype=float)
-            total += x.T @ np.hstack([x, y[:, None]])
-        i, j = np.indices(total.shape)
-        yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())],
-                                         names=["i", "j", "v"])
+            fold, y, stats = _columns(batch)
+            x = fourier(stats)
+            for f in np.unique(fold):
+                own = fold == f
+                total[f] += x[own].T @ np.hstack([x[own], y[own, None]])
+        i, j = np.triu_indices(d, 0, d + 1)
+        for f in range(FOLDS):
+            if total[f].any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(i), f, dtype=np.int32)), pa.array(i.astype(np.int32)),
+                     pa.array(j.astype(np.int32)), pa.array(total[f, i, j])], names=["fold", "i", "j", "v"])
     return run
 
 
-def _calibration(column: str) -> Column:
-    """The fifth of the training rows that the ridge does not see."""
-    return F.crc32(F.concat(F.lit("calibration "), F.col(column).cast("string")).cast("binary")) % 5 == 0
+def solve(total: np.ndarray) -> np.ndarray:
+    """Ridge weights of summed normal equations (X'X with X'y as its last column)."""
+    d = FEATURES + 1
+    upper = np.triu(total[:, :d])
+    return np.linalg.solve(upper + np.triu(upper, 1).T + RIDGE * max(1.0, total[d - 1, d - 1]) * np.eye(d), total[:, d])
+
+
+def _outputs(fourier: Fourier, weights: np.ndarray):
+    """The grid cell of each training row's output, by the weights that have not seen its fold."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            fold, _, stats = _columns(batch)
+            raw = (fourier(stats) * weights[fold]).sum(axis=1)
+            cell = np.clip(np.round((raw + 0.5) / 2 * GRID), 0, GRID)
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), batch.column("label")],
+                                             names=["cell", "label"])
+    return run
+
+
+def fold_of(column: str) -> Column:
+    return (F.crc32(F.concat(F.lit("calibration "), F.col(column).cast("string")).cast("binary")) % FOLDS).cast("int")
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN_ROWS) -> Model:
@@ -149,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
     With rows of one label only, or none, every score is 0.5.
     """
     rows = cut(training_rows(docs, labels, "quality", held_out, limit)
-               .mapInArrow(_statistics, "doc long, label int, x array<double>"), "statistics")
+               .mapInArrow(_statistics, "doc long, label int, x array<double>")
+               .withColumn("fold", fold_of("doc")), "statistics")
     moments = rows.select("label", F.posexplode("x").alias("j", "v")).groupBy("j") \
         .agg(F.count("*").alias("n"), F.avg("v").alias("m"), F.stddev_pop("v").alias("s"),
              F.sum("label").alias("ones")).orderBy("j").collect()
@@ -157,31 +186,19 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column, limit: int = TRAIN
     if not moments or not 0 < moments[0]["ones"] < moments[0]["n"]:
         return empty
     fourier = Fourier(np.array([r["m"] for r in moments]), np.array([r["s"] for r in moments]))
-    sums = rows.filter(~_calibration("doc")).mapInArrow(_normal_equations(fourier), "i long, j long, v double") \
-        .groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    sums = rows.mapInArrow(_normal_equations(fourier), "fold int, i int, j int, v double") \
+        .groupBy("fold", "i", "j").agg(F.sum("v").alias("v")).collect()
     d = FEATURES + 1
-    total = np.zeros((d, d + 1))
-    for r in sums:
-        total[r["i"], r["j"]] = r["v"]
-    n = max(1.0, total[-1, -2])
-    weights = np.linalg.solve(total[:, :d] + RIDGE * n * np.eye(d), total[:, d])
-    model = Model(fourier, weights, np.empty(0), np.empty(0))
-
-    def outputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell = np.clip(np.round((model.raw(_matrix(batch)) + 0.5) / 2 * GRID), 0, GRID)
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), batch.column(1)], names=["cell", "label"])
-
-    # Few rows: all of them calibrate, rather than a fifth with too few of a label.
-    part = rows.filter(_calibration("doc"))
-    cells = part.mapInArrow(outputs, "cell int, label int").groupBy("cell", "label").count().collect()
-    if min(sum(r["count"] for r in cells if r["label"] == y) for y in (0, 1)) < 20:
-        cells = rows.mapInArrow(outputs, "cell int, label int").groupBy("cell", "label").count().collect()
+    total = np.zeros((FOLDS, d, d + 1))
+    for fold, i, j, v in sums:
+        total[fold, i, j] = v
+    whole = total.sum(axis=0)
+    unseen = np.array([solve(whole - own) for own in total])
+    cells = rows.mapInArrow(_outputs(fourier, unseen), "cell int, label int").groupBy("cell", "label").count().collect()
     counts = np.zeros((2, GRID + 1))
     for r in cells:
         counts[r["label"], r["cell"]] = r["count"]
-    model.knots, model.levels = isotonic(np.arange(GRID + 1) / GRID * 2 - 0.5, counts[1], counts[0])
-    return model
+    return Model(fourier, solve(whole), *isotonic(np.arange(GRID + 1) / GRID * 2 - 0.5, counts[1], counts[0]))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
@@ -189,7 +206,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``(id, score, *carry)`` per row, from the whole text alone.
 
     A null text counts as empty, and an empty one has all statistics zero and a score like
-    any other.  Null ids, repeated rows, an empty table and further columns are fine.
+    any other; a very long text is read whole, with a few times its size in memory.  Equal texts
+    have equal scores.  Null ids, repeated rows, an empty table and further columns are fine.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                        *(F.col(c) for c in carry))

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quorum.llm import quality_features as q
@@ -47,13 +48,44 @@ def test_normal_equations_equal_a_direct_fit(spark):
     own = [(t, y) for (i, t), (_, y) in zip(rows, labels) if zlib.crc32(str(i).encode()) % 3 != 1]
     stats = np.array([q.statistics(t.encode()) for t, _ in own])
     assert np.allclose(model.fourier.mean, stats.mean(0)) and np.allclose(model.fourier.deviation[0], stats.std(0)[0])
-    part = [(q.statistics(t.encode()), y) for (i, t), (_, y) in zip(rows, labels)
-            if zlib.crc32(str(i).encode()) % 3 != 1 and zlib.crc32(f"calibration {i}".encode()) % 5 != 0]
-    x, y = model.fourier(np.array([s for s, _ in part])), np.array([v for _, v in part], dtype=float)
+    x, y = model.fourier(stats), np.array([v for _, v in own], dtype=float)
     want = np.linalg.solve(x.T @ x + q.RIDGE * len(x) * np.eye(x.shape[1]), x.T @ y)
     assert np.allclose(model.weights, want, atol=1e-6)
 
 
+@pytest.mark.parametrize("bad", [4, 60])
+def test_scores_against_a_cross_fit_without_spark(spark, bad):
+    """The whole query by hand, with few rows of a label and with many: every row calibrates
+    by weights that have not seen its fold."""
+    rows, labels = corpus(260, 5)
+    zeros = [i for i, y in labels if not y]
+    gone = {i for i in zeros if zlib.crc32(str(i).encode()) % 3 != 1}
+    gone -= set(sorted(gone)[:bad])
+    labels = [(i, y) for i, y in labels if i not in gone]
+    df, table = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.id: r.score for r in q.score(df, q.fit(df, table, held_out("doc", 3, 1))).collect()}
+
+    text, label = dict(rows), dict(labels)
+    train = [i for i in label if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert sum(not label[i] for i in train) <= bad
+    stats = np.array([q.statistics(text[i].encode()) for i in train])
+    fourier = q.Fourier(stats.mean(0), stats.std(0))
+    x, y = fourier(stats), np.array([label[i] for i in train], dtype=float)
+
+    def ridge(x, y):
+        return np.linalg.solve(x.T @ x + q.RIDGE * max(1, len(x)) * np.eye(x.shape[1]), x.T @ y)
+
+    fold = np.array([zlib.crc32(f"calibration {i}".encode()) % 5 for i in train])
+    out = np.array([x[k] @ ridge(x[fold != fold[k]], y[fold != fold[k]]) for k in range(len(train))])
+    cell = np.clip(np.round((out + 0.5) / 2 * q.GRID), 0, q.GRID).astype(int)
+    knots, levels = q.isotonic(np.arange(q.GRID + 1) / q.GRID * 2 - 0.5, np.bincount(cell, y, q.GRID + 1),
+                               np.bincount(cell, 1 - y, q.GRID + 1))
+    weights = ridge(x, y)
+    for i, t in rows:
+        want = np.interp(fourier(q.statistics(t.encode())[None])[0] @ weights, knots, levels)
+        assert abs(got[i] - want) < 1e-6
+
+
 def test_features_approximate_the_kernel():
     rng = np.random.default_rng(3)
     a = rng.normal(0, 0.5, (40, q.N_STATS))

@@ -6,6 +6,7 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,12 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def shared_files(path: str) -> tuple[pafs.FileSystem, str]:
+    """The Arrow file system of a shared path, and the path within it, for reads inside tasks."""
+    uri = path if "://" in path or path.startswith("file:") else "file://" + path
+    return pafs.FileSystem.from_uri("s3://" + uri[6:] if uri.startswith("s3a://") else uri)
+
+
 def binaries(column: pa.Array) -> list[bytes | None]:
     """A string (or binary) Arrow column as bytes objects."""
     return column.cast(pa.large_binary()).to_pylist()

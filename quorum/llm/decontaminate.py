@@ -12,8 +12,10 @@ edits, all of them within ``k`` diagonals of each other.
 4. what is left is verified by an alignment restricted to the band, on the characters.
 
 No step can lose a part within the budget.  Letters are compared without case (ASCII and
-Latin-1), white space characters are all equal.  Items are handled in blocks of a bounded
-number of characters, which are shipped to the tasks; documents are never shuffled.
+Latin-1), white space characters are all equal.  Items lie in the shared folder, dealt by hash
+into blocks of about ``BLOCK_CHARS`` characters.  A task holds some megabytes of documents and
+one block's index at a time, so neither it nor the driver ever holds the benchmark; documents
+are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -22,15 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm.common import batches, tidy
+from quorum.llm.common import batches, shared_files, tidy
+from quorum.session import scratch_path
 
 Q = 8
 BUDGET = 12
 SHORT = 32              # items below this length allow no edits
-BLOCK_CHARS = 1 << 20   # characters of items in one pass over the documents
+BLOCK_CHARS = 1 << 20   # characters of items in one index
+CHUNK_BYTES = 16 << 20  # documents that meet one index after the other (at least one row)
 _TABLE_BITS = 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _BIG = 1 << 32
@@ -197,17 +203,46 @@ _MATCH = "array<struct<item_id: bigint, start: bigint, end: bigint, edits: bigin
 _ARROW = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "end", "edits")]))
 
 
-def _pass(items: list[tuple[int, str]]):
-    index: list[Items] = []
+def _read_block(path: str, block: int) -> Items:
+    """The index of one block of the items' table; a block that no item fell into is empty."""
+    files, inner = shared_files(f"{path}/block={block}")
+    found = files.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+    items: list[tuple[int, str]] = []
+    for name in sorted(f.path for f in found if f.base_name.endswith(".parquet")):
+        table = pq.read_table(name, filesystem=files, columns=["item", "body"], partitioning=None)
+        items += zip(table.column("item").to_pylist(), table.column("body").to_pylist(), strict=True)
+    return Items(items)
 
+
+def _chunks(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Consecutive small batches of about ``size`` bytes together."""
+    held, total = [], 0
+    for batch in batches(rows, 256):
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
+def _search(path: str, blocks: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not index:
-            index.append(Items(items))
-        for batch in batches(rows, 2048):
-            found = [(old or []) + [dict(zip(("item_id", "start", "end", "edits"), m, strict=True)) for m in index[0].find(t)]
-                     for t, old in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, _ARROW),
-                                              *batch.columns[3:]], names=batch.schema.names)
+        index = None
+        for chunk in _chunks(rows, CHUNK_BYTES):
+            found: list[list[list[tuple[int, int, int, int]]]] = [[[] for _ in range(b.num_rows)] for b in chunk]
+            for block in range(blocks):
+                if index is None or blocks > 1:
+                    index = None        # one index at a time, also while the next is read
+                    index = _read_block(path, block)
+                for batch, matches in zip(chunk, found, strict=True):
+                    for at, text in enumerate(batch.column(1).to_pylist()):
+                        matches[at] += index.find(text)
+            for batch, matches in zip(chunk, found, strict=True):
+                named = [[dict(zip(("item_id", "start", "end", "edits"), m, strict=True)) for m in row] for row in matches]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(named, _ARROW),
+                                                  *batch.columns[2:]], names=["id", "text", "matches", *batch.schema.names[2:]])
     return run
 
 
@@ -220,20 +255,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Defined cases: null, empty or blank items match nothing, nor does a null or empty text;
     items below ``SHORT`` characters must occur without edits; repeated items are reported
-    once each by their id, a null item id as null; null ids, repeated rows, an empty table
-    on either side and further columns are fine.
+    once each by their id, a null item id as null; of equally good occurrences in a run of
+    bands the first is listed; null ids, repeated rows, an empty table on either side and
+    further columns are fine.  A very long text is searched whole, alone in its chunk: a task
+    holds a few times its size.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
-                       F.lit(None).cast(_MATCH).alias("matches"), *(F.col(c) for c in carry))
+                       *(F.col(c) for c in carry))
     schema = f"id long, text string, matches {_MATCH}" + "".join(
         f", `{c}` {base.schema[c].dataType.simpleString()}" for c in carry)
     items = benchmark.select(F.col("item_id").cast("long").alias("item"), F.col("text").cast("string").alias("body")) \
         .filter("body is not null").distinct()
     chars = items.agg(F.sum(F.length("body"))).first()[0] or 0
     blocks = -(-chars // block_chars) or 1
-    out = base
-    for block in range(blocks):
-        # Each block is of a bounded size by construction (blocks are dealt by hash).
-        part = items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block)
-        out = out.mapInArrow(tidy("decontaminate", _pass([(r["item"], r["body"]) for r in part.collect()])), schema)
-    return out
+    path = scratch_path(docs.sparkSession, "items")
+    items.withColumn("block", F.pmod(F.xxhash64("item", "body"), F.lit(blocks))) \
+        .repartition("block").write.partitionBy("block").parquet(path)
+    return base.mapInArrow(tidy("decontaminate", _search(path, blocks)), schema)

@@ -2,17 +2,17 @@
 
 A text is cut into words (letters and digits, lower case) and 3-word shingles.  Overlapping
 windows of ``WINDOW`` shingles, one every ``STEP``, are keyed by ``BANDS`` MinHash bands of
-one row; a window that agrees with a template's window in any band retrieves the template.
-A passage of five words (three shingles) lies whole in some window, at Jaccard 1/2 or more,
-which one of ten bands hits with probability above 0.999, and longer passages are met by
+one row; a window that agrees with a template's window in any band retrieves the template, and
+nothing else does.  Each band orders the shingles by a hash of its own, so bands are
+independent: a passage of five words (three shingles) lies whole in some window, at Jaccard 1/2
+or more, which one of ten bands hits with probability 0.999, and longer passages are met by
 several windows.  A retrieved template is confirmed where a part of the text of about its
-length holds at least ``CONTAINED`` of its shingles.
-
-A window without any template shingle cannot agree with a template's window in a band (the
-minimum is one of its shingles), so only windows around such shingles are keyed.
+length holds at least ``CONTAINED`` of its shingles, exactly.
 
 All of it is one projection over the documents: nothing is shuffled, and the templates, a
-fixed list, are literals of the plan.
+fixed list, are literals of the plan.  The work follows the length of a text, also of one full
+of notices: retrieved (window, template) pairs are integers, which Spark makes distinct by
+hashing.
 """
 
 from __future__ import annotations
@@ -51,6 +51,85 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # whole texts
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the
+Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN
+AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSD", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("Zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors
+be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to
+alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software.
+If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is
+not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+software.
+
+3. This notice may not be removed or altered from any source distribution."""),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on
+an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
+specific language governing permissions and limitations under the License."""),
+    ("BSL-1.0", """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the
+software and accompanying documentation covered by this license (the "Software") to use, reproduce, display,
+distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit
+third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction
+and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all
+derivative works of the Software, unless such copies or derivative works are solely in the form of
+machine-executable object code generated by a source language processor."""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form
+or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to
+the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in
+perpetuity of all present and future rights to this software under copyright law."""),
 )
 
 _HASHES = f"""
@@ -66,13 +145,11 @@ def shingles(text: str) -> Column:
     return F.expr(_HASHES.format(text=text))
 
 
-def _seeds() -> list[int]:
-    """One constant per band; a shingle's rank in a band is its hash xor the constant."""
-    state, out = 0x1F123BB5, []
-    for _ in range(BANDS):
-        state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-        out.append(state - (1 << 64) if state >> 63 else state)
-    return out
+def _minima(hashes: str, band: str, step: int) -> str:
+    """SQL of a band's minimum in each window of an array of shingle hashes: (window, minimum)."""
+    return (f"transform(array(transform({hashes}, h -> xxhash64(h, {band}))), ranks -> "
+            f"transform(if(size(ranks) > 0, sequence(0, (size(ranks) - 1) div {step}), cast(array() as array<int>)), "
+            f"k -> named_struct('k', cast(k as long), 'm', array_min(slice(ranks, cast(k as int) * {step} + 1, {WINDOW})))))[0]")
 
 
 def _long(x: int) -> str:
@@ -80,10 +157,27 @@ def _long(x: int) -> str:
     return f"{x}L" if x != -(1 << 63) else "(-9223372036854775807L - 1L)"
 
 
-def template_hashes(spark: SparkSession, templates) -> list[list[int]]:
-    rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "i int, text string")
-    found = {r["i"]: r["h"] for r in rows.select("i", shingles("text").alias("h")).collect()}
-    return [found[i] for i in range(len(templates))]
+def _longs(values) -> str:
+    return f"cast(array({', '.join(_long(x) for x in values)}) as array<bigint>)"
+
+
+def template_index(spark: SparkSession, templates) -> tuple[list[list[int]], list[dict[int, list[int]]]]:
+    """The templates' shingle hashes, and per band which templates have a window of a minimum.
+
+    A template's windows start at every shingle, so some agree with the text's phase.
+    """
+    rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "i int, text string") \
+        .select("i", shingles("text").alias("hs"))
+    bands = [F.expr(f"transform({_minima('hs', str(band), 1)}, w -> w.m)").alias(f"b{band}") for band in range(BANDS)]
+    hashes: list[list[int]] = [[] for _ in templates]
+    tables: list[dict[int, set[int]]] = [{} for _ in range(BANDS)]
+    for r in rows.select("i", "hs", *bands).collect():      # the fixed list's rows
+        hashes[r["i"]] = r["hs"]
+        full = max(1, len(r["hs"]) - WINDOW + 1)
+        for band, table in enumerate(tables):
+            for m in r[f"b{band}"][:full]:
+                table.setdefault(m, set()).add(r["i"])
+    return hashes, [{m: sorted(found) for m, found in table.items()} for table in tables]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
@@ -92,43 +186,36 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry:
 
     A license is listed once, with its best containment and, among equals, its first place.
     A null, empty or very short text has no match.  Null ids, repeated rows, an empty table
-    and further columns are fine; templates of fewer than three words match nothing.
+    and further columns are fine; templates of fewer than three words match nothing.  A very
+    long text is scanned whole, in work and memory that follow its words.
     """
-    hashes = template_hashes(docs.sparkSession, templates)
-    seeds = _seeds()
-    tables: list[set[tuple[int, int]]] = [set() for _ in seeds]
-    for t, own in enumerate(hashes):
-        # A template's windows start at every shingle, so some agree with the text's phase.
-        for start in range(max(1, len(own) - WINDOW + 1) if own else 0):
-            for band, seed in enumerate(seeds):
-                tables[band].add((min(h ^ seed for h in own[start:start + WINDOW]), t))
-    known = ", ".join(_long(h) for h in sorted({h for own in hashes for h in own})) or "null"
-    bands = "array(" + ", ".join(
-        f"named_struct('seed', {_long(seed)}, 'keys', array(" + ", ".join(
-            f"named_struct('m', {_long(m)}, 't', {t})" for m, t in sorted(table)) + "))"
-        for seed, table in zip(seeds, tables, strict=True)) + ")"
+    hashes, tables = template_index(docs.sparkSession, templates)
+    n = len(templates)
+    none = "cast(array() as array<bigint>)"
+
+    def retrieved(band: int, table: dict[int, list[int]]) -> str:
+        """Windows of ``hs`` that agree with a template in the band, as ``window * n + template``."""
+        if not table:
+            return none
+        known = ", ".join(_long(m) for m in table)
+        index = f"map_from_arrays({_longs(table)}, array({', '.join(_longs(found) for found in table.values())}))"
+        return (f"flatten(transform(filter({_minima('hs', str(band), STEP)}, w -> w.m in ({known})), "
+                f"w -> transform(element_at({index}, w.m), t -> w.k * {n}L + t)))")
+
     bodies = "array(" + ", ".join(
-        f"named_struct('name', '{name}', 'own', array({', '.join(_long(h) for h in dict.fromkeys(own))}))"
-        if own else f"named_struct('name', '{name}', 'own', cast(array() as array<bigint>))"
+        f"named_struct('name', '{name}', 'own', {_longs(dict.fromkeys(own))})"
         for (name, _), own in zip(templates, hashes, strict=True)) + ")"
-    if not any(tables):
-        bands = "cast(array() as array<struct<seed: bigint, keys: array<struct<m: bigint, t: int>>>>)"
-    places = f"filter(transform(hs, (h, i) -> if(h in ({known}), i, -1)), i -> i >= 0)"
-    starts = (f"array_distinct(flatten(transform({places}, i -> sequence("
-              f"greatest(0, cast(ceil((i - {WINDOW - 1}) / {STEP}) as int)), i div {STEP}))))")
-    retrieved = (f"array_distinct(flatten(transform({starts}, k -> flatten(transform({bands}, band -> "
-                 f"transform(filter(band.keys, key -> key.m = "
-                 f"array_min(transform(slice(hs, cast(k as int) * {STEP} + 1, {WINDOW}), h -> h ^ band.seed))), "
-                 f"key -> named_struct('t', key.t, 's', cast(k as int) * {STEP})))))))")
-    checked = (f"transform({retrieved}, c -> transform(array(element_at({bodies}, c.t + 1)), body -> named_struct("
-               "'license', body.name, 'containment', "
-               "size(array_intersect(body.own, slice(hs, greatest(c.s - size(body.own), 0) + 1, "
-               f"2 * size(body.own) + {WINDOW}))) / cast(size(body.own) as double), 'start', c.s))[0])")
+    found = "array_distinct(concat(" + ", ".join(retrieved(b, table) for b, table in enumerate(tables)) + "))"
+    start = f"cast(c div {n}L as int) * {STEP}"
+    checked = (f"transform({found}, c -> transform(array(element_at({bodies}, cast(c % {n}L as int) + 1)), body -> "
+               "named_struct('license', body.name, 'containment', "
+               f"size(array_intersect(body.own, slice(hs, greatest({start} - size(body.own), 0) + 1, "
+               f"2 * size(body.own) + {WINDOW}))) / cast(size(body.own) as double), 'start', {start}))[0])")
     good = f"filter({checked}, m -> m.containment >= {contained}D)"
     best = ("transform(array_sort(array_distinct(transform(ms, m -> m.license))), name -> "
             "array_max(transform(filter(ms, m -> m.license = name), m -> "
             "named_struct('containment', m.containment, 'early', -m.start, 'license', m.license))))")
-    matches = (f"transform(array(coalesce(hs, cast(array() as array<bigint>))), hs -> transform(array({good}), ms -> "
+    matches = (f"transform(array(coalesce(hs, {none})), hs -> transform(array({good}), ms -> "
                f"transform({best}, m -> named_struct('license', m.license, 'containment', m.containment, "
                "'start', -m.early)))[0])[0]")
     base = docs.select(F.col(id_col).cast("long").alias("id"), shingles(f"cast(`{text_col}` as string)").alias("hs"),

@@ -1,6 +1,8 @@
 import random
 import re
+import time
 
+from quorum.llm import license_scan
 from quorum.llm.license_scan import CONTAINED, TEMPLATES, scan
 from tests.llm.helpers import docs, prose
 
@@ -55,6 +57,40 @@ def test_matches_brute_force(spark):
         assert all(got[i][k] <= want[i][k] + 1e-12 for k in got[i])
 
 
+def test_whole_texts_and_long_runs_of_notices(spark):
+    """Every template within prose, reflowed as comments, and a megabyte of notices."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(prose(rng, 40, 3000)) + "\n# " + text.replace("\n", "\n# ") + "\n" + " ".join(prose(rng, 40, 3000)))
+            for i, (_, text) in enumerate(TEMPLATES)]
+    rows.append((99, "\n".join(f"{i} " + TEMPLATES[i % 19][1] for i in range(10_000))))
+    began = time.monotonic()
+    got = {r.id: {m.license: m.containment for m in r.matches} for r in scan(docs(spark, rows)).collect()}
+    assert time.monotonic() - began < 60
+    assert all(got[i].get(name) == 1.0 for i, (name, _) in enumerate(TEMPLATES))
+    assert got[99].keys() == {name for name, _ in TEMPLATES[:19]}
+
+
+def test_bands_are_the_only_retrieval(spark):
+    """A template whose bands hold nothing is not found, whatever shingles it shares; five words are."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    passages = [rng.sample(words, 5) for _ in range(400)]
+    rows = [(i, " ".join(rng.sample(words, rng.randrange(3, 9)) + p + rng.sample(words, 9))) for i, p in enumerate(passages)]
+    found = 0
+    for at in range(0, 400, 100):
+        templates = tuple((f"t{i}", " ".join(passages[i])) for i in range(at, at + 100))
+        got = scan(docs(spark, rows[at:at + 100]), templates=templates).collect()
+        found += sum(f"t{r.id}" in [m.license for m in r.matches] for r in got)
+    assert found >= 397         # 0.999 each
+    empty = [{} for _ in range(license_scan.BANDS)]
+    whole = license_scan.template_index
+    try:
+        license_scan.template_index = lambda *a: (whole(*a)[0], empty)
+        assert scan(docs(spark, [(1, TEMPLATES[0][1])])).collect()[0].matches == []
+    finally:
+        license_scan.template_index = whole
+
+
 def test_only_expressions(spark):
     plan = scan(docs(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange|Join", plan)

@@ -145,11 +145,15 @@ def shingles(text: str) -> Column:
     return F.expr(_HASHES.format(text=text))
 
 
-def _minima(hashes: str, band: str, step: int) -> str:
-    """SQL of a band's minimum in each window of an array of shingle hashes: (window, minimum)."""
-    return (f"transform(array(transform({hashes}, h -> xxhash64(h, {band}))), ranks -> "
-            f"transform(if(size(ranks) > 0, sequence(0, (size(ranks) - 1) div {step}), cast(array() as array<int>)), "
-            f"k -> named_struct('k', cast(k as long), 'm', array_min(slice(ranks, cast(k as int) * {step} + 1, {WINDOW})))))[0]")
+def _ranked(band: int, use: str) -> str:
+    """SQL of ``use`` over ``ranks``, the shingles' order in a band."""
+    return (f"transform(array(transform(hs, h -> xxhash64(h, {band}))), ranks -> "
+            f"if(size(ranks) > 0, {use}, cast(array() as array<bigint>)))[0]")
+
+
+def _least(k: str, step: int) -> str:
+    """SQL of the minimum of the window that starts at shingle ``k * step``."""
+    return f"array_min(slice(ranks, {k} * {step} + 1, {WINDOW}))"
 
 
 def _long(x: int) -> str:
@@ -168,7 +172,8 @@ def template_index(spark: SparkSession, templates) -> tuple[list[list[int]], lis
     """
     rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "i int, text string") \
         .select("i", shingles("text").alias("hs"))
-    bands = [F.expr(f"transform({_minima('hs', str(band), 1)}, w -> w.m)").alias(f"b{band}") for band in range(BANDS)]
+    bands = [F.expr(_ranked(band, f"transform(sequence(0, size(ranks) - 1), k -> {_least('k', 1)})")).alias(f"b{band}")
+             for band in range(BANDS)]
     hashes: list[list[int]] = [[] for _ in templates]
     tables: list[dict[int, set[int]]] = [{} for _ in range(BANDS)]
     for r in rows.select("i", "hs", *bands).collect():      # the fixed list's rows
@@ -199,8 +204,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry:
             return none
         known = ", ".join(_long(m) for m in table)
         index = f"map_from_arrays({_longs(table)}, array({', '.join(_longs(found) for found in table.values())}))"
-        return (f"flatten(transform(filter({_minima('hs', str(band), STEP)}, w -> w.m in ({known})), "
-                f"w -> transform(element_at({index}, w.m), t -> w.k * {n}L + t)))")
+        # Only windows of a known minimum go beyond one comparison.
+        return _ranked(band, (
+            f"flatten(transform(filter(sequence(0, cast((size(ranks) - 1) div {STEP} as int)), k -> {_least('k', STEP)} in ({known})), "
+            f"k -> transform(element_at({index}, {_least('k', STEP)}), t -> cast(k as bigint) * {n}L + t)))"))
 
     bodies = "array(" + ", ".join(
         f"named_struct('name', '{name}', 'own', {_longs(dict.fromkeys(own))})"

@@ -36,6 +36,27 @@ def surrogate_key(*parts) -> Column:
     return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
 
 
+_TEXT, _HEX = bytearray(b"\x00"), bytearray(b"\x01")  # first byte of a packed value
+
+
+def packed_hex(c) -> Column:
+    """A hash or address in half its bytes, to shuffle and group by: '0x' and pairs of lower-case
+    hex digits as binary, any other text as its own bytes.  Different texts stay different,
+    NULL stays NULL; ``unpacked_hex`` gives the text back."""
+    c = F.col(c) if isinstance(c, str) else c
+    raw = F.unhex(F.substr(c, F.lit(3)))
+    return F.when(F.concat(F.lit("0x"), F.lower(F.hex(raw))) == c, F.concat(F.lit(_HEX), raw)) \
+        .otherwise(F.concat(F.lit(_TEXT), c.cast("binary")))
+
+
+def unpacked_hex(c) -> Column:
+    """The text that ``packed_hex`` packed."""
+    c = F.col(c) if isinstance(c, str) else c
+    rest = F.substr(c, F.lit(2))
+    return F.when(F.substr(c, F.lit(1), F.lit(1)) == F.lit(_HEX), F.concat(F.lit("0x"), F.lower(F.hex(rest)))) \
+        .otherwise(rest.cast("string"))
+
+
 def naive_concat_key(*parts) -> Column:
     """The separator-free concatenation the source system hashes (NULL propagates)."""
     return F.concat(*[_as_str(p) for p in parts])

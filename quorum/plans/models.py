@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.functions.keys import surrogate_key
+from quorum.functions.keys import packed_hex, surrogate_key, unpacked_hex
 from quorum.functions.sets import distinct_set
 from quorum.functions.timefns import ntz, truncate_to_second
 from quorum.operators.membership import explode_members, missing_members
@@ -389,10 +389,15 @@ def hash_rows(src: Sources, window: RunWindow | None) -> DataFrame:
     return union_all([p.select("hash") for p in parts])
 
 
+def packed_hashes(src: Sources, window: RunWindow | None) -> DataFrame:
+    """``hash_rows`` with packed hashes, as they are shuffled and kept in states."""
+    return hash_rows(src, window).select(packed_hex("hash").alias("hash"))
+
+
 def transaction_hashes(src: Sources, window: RunWindow, run_ts) -> DataFrame:
-    """Union of the sources' hashes, distinct (one shuffle on the hash)."""
-    out = hash_rows(src, window).distinct()
-    return out.select(_stamp(run_ts), F.lit("mainnet").alias("network"), "hash")
+    """Union of the sources' hashes, distinct (one shuffle on the packed hash)."""
+    out = packed_hashes(src, window).distinct()
+    return out.select(_stamp(run_ts), F.lit("mainnet").alias("network"), unpacked_hex("hash").alias("hash"))
 
 
 @dataclass(frozen=True)

@@ -1,8 +1,12 @@
 """What a task holds and what is sent must not outgrow the input."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from quorum.functions.keys import packed_hex, unpacked_hex
+from quorum.plans import models as M
 from quorum.sources.adapters import Fixture
+from quorum.sources.scan import RunWindow
 from tests.conftest import SMALL
 
 
@@ -12,3 +16,17 @@ def test_transaction_attributes_are_derived_in_all_partitions(spark, name):
     """However few bytes the dealt rows are, their partitions are not merged."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert Fixture(spark, SMALL).get(name).select("hash").rdd.getNumPartitions() in (n, 2 * n)
+
+
+def test_packed_hex_gives_every_text_back(spark):
+    texts = ["0x", "0xab", "0xAB", "0xabc", "ab", "", "0xzz", "0x00ff", "x0ab", "0X00", "é", "0xab ", None, "0x" + "0f" * 32]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed_hex("t"))
+    assert all(r.t == r.u for r in df.select("t", unpacked_hex("p").alias("u")).collect())
+    assert df.select("p").distinct().count() == len(texts)
+    assert df.filter(F.col("t") == "0x" + "0f" * 32).select(F.length("p")).first()[0] == 33
+
+
+def test_hashes_are_shuffled_packed(spark):
+    out = M.transaction_hashes(Fixture(spark, SMALL), RunWindow.backfill(), "2024-02-01 00:00:00")
+    assert out.schema["hash"].dataType.simpleString() == "string"
+    assert dict(M.packed_hashes(Fixture(spark, SMALL), None).dtypes)["hash"] == "binary"

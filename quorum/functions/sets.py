@@ -15,6 +15,11 @@ def distinct_set(c) -> Column:
     return F.array_sort(F.collect_set(_c(c)))
 
 
+def merged_set(c) -> Column:
+    """The union of a group's sets, sorted."""
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(_c(c)))))
+
+
 def without(arr, excluded) -> Column:
     """Drop NULLs and one excluded value (NULL excluded value drops only NULLs)."""
     arr, excluded = _c(arr), _c(excluded)

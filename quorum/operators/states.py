@@ -1,12 +1,12 @@
 """Mergeable rollup state: partial groups stored per run, merged on read.
 
 A rollup whose groups are seen again in later windows (a transaction's sightings) is kept as
-*partial groups*: one row per group and per value of what the rollup collects or counts
-distinctly, with minima.  Such rows merge by ``min`` per key, in any order and however often
-a row is read again, so a run adds the partials of its own window only, and the groups it
-touched are finished from the stored partials of all runs instead of from the history of
-the source.  Sets and distinct counts stay rows until the last step: no stored row grows with
-its group.  Compaction merges the partials of many runs into one base.
+*partial groups*: one row per group and run, with minima and with the sets of what the rollup
+collects or counts distinctly (all other columns; a stored row holds the distinct values that
+its run saw, as the finished row does).  Such rows merge by ``min`` and set union per key, in
+any order and however often a row is read again, so a run adds the partials of its own window
+only, and the groups it touched are finished from the stored partials of all runs instead of
+from the history of the source.  Compaction merges the partials of many runs into one base.
 """
 
 from __future__ import annotations
@@ -16,12 +16,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quorum.functions.sets import merged_set
 from quorum.operators import versioned
 
 
 def merge_states(df: DataFrame, key: Sequence[str], minima: Sequence[str]) -> DataFrame:
-    """One row per ``key`` with the least of each ``minima`` column (NULLs are skipped)."""
-    return df.groupBy(*key).agg(*[F.min(c).alias(c) for c in minima])
+    """One row per ``key`` with the least of each ``minima`` column (NULLs are skipped) and the
+    union of each other column, a set."""
+    sets = [c for c in df.columns if c not in (*key, *minima, "run_id")]
+    return df.groupBy(*key).agg(*[F.min(c).alias(c) for c in minima], *[merged_set(c).alias(c) for c in sets])
 
 
 def append_states(df: DataFrame, path: str, on: Sequence[str], run_id: str) -> str:

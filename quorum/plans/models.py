@@ -261,24 +261,30 @@ def transaction_sightings(src: Sources, window: RunWindow, run_ts,
 
 
 _TX = ("from", "to", "nonce", "gas_price", "gas", "value", "type", "size", "call_data_size")
+_TX_HEX = ("hash", "from", "to")
 
 
-def _sighting_partials(df: DataFrame) -> DataFrame:
-    """First per observer and continent: a hash aggregate of plain minima whose shuffle spreads
-    a hot transaction over its observers."""
-    return rollup(df, ["hash", F.col("meta_network_name").alias("network"), *_TX, "meta_client_name",
-                       "meta_client_geo_continent_code"], [F.min("event_date_time").alias("first_seen_at")])
+def _unpacked(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: unpacked_hex(c) for c in _TX_HEX})
 
 
-def _sightings(partials: DataFrame, run_ts) -> DataFrame:
-    """Then per transaction over these few rows; the observers are counted by Spark's distinct
-    count, so their number need not be bounded."""
-    out = rollup(partials, ["hash", "network", *_TX], [
-        F.count_distinct("meta_client_name").alias("total_seen_by_sentries"),
+def _sighting_groups(df: DataFrame) -> DataFrame:
+    """Per transaction the sets of its observers and continents and its first time: one
+    exchange, before which every map task has combined its rows of a transaction to one, so
+    neither a hot transaction nor its attributes are sent row by row."""
+    rows = df.select(packed_hex("hash").alias("hash"), F.col("meta_network_name").alias("network"),
+                     packed_hex("from").alias("from"), packed_hex("to").alias("to"), *_TX[2:],
+                     "meta_client_name", "meta_client_geo_continent_code", "event_date_time")
+    return rollup(rows, SIGHTINGS.key, [
+        distinct_set("meta_client_name").alias("observers"),
         distinct_set("meta_client_geo_continent_code").alias("seen_continents"),
-        F.min("first_seen_at").alias("first_seen_at")])
-    return out.select("hash", _stamp(run_ts), "network", *_TX,
-                      "total_seen_by_sentries", "seen_continents", "first_seen_at")
+        F.min("event_date_time").alias("first_seen_at")])
+
+
+def _sightings(groups: DataFrame, run_ts) -> DataFrame:
+    return _unpacked(groups).select(
+        "hash", _stamp(run_ts), "network", *_TX, F.size("observers").cast("bigint").alias("total_seen_by_sentries"),
+        "seen_continents", "first_seen_at")
 
 
 def transaction_block_native(src: Sources, window: RunWindow, run_ts,
@@ -302,21 +308,18 @@ _LIFE_ORDER = ("statuses", "replace", "reorg", "blocks_pending", "max_priority_f
                "first_detected_at", "first_time_pending_at")
 
 
-def _lifecycle_partials(df: DataFrame) -> DataFrame:
-    """One row per transaction and combination of what is collected into sets: a hash aggregate
-    of plain minima with a map-side partial."""
-    return rollup(df, ["hash", "nonce", "gas", F.col("gasprice").alias("gas_price"), "value",
-                       F.col("toaddress").alias("to"), F.col("fromaddress").alias("from"),
-                       F.col("datasize").alias("call_data_size"), F.col("data4bytes").alias("call_data_4_bytes"),
-                       "type", *_LIFE_SETS.values()],
-                  [F.min(c).alias(name) for name, c in _LIFE_MINIMA.items()])
+def _lifecycle_groups(df: DataFrame) -> DataFrame:
+    """Per transaction its sets and minima, combined by the map tasks before the one exchange."""
+    rows = df.select(packed_hex("hash").alias("hash"), "nonce", "gas", F.col("gasprice").alias("gas_price"), "value",
+                     packed_hex("toaddress").alias("to"), packed_hex("fromaddress").alias("from"),
+                     F.col("datasize").alias("call_data_size"), F.col("data4bytes").alias("call_data_4_bytes"),
+                     "type", *_LIFE_SETS.values(), *_LIFE_MINIMA.values())
+    return rollup(rows, LIFECYCLES.key, [distinct_set(c).alias(name) for name, c in _LIFE_SETS.items()]
+                  + [F.min(c).alias(name) for name, c in _LIFE_MINIMA.items()])
 
 
-def _lifecycles(partials: DataFrame, run_ts) -> DataFrame:
-    aggs = {name: distinct_set(c) for name, c in _LIFE_SETS.items()} | {name: F.min(name) for name in _LIFE_MINIMA}
-    out = rollup(partials, list(_LIFE), [aggs[name].alias(name) for name in _LIFE_ORDER])
-    return out.select("hash", _stamp(run_ts), *[c for c in out.columns if c != "hash"],
-                      F.lit("mainnet").alias("network"))
+def _lifecycles(groups: DataFrame, run_ts) -> DataFrame:
+    return _unpacked(groups).select("hash", _stamp(run_ts), *_LIFE[1:], *_LIFE_ORDER, F.lit("mainnet").alias("network"))
 
 
 @dataclass(frozen=True)
@@ -334,11 +337,10 @@ class Mergeable:
         return self.partial(_scan(src, self.source, window, None).filter(self.predicate()))
 
 
-SIGHTINGS = Mergeable("mempool_transaction", lambda: F.col("meta_network_name") == "mainnet", _sighting_partials,
-                      _sightings, ("hash", "network", *_TX, "meta_client_name", "meta_client_geo_continent_code"),
-                      ("first_seen_at",))
-LIFECYCLES = Mergeable("block_native_mempool_transaction", lambda: F.col("network") == "main", _lifecycle_partials,
-                       _lifecycles, (*_LIFE, *_LIFE_SETS.values()), tuple(_LIFE_MINIMA))
+SIGHTINGS = Mergeable("mempool_transaction", lambda: F.col("meta_network_name") == "mainnet", _sighting_groups,
+                      _sightings, ("hash", "network", *_TX), ("first_seen_at",))
+LIFECYCLES = Mergeable("block_native_mempool_transaction", lambda: F.col("network") == "main", _lifecycle_groups,
+                       _lifecycles, _LIFE, tuple(_LIFE_MINIMA))
 
 
 def transaction_mempool_dumpster(src: Sources, window: RunWindow, run_ts,

@@ -1,11 +1,13 @@
 """Stored partial groups against a recomputation over the whole history."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from quorum.operators.states import append_states, compact_states, read_states
 from quorum.operators.versioned import read_current
 from quorum.plans import models as M
 from quorum.plans.runner import merged_run, run_model
+from quorum.plans.tables import FrameSources
 from quorum.session import scratch_path
 from quorum.sources.adapters import Fixture
 from quorum.sources.scan import RunWindow
@@ -56,3 +58,27 @@ def test_incremental_runs_keep_whole_rollups(spark):
     assert rows(read_current(spark, f"{root}/out", model.key)) == rows(want)
     with pytest.raises(ValueError, match="no mergeable state"):
         merged_run(spark, "transaction_hashes", fx, YEARS[0], RUN, root, "r")
+
+
+def sightings(spark, rows):
+    """Mempool rows of (hash, observer, continent, time) whose other attributes are alike."""
+    df = spark.createDataFrame(rows, "hash string, meta_client_name string, meta_client_geo_continent_code string, at string")
+    return FrameSources({"mempool_transaction": df.withColumns({
+        "event_date_time": F.col("at").cast("timestamp_ntz"), "meta_network_name": F.lit("mainnet"),
+        "nonce": F.lit(1).cast("decimal(20,0)")}).drop("at")})
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_rollups_send_a_transaction_once(spark):
+    rows = [("0xab", f"s{i % 3}", None if i % 5 else "EU", f"2024-01-01 00:00:{i % 60:02d}") for i in range(200)]
+    rows += [("0xAB", None, "AS", "2024-01-02 00:00:00"), ("no hex", "s0", None, "2024-01-02 00:00:00")]
+    out = M.transaction_sightings(sightings(spark, rows), RunWindow.backfill(), RUN)
+    assert exchanges(out) == 1
+    got = {r["hash"]: (r.total_seen_by_sentries, r.seen_continents, str(r.first_seen_at)) for r in out.collect()}
+    assert got == {"0xab": (3, ["EU"], "2024-01-01 00:00:00"), "0xAB": (0, ["AS"], "2024-01-02 00:00:00"),
+                   "no hex": (1, [], "2024-01-02 00:00:00")}
+    life = M.transaction_block_native(Fixture(spark, SMALL), RunWindow.backfill(), RUN)
+    assert exchanges(life) == 3                 # line items, orders, groups

@@ -10,8 +10,10 @@ version with the greatest version columns.  Three pieces:
 * ``append`` -- the sink: rows hashed by (day and) key into files, sorted inside each file
   by (day and) the storage key (row-group min/max skipping), written as the run's own
   ``run_id=<id>`` folder: other runs' files are never touched, and a retried run replaces
-  its own partial output.  A one-row record under ``_runs`` follows the data and names the
-  run, its schema and its days; only recorded runs are read.  So a half-written run is
+  its own partial output.  With ``buckets`` the files are bucketed by these columns, and reads
+  of such runs keep that distribution: grouping by the columns needs no exchange.  A one-row
+  record under ``_runs`` follows the data and names the run, its schema, days and buckets; only
+  recorded runs are read.  So a half-written run is
   invisible, a table whose runs are all empty is readable, and the schema may grow: a read
   has the columns of all live runs, NULL where a run lacked one (a column of two types is an
   error).
@@ -32,8 +34,10 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,7 +51,8 @@ DAY = "day"  # partition column of day-partitioned replacing tables
 BASE = "base-"  # prefix of the runs that compaction writes
 DELETED = "_deleted"  # marks a row that withdraws its key
 RUNS = "_runs"
-_RECORD = "run_id string, schema string, days array<date>, folded array<date>, replaced array<string>"
+_RECORD = ("run_id string, schema string, days array<date>, folded array<date>, replaced array<string>, "
+           "buckets int, bucketed array<string>")
 WHOLE = "whole"  # stands for the days of a table that has none
 
 
@@ -75,13 +80,20 @@ def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) ->
 
 def append(df: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str] = (),
            run_id: str | None = None, files: int | None = None,
-           day_col: str | None = None, bloom: Sequence[str] = ()) -> str:
+           day_col: str | None = None, bloom: Sequence[str] = (), buckets: Sequence[str] = ()) -> str:
     """Write ``df`` as one new run of the table at ``path``; returns the run id.
 
     With ``day_col`` (a timestamp column of the replacing key) rows are also partitioned
     by ``day = to_date(day_col)``, so readers restricted to some days prune the others.
-    ``bloom`` names columns whose Parquet files get Bloom filters."""
+    ``bloom`` names columns whose Parquet files get Bloom filters; ``buckets`` (for tables
+    without days) the columns that the files are bucketed by, in place of ``key``."""
     run_id = run_id or "run-" + _now()
+    if buckets:
+        if day_col:
+            raise ValueError("a table of days is not bucketed")
+        n = _write_buckets(df, path, buckets, order_by, run_id, bloom)
+        _record(df.sparkSession, path, Run(run_id, df.schema, None, buckets=n, bucketed=list(buckets)))
+        return run_id
     out = df.withColumn(DAY, F.to_date(day_col)) if day_col else df
     days = _write_run(out, path, key, order_by, run_id, files, bloom)
     _record(df.sparkSession, path, Run(run_id, out.schema, days))
@@ -118,12 +130,56 @@ def _now() -> str:
 @dataclass(frozen=True)
 class Run:
     """A recorded run.  ``days``: those it holds rows of (None: no days).  A base also has
-    the days it was made for (``folded``, None: no days) and the runs it replaces there."""
+    the days it was made for (``folded``, None: no days) and the runs it replaces there.
+    ``buckets`` and ``bucketed`` are the number and the columns of its buckets, if it has any."""
     run_id: str
     schema: StructType
     days: list[dt.date | None] | None
     folded: list[dt.date | None] | None = None
     replaced: list[str] | None = None
+    buckets: int | None = None
+    bucketed: list[str] | None = None
+
+
+def _table() -> str:
+    return f"quorum_{uuid.uuid4().hex}"
+
+
+def _write_buckets(out: DataFrame, path: str, buckets: Sequence[str], order_by: Sequence[str], run_id: str,
+                   bloom: Sequence[str] = ()) -> int:
+    """Write a run bucketed by ``buckets``, one file per bucket; returns their number.  Spark
+    writes buckets to tables only: the external table's name goes at once, its files stay."""
+    spark = out.sparkSession
+    n, table, folder = int(spark.conf.get("spark.sql.shuffle.partitions")), _table(), _folder(path, (run_id, WHOLE))
+    delete_path(spark, folder)      # a retried run replaces its own partial output
+    # Spark drops this repartition when the rows were just grouped by the same columns
+    writer = out.repartition(*buckets).write.format("parquet").option("path", folder).option("compression", "zstd")
+    for c in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    # filters of the size that a file's values need, not of 1 MB
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true").bucketBy(n, *buckets)
+    (writer.sortBy(*order_by) if order_by else writer).saveAsTable(table)
+    spark.sql(f"DROP TABLE {table}")
+    return n
+
+
+def _read_buckets(spark: SparkSession, path: str, buckets: int, by: Sequence[str], schema: StructType,
+                  run_ids: Sequence[str]) -> DataFrame:
+    """The bucketed runs ``run_ids`` with their ``run_id``, as one relation whose tasks read a
+    bucket of all of them (a union of runs would need an exchange).  Spark knows the buckets of
+    tables only, so the folders are one while it is resolved."""
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    table, root = _table(), path.rstrip("/")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    folders = "{" + ",".join(f"run_id={r}" for r in run_ids) + "}"
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (basePath {quoted(root)}) "
+              f"CLUSTERED BY ({', '.join(f'`{c}`' for c in by)}) INTO {buckets} BUCKETS LOCATION {quoted(f'{root}/{folders}')}")
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 def _write_run(out: DataFrame, path: str, key: Sequence[str], order_by: Sequence[str], run_id: str,
@@ -146,7 +202,7 @@ def _write_run(out: DataFrame, path: str, key: Sequence[str], order_by: Sequence
 
 
 def _record(spark: SparkSession, path: str, run: Run) -> None:
-    row = (run.run_id, run.schema.json(), run.days, run.folded, run.replaced)
+    row = (run.run_id, run.schema.json(), run.days, run.folded, run.replaced, run.buckets, run.bucketed)
     spark.createDataFrame([row], _RECORD).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUNS}/{run.run_id}")
 
 
@@ -159,7 +215,7 @@ def runs(spark: SparkSession, path: str) -> list[Run] | None:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    found = [Run(r[0], StructType.fromJson(json.loads(r[1])), r[2], r[3], r[4]) for r in rows]
+    found = [Run(r[0], StructType.fromJson(json.loads(r[1])), *r[2:]) for r in rows]
     # a base that nobody recorded as such is left over from a compaction that died
     return sorted((r for r in found if not r.run_id.startswith(BASE) or r.replaced is not None), key=lambda r: r.run_id)
 
@@ -201,7 +257,14 @@ def _read_parts(spark: SparkSession, path: str, recorded: list[Run], parts: Sequ
     schema = StructType([f for f in schema.fields if f.name != DAY] + [StructField("run_id", StringType())] + days)
     if not parts:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*(_folder(path, p) for p in parts))
+    layouts = {r.run_id: (r.buckets, *r.bucketed) for r in recorded if r.buckets}
+    by_layout: dict[tuple, list[tuple[str, object]]] = {}
+    for part in parts:
+        by_layout.setdefault(layouts.get(part[0], ()), []).append(part)
+    frames = [_read_buckets(spark, path, layout[0], layout[1:], schema, [r for r, _ in some]) if layout
+              else spark.read.schema(schema).option("basePath", path).parquet(*(_folder(path, p) for p in some))
+              for layout, some in by_layout.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def _versions(spark: SparkSession, path: str, keep_day: Callable[[dt.date | None], bool] | None = None,
@@ -252,7 +315,8 @@ def current_rows(table: DataFrame, key: Sequence[str],
 
 def compact(spark: SparkSession, path: str, key: Sequence[str],
             version: Sequence[str] = ("updated_at",), order_by: Sequence[str] = (),
-            fold: Callable[[DataFrame], DataFrame] | None = None, bloom: Sequence[str] = ()) -> str | None:
+            fold: Callable[[DataFrame], DataFrame] | None = None, bloom: Sequence[str] = (),
+            buckets: Sequence[str] = ()) -> str | None:
     """Fold the runs of ``path`` into a base run; returns its id (None: nothing to fold).
 
     Of a day-partitioned table only the days that hold more than a base are read and
@@ -274,9 +338,10 @@ def compact(spark: SparkSession, path: str, key: Sequence[str],
         return None
     base = BASE + _now()
     rows = fold(stored.drop("run_id")) if fold else _current(stored, key, version)
-    kept = _write_run(rows, path, key, order_by, base, bloom=bloom)
+    n = _write_buckets(rows, path, buckets, order_by, base, bloom) if buckets else None
+    kept = None if buckets else _write_run(rows, path, key, order_by, base, bloom=bloom)
     _record(spark, path, Run(base, rows.schema, kept, None if days == [WHOLE] else days,
-                             sorted({r for r, _ in parts})))
+                             sorted({r for r, _ in parts}), n, list(buckets) or None))
     return base
 
 

@@ -235,7 +235,7 @@ def _merged(spark, sf_dir, name, *sets):
     kept = M.MODELS[name].merges
     spans = [("1970-01-01 00:00:00", "1996-12-31 23:59:59.999999"), ("1997-12-31 23:59:59.000001", "9999-12-30 00:00:00")]
     for i, (start, end) in enumerate(spans):
-        append_states(kept.of_window(fx, RunWindow.of(start, end)), path, kept.on, f"run-{i}")
+        append_states(kept.of_window(fx, RunWindow.of(start, end)), path, kept.on, f"run-{i}", kept.key)
     compact_states(spark, path, kept.key, kept.minima, kept.on)
     window = RunWindow.of("1997-01-01 00:00:00", "1997-12-31 23:59:59")
     return _render_sets(merged_run(spark, name, fx, window, RUN_TS, path, "run-2"), *sets)

@@ -105,7 +105,7 @@ def merged_run(spark: SparkSession, model: Model | str, sources: Sources, window
     if m.merges is None:
         raise ValueError(f"{m.name} keeps no mergeable state")
     kept = m.merges
-    append_states(kept.of_window(sources, window), state_path, kept.on, run_id)
+    append_states(kept.of_window(sources, window), state_path, kept.on, run_id, kept.key)
     return kept.finish(read_states(spark, state_path, kept.key, kept.minima, kept.on, touched_by=run_id), now)
 
 

@@ -82,3 +82,33 @@ def test_rollups_send_a_transaction_once(spark):
                    "no hex": (1, [], "2024-01-02 00:00:00")}
     life = M.transaction_block_native(Fixture(spark, SMALL), RunWindow.backfill(), RUN)
     assert exchanges(life) == 3                 # line items, orders, groups
+
+
+def test_stored_groups_are_rows_of_sets_that_merge_without_an_exchange(spark):
+    """One row per transaction and run; reading the runs' buckets together, and compacting them."""
+    kept, path = M.MODELS["transaction_sightings"].merges, scratch_path(spark, "t-buckets")
+    for run in range(3):
+        some = [(f"0x{i:04x}", f"s{run}-{j}", "EU", f"2024-01-0{run + 1} 00:00:0{j}") for i in range(50) for j in range(4)]
+        append_states(kept.partial(sightings(spark, some).get("mempool_transaction")), path, kept.on, f"run-{run}", kept.key)
+    merged = read_states(spark, path, kept.key, kept.minima, kept.on)
+    assert exchanges(merged) == 0
+    assert merged.count() == 50 and {r[0] for r in kept.finish(merged, RUN).select("total_seen_by_sentries").collect()} == {12}
+    base = compact_states(spark, path, kept.key, kept.minima, kept.on)
+    assert spark.read.parquet(f"{path}/run_id={base}").count() == 50
+    assert rows(kept.finish(read_states(spark, path, kept.key, kept.minima, kept.on), RUN)) == rows(kept.finish(merged, RUN))
+
+
+def test_a_run_finishes_the_other_groups_of_its_hashes(spark):
+    """A hash with two attribute sets, of which the run has partials of one; a NULL hash goes."""
+    kept, path = M.MODELS["transaction_sightings"].merges, scratch_path(spark, "t-others")
+
+    def add(run, rows):
+        df = spark.createDataFrame(rows, "hash string, type short, meta_client_name string, at string")
+        df = FrameSources({"mempool_transaction": df.withColumn("event_date_time", F.col("at").cast("timestamp_ntz")).drop("at")}).get("mempool_transaction")
+        append_states(kept.partial(df), path, kept.on, run, kept.key)
+
+    at = "2024-01-01 00:00:00"
+    add("run-0", [("0x0a", 1, "a", at), ("0x0a", 2, "b", at), ("0x0b", 1, "c", at), (None, 1, "d", at)])
+    add("run-1", [("0x0a", 1, "e", at), (None, 1, "f", at)])
+    out = kept.finish(read_states(spark, path, kept.key, kept.minima, kept.on, touched_by="run-1"), RUN)
+    assert sorted((r["hash"], r["type"], r.total_seen_by_sentries) for r in out.collect()) == [("0x0a", 1, 2), ("0x0a", 2, 1)]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from quorum.functions.keys import naive_concat_key, surrogate_key
+from quorum.functions.keys import naive_concat_key, surrogate_key, unpacked_hex
 from quorum.functions.sets import set_string
 from quorum.functions.timefns import format_ts, ntz, parse_ts_or_null
 from quorum.operators.membership import explode_members
@@ -362,14 +362,21 @@ def display_times(spark, sf_dir):
                      parse_ts_or_null(F.concat(F.col("event_type"), F.lit(" o'clock"))).alias("unparsable"))
 
 
-def _deliver(df: DataFrame, path: str, files: int) -> None:
-    """Add rows to a streamed folder as files, dealt by a hash of whole rows: whatever order
-    the files come in, every micro-batch but the first has late rows."""
-    df.repartition(files, F.xxhash64(*df.columns)).write.mode("append").parquet(path)
+def _batch_files(spark: SparkSession) -> int:
+    """Files that make a part of a streamed folder: one for each shuffle partition, so that a
+    task's share of a part does not grow with the table."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _streamed(spark: SparkSession, schema: StructType, path: str, files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def _deliver(df: DataFrame, path: str, parts: int) -> None:
+    """Add rows to a streamed folder in equal parts, dealt by a hash of whole rows: whatever
+    order the files come in, every micro-batch but the first has late rows."""
+    df.repartition(parts * _batch_files(df.sparkSession), F.xxhash64(*df.columns)).write.mode("append").parquet(path)
+
+
+def _streamed(spark: SparkSession, schema: StructType, path: str, parts: int = 1) -> DataFrame:
+    """A streamed folder, so many parts in a micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", parts * _batch_files(spark)).parquet(path)
 
 
 def _half(df: DataFrame, half: int) -> DataFrame:
@@ -380,7 +387,7 @@ def _stamp(batch_id: int) -> Column:
     return ntz(RUN_TS) + F.make_dt_interval(secs=F.lit(batch_id))
 
 
-def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label, files=4):
+def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label, parts=4):
     """Drive a job by a Structured Streaming file source of the events.  The base table
     starts empty and grows by each batch; the batch's touched keys are recomputed from it and
     replace their rows in a replacing table, whose current rows are returned."""
@@ -388,7 +395,7 @@ def _stream_model(spark, sf_dir, model_name, keys, build_restricted, label, file
     root = scratch_path(spark, label)
     base, sink = os.path.join(root, "base"), os.path.join(root, "out")
     arriving = os.path.join(root, "arriving")
-    _deliver(fx.table("events"), arriving, files)
+    _deliver(fx.table("events"), arriving, parts)
     stream = _streamed(spark, fx.table("events").schema, arriving)
     stored = StructType([*stream.schema.fields, StructField("day", DateType())])
     model = M.MODELS[model_name]
@@ -476,7 +483,7 @@ class _StreamSources:
         self.spark, self.root, self.schemas = spark, root, schemas
 
     def get(self, name: str) -> DataFrame:
-        return _streamed(self.spark, self.schemas[name], os.path.join(self.root, name), files=2)
+        return _streamed(self.spark, self.schemas[name], os.path.join(self.root, name), parts=2)
 
 
 def stream_hash_universe(spark, sf_dir):
@@ -492,12 +499,14 @@ def stream_hash_universe(spark, sf_dir):
     streams = _StreamSources(spark, root, {name: df.schema for name, df in rows.items()})
 
     def finish(batch, batch_id):
-        return batch.select(_stamp(batch_id).alias("updated_at"), F.lit("mainnet").alias("network"), "hash")
+        return batch.select(_stamp(batch_id).alias("updated_at"), F.lit("mainnet").alias("network"),
+                            unpacked_hex("hash").alias("hash"))
 
     for half in (0, 1):
         for name, df in rows.items():
-            _deliver(_half(df, half), os.path.join(root, name), 2)
-        distinct_stream(M.hash_rows(streams, None), ["hash"], sink, os.path.join(root, "checkpoint"), finish,
+            # as they lie: the sources are dealt already, and no step here asks for late rows
+            _half(df, half).write.mode("append").option("compression", "zstd").parquet(os.path.join(root, name))
+        distinct_stream(M.packed_hashes(streams, None), ["hash"], sink, os.path.join(root, "checkpoint"), finish,
                         bloom=["hash"]).awaitTermination()
     return read_current(spark, sink, key=["hash"], version=("updated_at",)).withColumn("updated_at", ntz(RUN_TS))
 

@@ -1,10 +1,14 @@
 """What a task holds and what is sent must not outgrow the input."""
 
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from quorum.functions.keys import packed_hex, unpacked_hex
 from quorum.plans import models as M
+from quorum.plans import queries
 from quorum.sources.adapters import Fixture
 from quorum.sources.scan import RunWindow
 from tests.conftest import SMALL
@@ -30,3 +34,20 @@ def test_hashes_are_shuffled_packed(spark):
     out = M.transaction_hashes(Fixture(spark, SMALL), RunWindow.backfill(), "2024-02-01 00:00:00")
     assert out.schema["hash"].dataType.simpleString() == "string"
     assert dict(M.packed_hashes(Fixture(spark, SMALL), None).dtypes)["hash"] == "binary"
+
+
+def test_streamed_sources_are_as_many_files_as_partitions(spark, monkeypatch):
+    """No task writes or reads half of a source."""
+    roots = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name, f=queries.scratch_path: roots.append(f(s, name)) or roots[-1])
+    n, out = int(spark.conf.get("spark.sql.shuffle.partitions")), queries.stream_hash_universe(spark, SMALL)
+    assert out.count() == M.transaction_hashes(Fixture(spark, SMALL), RunWindow.backfill(), "2024-02-01 00:00:00").count()
+    for name in ("mempool_transaction", "block_native_mempool_transaction", "mempool_dumpster_transaction"):
+        assert len(glob.glob(os.path.join(roots[0], name, "part-*"))) == 2 * n
+    rows = spark.range(10_000)
+    queries._deliver(rows, path := os.path.join(roots[0], "delivered"), 2)
+    assert len(glob.glob(os.path.join(path, "part-*"))) == 2 * n
+    batches = []
+    queries._streamed(spark, rows.schema, path).writeStream.foreachBatch(lambda df, i: batches.append(df.count())) \
+        .option("checkpointLocation", os.path.join(roots[0], "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == 2 and sum(batches) == 10_000

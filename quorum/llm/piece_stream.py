@@ -8,12 +8,15 @@ them pass one boundary, the ids before it are committed and forgotten.
 * BPE models: a piece sequence is the model's own encoding exactly if every two neighbours
   encode, as one string, to just these two.  So the search keeps, per position, the one last
   piece that fits the path it extends: a Viterbi search whose transitions weigh nothing or
-  are forbidden.  Which pairs fit is decided by the model's merge rule and remembered.
+  are forbidden.  Which pairs fit is decided by the model's merge rule and remembered.  An
+  automaton over the pieces gives those that end at a position, so a position asks only for
+  the pairs up to the one that fits.
 
 No piece spans a change from other characters to the space mark (a property checked on the
 model; without it a text is one stretch).  All paths meet there, so these stretches are
 searched one by one, each once per block of texts, and a bounded memo keeps their ids from block to
-block until the worker turns to another operator.
+block until the worker turns to another operator.  For BPE models with byte pieces a stretch
+also ends where characters change that no piece holds together (words and punctuation, say).
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ MEMO_CHARS = 32
 PAIRS = 250_000
 BATCH_ROWS = 512
 BLOCK = 1_000_000         # characters whose stretches are held at once, or one text
+CLASSES = 8               # of characters that end a stretch where they change
 SPACE = "▁"
 # Piece kinds and model kinds of the model file format.
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
@@ -113,6 +117,56 @@ class Model:
             node[0] = id_
         self.singles = {p for p in self.ids if len(p) == 1}
         self.known: dict[int, bool] = {}
+        self.stretch = re.compile(self._stretch())
+        self.start = None
+        if self.kind == _BPE:
+            self.start, self.trie = self._automaton(), None
+
+    def _stretch(self) -> str:
+        """A stretch begins with its space marks and ends before the next one, or before a
+        character of another class: no piece holds two neighbours of different classes."""
+        if not (self.kind == _BPE and self.bytes):
+            return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
+        group: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while group.setdefault(c, c) != c:
+                group[c] = c = group[group[c]]
+            return c
+
+        for piece in self.ids:
+            bare = piece.lstrip(SPACE)
+            for a, b in zip(bare, bare[1:]):
+                group[root(a)] = root(b)
+        members: dict[str, list[str]] = {}
+        for c in group:
+            members.setdefault(root(c), []).append(re.escape(c))
+        classes = ["".join(sorted(m)) for m in sorted(members.values(), key=len, reverse=True)[:CLASSES]]
+        return f"{SPACE}*(?:{''.join(f'[{c}]+|' for c in classes)}[^{SPACE}{''.join(classes)}]+)|{SPACE}+"
+
+    def _automaton(self) -> list:
+        """States by the longest suffix read that begins a piece: the pieces that end there
+        (longest first, with their lengths), the states after known characters, the state of
+        the longest proper suffix."""
+        start: list = [(), {}, None]
+        row = [(self.trie, start, 0)]
+        while row:
+            below = []
+            for (_, children), state, depth in row:
+                for c, child in children.items():
+                    shorter = self.step(state[2], c) if state[2] else start
+                    ends = shorter[0] if child[0] is None else ((depth + 1, child[0]), *shorter[0])
+                    state[1][c] = after = [ends, {}, shorter]
+                    below.append((child, after, depth + 1))
+            row = below
+        return start
+
+    @staticmethod
+    def step(state: list, c: str) -> list:
+        """The state after a character that ``state`` may not have."""
+        while c not in state[1] and state[2]:
+            state = state[2]
+        return state[1].get(c, state)
 
     def normalized(self, text: str) -> str:
         if self.squeeze:
@@ -141,7 +195,7 @@ class Model:
         if len(self.known) >= PAIRS:
             self.known.clear()
         pair = ([self.pieces[before]] if before >= 0 else []) + [self.pieces[piece]]
-        found = self.known[(before + 1) * len(self.pieces) + piece] = self.merged("".join(pair)) == pair
+        found = self.known[before * len(self.pieces) + piece] = self.merged("".join(pair)) == pair
         return found
 
     @staticmethod
@@ -153,6 +207,9 @@ class Model:
 class Stream:
     """Feeds characters to the search and gives ids as soon as they are certain.
 
+    For BPE models every position is settled when it is read (``_settle``); for unigram models
+    it waits for the pieces that start before it (``_extend``).
+
     Position i of ``text`` (what follows the last commit) has the start of its last piece in
     ``back``, that piece in ``last`` and the path's score in ``best``; None: no path yet.
     Positions below ``done`` have been extended by every piece that starts there.
@@ -164,7 +221,7 @@ class Stream:
         self._reset(-1)
 
     def _reset(self, before: int) -> None:
-        self.text, self.done = "", 0
+        self.text, self.done, self.state = "", 0, self.model.start
         self.back: list[int | None] = [0]
         self.last, self.best = [before], [0.0]
 
@@ -176,12 +233,12 @@ class Stream:
             return out
         for start in range(0, len(text), longest):
             self._take(text[start:start + longest])
-            self._extend(len(self.text) - longest + 1)
+            self._search(len(self.text) - longest + 1)
             out += self._commit()
         return out
 
     def close(self) -> list[int]:
-        self._extend(len(self.text))
+        self._search(len(self.text))
         out = self._path(len(self.text))
         self._reset(-1)
         return out
@@ -189,40 +246,75 @@ class Stream:
     def _take(self, more: str) -> None:
         self.text += more
         self.most = max(self.most, len(self.text))
-        self.back += [None] * len(more)
-        self.last += [-1] * len(more)
-        self.best += [0.0] * len(more)
+        if self.state is None:
+            self.back += [None] * len(more)
+            self.last += [-1] * len(more)
+            self.best += [0.0] * len(more)
+
+    def _search(self, stop: int) -> None:
+        if self.state is None:
+            self._extend(stop)
+        else:
+            self.state = self._settle(self.text, self.back, self.last, self.state)
+            self.best += [0.0] * (len(self.back) - len(self.best))
+        self.done = max(self.done, stop)
+
+    def _settle(self, text: str, back: list[int | None], last: list[int], state: list) -> list:
+        """The last piece of every position beyond those in ``back``; the state after the text."""
+        model = self.model
+        known, step, size = model.known, model.step, len(model.pieces)
+        end = len(back) - 1
+        for c in text[end:] if end else text:
+            end += 1
+            state = state[1].get(c) or step(state, c)
+            # Only one last piece fits, so the first that does is it.
+            for length, id_ in state[0]:
+                start = end - length
+                before = last[start]
+                fits = known.get(before * size + id_)
+                if fits is None:
+                    fits = model.fits(before, id_)
+                if fits and back[start] is not None:
+                    back.append(start)
+                    last.append(id_)
+                    break
+            else:
+                back.append(None if c in model.singles or back[end - 1] is None else end - 1)
+                last.append(-1)
+        return state
+
+    def whole(self, text: str) -> list[int]:
+        """The ids of a whole text, when nothing has been fed."""
+        if self.state is None or len(text) > 2 * self.model.longest:
+            return self.feed(text) + self.close()
+        back, last, out = [0], [-1], []
+        self._settle(text, back, last, self.model.start)
+        end = len(text)
+        while end > 0:
+            if last[end] < 0:
+                return self.feed(text) + self.close()
+            out.append(last[end])
+            end = back[end]
+        out.reverse()
+        return out
 
     def _extend(self, stop: int) -> None:
         model, text, back, last, best = self.model, self.text, self.back, self.last, self.best
-        roots, singles, known, size, end_of_text = model.trie[1], model.singles, model.known, len(model.pieces), len(text)
-        bpe, scores = model.kind == _BPE, model.scores
+        roots, singles, scores, end_of_text = model.trie[1], model.singles, model.scores, len(text)
         for start in range(self.done, stop):
             if back[start] is None:
                 continue
-            if text[start] not in singles and (
-                    back[start + 1] is None or not bpe and best[start] + model.least > best[start + 1]):
+            if text[start] not in singles and (back[start + 1] is None or best[start] + model.least > best[start + 1]):
                 back[start + 1], last[start + 1], best[start + 1] = start, -1, best[start] + model.least
-            below, end, before = roots, start, (last[start] + 1) * size
+            below, end = roots, start
             while end < end_of_text:
                 node = below.get(text[end])
                 if node is None:
                     break
                 end += 1
                 id_, below = node
-                if id_ is None:
-                    continue
-                if bpe:
-                    # Only one last piece fits, so the first that does is it.
-                    if back[end] is None:
-                        fits = known.get(before + id_)
-                        if fits is None:
-                            fits = model.fits(last[start], id_)
-                        if fits:
-                            back[end], last[end] = start, id_
-                elif back[end] is None or best[start] + scores[id_] > best[end]:
+                if id_ is not None and (back[end] is None or best[start] + scores[id_] > best[end]):
                     back[end], last[end], best[end] = start, id_, best[start] + scores[id_]
-        self.done = max(self.done, stop)
 
     def _commit(self) -> list[int]:
         """Ids up to the last boundary that the paths to all open positions share."""
@@ -271,8 +363,7 @@ class Encoder:
         self.stream = Stream(model)
 
     def _search(self, stretch: str) -> bytes:
-        ids = self.stream.feed(stretch) + self.stream.close()
-        return array("i", ids).tobytes()
+        return array("i", self.stream.whole(stretch)).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids as native 32-bit integers; a stretch is searched once per call."""
@@ -281,7 +372,7 @@ class Encoder:
             return [self._search(t) if t else b"" for t in normal]
         out, held, size = [], [], 0
         for text in normal:
-            held.append(_STRETCH.findall(text))
+            held.append(self.model.stretch.findall(text))
             size += len(text)
             if size >= BLOCK:
                 out += self._joined(held)
@@ -310,10 +401,6 @@ class Encoder:
         return Encoder(Model.of(data))
 
 
-# A stretch begins with its space marks and ends before the next one.
-_STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-
-
 def _forget() -> None:
     Encoder.of.cache_clear()
     Model.of.cache_clear()

@@ -443,8 +443,7 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
             found = encoder.encode(texts)
             offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
             values = np.frombuffer(b"".join(found), dtype=np.int32)
-            parts = values.tolist()
-            same = [decode_ids(encoder.model, parts[a:b]) == (t or "")
+            same = [decode_ids(encoder.model, values[a:b].tolist()) == (t or "")
                     for a, b, t in zip(offsets[:-1], offsets[1:], texts, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
